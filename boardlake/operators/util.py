@@ -1,0 +1,28 @@
+"""Small planning helpers shared by operators."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
+
+    The check is a bounded job (``limit(max_rows + 1).count()``); above the
+    bound the frame is returned unchanged and Spark/AQE pick a shuffle join.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
+
+
+def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | None:
+    """The cluster's shared checkpoint folder (spark.checkpoint.dir); the
+    fallback is only set when the session has none (tests, local runs)."""
+    current = spark.conf.get("spark.checkpoint.dir", None)
+    if current:
+        return current
+    if fallback:
+        spark.sparkContext.setCheckpointDir(fallback)
+        spark.conf.set("spark.checkpoint.dir", fallback)
+    return fallback
