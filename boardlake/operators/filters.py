@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as _dt
 import math
 import time
+from functools import reduce
 from numbers import Real
 
 from pyspark.sql import Column, DataFrame, Window
@@ -170,8 +171,9 @@ def first_n_per(df: DataFrame, n: int, partition_cols, order_cols=ORDER_COLS, ra
     """
     w = Window.partitionBy(*partition_cols).orderBy(*order_cols)
     rn = rank_col or "_rn"
-    out = df.withColumn(rn, F.row_number().over(w)).where(F.col(rn) <= n)
-    return out if rank_col else out.drop(rn)
+    cols = df.columns
+    out = df.select("*", F.row_number().over(w).alias(rn)).where(F.col(rn) <= n)
+    return out if rank_col else out.select(*cols)
 
 
 def apply_filters(
@@ -188,16 +190,25 @@ def apply_filters(
     order_cols=ORDER_COLS,
 ) -> DataFrame:
     """All filters AND-ed in order title -> topic -> date -> include ->
-    exclude, then the limit (per ``partition_by`` key when given)."""
-    out = title_filter(df, title_filter_)
-    out = topic_filter(out, filter_)
-    out = recency_filter(out, posted_within_days, as_of)
-    inc = location_include_predicate(location_includes)
-    if inc is not None:
-        out = out.where(inc)
-    exc = location_exclude_predicate(location_excludes)
-    if exc is not None:
-        out = out.where(exc)
+    exclude (one Filter; Spark evaluates the conjuncts left to right), then
+    the limit (per ``partition_by`` key when given)."""
+    spark = _spark_of(df)
+    preds = []
+    if title_filter_:
+        preds.append(regex_match("title", title_filter_, spark))
+    if filter_:
+        preds.append(
+            regex_match("title", filter_, spark) | regex_match("department", filter_, spark)
+            | regex_match("description", filter_, spark)
+        )
+    for p in (
+        recency_predicate(posted_within_days, as_of),
+        location_include_predicate(location_includes),
+        location_exclude_predicate(location_excludes),
+    ):
+        if p is not None:
+            preds.append(p)
+    out = df.where(reduce(lambda a, b: a & b, preds)) if preds else df
     n = normalise_limit(limit)
     if n is None:
         return out

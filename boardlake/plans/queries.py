@@ -69,7 +69,7 @@ def _salary_cols(c: str = "salary"):
 
 
 def _pages(spark, sf_dir):
-    return D.read_table(spark, sf_dir, "pages").select("page_id", "html")
+    return D.read_text_table(spark, sf_dir, "pages", ["page_id", "html"])
 
 
 # ---------------------------------------------------------------- P9: HTML
@@ -190,7 +190,7 @@ def _sql_cols(extra: str = "") -> str:
 
 @query("greenhouse_board", _BOARDS + f"SELECT {_sql_cols(', greenhouse_id, internal_job_id, departments, offices')} FROM ({O.gh_expected()}) x")
 def greenhouse_board(spark, sf_dir):
-    rb = D.v_raw_boards(spark, sf_dir)
+    rb = D.landed_raw_boards(spark, sf_dir)
     return _flat(
         _norm(AD.greenhouse_postings(rb)),
         F.col("metadata.greenhouseId").alias("greenhouse_id"),
@@ -202,7 +202,7 @@ def greenhouse_board(spark, sf_dir):
 
 @query("lever_board", _BOARDS + f"SELECT {_sql_cols(', lever_id, team, commitment, workplace_type')} FROM ({O.lv_expected()}) x")
 def lever_board(spark, sf_dir):
-    rb = D.v_raw_boards(spark, sf_dir)
+    rb = D.landed_raw_boards(spark, sf_dir)
     return _flat(
         _norm(AD.lever_postings(rb)),
         F.col("metadata.leverId").alias("lever_id"),
@@ -227,13 +227,13 @@ def _ashby_meta():
 
 @query("ashby_rest_board", _BOARDS + f"SELECT {_sql_cols(_ASHBY_META_SQL)} FROM ({O.ar_expected()}) x")
 def ashby_rest_board(spark, sf_dir):
-    rb = D.v_raw_boards(spark, sf_dir)
+    rb = D.landed_raw_boards(spark, sf_dir)
     return _flat(_norm(AD.ashby_rest_postings(AD.parse_ashby_rest(rb))), *_ashby_meta())
 
 
 @query("ashby_graphql_board", _BOARDS + f"SELECT {_sql_cols(_ASHBY_META_SQL)} FROM ({O.ag_expected()}) x")
 def ashby_graphql_board(spark, sf_dir):
-    rb = D.v_raw_boards(spark, sf_dir)
+    rb = D.landed_raw_boards(spark, sf_dir)
     return _flat(_norm(AD.ashby_graphql_postings(AD.parse_ashby_graphql(rb))), *_ashby_meta())
 
 
@@ -243,7 +243,7 @@ def ashby_graphql_board(spark, sf_dir):
     f"UNION ALL SELECT {_sql_cols(_ASHBY_META_SQL)} FROM ({O.ag_expected(O.AG_FALLBACK)}) g",
 )
 def ashby_fallback(spark, sf_dir):
-    rb = D.v_raw_boards(spark, sf_dir)
+    rb = D.landed_raw_boards(spark, sf_dir)
     return _flat(_norm(AD.ashby_postings(rb)), *_ashby_meta())
 
 
@@ -273,7 +273,7 @@ LATERAL (SELECT {O.board_status('b.slug_num', 'b.ats', 'b.endpoint')} AS http_st
 
 @query("board_outcomes", _OUTCOME_SQL)
 def board_outcomes(spark, sf_dir):
-    rb = D.v_raw_boards(spark, sf_dir)
+    rb = D.landed_raw_boards(spark, sf_dir)
     return AD.board_outcomes(rb)
 
 
@@ -281,7 +281,7 @@ def board_outcomes(spark, sf_dir):
     ["ats", "company_slug", "board_part", "posting_pos", "id", "company", "title", "department", "location",
      "location_type", "salary_min", "salary_max", "salary_currency", "description", "url", "posted_at_raw"]) + " FROM ep")
 def normalize_all(spark, sf_dir):
-    rb = D.v_raw_boards(spark, sf_dir)
+    rb = D.landed_raw_boards(spark, sf_dir)
     return _flat(_norm(AD.all_postings(rb)))
 
 
@@ -428,7 +428,7 @@ _FETCHED = O.with_(*O.BASE, O.expected_postings_cte(), O.resolved_cte(), O.fetch
 
 def _fetch(spark, sf_dir):
     resolved = RT.resolve_requests(D.v_requests(spark, sf_dir), D.v_registry(spark, sf_dir))
-    rb = D.v_raw_boards(spark, sf_dir)
+    rb = D.landed_raw_boards(spark, sf_dir)
     res = RT.fetch_jobs_batch(
         resolved, rb, title_filter=FETCH_TITLE, posted_within_days=FETCH_DAYS, location_excludes=FETCH_EXCLUDE,
         as_of=D.AS_OF, seen_at=D.AS_OF,
@@ -502,7 +502,7 @@ def sector_sweep(spark, sf_dir):
         F.lit(None).cast("string").alias("ats"),
     )
     resolved = RT.resolve_requests(req, reg)
-    res = RT.fetch_jobs_batch(resolved, D.v_raw_boards(spark, sf_dir), filter=SWEEP_TOPIC, limit=SWEEP_LIMIT, seen_at=D.AS_OF)
+    res = RT.fetch_jobs_batch(resolved, D.landed_raw_boards(spark, sf_dir), filter=SWEEP_TOPIC, limit=SWEEP_LIMIT, seen_at=D.AS_OF)
     return res.select("request_id", "company_slug", "ats", "board_part", "posting_pos", "title")
 
 
@@ -532,7 +532,7 @@ GROUP BY request_id, company, slug"""
 
 @query("detect_ats", _DETECT)
 def detect_ats(spark, sf_dir):
-    out = DET.detect_ats(D.v_requests(spark, sf_dir), D.v_raw_boards(spark, sf_dir))
+    out = DET.detect_ats(D.v_requests(spark, sf_dir), D.landed_raw_boards(spark, sf_dir))
     return out.select("request_id", "company", "slug", "n_found", "status", "data", "note",
                       F.array_join("found", ",").alias("found_csv"))
 

@@ -51,24 +51,34 @@ def _board_rows(raw_boards: DataFrame, ats: str, endpoint: str) -> DataFrame:
     return raw_boards.where((F.col("ats") == ats) & (F.col("endpoint") == endpoint))
 
 
-def _parse_object_body(body: Column, ddl: str) -> tuple[Column, Column, Column]:
-    """from_json of an object-shaped body -> (parsed, corrupt, valid_non_object).
+def _parse_once(b: DataFrame, parsed: Column) -> DataFrame:
+    """Attach ``_p`` = parsed body, evaluated once per row.
 
-    valid_non_object: the body is JSON but not an object (array, number...),
-    which JavaScript reads as an object without the expected keys; 'null'
-    is excluded because property access on null throws.
+    Going through a one-element ``explode`` keeps the optimiser from
+    rewriting every later field access into a separate (pruned) from_json,
+    which would parse each body once per field."""
+    return b.select("*", F.explode(F.array(parsed)).alias("_p"))
+
+
+def _parse_object_body(b: DataFrame, ddl: str) -> DataFrame:
+    """from_json of an object-shaped body -> ``_p`` plus ``_corrupt``, ``_other``.
+
+    _other: the body is JSON but not an object (array, number...), which
+    JavaScript reads as an object without the expected keys; 'null' is
+    excluded because property access on null throws.  Only evaluated for
+    corrupt rows.
     """
-    parsed = F.from_json(body, f"{ddl}, {CORRUPT} STRING", {"columnNameOfCorruptRecord": CORRUPT})
-    corrupt = parsed.isNull() | parsed[CORRUPT].isNotNull()
-    valid_non_object = F.try_parse_json(body).isNotNull() & (F.trim(body) != "null")
-    return parsed, corrupt, valid_non_object
+    parsed = F.from_json(F.col("body"), f"{ddl}, {CORRUPT} STRING", {"columnNameOfCorruptRecord": CORRUPT})
+    b = _parse_once(b, parsed)
+    corrupt = F.col("_p").isNull() | F.col(f"_p.{CORRUPT}").isNotNull()
+    other = F.try_parse_json(F.col("body")).isNotNull() & (F.trim(F.col("body")) != "null")
+    return b.select("*", corrupt.alias("_corrupt"), (~corrupt | F.when(corrupt, other)).alias("_body_ok"))
 
 
 def parse_greenhouse(raw_boards: DataFrame, keep: tuple = ()) -> DataFrame:
     b = _board_rows(raw_boards, "greenhouse", "board")
-    parsed, corrupt, other = _parse_object_body(F.col("body"), GREENHOUSE_DDL)
-    b = b.withColumn("_p", parsed).withColumn("_corrupt", corrupt)
-    body_ok = ~F.col("_corrupt") | F.when(F.col("_corrupt"), other)
+    b = _parse_object_body(b, GREENHOUSE_DDL)
+    body_ok = F.col("_body_ok")
     outcome = F.coalesce(status_outcome(F.col("http_status")), F.when(body_ok, F.lit("ok")).otherwise(F.lit("error")))
     return b.select(
         *_BOARD_KEYS,
@@ -83,7 +93,7 @@ def parse_lever(raw_boards: DataFrame, keep: tuple = ()) -> DataFrame:
     b = _board_rows(raw_boards, "lever", "board")
     is_array = F.col("body").rlike(r"^\s*\[")
     arr = F.from_json(F.col("body"), LEVER_DDL)
-    b = b.withColumn("_is_array", is_array).withColumn("_arr", F.when(F.col("_is_array"), arr))
+    b = b.select("*", F.explode(F.array(F.when(is_array, arr))).alias("_arr"), is_array.alias("_is_array"))
     # a non-array JSON body is a valid, empty board; a broken body is an error
     body_ok = F.when(F.col("_is_array"), F.col("_arr").isNotNull()).otherwise(
         F.try_parse_json(F.col("body")).isNotNull()
@@ -100,9 +110,8 @@ def parse_lever(raw_boards: DataFrame, keep: tuple = ()) -> DataFrame:
 
 def parse_ashby_rest(raw_boards: DataFrame, keep: tuple = ()) -> DataFrame:
     b = _board_rows(raw_boards, "ashby", "rest")
-    parsed, corrupt, other = _parse_object_body(F.col("body"), ASHBY_REST_DDL)
-    b = b.withColumn("_p", parsed).withColumn("_corrupt", corrupt)
-    body_ok = ~F.col("_corrupt") | F.when(F.col("_corrupt"), other)
+    b = _parse_object_body(b, ASHBY_REST_DDL)
+    body_ok = F.col("_body_ok")
     outcome = F.coalesce(status_outcome(F.col("http_status")), F.when(body_ok, F.lit("ok")).otherwise(F.lit("error")))
     return b.select(
         *_BOARD_KEYS,
@@ -115,9 +124,8 @@ def parse_ashby_rest(raw_boards: DataFrame, keep: tuple = ()) -> DataFrame:
 
 def parse_ashby_graphql(raw_boards: DataFrame, keep: tuple = ()) -> DataFrame:
     b = _board_rows(raw_boards, "ashby", "graphql")
-    parsed, corrupt, other = _parse_object_body(F.col("body"), ASHBY_GRAPHQL_DDL)
-    b = b.withColumn("_p", parsed).withColumn("_corrupt", corrupt)
-    body_ok = ~F.col("_corrupt") | F.when(F.col("_corrupt"), other)
+    b = _parse_object_body(b, ASHBY_GRAPHQL_DDL)
+    body_ok = F.col("_body_ok")
     # every non-2xx GraphQL answer is an empty board, not an error
     outcome = F.coalesce(
         status_outcome(F.col("http_status"), non_ok_is_empty=True),

@@ -76,13 +76,29 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def read_text_table(spark: SparkSession, sf_dir: str, name: str, cols) -> DataFrame:
+    """Scan for CPU-heavy per-row text work: when the scan yields fewer
+    splits than the cluster has cores (a small single-row-group file), the
+    rows are dealt round-robin over the cores first.  Large inputs already
+    scan as >= cores splits and are left as they are (no shuffle)."""
+    df = read_table(spark, sf_dir, name).select(*cols)
+    return spread(df)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def _ats_name(ord_col: Column) -> Column:
     return _pick(ATS_NAMES, ord_col)
 
 
 def v_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One pre-normalised posting per document (flat, no JSON)."""
-    d = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    d = read_text_table(spark, sf_dir, "documents", ["doc_id", "text", "source"])
     doc = F.col("doc_id")
     slug_num = F.substring("source", 4, 1 << 20).cast("int")
     a = F.lit(50000) + doc * 10
@@ -234,6 +250,20 @@ def _land(grouped: DataFrame, endpoint: str, body: Column) -> DataFrame:
     )
 
 
+FIXTURE_VERSION = "boards-v1"
+
+
+def landed_raw_boards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The derived boards landed once per session as a parquet table
+    partitioned by platform under the shared checkpoint folder (the
+    production shape of ``raw_boards``: a landed, partition-pruned table)."""
+    from .landing import landed_table
+
+    return landed_table(spark, "raw_boards", [sf_dir, FIXTURE_VERSION], lambda: v_raw_boards(spark, sf_dir),
+                        partition_by=["ats"], inputs=[f"{sf_dir.rstrip('/')}/documents.parquet"],
+                        distribute_by=["slug", "part"])
+
+
 def v_raw_boards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed boards (``RAW_BOARDS_DDL``) built with to_json from board_postings,
     plus one HEAD-probe row per (slug, platform).  One body per
