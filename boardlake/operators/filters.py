@@ -188,6 +188,7 @@ def apply_filters(
     as_of=None,
     partition_by=None,
     order_cols=ORDER_COLS,
+    rank_col: str | None = None,
 ) -> DataFrame:
     """All filters AND-ed in order title -> topic -> date -> include ->
     exclude (one Filter; Spark evaluates the conjuncts left to right), then
@@ -213,5 +214,5 @@ def apply_filters(
     if n is None:
         return out
     if partition_by:
-        return first_n_per(out, n, partition_by, order_cols)
+        return first_n_per(out, n, partition_by, order_cols, rank_col)
     return first_n(out, n, order_cols)

@@ -91,12 +91,16 @@ def fetch_jobs_batch(
     *,
     as_of=None,
     seen_at=None,
+    rank_col: str | None = None,
 ) -> DataFrame:
-    """Filtered postings per request; the limit applies per request."""
+    """Filtered postings per request; the limit applies per request.
+
+    ``rank_col`` keeps each posting's rank within its request (1-based, in
+    source order) so later per-request caps need no second shuffle."""
     postings = fetch_postings(resolved, raw_boards, seen_at)
     return apply_filters(
         postings, title_filter, filter, posted_within_days, location_includes, location_excludes, limit,
-        as_of=as_of, partition_by=["request_id"],
+        as_of=as_of, partition_by=["request_id"], rank_col=rank_col,
     )
 
 

@@ -54,8 +54,11 @@ def preview_lines(results: DataFrame) -> DataFrame:
     )
 
 
-def preview(results: DataFrame, partition_by=("request_id",)) -> DataFrame:
-    """At most 20 preview rows per request, in source order."""
+def preview(results: DataFrame, partition_by=("request_id",), rank_col: str | None = None) -> DataFrame:
+    """At most 20 preview rows per request, in source order.  When the
+    results carry their per-request rank, it is reused (no new shuffle)."""
+    if rank_col and rank_col in results.columns:
+        return preview_lines(results.where(F.col(rank_col) <= PREVIEW_ROWS))
     return first_n_per(preview_lines(results), PREVIEW_ROWS, list(partition_by))
 
 

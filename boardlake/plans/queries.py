@@ -421,17 +421,46 @@ def route_modes(spark, sf_dir):
     return r.select("request_id", "slug", "mode", "route_ats", "registry_ats")
 
 
+# ---------------------------------------------------------------- J2 + U1 per routing mode
+_ROUTE_COLS = "request_id, mode, ats, company_slug, board_part, posting_pos, id, title"
+_ROUTED_ALL = O.with_(*O.BASE, O.expected_postings_cte(), O.resolved_cte(), O.fetched_cte("true", None))
+
+
+def _route_mode(spark, sf_dir, mode):
+    resolved = RT.resolve_requests(D.v_requests(spark, sf_dir), D.v_registry(spark, sf_dir))
+    postings = RT.fetch_postings(resolved.where(F.col("mode") == mode), D.landed_raw_boards(spark, sf_dir), seen_at=D.AS_OF)
+    return postings.select("request_id", "mode", "ats", "company_slug", "board_part", "posting_pos", "id", "title")
+
+
+@query("route_known", _ROUTED_ALL + f"SELECT {_ROUTE_COLS} FROM fetched WHERE mode = 'registry'")
+def route_known(spark, sf_dir):
+    """Registry hits: only the registry's platform is read."""
+    return _route_mode(spark, sf_dir, "registry")
+
+
+@query("route_explicit", _ROUTED_ALL + f"SELECT {_ROUTE_COLS} FROM fetched WHERE mode = 'explicit'")
+def route_explicit(spark, sf_dir):
+    """Explicit platform: read even when the registry names another."""
+    return _route_mode(spark, sf_dir, "explicit")
+
+
+@query("route_discovery", _ROUTED_ALL + f"SELECT {_ROUTE_COLS} FROM fetched WHERE mode = 'discovery'")
+def route_discovery(spark, sf_dir):
+    """Unknown companies: every platform is read and the results unioned."""
+    return _route_mode(spark, sf_dir, "discovery")
+
+
 # ---------------------------------------------------------------- E1, A2, J5, P18, J4
 _FETCH_FILTER = f"{O.rx('title', FETCH_TITLE)} AND {O.recency(FETCH_DAYS)} AND NOT {O.loc_any(FETCH_EXCLUDE)}"
 _FETCHED = O.with_(*O.BASE, O.expected_postings_cte(), O.resolved_cte(), O.fetched_cte(_FETCH_FILTER, FL.DEFAULT_LIMIT))
 
 
-def _fetch(spark, sf_dir):
+def _fetch(spark, sf_dir, rank_col=None):
     resolved = RT.resolve_requests(D.v_requests(spark, sf_dir), D.v_registry(spark, sf_dir))
     rb = D.landed_raw_boards(spark, sf_dir)
     res = RT.fetch_jobs_batch(
         resolved, rb, title_filter=FETCH_TITLE, posted_within_days=FETCH_DAYS, location_excludes=FETCH_EXCLUDE,
-        as_of=D.AS_OF, seen_at=D.AS_OF,
+        as_of=D.AS_OF, seen_at=D.AS_OF, rank_col=rank_col,
     )
     return resolved, res
 
@@ -475,8 +504,8 @@ _TEASER = "CASE WHEN description <> '' THEN replace(substr(description, 1, 120),
     "FROM fetched WHERE rn <= 20",
 )
 def preview(spark, sf_dir):
-    _, res = _fetch(spark, sf_dir)
-    return SM.preview(res).select("request_id", "board_part", "posting_pos", "heading", "url", "teaser")
+    _, res = _fetch(spark, sf_dir, rank_col="rank")
+    return SM.preview(res, rank_col="rank").select("request_id", "board_part", "posting_pos", "heading", "url", "teaser")
 
 
 _SWEEP = O.with_(

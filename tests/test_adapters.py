@@ -137,3 +137,11 @@ def test_multi_part_board_keeps_order(spark):
 def test_unknown_adapter():
     with pytest.raises(ValueError):
         AD.adapter("workday")
+
+
+def test_same_title_two_cities_same_id_no_dedup(spark):  # T14
+    body = {"name": "Co", "jobs": [{"id": 1, "title": "Engineer", "location": {"name": "Paris"}},
+                                   {"id": 2, "title": "Engineer", "location": {"name": "Oslo"}}]}
+    out = normalize(AD.greenhouse_postings(boards(spark, [row("greenhouse", "co", "board", 200, body)]))).collect()
+    assert len(out) == 2 and out[0]["id"] == out[1]["id"]
+    assert {r["location"] for r in out} == {"Paris", "Oslo"}
