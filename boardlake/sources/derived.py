@@ -253,6 +253,17 @@ def _land(grouped: DataFrame, endpoint: str, body: Column) -> DataFrame:
 FIXTURE_VERSION = "boards-v1"
 
 
+def _fixture_code():
+    import os
+
+    from ..functions import text as _text
+
+    return (os.path.abspath(__file__), os.path.abspath(_text.__file__))
+
+
+_FIXTURE_CODE = _fixture_code()
+
+
 def landed_raw_boards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The derived boards landed once per session as a parquet table
     partitioned by platform under the shared checkpoint folder (the
@@ -261,7 +272,7 @@ def landed_raw_boards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return landed_table(spark, "raw_boards", [sf_dir, FIXTURE_VERSION], lambda: v_raw_boards(spark, sf_dir),
                         partition_by=["ats"], inputs=[f"{sf_dir.rstrip('/')}/documents.parquet"],
-                        distribute_by=["slug", "part"])
+                        distribute_by=["slug", "part"], code_files=_FIXTURE_CODE)
 
 
 def v_raw_boards(spark: SparkSession, sf_dir: str) -> DataFrame:
