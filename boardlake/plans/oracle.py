@@ -247,7 +247,7 @@ def _finish(ats: str, ats_ord: int, extra: str = "") -> str:
     )
 
 
-def gh_expected(where: str = GH_OK) -> str:
+def gh_expected(where: str = GH_OK, raw_cols: bool = False) -> str:
     esc = "replace(replace(replace('<p>' || description || '</p>', '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
     inner = f"""
       SELECT *, {salary_text_cols('desc_handed')} FROM (
@@ -259,6 +259,8 @@ def gh_expected(where: str = GH_OK) -> str:
         FROM bp WHERE {where}) g"""
     extra = (", CAST(doc_id AS BIGINT) AS greenhouse_id, CAST(doc_id + 1000000 AS BIGINT) AS internal_job_id, "
              "coalesce(department, '') AS departments, coalesce(location, '') AS offices")
+    if raw_cols:
+        extra += ", department AS raw_department, location AS raw_location"
     return _finish("greenhouse", 0, extra) + f" FROM ({inner}) x"
 
 

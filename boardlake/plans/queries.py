@@ -285,6 +285,45 @@ def normalize_all(spark, sf_dir):
     return _flat(_norm(AD.all_postings(rb)))
 
 
+# ---------------------------------------------------------------- S11 JSON records
+def _json_sql(expected_sql: str, meta: str) -> str:
+    rec = (
+        "to_json({'id': id, 'company': company, 'companySlug': company_slug, 'ats': ats, 'title': title, "
+        "'department': department, 'location': location, 'locationType': location_type, "
+        "'salary': CASE WHEN salary_currency IS NULL THEN NULL ELSE "
+        "{'min': salary_min, 'max': salary_max, 'currency': salary_currency} END, "
+        "'description': description, 'url': url, 'postedAt': posted_at_raw, "
+        f"'firstSeen': '{_SEEN_ISO}', 'lastSeen': '{_SEEN_ISO}', 'status': 'open', 'metadata': {meta}}})"
+    )
+    return f"SELECT ats, company_slug, board_part, posting_pos, {rec} AS json FROM ({expected_sql}) x"
+
+
+_SEEN_ISO = "2024-01-31T00:00:00.000Z"
+# metadata keys in the order a VARIANT object renders them (sorted)
+_GH_META = ("{'departments': CASE WHEN raw_department IS NULL THEN []::VARCHAR[] ELSE [raw_department] END, "
+            "'greenhouseId': greenhouse_id, 'internal_job_id': internal_job_id, "
+            "'offices': CASE WHEN raw_location IS NULL THEN []::VARCHAR[] ELSE [raw_location] END}")
+_LV_META = "{'commitment': commitment, 'leverId': lever_id, 'team': team, 'workplaceType': workplace_type}"
+_AR_META = "{'ashbyId': ashby_id, 'employmentType': employment_type, 'isRemote': is_remote, 'team': team}"
+_AG_META = "{'ashbyId': ashby_id, 'compensationSummary': compensation_summary, 'employmentType': employment_type}"
+
+_JSON_SQL = _BOARDS + " UNION ALL ".join([
+    _json_sql(O.gh_expected(raw_cols=True), _GH_META),
+    _json_sql(O.lv_expected(), _LV_META),
+    _json_sql(O.ar_expected(), _AR_META),
+    _json_sql(O.ag_expected(O.AG_FALLBACK), _AG_META),
+])
+
+
+@query("posting_json", _JSON_SQL)
+def posting_json(spark, sf_dir):
+    """Full normalised records as JSON text (the JSON sink's rows)."""
+    from ..sources.sinks import posting_record
+
+    rb = D.landed_raw_boards(spark, sf_dir)
+    return posting_record(_norm(AD.all_postings(rb)), keep=("ats", "company_slug", "board_part", "posting_pos"))
+
+
 # ---------------------------------------------------------------- F1-F7, L1, W1
 @query("filter_title", _VP + f"SELECT doc_id, title FROM v_postings WHERE {O.rx('title', TITLE_PATTERN)}")
 def filter_title(spark, sf_dir):

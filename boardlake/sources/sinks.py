@@ -39,9 +39,9 @@ def _metadata_json(meta: Column) -> Column:
     return F.parse_json(F.coalesce(F.to_json(meta), F.lit("{}")))
 
 
-def posting_record(df: DataFrame) -> DataFrame:
+def posting_record(df: DataFrame, keep=("request_id",)) -> DataFrame:
     """One JSON document per posting with the record's keys.  Null salary
-    and postedAt are kept as JSON null."""
+    and postedAt are kept as JSON null; ``keep`` columns ride along."""
     cols = []
     for key, col in RECORD_KEYS:
         c = F.col(col)
@@ -52,7 +52,7 @@ def posting_record(df: DataFrame) -> DataFrame:
         cols.append(c.alias(key))
     rec = F.struct(*cols)
     return df.select(
-        *[c for c in ("request_id",) if c in df.columns],
+        *[c for c in keep if c in df.columns],
         F.to_json(rec, {"ignoreNullFields": "false"}).alias("json"),
     )
 
