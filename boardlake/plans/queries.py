@@ -430,6 +430,19 @@ def registry_search_sector(spark, sf_dir):
     return RG.search_registry_tool(D.v_registry(spark, sf_dir), TOOL_QUERY, TOOL_SECTOR).select("ats", "slug", "name", "sector")
 
 
+@query(
+    "registry_search_summary",
+    _REG + f"SELECT CAST(count(*) AS BIGINT) AS count, {O.q(TOOL_QUERY)} AS query, {O.q(TOOL_SECTOR)} AS sector "
+    f"FROM v_registry WHERE {_F9}",
+)
+def registry_search_summary(spark, sf_dir):
+    """The search tool's metadata row: match count plus the echoed arguments."""
+    from . import api
+
+    _, summary = api.search_registry_tool(D.v_registry(spark, sf_dir), TOOL_QUERY, TOOL_SECTOR)
+    return summary
+
+
 @query(
     "registry_counts",
     _REG + "SELECT p.ats, p.ats_ord, CAST(coalesce(c.n, 0) AS BIGINT) AS n_companies FROM "
