@@ -53,7 +53,8 @@ def registry_counts(registry: DataFrame) -> DataFrame:
     """Companies per platform; a platform with none still appears with 0."""
     spark = registry.sparkSession
     platforms = spark.createDataFrame([(n, i) for i, n in enumerate(ATS_NAMES)], "ats string, ats_ord int")
-    counts = registry.groupBy("ats").agg(F.count(F.lit(1)).alias("n_companies"))
+    # at most one row per known platform, so the broadcast is bounded by 3
+    counts = registry.where(F.col("ats").isin(*ATS_NAMES)).groupBy("ats").agg(F.count(F.lit(1)).alias("n_companies"))
     return platforms.join(F.broadcast(counts), "ats", "left").select(
         "ats", "ats_ord", F.coalesce("n_companies", F.lit(0)).cast("bigint").alias("n_companies")
     )

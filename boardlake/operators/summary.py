@@ -18,14 +18,16 @@ def fetch_summary(resolved: DataFrame, results: DataFrame) -> DataFrame:
     registry_hit and the registry's platform (NULL in discovery even when
     boards were found).  Counts are pre-aggregated before the join."""
     counts = results.groupBy("request_id").agg(F.count(F.lit(1)).alias("_n"))
+    n = F.coalesce("_n", F.lit(0)).cast("bigint")
     return resolved.join(counts, "request_id", "left").select(
         "request_id",
         "company",
         "slug",
         "mode",
-        F.coalesce("_n", F.lit(0)).cast("bigint").alias("count"),
+        n.alias("count"),
         F.col("registry_ats").isNotNull().alias("registry_hit"),
         F.col("registry_ats").alias("ats"),
+        more_line(n).alias("more"),
     )
 
 

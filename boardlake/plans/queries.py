@@ -533,7 +533,9 @@ def fetch_jobs(spark, sf_dir):
 @query(
     "fetch_summary",
     _FETCHED + "SELECT r.request_id, r.company, r.slug, r.mode, CAST(coalesce(c.n, 0) AS BIGINT) AS count, "
-    "r.registry_ats IS NOT NULL AS registry_hit, r.registry_ats AS ats "
+    "r.registry_ats IS NOT NULL AS registry_hit, r.registry_ats AS ats, "
+    "CASE WHEN coalesce(c.n, 0) > 20 THEN '... and ' || CAST(coalesce(c.n, 0) - 20 AS VARCHAR) "
+    "|| ' more. Use --json for full output.' END AS more "
     "FROM routed r LEFT JOIN (SELECT request_id, count(*) AS n FROM fetched GROUP BY request_id) c ON c.request_id = r.request_id",
 )
 def fetch_summary(spark, sf_dir):
@@ -541,6 +543,24 @@ def fetch_summary(spark, sf_dir):
     return SM.fetch_summary(resolved, res)
 
 
+_UNFILTERED = O.with_(*O.BASE, O.expected_postings_cte(), O.resolved_cte(), O.fetched_cte("true", FL.DEFAULT_LIMIT))
+
+
+@query(
+    "preview_more",
+    _UNFILTERED + "SELECT r.request_id, CAST(coalesce(c.n, 0) AS BIGINT) AS count, "
+    "CASE WHEN coalesce(c.n, 0) > 20 THEN '... and ' || CAST(coalesce(c.n, 0) - 20 AS VARCHAR) "
+    "|| ' more. Use --json for full output.' END AS more "
+    "FROM routed r LEFT JOIN (SELECT request_id, count(*) AS n FROM fetched GROUP BY request_id) c ON c.request_id = r.request_id",
+)
+def preview_more(spark, sf_dir):
+    """Unfiltered fetch with the default limit: per-request count and the
+    '... and K more' line printed after a 20-row preview."""
+    resolved = RT.resolve_requests(D.v_requests(spark, sf_dir), D.v_registry(spark, sf_dir))
+    res = RT.fetch_jobs_batch(resolved, D.landed_raw_boards(spark, sf_dir), seen_at=D.AS_OF)
+    return SM.fetch_summary(resolved, res).select("request_id", "count", "more")
+
+
 _HEADING = (
     "title || CASE WHEN department <> '' THEN ' [' || department || ']' ELSE '' END"
     " || CASE WHEN location <> '' THEN ' | ' || location ELSE '' END"

@@ -16,7 +16,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import slugify
 from .schemas import ATS_NAMES
 
 AS_OF = "2024-01-31T00:00:00Z"
@@ -406,7 +405,3 @@ def v_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("string").alias("ats"),
     )
     return known.unionByName(sup)
-
-
-def slug_of(c) -> Column:
-    return slugify(c)

@@ -1,9 +1,7 @@
 """Platform adapters S3-S7 and the normaliser P1 over landed boards."""
 
-import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from boardlake.operators.normalize import normalize
 from boardlake.sources import adapters as AD

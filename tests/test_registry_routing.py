@@ -5,7 +5,6 @@ import json
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from boardlake.operators import registry_ops as RG
 from boardlake.plans import api

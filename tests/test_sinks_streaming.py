@@ -7,7 +7,7 @@ from boardlake.operators.normalize import normalize
 from boardlake.sources import adapters as AD
 from boardlake.sources.sinks import posting_record, write_registry_export
 from boardlake.streaming.ingest import run_ingest
-from boards_fixture import GH_BOARD, LEVER_BOARD, RAW_DDL, row
+from boards_fixture import GH_BOARD, RAW_DDL, row
 
 
 def test_posting_record_keys(spark):
