@@ -178,8 +178,8 @@ def first_n_per(df: DataFrame, n: int, partition_cols, order_cols=ORDER_COLS, ra
 
 def apply_filters(
     df: DataFrame,
-    title_filter_: str | None = None,
-    filter_: str | None = None,
+    title_filter: str | None = None,  # noqa: F811 - the reference's argument names
+    filter: str | None = None,  # noqa: A002
     posted_within_days=None,
     location_includes=None,
     location_excludes=None,
@@ -195,12 +195,12 @@ def apply_filters(
     the limit (per ``partition_by`` key when given)."""
     spark = _spark_of(df)
     preds = []
-    if title_filter_:
-        preds.append(regex_match("title", title_filter_, spark))
-    if filter_:
+    if title_filter:
+        preds.append(regex_match("title", title_filter, spark))
+    if filter:
         preds.append(
-            regex_match("title", filter_, spark) | regex_match("department", filter_, spark)
-            | regex_match("description", filter_, spark)
+            regex_match("title", filter, spark) | regex_match("department", filter, spark)
+            | regex_match("description", filter, spark)
         )
     for p in (
         recency_predicate(posted_within_days, as_of),

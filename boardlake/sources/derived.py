@@ -85,10 +85,12 @@ def read_text_table(spark: SparkSession, sf_dir: str, name: str, cols) -> DataFr
 
 
 def spread(df: DataFrame) -> DataFrame:
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. a remote session): leave as is
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def _ats_name(ord_col: Column) -> Column:

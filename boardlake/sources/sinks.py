@@ -73,3 +73,21 @@ def write_registry_export(registry: DataFrame, path: str, mode: str = "overwrite
         .partitionBy("ats")
         .json(path)
     )
+
+
+def write_postings_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Materialise normalised postings once ("silver"): parquet partitioned
+    by platform, rows clustered by company and source order within files.
+    Filters then run on stored columns, so the HTML cleaning is never
+    re-evaluated inside a filter."""
+    (
+        df.repartition("ats", "company_slug")
+        .sortWithinPartitions("ats", "company_slug", "board_part", "posting_pos")
+        .write.mode(mode)
+        .partitionBy("ats")
+        .parquet(path)
+    )
+
+
+def read_postings_table(spark, path: str) -> DataFrame:
+    return spark.read.parquet(path)

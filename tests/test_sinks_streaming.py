@@ -44,3 +44,17 @@ def test_streaming_ingest_available_now(spark, tmpdir_path):
     q = run_ingest(spark, landing + "/f1", out, ckpt, seen_at="2025-06-01T00:00:00Z")
     q.awaitTermination(120)
     assert spark.read.parquet(out).count() == 2
+
+
+def test_silver_table_round_trip_and_filter_pushdown(spark, tmpdir_path):
+    from boardlake.operators.filters import apply_filters
+    from boardlake.sources.sinks import read_postings_table, write_postings_table
+
+    df = normalize(AD.greenhouse_postings(spark.createDataFrame([row("greenhouse", "nw", "board", 200, GH_BOARD)], RAW_DDL)))
+    path = os.path.join(tmpdir_path, "silver")
+    write_postings_table(df, path)
+    silver = read_postings_table(spark, path)
+    out = apply_filters(silver.where("ats = 'greenhouse'"), title_filter="engineer", limit=None)
+    assert [r["title"] for r in out.collect()] == ["Senior Data Engineer"]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ats" in plan and "regexp_replace" not in plan
