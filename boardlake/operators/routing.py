@@ -44,8 +44,7 @@ def resolve_requests(requests: DataFrame, registry: DataFrame, max_broadcast_row
         "company",
         (F.col("ats") if "ats" in cols else F.lit(None).cast("string")).alias("ats_requested"),
     ).withColumn("slug", slugify("company"))
-    lookup = bounded_broadcast(registry, max_broadcast_rows)
-    req = find_ats(req, lookup)
+    req = find_ats(req, registry, max_broadcast_rows=max_broadcast_rows)
     known = F.col("ats_requested").isin(*ATS_NAMES)
     mode = (
         F.when(F.coalesce(F.col("company"), F.lit("")) == "", F.lit("invalid"))
@@ -58,10 +57,14 @@ def resolve_requests(requests: DataFrame, registry: DataFrame, max_broadcast_row
     return req.withColumn("mode", mode).withColumn("route_ats", route)
 
 
-def route_boards(resolved: DataFrame, raw_boards: DataFrame) -> DataFrame:
+def route_boards(resolved: DataFrame, raw_boards: DataFrame, max_broadcast_rows: int = 1_000_000) -> DataFrame:
     """Board rows each request reads: equi-join on slug plus the platform
-    predicate (explicit / registry platform, or any in discovery)."""
+    predicate (explicit / registry platform, or any in discovery).  The
+    request side (a few small columns per request) is broadcast when it
+    provably fits; otherwise it is a shuffle join on slug, where AQE splits a
+    hot slug's board parts over several tasks."""
     r = resolved.where(F.col("mode") != "invalid").select("request_id", "mode", F.col("slug").alias("_r_slug"), "route_ats")
+    r = bounded_broadcast(r, max_broadcast_rows)
     boards = raw_boards.where(F.col("endpoint") != "probe")
     joined = boards.join(
         r,
