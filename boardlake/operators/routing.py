@@ -35,7 +35,9 @@ def requests_from_list(spark: SparkSession, companies) -> DataFrame:
     return spark.createDataFrame(rows, "request_id long, company string, ats string")
 
 
-def resolve_requests(requests: DataFrame, registry: DataFrame, max_broadcast_rows: int = 1_000_000) -> DataFrame:
+def resolve_requests(
+    requests: DataFrame, registry: DataFrame, max_broadcast_rows: int = 1_000_000, materialise: bool = True
+) -> DataFrame:
     """Adds slug, registry_ats, mode ('explicit' | 'registry' | 'discovery' |
     'invalid') and route_ats (NULL = all platforms)."""
     cols = set(requests.columns)
@@ -54,7 +56,16 @@ def resolve_requests(requests: DataFrame, registry: DataFrame, max_broadcast_row
         .otherwise(F.lit("discovery"))
     )
     route = F.when(mode == "explicit", F.col("ats_requested")).when(mode == "registry", F.col("registry_ats"))
-    return req.withColumn("mode", mode).withColumn("route_ats", route)
+    resolved = req.withColumn("mode", mode).withColumn("route_ats", route)
+    if not materialise:
+        return resolved
+    # One small row per request, read by every platform branch, the size
+    # check and the summary: materialise it once in the shared checkpoint
+    # folder (this also cuts its lineage).
+    from ..sources.landing import shared_dir
+
+    shared_dir(requests.sparkSession)
+    return resolved.checkpoint(eager=True)
 
 
 def route_boards(resolved: DataFrame, raw_boards: DataFrame, max_broadcast_rows: int = 1_000_000) -> DataFrame:
