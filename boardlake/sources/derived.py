@@ -224,10 +224,11 @@ def _compensation(doc: Column, a: Column, b: Column) -> Column:
     )
 
 
-def _jobs_array(job: Column) -> Column:
+def _jobs_array(job: Column, when: Column | None = None) -> Column:
     """collect_list in doc_id order (array_sort on the key only, so the job
-    struct itself need not be orderable)."""
-    arr = F.collect_list(F.struct(F.col("doc_id").alias("k"), job.alias("j")))
+    struct itself need not be orderable); rows failing ``when`` are skipped."""
+    item = F.struct(F.col("doc_id").alias("k"), job.alias("j"))
+    arr = F.collect_list(item if when is None else F.when(when, item))
     return F.transform(
         F.array_sort(arr, lambda l, r: F.when(l["k"] < r["k"], -1).when(l["k"] > r["k"], 1).otherwise(0)),
         lambda x: x["j"],
@@ -237,17 +238,17 @@ def _jobs_array(job: Column) -> Column:
 _KEYS = ["ats", "company_slug", "slug_num", "part"]
 
 
-def _land(grouped: DataFrame, endpoint: str, body: Column) -> DataFrame:
-    ats, n = F.col("ats"), F.col("slug_num")
-    status = board_status(n, ats, F.lit(endpoint))
+def _land(grouped: DataFrame, body: Column) -> DataFrame:
+    ats, n, ep = F.col("ats"), F.col("slug_num"), F.col("endpoint")
+    status = board_status(n, ats, ep)
     return grouped.withColumn("http_status", status).select(
         "ats",
         F.col("company_slug").alias("slug"),
-        F.lit(endpoint).alias("endpoint"),
+        "endpoint",
         F.col("part").cast("int").alias("part"),
         F.col("http_status").cast("int").alias("http_status"),
         F.lit(AS_OF).try_cast("timestamp").alias("fetched_at"),
-        F.coalesce(board_body_override(n, ats, F.lit(endpoint), F.col("http_status")), body).alias("body"),
+        F.coalesce(board_body_override(n, ats, ep, F.col("http_status")), body).alias("body"),
     )
 
 
@@ -344,27 +345,30 @@ def v_raw_boards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(doc % 2 == 0, F.concat(F.lit("USD "), _fmt(a), F.lit(" – "), _fmt(b))).alias("compensationTierSummary"),
     )
 
-    def grouped(ats: str, job: Column) -> DataFrame:
-        return p.where(F.col("ats") == ats).groupBy(*_KEYS).agg(_jobs_array(job).alias("jobs"))
-
-    gh = grouped("greenhouse", gh_job)
-    lv = grouped("lever", lv_job)
-    ar = grouped("ashby", ab_rest_job)
-    ag = grouped("ashby", ab_gql_job)
+    # one aggregation for all platforms: a (platform, slug, part) group is
+    # bounded by PART_WIDTH doc_ids
+    ats = F.col("ats")
+    grouped = p.groupBy(*_KEYS).agg(
+        _jobs_array(gh_job, ats == "greenhouse").alias("gh"),
+        _jobs_array(lv_job, ats == "lever").alias("lv"),
+        _jobs_array(ab_rest_job, ats == "ashby").alias("ar"),
+        _jobs_array(ab_gql_job, ats == "ashby").alias("ag"),
+    )
+    endpoints = F.when(ats == "ashby", F.array(F.lit("rest"), F.lit("graphql"))).otherwise(F.array(F.lit("board")))
+    rows = grouped.select(*_KEYS, F.explode(endpoints).alias("endpoint"), "gh", "lv", "ar", "ag")
+    ep = F.col("endpoint")
     empty_rest = F.col("slug_num") % 9 == 8
-    out = _land(gh, "board", F.to_json(F.struct(name.alias("name"), F.col("jobs").alias("jobs"))))
-    out = out.unionByName(_land(lv, "board", F.to_json(F.col("jobs"))))
-    out = out.unionByName(
-        _land(ar, "rest", F.to_json(F.struct(
+    body = (
+        F.when(ats == "greenhouse", F.to_json(F.struct(name.alias("name"), F.col("gh").alias("jobs"))))
+        .when(ats == "lever", F.to_json(F.col("lv")))
+        .when(ep == "rest", F.to_json(F.struct(
             name.alias("organizationName"),
-            F.when(empty_rest, F.slice(F.col("jobs"), 1, 0)).otherwise(F.col("jobs")).alias("jobs"),
+            F.when(empty_rest, F.slice(F.col("ar"), 1, 0)).otherwise(F.col("ar")).alias("jobs"),
         )))
+        .otherwise(F.to_json(F.struct(F.struct(F.struct(
+            name.alias("title"), F.col("ag").alias("jobPostings")).alias("jobBoard")).alias("data"))))
     )
-    out = out.unionByName(
-        _land(ag, "graphql", F.to_json(F.struct(F.struct(F.struct(
-            name.alias("title"), F.col("jobs").alias("jobPostings")).alias("jobBoard")).alias("data"))))
-    )
-    return out.unionByName(v_probes(spark, sf_dir))
+    return _land(rows, body).unionByName(v_probes(spark, sf_dir))
 
 
 def v_probes(spark: SparkSession, sf_dir: str) -> DataFrame:
