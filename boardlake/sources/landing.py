@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import os
 import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -75,8 +76,29 @@ def landed_table(
         if distribute_by:
             # several files per partition directory, boards hashed over them
             df = df.repartition(spark.sparkContext.defaultParallelism * 2, *distribute_by)
-        writer = df.write.mode("overwrite")
+        # write to a private staging folder, then move it into place: a
+        # concurrent writer of the same table never sees a half-written one
+        staging = f"{path}.staging-{uuid.uuid4().hex}"
+        writer = df.write.mode("errorifexists")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(path)
+        writer.parquet(staging)
+        _publish(spark, staging, path)
     return spark.read.parquet(path)
+
+
+def _publish(spark: SparkSession, staging: str, path: str) -> None:
+    """Rename staging -> path; when another writer got there first, keep
+    theirs (same fingerprint, same content)."""
+    jvm = getattr(spark.sparkContext, "_jvm", None)
+    if jvm is None:
+        try:
+            os.rename(staging, path)
+        except OSError:
+            pass
+        return
+    src = jvm.org.apache.hadoop.fs.Path(staging)
+    fs = src.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    dst = jvm.org.apache.hadoop.fs.Path(path)
+    if fs.exists(dst) or not fs.rename(src, dst):
+        fs.delete(src, True)  # another writer published first: drop our copy
