@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.jscompat import truthy_or
-from ..sources.schemas import ATS_NAMES
+from ..sources.schemas import ATS_NAMES, MSG_QUERY_OR_SECTOR
 
 
 def search_registry(registry: DataFrame, query: str) -> DataFrame:
@@ -23,7 +23,7 @@ def search_registry_tool(registry: DataFrame, query: str | None = None, sector:
     """query and/or sector: the term is query (else sector); a sector, when
     given, must also be contained in the company's sector."""
     if not query and not sector:
-        raise ValueError("Provide query or sector")
+        raise ValueError(MSG_QUERY_OR_SECTOR)
     out = search_registry(registry, query or sector)
     if sector:
         out = out.where(F.contains(F.lower(F.coalesce(F.col("sector"), F.lit(""))), F.lit(sector.lower())))

@@ -20,7 +20,7 @@ from ..operators.normalize import normalize
 from ..sources import adapters as _adapters
 from ..sources.registry import load_registry as _load_registry
 from ..sources.registry import load_registry_ats as _load_registry_ats
-from ..sources.schemas import ATS_NAMES
+from ..sources.schemas import ATS_NAMES, MSG_COMPANY_REQUIRED, MSG_KEYWORD_REQUIRED, MSG_UNKNOWN_ATS
 
 DEFAULT = _filters.DEFAULT
 
@@ -34,13 +34,13 @@ def _requests(spark: SparkSession, company, ats=None) -> DataFrame:
         return company
     if isinstance(company, str):
         if not company:
-            raise ValueError("Company slug required")
+            raise ValueError(MSG_COMPANY_REQUIRED)
         if ats is not None and ats not in ATS_NAMES:
-            raise ValueError(f"Unknown ATS: {ats}. Supported: {', '.join(ATS_NAMES)}")
+            raise ValueError(MSG_UNKNOWN_ATS.format(ats=ats, supported=", ".join(ATS_NAMES)))
         return _routing.requests_from_list(spark, [(company, ats)])
     items = list(company)
     if not items:
-        raise ValueError("Company slug required")
+        raise ValueError(MSG_COMPANY_REQUIRED)
     if ats is not None:
         items = [(c, ats) if isinstance(c, str) else c for c in items]
     return _routing.requests_from_list(spark, items)
@@ -52,13 +52,12 @@ def raise_board_errors(resolved: DataFrame, raw_boards: DataFrame) -> None:
     at most one offending row is fetched."""
     bad = (
         _routing.fetch_outcomes(resolved, raw_boards)
-        .where((F.col("outcome") == "error") & (F.col("mode") != "discovery"))
+        # an Ashby REST failure is not an error of the call: it falls back to GraphQL
+        .where((F.col("outcome") == "error") & (F.col("mode") != "discovery") & (F.col("endpoint") != "rest"))
         .select("ats", "slug", "endpoint", "http_status")
         .limit(1)
         .collect()
     )
-    # an Ashby REST failure is not an error of the call: it falls back to GraphQL
-    bad = [r for r in bad if r["endpoint"] != "rest"]
     if bad:
         r = bad[0]
         raise BoardError(f"{r['ats']} API error for {r['slug']}: {r['http_status']}")
@@ -109,7 +108,7 @@ def fetch_jobs_tool(spark: SparkSession, raw_boards: DataFrame, registry: DataFr
 def search(registry: DataFrame, keyword: str, location=None, ats=None) -> DataFrame:
     """Registry search by keyword (location and ats are accepted, unused)."""
     if not keyword:
-        raise ValueError("Keyword required")
+        raise ValueError(MSG_KEYWORD_REQUIRED)
     return _registry.search_registry(registry, keyword)
 
 

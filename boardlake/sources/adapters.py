@@ -35,6 +35,7 @@ from .schemas import (
     GREENHOUSE_DDL,
     LEVER_DDL,
     METADATA_TYPE,
+    MSG_UNKNOWN_ATS,
     PRE_NORMALISED_COLS,
 )
 
@@ -322,7 +323,7 @@ def adapter(name: str):
     try:
         return ADAPTERS[name]
     except KeyError:
-        raise ValueError(f"Unknown ATS: {name}. Supported: {', '.join(ADAPTERS)}") from None
+        raise ValueError(MSG_UNKNOWN_ATS.format(ats=name, supported=", ".join(ADAPTERS))) from None
 
 
 def all_postings(raw_boards: DataFrame, keep: tuple = ()) -> DataFrame:

@@ -8,6 +8,12 @@ from pyspark.sql import types as T
 ATS_NAMES = ("greenhouse", "lever", "ashby")
 ATS_ORD = {name: i for i, name in enumerate(ATS_NAMES)}
 
+# Argument-check messages.
+MSG_COMPANY_REQUIRED = "Company slug required"
+MSG_UNKNOWN_ATS = "Unknown ATS: {ats}. Supported: {supported}"
+MSG_QUERY_OR_SECTOR = "Provide query or sector"
+MSG_KEYWORD_REQUIRED = "Keyword required"
+
 # One row per landed HTTP response (or part of one, see README).
 #   endpoint: 'board' (greenhouse, lever), 'rest' / 'graphql' (ashby), 'probe' (HEAD)
 #   http_status NULL = transport failure
