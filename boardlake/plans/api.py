@@ -20,7 +20,14 @@ from ..operators.normalize import normalize
 from ..sources import adapters as _adapters
 from ..sources.registry import load_registry as _load_registry
 from ..sources.registry import load_registry_ats as _load_registry_ats
-from ..sources.schemas import ATS_NAMES, MSG_COMPANY_REQUIRED, MSG_KEYWORD_REQUIRED, MSG_UNKNOWN_ATS
+from ..sources.schemas import (
+    ATS_DISPLAY,
+    ATS_NAMES,
+    MSG_BOARD_ERROR,
+    MSG_COMPANY_REQUIRED,
+    MSG_KEYWORD_REQUIRED,
+    MSG_UNKNOWN_ATS,
+)
 
 DEFAULT = _filters.DEFAULT
 
@@ -60,7 +67,8 @@ def raise_board_errors(resolved: DataFrame, raw_boards: DataFrame) -> None:
     )
     if bad:
         r = bad[0]
-        raise BoardError(f"{r['ats']} API error for {r['slug']}: {r['http_status']}")
+        status = r["http_status"] if r["http_status"] is not None else "no response or malformed body"
+        raise BoardError(MSG_BOARD_ERROR.format(platform=ATS_DISPLAY.get(r["ats"], r["ats"]), slug=r["slug"], status=status))
 
 
 def fetch_jobs(

@@ -7,6 +7,8 @@ from pyspark.sql import types as T
 # The supported applicant-tracking systems, in source order.
 ATS_NAMES = ("greenhouse", "lever", "ashby")
 ATS_ORD = {name: i for i, name in enumerate(ATS_NAMES)}
+ATS_DISPLAY = {"greenhouse": "Greenhouse", "lever": "Lever", "ashby": "Ashby"}
+MSG_BOARD_ERROR = "{platform} API error for {slug}: {status}"
 
 # Argument-check messages.
 MSG_COMPANY_REQUIRED = "Company slug required"

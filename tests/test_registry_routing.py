@@ -130,7 +130,7 @@ def test_limit_is_per_company(spark, raw_boards, registry):  # W1
 
 def test_strict_mode_raises_on_failed_registry_board(spark, raw_boards, registry):  # T3
     assert api.fetch_jobs(spark, raw_boards, registry, "kestrel").count() == 0
-    with pytest.raises(api.BoardError):
+    with pytest.raises(api.BoardError, match="Greenhouse API error for kestrel: 500"):
         api.fetch_jobs(spark, raw_boards, registry, "kestrel", strict=True)
 
 
