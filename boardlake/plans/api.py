@@ -113,6 +113,28 @@ def fetch_jobs_tool(spark: SparkSession, raw_boards: DataFrame, registry: DataFr
     return results, _summary.fetch_summary(resolved, results)
 
 
+def sector_sweep(
+    spark: SparkSession,
+    raw_boards: DataFrame,
+    registry: DataFrame,
+    sector: str,
+    query: str | None = None,
+    **filters,
+) -> DataFrame:
+    """Postings of every registered company of a sector in one query: the
+    registry search (query and/or sector) becomes the request table, each
+    company is fetched from its registry platform, filters apply, and the
+    limit applies per company.  ``request_id`` identifies the registry entry."""
+    hits = _registry.search_registry_tool(registry, query, sector)
+    requests = hits.select(
+        (F.col("ats_ord").cast("bigint") * 1_000_000_000 + F.col("ord")).alias("request_id"),
+        F.col("slug").alias("company"),
+        F.lit(None).cast("string").alias("ats"),
+    )
+    resolved = _routing.resolve_requests(requests, registry)
+    return _routing.fetch_jobs_batch(resolved, raw_boards, **filters)
+
+
 def search(registry: DataFrame, keyword: str, location=None, ats=None) -> DataFrame:
     """Registry search by keyword (location and ats are accepted, unused)."""
     if not keyword:

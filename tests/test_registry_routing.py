@@ -155,3 +155,24 @@ def test_preview(spark, raw_boards, registry):  # P18
     assert rows["Senior Data Engineer"]["heading"] == "Senior Data Engineer [Data] | Remote - US | $140,000-$180,000"
     assert rows["Senior Data Engineer"]["teaser"].startswith("Pay: $140,000 - $180,000 & equity - SQL"[:30])
     assert rows[""]["teaser"] is None
+
+
+def test_sector_sweep(spark, raw_boards, registry):  # J4
+    out = api.sector_sweep(spark, raw_boards, registry, "fintech", limit=1)
+    got = [(r["company_slug"], r["ats"]) for r in out.collect()]
+    assert got == [("northwind", "greenhouse")]
+    assert api.sector_sweep(spark, raw_boards, registry, "fintech").count() == 2
+
+
+def test_search_requires_keyword(registry):  # E2
+    with pytest.raises(ValueError):
+        api.search(registry, "")
+    assert [r["slug"] for r in api.search(registry, "acme", location="ignored").collect()] == ["acme"]
+
+
+def test_registry_from_table(spark):
+    from boardlake.sources.registry import registry_from_table
+
+    t = spark.createDataFrame([("lever", "a", "A"), ("ashby", "b", "B")], "ats string, slug string, name string")
+    got = {r["slug"]: (r["ats_ord"], r["sector"]) for r in registry_from_table(t).collect()}
+    assert got == {"a": (1, None), "b": (2, None)}
