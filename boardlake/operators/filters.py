@@ -190,18 +190,17 @@ def apply_filters(
     order_cols=ORDER_COLS,
     rank_col: str | None = None,
 ) -> DataFrame:
-    """All filters AND-ed in order title -> topic -> date -> include ->
-    exclude (one Filter; Spark evaluates the conjuncts left to right), then
-    the limit (per ``partition_by`` key when given)."""
+    """All filters AND-ed, then the limit (per ``partition_by`` key when
+    given).  The result equals applying title -> topic -> date -> include ->
+    exclude in turn; the conjuncts are ordered cheapest first (one Filter,
+    evaluated left to right) so that the topic filter, whose description
+    branch may evaluate the HTML cleaning, only sees rows that passed the
+    others, and within it title and department are tried before the
+    description."""
     spark = _spark_of(df)
     preds = []
     if title_filter:
         preds.append(regex_match("title", title_filter, spark))
-    if filter:
-        preds.append(
-            regex_match("title", filter, spark) | regex_match("department", filter, spark)
-            | regex_match("description", filter, spark)
-        )
     for p in (
         recency_predicate(posted_within_days, as_of),
         location_include_predicate(location_includes),
@@ -209,6 +208,11 @@ def apply_filters(
     ):
         if p is not None:
             preds.append(p)
+    if filter:
+        preds.append(
+            regex_match("title", filter, spark) | regex_match("department", filter, spark)
+            | regex_match("description", filter, spark)
+        )
     out = df.where(reduce(lambda a, b: a & b, preds)) if preds else df
     n = normalise_limit(limit)
     if n is None:
