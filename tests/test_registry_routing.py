@@ -176,3 +176,18 @@ def test_registry_from_table(spark):
     t = spark.createDataFrame([("lever", "a", "A"), ("ashby", "b", "B")], "ats string, slug string, name string")
     got = {r["slug"]: (r["ats_ord"], r["sector"]) for r in registry_from_table(t).collect()}
     assert got == {"a": (1, None), "b": (2, None)}
+
+
+def test_direct_platform_fetch(spark, raw_boards):  # E6
+    gh = api.fetch_greenhouse(spark, raw_boards, ["North Wind", "solo"])
+    assert sorted({r["company_slug"] for r in gh.collect()}) == ["northwind", "solo"]
+    assert {r["ats"] for r in gh.collect()} == {"greenhouse"}
+    assert api.fetch_lever(spark, raw_boards, "acme").count() == 3
+    assert api.fetch_ashby(spark, raw_boards, "glacier").count() == 3
+    assert api.fetch_ashby(spark, raw_boards, "nobody").count() == 0
+
+
+def test_apply_filters_wrapper(spark, raw_boards, registry):  # E5
+    postings = api.fetch_jobs(spark, raw_boards, registry, "acme", limit=None)
+    out = api.apply_filters(postings, title_filter="analyst|lead", location_excludes=["dublin"], limit=5)
+    assert [r["title"] for r in out.collect()] == ["Analyst"]
