@@ -274,7 +274,7 @@ def landed_raw_boards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return landed_table(spark, "raw_boards", [sf_dir, FIXTURE_VERSION], lambda: v_raw_boards(spark, sf_dir),
                         partition_by=["ats"], inputs=[f"{sf_dir.rstrip('/')}/documents.parquet"],
-                        distribute_by=["slug", "part"], code_files=_FIXTURE_CODE)
+                        code_files=_FIXTURE_CODE)
 
 
 def v_raw_boards(spark: SparkSession, sf_dir: str) -> DataFrame:
