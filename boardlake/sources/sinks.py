@@ -65,10 +65,13 @@ def write_postings_json(df: DataFrame, path: str, mode: str = "overwrite") -> No
 def write_registry_export(registry: DataFrame, path: str, mode: str = "overwrite") -> None:
     """The registry grouped by platform: one JSON-lines folder per platform
     (``ats=greenhouse/`` ...), companies in registry order within it."""
+    n = registry.sparkSession.sparkContext.defaultParallelism
     (
         registry.select("ats", "ord", "slug", "name", "sector")
-        .repartition("ats")
-        .sortWithinPartitions("ats", "ord")
+        # range partitions on the full order: a large platform spans several
+        # tasks/files, and file order then row order is registry order
+        .repartitionByRange(n, "ats", "ord", "slug")
+        .sortWithinPartitions("ats", "ord", "slug")
         .write.mode(mode)
         .partitionBy("ats")
         .json(path)
@@ -80,9 +83,12 @@ def write_postings_table(df: DataFrame, path: str, mode: str = "overwrite") -> N
     by platform, rows clustered by company and source order within files.
     Filters then run on stored columns, so the HTML cleaning is never
     re-evaluated inside a filter."""
+    keys = ("ats", "company_slug", "board_part", "posting_pos")
     (
-        df.repartition("ats", "company_slug")
-        .sortWithinPartitions("ats", "company_slug", "board_part", "posting_pos")
+        # range partitioning on the full posting key: a company holding a
+        # large share of all postings is split over several tasks
+        df.repartitionByRange(*keys)
+        .sortWithinPartitions(*keys)
         .write.mode(mode)
         .partitionBy("ats")
         .parquet(path)
