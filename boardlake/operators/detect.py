@@ -7,27 +7,32 @@ from pyspark.sql import functions as F
 
 from ..functions.text import slugify
 from ..sources.boards import ats_ord_col, probes
+from .util import bounded_broadcast
 
 # Detection result wording.
 ALL_ATS_NOTE_PREFIX = "Company found on multiple platforms: "
 ALL_ATS_NOTE_SUFFIX = ". Returning first match."
 
 
-def detect_ats(requests: DataFrame, raw_boards: DataFrame) -> DataFrame:
+def detect_ats(requests: DataFrame, raw_boards: DataFrame, max_broadcast_rows: int = 1_000_000) -> DataFrame:
     """Per request: found platforms (in platform order), status and data.
 
     0 found -> status 'success', data NULL; 1 -> 'success', that platform;
     more -> 'partial', the first, plus a note.  The registry is not used.
-    Each request gathers at most one row per platform, so groups are tiny.
+    Only probes of requested slugs are aggregated (semi-join first), the
+    request side is broadcast under a checked bound, and each request
+    gathers at most one row per platform, so groups are tiny.
     """
     cols = set(requests.columns)
     req = requests.select(
         (F.col("request_id") if "request_id" in cols else F.monotonically_increasing_id()).alias("request_id"),
         "company",
     ).withColumn("slug", slugify("company"))
-    found = probes(raw_boards).where("found").select("slug", "ats", ats_ord_col(F.col("ats")).alias("ats_ord"))
+    req = bounded_broadcast(req, max_broadcast_rows)
+    probe_rows = raw_boards.where(F.col("endpoint") == "probe").join(req.select("slug"), "slug", "left_semi")
+    found = probes(probe_rows).where("found").select("slug", "ats", ats_ord_col(F.col("ats")).alias("ats_ord"))
     hits = (
-        req.join(found, "slug", "left")
+        found.join(req, "slug", "right")
         .groupBy("request_id", "company", "slug")
         .agg(F.sort_array(F.collect_list(F.when(F.col("ats").isNotNull(), F.struct("ats_ord", "ats")))).alias("_h"))
     )
