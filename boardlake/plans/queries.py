@@ -100,38 +100,38 @@ _VP = O.with_(O.V_POSTINGS)
     _VP + f"SELECT doc_id, {O.job_id(f'coalesce({O.company_name("company_slug", "slug_num")}, company_slug)', 'title', 'ats')} AS id FROM v_postings",
 )
 def job_id(spark, sf_dir):
-    p = D.v_postings(spark, sf_dir)
+    p = D.landed_postings(spark, sf_dir)
     company = D._company_name(F.col("company_slug"), F.col("slug_num"))
     return p.select("doc_id", T.job_id(T.id_company(company, F.col("company_slug")), F.col("title"), F.col("ats")).alias("id"))
 
 
 @query("location_type", _VP + f"SELECT doc_id, location, {O.location_type('location')} AS location_type FROM v_postings")
 def location_type(spark, sf_dir):
-    p = D.v_postings(spark, sf_dir)
+    p = D.landed_postings(spark, sf_dir)
     return p.select("doc_id", "location", T.location_type("location").alias("location_type"))
 
 
 @query("salary_full", _VP + f"SELECT doc_id, {O.full_only_cols('description')} FROM v_postings")
 def salary_full(spark, sf_dir):
-    p = D.v_postings(spark, sf_dir)
+    p = D.landed_postings(spark, sf_dir)
     return p.select("doc_id", T.salary_from_full_range("description").alias("s")).select("doc_id", *_salary_cols("s"))
 
 
 @query("salary_k", _VP + f"SELECT doc_id, {O.k_only_cols('description')} FROM v_postings")
 def salary_k(spark, sf_dir):
-    p = D.v_postings(spark, sf_dir)
+    p = D.landed_postings(spark, sf_dir)
     return p.select("doc_id", T.salary_from_k_range("description").alias("s")).select("doc_id", *_salary_cols("s"))
 
 
 @query("salary_text", _VP + f"SELECT doc_id, {O.salary_text_cols('description')} FROM v_postings")
 def salary_text(spark, sf_dir):
-    p = D.v_postings(spark, sf_dir)
+    p = D.landed_postings(spark, sf_dir)
     return p.select("doc_id", T.salary_from_text("description").alias("s")).select("doc_id", *_salary_cols("s"))
 
 
 @query("lever_title_salary", _VP + f"SELECT doc_id, {O.full_only_cols('title')} FROM v_postings")
 def lever_title_salary(spark, sf_dir):
-    p = D.v_postings(spark, sf_dir)
+    p = D.landed_postings(spark, sf_dir)
     return p.select("doc_id", T.lever_title_salary("title").alias("s")).select("doc_id", *_salary_cols("s"))
 
 
@@ -148,7 +148,7 @@ FROM v_postings,
 @query("salary_precedence", _PREC_SQL)
 def salary_precedence(spark, sf_dir):
     """Structured salary (here: from the title) wins over the description text."""
-    p = D.v_postings(spark, sf_dir)
+    p = D.landed_postings(spark, sf_dir)
     s = F.coalesce(T.lever_title_salary("title"), T.salary_from_text("description"))
     return p.select("doc_id", s.alias("s")).select("doc_id", *_salary_cols("s"))
 
@@ -163,7 +163,7 @@ FROM v_postings"""
 
 @query("ashby_compensation", _COMP_SQL)
 def ashby_compensation(spark, sf_dir):
-    p = D.v_postings(spark, sf_dir)
+    p = D.landed_postings(spark, sf_dir)
     comp = D._compensation(F.col("doc_id"), F.col("amount_min"), F.col("amount_max"))
     return p.select("doc_id", T.ashby_compensation(comp).alias("s")).select("doc_id", *_salary_cols("s"))
 
@@ -327,7 +327,7 @@ def posting_json(spark, sf_dir):
 # ---------------------------------------------------------------- F1-F7, L1, W1
 @query("filter_title", _VP + f"SELECT doc_id, title FROM v_postings WHERE {O.rx('title', TITLE_PATTERN)}")
 def filter_title(spark, sf_dir):
-    return FL.title_filter(D.v_postings(spark, sf_dir), TITLE_PATTERN).select("doc_id", "title")
+    return FL.title_filter(D.landed_postings(spark, sf_dir), TITLE_PATTERN).select("doc_id", "title")
 
 
 @query(
@@ -336,23 +336,23 @@ def filter_title(spark, sf_dir):
     f"OR {O.rx('description', TOPIC_PATTERN)}",
 )
 def filter_topic(spark, sf_dir):
-    return FL.topic_filter(D.v_postings(spark, sf_dir), TOPIC_PATTERN).select("doc_id")
+    return FL.topic_filter(D.landed_postings(spark, sf_dir), TOPIC_PATTERN).select("doc_id")
 
 
 @query("filter_recency", _VP + f"SELECT doc_id, posted_at_raw FROM v_postings WHERE {O.recency(RECENCY_DAYS)}")
 def filter_recency(spark, sf_dir):
-    return FL.recency_filter(D.v_postings(spark, sf_dir), RECENCY_DAYS, as_of=D.AS_OF).select("doc_id", "posted_at_raw")
+    return FL.recency_filter(D.landed_postings(spark, sf_dir), RECENCY_DAYS, as_of=D.AS_OF).select("doc_id", "posted_at_raw")
 
 
 @query("filter_loc_include", _VP + f"SELECT doc_id, location FROM v_postings WHERE {O.loc_any(LOC_INCLUDE)}")
 def filter_loc_include(spark, sf_dir):
-    p = D.v_postings(spark, sf_dir)
+    p = D.landed_postings(spark, sf_dir)
     return p.where(FL.location_include_predicate(LOC_INCLUDE)).select("doc_id", "location")
 
 
 @query("filter_loc_exclude", _VP + f"SELECT doc_id, location FROM v_postings WHERE NOT {O.loc_any(LOC_EXCLUDE)}")
 def filter_loc_exclude(spark, sf_dir):
-    p = D.v_postings(spark, sf_dir)
+    p = D.landed_postings(spark, sf_dir)
     return p.where(FL.location_exclude_predicate(LOC_EXCLUDE)).select("doc_id", "location")
 
 
@@ -369,7 +369,7 @@ _ALL_WHERE = (
     f"WHERE rn <= {ALL_LIMIT}",
 )
 def filter_all(spark, sf_dir):
-    p = D.v_postings(spark, sf_dir)
+    p = D.landed_postings(spark, sf_dir)
     out = FL.apply_filters(
         p, ALL_TITLE, ALL_TOPIC, ALL_DAYS, ALL_INCLUDE, ALL_EXCLUDE, ALL_LIMIT,
         as_of=D.AS_OF, partition_by=["company_slug"], order_cols=V_ORDER,
@@ -382,7 +382,7 @@ def filter_all(spark, sf_dir):
     _VP + f"SELECT company_slug, doc_id, title FROM v_postings ORDER BY ats_ord, company_slug, part, doc_id LIMIT {FIRST_N}",
 )
 def first_n(spark, sf_dir):
-    p = D.v_postings(spark, sf_dir)
+    p = D.landed_postings(spark, sf_dir)
     return FL.first_n(p, FIRST_N, ("ats_ord", "company_slug", "part", "doc_id")).select("company_slug", "doc_id", "title")
 
 
@@ -392,7 +392,7 @@ def first_n(spark, sf_dir):
     f"ORDER BY ats_ord, part, doc_id) AS rn FROM v_postings WHERE NOT {O.loc_any(['UK'])}) z WHERE rn <= {PER_COMPANY_LIMIT}",
 )
 def first_n_per_company(spark, sf_dir):
-    p = D.v_postings(spark, sf_dir)
+    p = D.landed_postings(spark, sf_dir)
     out = FL.apply_filters(p, location_excludes=["UK"], limit=PER_COMPANY_LIMIT, partition_by=["company_slug"], order_cols=V_ORDER)
     return out.select("company_slug", "doc_id", "location")
 

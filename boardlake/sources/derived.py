@@ -277,6 +277,15 @@ def landed_raw_boards(spark: SparkSession, sf_dir: str) -> DataFrame:
                         code_files=_FIXTURE_CODE)
 
 
+def landed_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``v_postings`` landed once as parquet under the shared checkpoint
+    folder; queries then scan it in parallel instead of re-deriving it."""
+    from .landing import landed_table
+
+    return landed_table(spark, "postings_view", [sf_dir, FIXTURE_VERSION], lambda: v_postings(spark, sf_dir),
+                        inputs=[f"{sf_dir.rstrip('/')}/documents.parquet"], code_files=_FIXTURE_CODE)
+
+
 def v_raw_boards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed boards (``RAW_BOARDS_DDL``) built with to_json from board_postings,
     plus one HEAD-probe row per (slug, platform).  One body per
