@@ -62,12 +62,12 @@ def _parse_once(b: DataFrame, parsed: Column) -> DataFrame:
 
 
 def _parse_object_body(b: DataFrame, ddl: str) -> DataFrame:
-    """from_json of an object-shaped body -> ``_p`` plus ``_corrupt``, ``_other``.
+    """from_json of an object-shaped body -> ``_p``, ``_corrupt``, ``_body_ok``.
 
-    _other: the body is JSON but not an object (array, number...), which
-    JavaScript reads as an object without the expected keys; 'null' is
-    excluded because property access on null throws.  Only evaluated for
-    corrupt rows.
+    A corrupt record is still acceptable when the body is JSON but not an
+    object (array, number...), which JavaScript reads as an object without
+    the expected keys; 'null' is not, because property access on null
+    throws.  That second parse runs only for corrupt rows.
     """
     parsed = F.from_json(F.col("body"), f"{ddl}, {CORRUPT} STRING", {"columnNameOfCorruptRecord": CORRUPT})
     b = _parse_once(b, parsed)
@@ -284,20 +284,23 @@ def ashby_graphql_postings(parsed_graphql: DataFrame, keep: tuple = ()) -> DataF
     )
 
 
-def ashby_rest_nonempty_slugs(parsed_rest: DataFrame) -> DataFrame:
-    """Slugs whose REST board produced at least one posting (any part)."""
-    return (
-        parsed_rest.where((F.col("outcome") == "ok") & (F.size("jobs") > 0))
-        .select("slug")
-        .distinct()
-    )
+def ashby_rest_nonempty_slugs(raw_boards: DataFrame) -> DataFrame:
+    """Slugs whose REST board has at least one posting (in any part).
+
+    Read straight from the body: a 2xx answer whose ``jobs`` array has a
+    first element.  ``get_json_object`` stops at that element, so this costs
+    a prefix scan, not a second full parse of every REST body; broken bodies
+    give NULL, i.e. count as empty, which is what triggers the fallback."""
+    rest = _board_rows(raw_boards, "ashby", "rest")
+    has_job = F.get_json_object(F.col("body"), "$.jobs[0]").isNotNull()
+    return rest.where(F.col("http_status").between(200, 299) & has_job).select("slug").distinct()
 
 
 def ashby_postings(raw_boards: DataFrame, keep: tuple = ()) -> DataFrame:
     """REST first; GraphQL only for slugs whose REST gave zero postings or
     failed.  The anti-join runs on board rows, before any explode."""
     rest = parse_ashby_rest(raw_boards, keep)
-    graphql = parse_ashby_graphql(raw_boards, keep).join(ashby_rest_nonempty_slugs(rest), "slug", "left_anti")
+    graphql = parse_ashby_graphql(raw_boards, keep).join(ashby_rest_nonempty_slugs(raw_boards), "slug", "left_anti")
     return ashby_rest_postings(rest, keep).unionByName(ashby_graphql_postings(graphql, keep))
 
 
