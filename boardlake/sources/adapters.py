@@ -287,13 +287,16 @@ def ashby_graphql_postings(parsed_graphql: DataFrame, keep: tuple = ()) -> DataF
 def ashby_rest_nonempty_slugs(raw_boards: DataFrame) -> DataFrame:
     """Slugs whose REST board has at least one posting (in any part).
 
-    Read straight from the body: a 2xx answer whose ``jobs`` array has a
-    first element.  ``get_json_object`` stops at that element, so this costs
-    a prefix scan, not a second full parse of every REST body; broken bodies
-    give NULL, i.e. count as empty, which is what triggers the fallback."""
+    Same decision as the full parse (2xx, a well-formed body, a non-empty
+    ``jobs`` array; a broken body counts as empty, which triggers the
+    fallback), but parsed with a pruned schema: the body is validated end to
+    end while only the job ids are materialised."""
     rest = _board_rows(raw_boards, "ashby", "rest")
-    has_job = F.get_json_object(F.col("body"), "$.jobs[0]").isNotNull()
-    return rest.where(F.col("http_status").between(200, 299) & has_job).select("slug").distinct()
+    light = F.from_json(F.col("body"), f"jobs ARRAY<STRUCT<id STRING>>, {CORRUPT} STRING",
+                        {"columnNameOfCorruptRecord": CORRUPT})
+    rest = rest.select("slug", "http_status", F.explode(F.array(light)).alias("_l"))
+    ok = F.col("http_status").between(200, 299) & F.col("_l").isNotNull() & F.col(f"_l.{CORRUPT}").isNull()
+    return rest.where(ok & (F.size(F.col("_l.jobs")) > 0)).select("slug").distinct()
 
 
 def ashby_postings(raw_boards: DataFrame, keep: tuple = ()) -> DataFrame:

@@ -143,3 +143,12 @@ def test_same_title_two_cities_same_id_no_dedup(spark):  # T14
     out = normalize(AD.greenhouse_postings(boards(spark, [row("greenhouse", "co", "board", 200, body)]))).collect()
     assert len(out) == 2 and out[0]["id"] == out[1]["id"]
     assert {r["location"] for r in out} == {"Paris", "Oslo"}
+
+
+def test_truncated_rest_body_falls_back_to_graphql(spark):  # J3 + S7
+    from boards_fixture import ASHBY_GQL
+
+    rows = [row("ashby", "cut", "rest", 200, '{"jobs":[{"id":"a","title":"x"}'),
+            row("ashby", "cut", "graphql", 200, ASHBY_GQL)]
+    out = normalize(AD.ashby_postings(boards(spark, rows))).collect()
+    assert [r["title"] for r in out] == ["Designer"]
