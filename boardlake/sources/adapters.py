@@ -52,6 +52,22 @@ def _board_rows(raw_boards: DataFrame, ats: str, endpoint: str) -> DataFrame:
     return raw_boards.where((F.col("ats") == ats) & (F.col("endpoint") == endpoint))
 
 
+def _ends_with(body: Column, closer: str) -> Column:
+    """The body's last non-whitespace character matches the regex class
+    ``closer``.  Spark's parsers ignore text after a complete JSON value, a
+    JSON parser does not; checked on a bounded tail so the cost does not
+    grow with the body."""
+    tail = F.substring(body, -64, 64)
+    ws = "[ \\t\\n\\r]*"
+    # an all-whitespace tail cannot be judged from 64 characters: accept it
+    return tail.rlike(closer + ws + "\\z") | tail.rlike("^" + ws + "\\z")
+
+
+_OBJ_END = "\\}"
+_ARR_END = "\\]"
+_ANY_END = '[\\]}"0-9eE]'  # array, object, string, number, true/false
+
+
 def _parse_once(b: DataFrame, parsed: Column) -> DataFrame:
     """Attach ``_p`` = parsed body, evaluated once per row.
 
@@ -71,8 +87,9 @@ def _parse_object_body(b: DataFrame, ddl: str) -> DataFrame:
     """
     parsed = F.from_json(F.col("body"), f"{ddl}, {CORRUPT} STRING", {"columnNameOfCorruptRecord": CORRUPT})
     b = _parse_once(b, parsed)
-    corrupt = F.col("_p").isNull() | F.col(f"_p.{CORRUPT}").isNotNull()
-    other = F.try_parse_json(F.col("body")).isNotNull() & (F.trim(F.col("body")) != "null")
+    corrupt = F.col("_p").isNull() | F.col(f"_p.{CORRUPT}").isNotNull() | ~_ends_with(F.col("body"), _OBJ_END)
+    other = (F.try_parse_json(F.col("body")).isNotNull() & (F.trim(F.col("body")) != "null")
+             & _ends_with(F.col("body"), _ANY_END))
     return b.select("*", corrupt.alias("_corrupt"), (~corrupt | F.when(corrupt, other)).alias("_body_ok"))
 
 
@@ -96,8 +113,8 @@ def parse_lever(raw_boards: DataFrame, keep: tuple = ()) -> DataFrame:
     arr = F.from_json(F.col("body"), LEVER_DDL)
     b = b.select("*", F.explode(F.array(F.when(is_array, arr))).alias("_arr"), is_array.alias("_is_array"))
     # a non-array JSON body is a valid, empty board; a broken body is an error
-    body_ok = F.when(F.col("_is_array"), F.col("_arr").isNotNull()).otherwise(
-        F.try_parse_json(F.col("body")).isNotNull()
+    body_ok = F.when(F.col("_is_array"), F.col("_arr").isNotNull() & _ends_with(F.col("body"), _ARR_END)).otherwise(
+        F.try_parse_json(F.col("body")).isNotNull() & _ends_with(F.col("body"), _ANY_END)
     )
     outcome = F.coalesce(status_outcome(F.col("http_status")), F.when(body_ok, F.lit("ok")).otherwise(F.lit("error")))
     return b.select(
@@ -294,8 +311,9 @@ def ashby_rest_nonempty_slugs(raw_boards: DataFrame) -> DataFrame:
     rest = _board_rows(raw_boards, "ashby", "rest")
     light = F.from_json(F.col("body"), f"jobs ARRAY<STRUCT<id STRING>>, {CORRUPT} STRING",
                         {"columnNameOfCorruptRecord": CORRUPT})
-    rest = rest.select("slug", "http_status", F.explode(F.array(light)).alias("_l"))
-    ok = F.col("http_status").between(200, 299) & F.col("_l").isNotNull() & F.col(f"_l.{CORRUPT}").isNull()
+    rest = rest.select("slug", "http_status", "body", F.explode(F.array(light)).alias("_l"))
+    ok = (F.col("http_status").between(200, 299) & F.col("_l").isNotNull() & F.col(f"_l.{CORRUPT}").isNull()
+          & _ends_with(F.col("body"), _OBJ_END))
     return rest.where(ok & (F.size(F.col("_l.jobs")) > 0)).select("slug").distinct()
 
 

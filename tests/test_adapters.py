@@ -152,3 +152,16 @@ def test_truncated_rest_body_falls_back_to_graphql(spark):  # J3 + S7
             row("ashby", "cut", "graphql", 200, ASHBY_GQL)]
     out = normalize(AD.ashby_postings(boards(spark, rows))).collect()
     assert [r["title"] for r in out] == ["Designer"]
+
+
+def test_trailing_text_after_json_is_malformed(spark):  # S7
+    ok_body = '{"name":"x","jobs":[{"id":1,"title":"a"}]}'
+    rows = [
+        row("greenhouse", "junk", "board", 200, ok_body + " trailing"),
+        row("greenhouse", "spaces", "board", 200, ok_body + " \n" + " " * 100),
+        row("greenhouse", "clean", "board", 200, ok_body),
+        row("lever", "ljunk", "board", 200, '[{"id":"a","text":"t"}] x'),
+    ]
+    got = {r["slug"]: r["outcome"] for r in AD.board_outcomes(boards(spark, rows)).collect()}
+    assert got == {"junk": "error", "spaces": "ok", "clean": "ok", "ljunk": "error"}
+    assert AD.greenhouse_postings(boards(spark, rows)).count() == 2
