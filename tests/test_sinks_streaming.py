@@ -58,3 +58,18 @@ def test_silver_table_round_trip_and_filter_pushdown(spark, tmpdir_path):
     assert [r["title"] for r in out.collect()] == ["Senior Data Engineer"]
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(ats" in plan and "regexp_replace" not in plan
+
+
+def test_raw_boards_reader_and_json_lines_writer(spark, tmpdir_path):  # S3 source, S11 writer
+    from boardlake.sources.boards import read_raw_boards
+    from boardlake.sources.sinks import write_postings_json
+
+    landed = os.path.join(tmpdir_path, "raw_boards")
+    spark.createDataFrame([row("greenhouse", "nw", "board", 200, GH_BOARD)], RAW_DDL).write.partitionBy("ats").parquet(landed)
+    rb = read_raw_boards(spark, landed)
+    postings = normalize(AD.greenhouse_postings(rb), seen_at="2025-06-01T00:00:00Z")
+    out = os.path.join(tmpdir_path, "jsonl")
+    write_postings_json(postings, out)
+    lines = [json.loads(r["value"]) for r in spark.read.text(out).collect()]
+    assert sorted(l["title"] for l in lines) == ["", "Senior Data Engineer"]
+    assert all(l["companySlug"] == "nw" and l["status"] == "open" for l in lines)
