@@ -3,8 +3,9 @@
 Writing a derived table and reading it back cuts its lineage (a lost
 executor recomputes from the written files, not from the sources) and lets
 many queries share one materialisation.  The folder is the cluster's
-``spark.checkpoint.dir``; a private temporary folder is used only when the
-session has none (local runs and tests).
+``spark.checkpoint.dir``; a private temporary folder is used only when a
+local-mode session has none (local runs and tests); on a cluster an unset
+folder is an error.
 """
 
 from __future__ import annotations
@@ -28,6 +29,9 @@ def shared_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if conf_dir:
         return conf_dir.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        # a machine-local folder is not shared by executors: refuse on a cluster
+        raise RuntimeError("set spark.checkpoint.dir to a shared, durable folder (e.g. on HDFS or object storage)")
     key = spark.sparkContext.applicationId
     if key not in _FALLBACK:
         _FALLBACK[key] = tempfile.mkdtemp(prefix="boardlake-ckpt-")
