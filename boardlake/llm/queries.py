@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from boardlake.llm import quality, urls
+from boardlake.llm import bpe, quality, simhash, urls
 from boardlake.llm.common import table
 
 #: The rules that the url query applies.
@@ -18,17 +19,27 @@ URL_RULES = [
 ]
 
 
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents")).drop("cleaned")
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, max_bits=2)
+
+
 def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.url_verdicts(table(spark, sf_dir, "pages"), urls.rule_table(spark, URL_RULES))
 
 
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_bpe": op3_bpe,
         "op4_quality": op4_quality,
+        "op6_simhash": op6_simhash,
         "op10_urls": op10_urls,
     }
 
