@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from boardlake.llm import bpe, quality, simhash, urls
+from boardlake.llm import bpe, decontaminate, quality, simhash, token_counts, toxicity, urls
 from boardlake.llm.common import table
 
 #: The rules that the url query applies.
@@ -19,6 +19,10 @@ URL_RULES = [
 ]
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -31,15 +35,27 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, max_bits=2)
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return token_counts.section_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
 def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.url_verdicts(table(spark, sf_dir, "pages"), urls.rule_table(spark, URL_RULES))
 
 
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_toxicity": op2_toxicity,
         "op3_bpe": op3_bpe,
         "op4_quality": op4_quality,
         "op6_simhash": op6_simhash,
+        "op7_decontaminate": op7_decontaminate,
+        "op9_token_counts": op9_token_counts,
         "op10_urls": op10_urls,
     }
 
