@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from boardlake.llm import bpe, decontaminate, quality, simhash, token_counts, toxicity, urls
+from boardlake.llm import bpe, decontaminate, quality, repeats, simhash, token_counts, toxicity, urls
 from boardlake.llm.common import table
 
 #: The rules that the url query applies.
@@ -19,6 +19,11 @@ URL_RULES = [
 ]
 
 
+def op1_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents"), length=50, kept=None)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -50,6 +55,7 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_repeats": op1_repeats,
         "op2_toxicity": op2_toxicity,
         "op3_bpe": op3_bpe,
         "op4_quality": op4_quality,
