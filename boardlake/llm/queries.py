@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from boardlake.llm import bpe, decontaminate, quality, repeats, simhash, token_counts, toxicity, urls
+from boardlake.llm import bpe, decontaminate, language, quality, repeats, simhash, token_counts, toxicity, urls
 from boardlake.llm.common import table
 
 #: The rules that the url query applies.
@@ -36,6 +36,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents")).drop("cleaned")
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language(table(spark, sf_dir, "documents"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, max_bits=2)
 
@@ -59,6 +63,7 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_toxicity": op2_toxicity,
         "op3_bpe": op3_bpe,
         "op4_quality": op4_quality,
+        "op5_language": op5_language,
         "op6_simhash": op6_simhash,
         "op7_decontaminate": op7_decontaminate,
         "op9_token_counts": op9_token_counts,
