@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from boardlake.llm import bpe, decontaminate, language, quality, repeats, simhash, token_counts, toxicity, urls
-from boardlake.llm.common import table
+from boardlake.llm import bpe, chat, decontaminate, language, quality, repeats, simhash, token_counts, toxicity, urls
+from boardlake.llm.common import materialise, table
 
 #: The rules that the url query applies.
 URL_RULES = [
@@ -48,6 +48,18 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+#: A conversation of control strings that is formatted beside the table's.
+CONTROL_TURNS = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = rows.unionByName(spark.createDataFrame(CONTROL_TURNS, "conv_id long, turn long, role string, text string"))
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    segments, members = chat.format_chat(rows, vocabulary)
+    return chat.read_back(materialise(segments), members, vocabulary)
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return token_counts.section_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
@@ -66,6 +78,7 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_language": op5_language,
         "op6_simhash": op6_simhash,
         "op7_decontaminate": op7_decontaminate,
+        "op8_chat": op8_chat,
         "op9_token_counts": op9_token_counts,
         "op10_urls": op10_urls,
     }
