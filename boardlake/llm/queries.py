@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from boardlake.llm import bpe, chat, decontaminate, language, quality, repeats, simhash, token_counts, toxicity, urls
+from boardlake.llm import bpe, chat, decontaminate, language, quality, repeats, simhash, sql, token_counts, toxicity, urls
 from boardlake.llm.common import materialise, table
 
 #: The rules that the url query applies.
@@ -85,24 +85,9 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_queries() -> dict[str, str]:
-    return {"op10_urls": OP10_SQL}
-
-
-OP10_SQL = r"""
-WITH parts AS (
-  SELECT page_id,
-         translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
-                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
-  FROM pages
-), rules(verdict, h, p) AS (
-  VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'),
-         ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')
-), fits AS (
-  SELECT host, path, arg_max(struct_pack(r := h || p, v := verdict), (length(h || p), length(h))) AS best
-  FROM (SELECT DISTINCT host, path FROM parts) u JOIN rules ON (u.host = h OR suffix(u.host, '.' || h)) AND prefix(u.path, p)
-  GROUP BY host, path
-)
-SELECT page_id, parts.host AS host, parts.path AS path, best.r AS rule, coalesce(best.v, 'allow') AS verdict
-FROM parts LEFT JOIN fits ON parts.host = fits.host AND parts.path = fits.path
-"""
+    return {
+        "op4_quality": sql.OP4,
+        "op7_decontaminate": sql.OP7,
+        "op8_chat": sql.OP8,
+        "op10_urls": sql.OP10,
+    }

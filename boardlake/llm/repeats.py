@@ -168,7 +168,7 @@ def _dealt(part: int, bucket: np.ndarray, columns: dict[str, np.ndarray], wide:
     of varying length: data, starts and lengths."""
     order = np.argsort(bucket, kind="stable")
     head = _heads(bucket[order]) if len(order) else np.zeros(0, np.int64)
-    stop = np.append(head[1:], len(order))
+    stop = np.append(head, len(order))[1:]
     out = {name: pa.array(bucket[order][head].astype(np.int32)), tag: pa.array(np.full(len(head), part, np.int32))}
     for c, values in columns.items():
         values = values[order]
@@ -337,7 +337,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         new = np.ones(len(at), bool)
         new[1:] = (at[1:] != at[:-1] + 1) | (row[at[1:]] != row[at[:-1]])
         head = np.flatnonzero(new)
-        stop = np.append(head[1:], len(at))
+        stop = np.append(head, len(at))[1:]
         base = np.cumsum(got["starts"].astype(np.int64)) - got["starts"]
         r = row[at[head]]
         a, b = at[head] - base[r], at[stop - 1] - base[r] + 1
