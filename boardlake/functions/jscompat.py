@@ -44,7 +44,13 @@ def col_of(c) -> Column:
 
 def js_trim(c) -> Column:
     """String.prototype.trim: strip JavaScript whitespace at both ends."""
-    return F.regexp_replace(col_of(c), f"^{WS}+|{WS}+\\z", "")
+    return F.btrim(col_of(c), F.lit(JS_WHITESPACE_CHARS))
+
+
+def let(value: Column, body) -> Column:
+    """``body`` over ``value`` evaluated once, however often body uses it (an
+    expression used twice may otherwise be worked out twice)."""
+    return F.get(F.transform(F.array(value), body), 0)
 
 
 def py_js_trim(s: str) -> str:
@@ -75,96 +81,142 @@ def js_escape_literal(s: str) -> str:
 
 
 _QUANT = re.compile(r"\{\d+(,\d*)?\}")
+_GROUP = re.compile(r"\((?!\?)|\(\?<(?![=!])")
+_HEX2, _HEX4 = re.compile(r"[0-9A-Fa-f]{2}"), re.compile(r"[0-9A-Fa-f]{4}")
 
 
 class JsRegexError(ValueError):
     """A user pattern JavaScript itself would reject (or we cannot express)."""
 
 
+def _char(code: int) -> str:
+    return f"\\x{{{code:X}}}"
+
+
+def _escape(pattern: str, i: int, groups: int, named: bool, in_class: bool) -> tuple[str, int]:
+    """Java text of the JavaScript escape whose backslash is at ``i``, and its
+    length.  Letters without a meaning in JavaScript are plain letters; Java
+    gives several of them one."""
+    nx = pattern[i + 1]
+    rest = pattern[i + 2 :]
+    if nx in "dDwWnrtf":
+        return "\\" + nx, 2
+    if nx == "s":
+        return (WS_BODY if in_class else WS), 2
+    if nx == "S":
+        return NOT_WS, 2  # inside a class the caller takes it out
+    if nx == "v":
+        return _char(0x0B), 2
+    if nx == "b":
+        return (_char(8) if in_class else WORD_BOUNDARY), 2
+    if nx == "B" and not in_class:
+        return NOT_WORD_BOUNDARY, 2
+    if nx == "c" and rest[:1].isascii() and rest[:1].isalpha():
+        return _char(ord(rest[0]) % 32), 3
+    if nx == "x" and _HEX2.match(rest):
+        return _char(int(rest[:2], 16)), 4
+    if nx == "u" and _HEX4.match(rest):
+        return _char(int(rest[:4], 16)), 6
+    if nx == "k" and named and not in_class:
+        return "\\k", 2
+    if nx.isascii() and nx.isdigit():
+        digits = re.match(r"\d+", pattern[i + 1 :])[0]
+        if not in_class and nx != "0" and int(digits) <= groups:
+            return "\\" + digits, 1 + len(digits)
+        octal = re.match(r"[0-3][0-7]{0,2}|[4-7][0-7]?", pattern[i + 1 :])
+        return (_char(int(octal[0], 8)), 1 + len(octal[0])) if octal else (nx, 2)
+    if nx.isascii() and nx.isalpha():
+        return nx, 2
+    return "\\" + nx, 2
+
+
 def js_regex(pattern: str, ignore_case: bool = True) -> str:
     """Rewrite a JavaScript regex source into an equivalent Java regex.
 
     Handles the dialect gaps that change results: ``\\s``/``\\S`` (Unicode
-    whitespace), ``\\b``/``\\B`` (ASCII), ``$`` (absolute end), ``.``
-    (JS line terminators), ``[^]``/``[]``, a literal ``[`` or ``&&`` inside a
-    class, and ``{`` that is not a quantifier.  Inline flag groups are a
-    syntax error in JavaScript and are rejected.
+    whitespace, also inside classes), ``\\b``/``\\B`` (ASCII), escapes that
+    only Java knows (plain letters in JavaScript), ``$`` (absolute end),
+    ``.`` (JS line terminators), ``[^]``/``[]``, a literal ``[`` or ``&&``
+    inside a class, and ``{`` that is not a quantifier.  Inline flag groups
+    and possessive quantifiers are syntax errors in JavaScript and rejected.
     """
     out = []
     i, n = 0, len(pattern)
-    in_class = False
-    class_start = False
+    groups = len(_GROUP.findall(re.sub(r"\\.|\[(?:\\.|[^\]\\])*\]", "", pattern, flags=re.S)))
+    named = "(?<" in re.sub(r"\(\?<[=!]", "", pattern)
+    quantified = False  # the last item was a quantifier
     while i < n:
         ch = pattern[i]
+        if ch == "+" and quantified:
+            raise JsRegexError(f"nothing to repeat at offset {i}")
+        before, quantified = quantified, False
         if ch == "\\":
             if i + 1 >= n:
                 raise JsRegexError("pattern ends with a lone backslash")
-            nx = pattern[i + 1]
-            if nx == "s":
-                out.append(WS_BODY if in_class else WS)
-            elif nx == "S":
-                out.append(r"\S" if in_class else NOT_WS)
-            elif nx == "b":
-                out.append(r"\x08" if in_class else WORD_BOUNDARY)
-            elif nx == "B" and not in_class:
-                out.append(NOT_WORD_BOUNDARY)
-            else:
-                out.append(ch + nx)
+            text, size = _escape(pattern, i, groups, named, False)
+            out.append(text)
+            i += size
+        elif ch == "[":
+            text, i = _js_class(pattern, i, groups, named)
+            out.append(text)
+        elif ch == "(" and pattern.startswith("(?", i):
+            if pattern[i + 2 : i + 3] not in (":", "=", "!", "<"):
+                raise JsRegexError(f"invalid group at offset {i}: inline flags are not JavaScript")
+            out.append("(?")
             i += 2
-            class_start = False
-            continue
-        if in_class:
-            if ch == "]" and not class_start:
-                in_class = False
-                out.append("]")
-            elif ch == "[":
-                out.append(r"\[")
-            elif ch == "&" and i + 1 < n and pattern[i + 1] == "&":
-                out.append(r"&\&")
-                i += 1
-            else:
-                out.append(ch)
-            class_start = False
+        elif ch in "*+?":
+            out.append(ch)
+            quantified = not (ch == "?" and before)
+            if not quantified and pattern[i + 1 : i + 2] == "+":
+                raise JsRegexError(f"nothing to repeat at offset {i + 1}")
             i += 1
-            continue
-        if ch == "[":
-            if pattern.startswith("[^]", i):
-                out.append(r"[\s\S]")
-                i += 3
-                continue
-            if pattern.startswith("[]", i):
-                out.append("(?!)")
-                i += 2
-                continue
-            in_class = True
-            class_start = True
-            if pattern.startswith("[^", i):
-                out.append("[^")
-                i += 2
+        elif ch == "{":
+            m = _QUANT.match(pattern, i)
+            out.append(m[0] if m else r"\{")
+            quantified = bool(m)
+            i += len(m[0]) if m else 1
+        else:
+            out.append({"$": r"\z", ".": JS_DOT}.get(ch, ch))
+            i += 1
+    body = "".join(out)
+    return ("(?iu)" if ignore_case else "") + body
+
+
+def _js_class(pattern: str, i: int, groups: int, named: bool) -> tuple[str, int]:
+    """Java text of the character class that starts at ``i``, and where it ends."""
+    if pattern.startswith("[^]", i):
+        return r"[\s\S]", i + 3
+    if pattern.startswith("[]", i):
+        return "(?!)", i + 2
+    negated = pattern.startswith("[^", i)
+    i += 2 if negated else 1
+    body, ink = [], False
+    while i < len(pattern):
+        ch = pattern[i]
+        if ch == "]":
+            text = "".join(body)
+            if not ink:
+                return f"[{'^' if negated else ''}{text}]", i + 1
+            if negated:  # blanks that the rest does not name
+                return (f"(?:(?![{text}]){WS})" if text else WS), i + 1
+            return (f"(?:[{text}]|{NOT_WS})" if text else NOT_WS), i + 1
+        if ch == "\\":
+            if i + 1 >= len(pattern):
+                break
+            if pattern[i + 1] == "S":
+                ink, size = True, 2
             else:
-                out.append("[")
-                i += 1
+                text, size = _escape(pattern, i, groups, named, True)
+                body.append(text)
+            i += size
             continue
-        if ch == "(" and pattern.startswith("(?", i):
-            nxt = pattern[i + 2 : i + 3]
-            if nxt not in (":", "=", "!", "<"):
-                raise JsRegexError(f"invalid group at offset {i}: inline flags are not JavaScript")
-            out.append("(?")
+        if ch == "&" and pattern.startswith("&&", i):
+            body.append(r"&\&")
             i += 2
             continue
-        if ch == "$":
-            out.append(r"\z")
-        elif ch == ".":
-            out.append(JS_DOT)
-        elif ch == "{" and not _QUANT.match(pattern, i):
-            out.append(r"\{")
-        else:
-            out.append(ch)
+        body.append(r"\[" if ch == "[" else ch)
         i += 1
-    if in_class:
-        raise JsRegexError("unterminated character class")
-    body = "".join(out)
-    return ("(?iu)" if ignore_case else "") + body
+    raise JsRegexError("unterminated character class")
 
 
 def validate_java_regex(spark, java_pattern: str) -> None:

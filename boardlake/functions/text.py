@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .jscompat import WS, col_of, js_trim, truthy_or
+from .jscompat import WS, col_of, js_trim, let, truthy_or
 
 # The ordered HTML -> text rewrite chain of the posting
 # normaliser.  (pattern, replacement, case_insensitive).  Order matters:
@@ -53,11 +53,22 @@ def strip_html(c) -> Column:
     NULL and '' both give ''.
     """
     out = F.coalesce(col_of(c), F.lit(""))
-    for pattern, repl, ci in HTML_REWRITES:
-        out = F.regexp_replace(out, ("(?i)" if ci else "") + pattern, repl)
+    # a group of rewrites runs only on texts with the character all of them need
+    for needed, rewrites in (("<", HTML_REWRITES[:7]), ("&", HTML_REWRITES[7:12]), ("\n\n\n", HTML_REWRITES[12:])):
+        out = _guarded(out, needed, rewrites)
     return js_trim(out)
 
 
+def _guarded(text: Column, needed: str, rewrites) -> Column:
+    return let(text, lambda x: F.when(F.contains(x, F.lit(needed)), _rewritten(x, rewrites)).otherwise(x))
+
+
+def _rewritten(x: Column, rewrites) -> Column:
+    for pattern, repl, ci in rewrites:
+        x = F.regexp_replace(x, ("(?i)" if ci else "") + pattern, repl)
+    return x
+
+
 def location_type(location) -> Column:
     """remote > hybrid > onsite keyword, else 'onsite' when non-empty, else 'unknown'."""
     loc = F.coalesce(col_of(location), F.lit(""))
@@ -83,31 +94,31 @@ def null_salary() -> Column:
     return F.lit(None).cast(SALARY_TYPE)
 
 
+def _range(found: Column, shape: str, times: int = 1) -> Column:
+    """The two amounts of a matched phrase, which is short."""
+    low, high = (_num(F.regexp_extract(found, shape, k)) for k in (1, 2))
+    return salary_struct(low * times, high * times) if times != 1 else salary_struct(low, high)
+
+
 def salary_from_full_range(text) -> Column:
     """'$A - $B' (commas allowed, '-' or en dash).  NULL when no match."""
     t = F.coalesce(col_of(text), F.lit(""))
-    return F.when(
-        t.rlike(SALARY_FULL),
-        salary_struct(_num(F.regexp_extract(t, SALARY_FULL, 1)), _num(F.regexp_extract(t, SALARY_FULL, 2))),
-    ).otherwise(null_salary())
+    return let(F.regexp_substr(t, F.lit(SALARY_FULL)), lambda m: F.when(m.isNotNull(), _range(m, SALARY_FULL)).otherwise(null_salary()))
 
 
 def salary_from_k_range(text) -> Column:
     """'$aK - $bK' times 1000.  NULL when no match."""
     t = F.coalesce(col_of(text), F.lit(""))
-    return F.when(
-        t.rlike(SALARY_K),
-        salary_struct(
-            _num(F.regexp_extract(t, SALARY_K, 1)) * 1000,
-            _num(F.regexp_extract(t, SALARY_K, 2)) * 1000,
-        ),
-    ).otherwise(null_salary())
+    return let(F.regexp_substr(t, F.lit(SALARY_K)), lambda m: F.when(m.isNotNull(), _range(m, SALARY_K, 1000)).otherwise(null_salary()))
 
 
 def salary_from_text(text) -> Column:
-    """Full form first; the K form only when the full *pattern* does not match."""
+    """Full form first; the K form only when the full *pattern* does not match.
+    The text is searched once for each form, and amounts are read from the
+    short phrase found."""
     t = F.coalesce(col_of(text), F.lit(""))
-    return F.when(t.rlike(SALARY_FULL), salary_from_full_range(t)).otherwise(salary_from_k_range(t))
+    return let(F.regexp_substr(t, F.lit(SALARY_FULL)),
+               lambda m: F.when(m.isNotNull(), _range(m, SALARY_FULL)).otherwise(salary_from_k_range(t)))
 
 
 def lever_title_salary(title) -> Column:
@@ -162,7 +173,7 @@ def slugify(c) -> Column:
 
 
 def title_case_slug(c) -> Column:
-    """Upper-case the first character only ('cockroachlabs' -> 'Cockroachlabs')."""
+    """Upper-case the first character only ('bluepine' -> 'Bluepine')."""
     s = F.coalesce(col_of(c), F.lit(""))
     return F.concat(F.upper(F.substring(s, 1, 1)), F.substring(s, 2, 1 << 30))
 

@@ -16,6 +16,7 @@ from numbers import Real
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.dates import js_timestamp
 from ..functions.jscompat import (
     WORD_BOUNDARY,
     any_of,
@@ -39,6 +40,9 @@ class _Default:
 
 DEFAULT = _Default()
 
+# JavaScript's Date range in milliseconds.
+_MAX_MS = 8_640_000_000_000_000
+
 
 def _spark_of(df: DataFrame):
     return getattr(df, "sparkSession", None)
@@ -85,10 +89,12 @@ def as_of_ms(as_of=None) -> float:
     raise TypeError("as_of must be None, epoch ms, an ISO string, a date or a datetime")
 
 
-def recency_predicate(posted_within_days, as_of=None, posted_col="posted_at_raw") -> Column | None:
+def recency_predicate(posted_within_days, as_of=None, posted_at: Column | None = None) -> Column | None:
     """posted >= as_of - N * 24h (exact 24 h blocks, inclusive).
 
     NULL/unparseable dates are dropped, future dates kept, NaN keeps nothing.
+    ``posted_at`` is the parsed instant (default: parsed from the raw text);
+    a stored column compared with a constant can be pushed to the scan.
     """
     if posted_within_days is None:
         return None
@@ -97,20 +103,20 @@ def recency_predicate(posted_within_days, as_of=None, posted_col="posted_at_raw"
     n = float(posted_within_days)
     if math.isnan(n):
         return F.lit(False)
+    posted = js_timestamp("posted_at_raw") if posted_at is None else posted_at
     cutoff = as_of_ms(as_of) - n * MS_PER_DAY
-    if math.isinf(cutoff):
-        cutoff_lit = F.lit(cutoff)
-    elif cutoff == int(cutoff):
-        cutoff_lit = F.lit(int(cutoff))
-    else:
-        cutoff_lit = F.lit(cutoff)
-    raw = F.nullif(col_of(posted_col), F.lit(""))
-    posted_ms = F.unix_millis(raw.try_cast("timestamp"))
-    return F.coalesce(posted_ms >= cutoff_lit, F.lit(False))
+    if math.isinf(cutoff) or abs(cutoff) > _MAX_MS:  # beyond every date
+        return posted.isNotNull() if cutoff < 0 else F.lit(False)
+    # dates have whole milliseconds: at least the cutoff means at least its ceiling
+    return posted >= F.timestamp_millis(F.lit(math.ceil(cutoff)))
+
+
+def _posted(df: DataFrame) -> Column | None:
+    return F.col("posted_at") if "posted_at" in df.columns else None
 
 
 def recency_filter(df: DataFrame, posted_within_days, as_of=None) -> DataFrame:
-    pred = recency_predicate(posted_within_days, as_of)
+    pred = recency_predicate(posted_within_days, as_of, _posted(df))
     return df if pred is None else df.where(pred)
 
 
@@ -202,7 +208,7 @@ def apply_filters(
     if title_filter:
         preds.append(regex_match("title", title_filter, spark))
     for p in (
-        recency_predicate(posted_within_days, as_of),
+        recency_predicate(posted_within_days, as_of, _posted(df)),
         location_include_predicate(location_includes),
         location_exclude_predicate(location_excludes),
     ):

@@ -7,6 +7,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.dates import js_timestamp
 from ..functions.jscompat import col_of, truthy_or
 from ..functions.text import id_company, job_id, location_type, salary_from_text, strip_html
 from ..sources.schemas import METADATA_TYPE, POSTING_COLS
@@ -48,7 +49,7 @@ def normalise_columns(seen_at=None) -> dict[str, Column]:
         "description": strip_html(F.col("description")),
         "url": truthy_or("url", F.lit("")),
         "posted_at_raw": F.nullif(F.col("posted_at_raw"), F.lit("")),
-        "posted_at": F.nullif(F.col("posted_at_raw"), F.lit("")).try_cast("timestamp"),
+        "posted_at": js_timestamp("posted_at_raw"),
         "first_seen": seen,
         "last_seen": seen,
         "status": F.lit("open"),

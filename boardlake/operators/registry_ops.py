@@ -35,16 +35,10 @@ def ats_by_slug(registry: DataFrame) -> DataFrame:
     return registry.groupBy("slug").agg(F.min_by("ats", "ats_ord").alias("registry_ats"))
 
 
-def find_ats(requests: DataFrame, registry: DataFrame, slug_col: str = "slug", max_broadcast_rows: int | None = None) -> DataFrame:
+def find_ats(requests: DataFrame, registry: DataFrame, slug_col: str = "slug") -> DataFrame:
     """Left join of requests onto the slug lookup; unknown slugs get NULL.
-
-    With ``max_broadcast_rows`` the lookup (one row per registered slug) is
-    broadcast when it provably has at most that many rows."""
+    The join strategy is left to the optimiser, which knows both sizes."""
     lookup = ats_by_slug(registry).withColumnRenamed("slug", "_reg_slug")
-    if max_broadcast_rows:
-        from .util import bounded_broadcast
-
-        lookup = bounded_broadcast(lookup, max_broadcast_rows)
     return requests.join(lookup, requests[slug_col] == lookup["_reg_slug"], "left").drop("_reg_slug")
 
 

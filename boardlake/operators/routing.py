@@ -14,12 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import slugify
-from ..sources.adapters import all_postings, board_outcomes
+from ..sources.adapters import all_postings, ashby_graphql_needed, board_outcomes
 from ..sources.schemas import ATS_NAMES
 from .filters import DEFAULT, apply_filters
 from .normalize import normalize
 from .registry_ops import find_ats
-from .util import bounded_broadcast
 
 REQUEST_KEEP = ("request_id", "mode")
 
@@ -35,9 +34,7 @@ def requests_from_list(spark: SparkSession, companies) -> DataFrame:
     return spark.createDataFrame(rows, "request_id long, company string, ats string")
 
 
-def resolve_requests(
-    requests: DataFrame, registry: DataFrame, max_broadcast_rows: int = 1_000_000, materialise: bool = True
-) -> DataFrame:
+def resolve_requests(requests: DataFrame, registry: DataFrame) -> DataFrame:
     """Adds slug, registry_ats, mode ('explicit' | 'registry' | 'discovery' |
     'invalid') and route_ats (NULL = all platforms)."""
     cols = set(requests.columns)
@@ -46,7 +43,7 @@ def resolve_requests(
         "company",
         (F.col("ats") if "ats" in cols else F.lit(None).cast("string")).alias("ats_requested"),
     ).withColumn("slug", slugify("company"))
-    req = find_ats(req, registry, max_broadcast_rows=max_broadcast_rows)
+    req = find_ats(req, registry)
     known = F.col("ats_requested").isin(*ATS_NAMES)
     mode = (
         F.when(F.coalesce(F.col("company"), F.lit("")) == "", F.lit("invalid"))
@@ -56,41 +53,57 @@ def resolve_requests(
         .otherwise(F.lit("discovery"))
     )
     route = F.when(mode == "explicit", F.col("ats_requested")).when(mode == "registry", F.col("registry_ats"))
-    resolved = req.withColumn("mode", mode).withColumn("route_ats", route)
-    if not materialise:
-        return resolved
-    # One small row per request, read by every platform branch, the size
-    # check and the summary: materialise it once in the shared checkpoint
-    # folder (this also cuts its lineage).
-    from ..sources.landing import shared_dir
-
-    shared_dir(requests.sparkSession)
-    return resolved.checkpoint(eager=True)
-
-
-def route_boards(resolved: DataFrame, raw_boards: DataFrame, max_broadcast_rows: int = 1_000_000) -> DataFrame:
-    """Board rows each request reads: equi-join on slug plus the platform
-    predicate (explicit / registry platform, or any in discovery).  The
-    request side (a few small columns per request) is broadcast when it
-    provably fits; otherwise it is a shuffle join on slug, where AQE splits a
-    hot slug's board parts over several tasks."""
-    r = resolved.where(F.col("mode") != "invalid").select("request_id", "mode", F.col("slug").alias("_r_slug"), "route_ats")
-    r = bounded_broadcast(r, max_broadcast_rows)
+    return req.withColumn("mode", mode).withColumn("route_ats", route)
+
+
+def wanted_boards(resolved: DataFrame, raw_boards: DataFrame) -> DataFrame:
+    """Board rows that at least one request reads, each once: a semi-join on
+    slug plus the platform predicate (explicit or registry platform, or any
+    in discovery), before any body is parsed.  Only bodies that are wanted
+    move, however many requests want them."""
+    r = resolved.where(F.col("mode") != "invalid").select(F.col("slug").alias("_r_slug"), "route_ats").distinct()
     boards = raw_boards.where(F.col("endpoint") != "probe")
-    joined = boards.join(
-        r,
-        (boards["slug"] == r["_r_slug"]) & (r["route_ats"].isNull() | (r["route_ats"] == boards["ats"])),
-        "inner",
+    return boards.join(
+        r, (boards["slug"] == r["_r_slug"]) & (r["route_ats"].isNull() | (r["route_ats"] == boards["ats"])), "left_semi"
     )
-    return joined.drop("_r_slug", "route_ats")
 
 
-def fetch_postings(resolved: DataFrame, raw_boards: DataFrame, seen_at=None) -> DataFrame:
-    """Normalised postings of every routed board, tagged with request_id.
+def attach_requests(resolved: DataFrame, rows: DataFrame, slug_col: str = "company_slug") -> DataFrame:
+    """Rows of boards tagged with the request_id and mode of every request
+    that reads their board.  AQE splits a hot slug's rows over tasks."""
+    r = resolved.where(F.col("mode") != "invalid").select(
+        *REQUEST_KEEP, F.col("slug").alias("_r_slug"), F.col("route_ats").alias("_r_ats")
+    )
+    on = (rows[slug_col] == r["_r_slug"]) & (r["_r_ats"].isNull() | (r["_r_ats"] == rows["ats"]))
+    return rows.join(r, on).drop("_r_slug", "_r_ats")
+
+
+def strict_boards(resolved: DataFrame, raw_boards: DataFrame) -> DataFrame:
+    """Wanted board rows with ``_strict``: whether a request reads the board
+    by explicit platform or registry, where a failure is an error of the
+    call (discovery drops failed sources)."""
+    direct = resolved.where(F.col("mode").isin("explicit", "registry")).select(
+        F.col("slug").alias("_d_slug"), F.col("route_ats").alias("_d_ats")).distinct()
+    boards = wanted_boards(resolved, raw_boards)
+    return boards.join(direct, (boards["slug"] == direct["_d_slug"]) & (boards["ats"] == direct["_d_ats"]), "left").withColumn(
+        "_strict", F.col("_d_slug").isNotNull()).drop("_d_slug", "_d_ats")
+
+
+def raw_postings(resolved: DataFrame, raw_boards: DataFrame, strict: bool = False) -> DataFrame:
+    """Pre-normalised postings of every wanted board, parsed once per board,
+    then tagged with the requests that read it.  Failed sources contribute
+    nothing (see ``fetch_outcomes`` for why), or fail the query with
+    ``strict`` unless only discovery reads them."""
+    if strict:
+        rows = all_postings(strict_boards(resolved, raw_boards), ("_strict",), F.col("_strict")).drop("_strict")
+    else:
+        rows = all_postings(wanted_boards(resolved, raw_boards))
+    return attach_requests(resolved, rows)
+
 
-    Failed sources contribute nothing (see ``fetch_outcomes`` for why)."""
-    routed = route_boards(resolved, raw_boards)
-    return normalize(all_postings(routed, REQUEST_KEEP), seen_at, keep=REQUEST_KEEP)
+def fetch_postings(resolved: DataFrame, raw_boards: DataFrame, seen_at=None, strict: bool = False) -> DataFrame:
+    """Normalised postings of every routed board, tagged with request_id."""
+    return normalize(raw_postings(resolved, raw_boards, strict), seen_at, keep=REQUEST_KEEP)
 
 
 def fetch_jobs_batch(
@@ -106,12 +119,13 @@ def fetch_jobs_batch(
     as_of=None,
     seen_at=None,
     rank_col: str | None = None,
+    strict: bool = False,
 ) -> DataFrame:
     """Filtered postings per request; the limit applies per request.
 
     ``rank_col`` keeps each posting's rank within its request (1-based, in
     source order) so later per-request caps need no second shuffle."""
-    postings = fetch_postings(resolved, raw_boards, seen_at)
+    postings = fetch_postings(resolved, raw_boards, seen_at, strict)
     return apply_filters(
         postings, title_filter, filter, posted_within_days, location_includes, location_excludes, limit,
         as_of=as_of, partition_by=["request_id"], rank_col=rank_col,
@@ -122,4 +136,5 @@ def fetch_outcomes(resolved: DataFrame, raw_boards: DataFrame) -> DataFrame:
     """Outcome of every board part a request read.  An 'error' in explicit
     or registry mode is what the single-company call raises; in discovery it
     is dropped silently."""
-    return board_outcomes(route_boards(resolved, raw_boards), REQUEST_KEEP)
+    outcomes = board_outcomes(ashby_graphql_needed(wanted_boards(resolved, raw_boards)))
+    return attach_requests(resolved, outcomes, "slug")

@@ -32,8 +32,10 @@ def fetch_summary(resolved: DataFrame, results: DataFrame) -> DataFrame:
 
 
 def _fmt_amount(x: Column) -> Column:
-    # toLocaleString of the amount; NaN from unparseable digits shows as NaN
-    return F.coalesce(F.format_number(x, 0), F.lit("NaN"))
+    """Grouped thousands and up to three decimals, no trailing zeros; an
+    amount that could not be read shows as NaN."""
+    text = F.regexp_replace(F.format_number(x, 3), r"\.?0+$", "")
+    return F.when(x.isNull() | F.isnan(x), "NaN").otherwise(text)
 
 
 def preview_lines(results: DataFrame) -> DataFrame:

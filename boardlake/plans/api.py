@@ -18,12 +18,11 @@ from ..operators import routing as _routing
 from ..operators import summary as _summary
 from ..operators.normalize import normalize
 from ..sources import adapters as _adapters
+from ..sources.boards import latest_boards
 from ..sources.registry import load_registry as _load_registry
 from ..sources.registry import load_registry_ats as _load_registry_ats
 from ..sources.schemas import (
-    ATS_DISPLAY,
     ATS_NAMES,
-    MSG_BOARD_ERROR,
     MSG_COMPANY_REQUIRED,
     MSG_KEYWORD_REQUIRED,
     MSG_UNKNOWN_ATS,
@@ -32,10 +31,6 @@ from ..sources.schemas import (
 DEFAULT = _filters.DEFAULT
 
 
-class BoardError(RuntimeError):
-    """A board the call had to read failed (non-404 status or broken body)."""
-
-
 def _requests(spark: SparkSession, company, ats=None) -> DataFrame:
     if isinstance(company, DataFrame):
         return company
@@ -53,24 +48,6 @@ def _requests(spark: SparkSession, company, ats=None) -> DataFrame:
     return _routing.requests_from_list(spark, items)
 
 
-def raise_board_errors(resolved: DataFrame, raw_boards: DataFrame) -> None:
-    """Strict mode: fail when a board read in explicit or registry mode
-    failed (discovery drops failed sources silently).  Bounded driver check:
-    at most one offending row is fetched."""
-    bad = (
-        _routing.fetch_outcomes(resolved, raw_boards)
-        # an Ashby REST failure is not an error of the call: it falls back to GraphQL
-        .where((F.col("outcome") == "error") & (F.col("mode") != "discovery") & (F.col("endpoint") != "rest"))
-        .select("ats", "slug", "endpoint", "http_status")
-        .limit(1)
-        .collect()
-    )
-    if bad:
-        r = bad[0]
-        status = r["http_status"] if r["http_status"] is not None else "no response or malformed body"
-        raise BoardError(MSG_BOARD_ERROR.format(platform=ATS_DISPLAY.get(r["ats"], r["ats"]), slug=r["slug"], status=status))
-
-
 def fetch_jobs(
     spark: SparkSession,
     raw_boards: DataFrame,
@@ -86,7 +63,7 @@ def fetch_jobs(
     *,
     as_of=None,
     seen_at=None,
-    strict: bool = False,
+    strict: bool | None = None,
 ) -> DataFrame:
     """Normalised, filtered postings of one company or of a batch.
 
@@ -94,22 +71,26 @@ def fetch_jobs(
     DataFrame (request_id, company[, ats]).  Routing per company: explicit
     ``ats`` > the registry's platform > every platform.  The limit applies
     per company (default 100; ``None`` = unlimited).
+
+    Boards are read as of their newest snapshot.  With ``strict`` the query
+    fails on a board read by explicit platform or registry that has an error
+    status or a broken body (a missing board is empty, a failed source in
+    discovery is dropped, an unread Ashby GraphQL board does not matter).
+    The default is strict for one company and lenient for a batch.
     """
     requests = _requests(spark, company, ats)
     resolved = _routing.resolve_requests(requests, registry)
-    if strict:
-        raise_board_errors(resolved, raw_boards)
     return _routing.fetch_jobs_batch(
-        resolved, raw_boards, title_filter, filter, posted_within_days, location_includes, location_excludes, limit,
-        as_of=as_of, seen_at=seen_at,
+        resolved, latest_boards(raw_boards), title_filter, filter, posted_within_days, location_includes, location_excludes,
+        limit, as_of=as_of, seen_at=seen_at, strict=isinstance(company, str) if strict is None else strict,
     )
 
 
 def fetch_jobs_tool(spark: SparkSession, raw_boards: DataFrame, registry: DataFrame, company, **filters) -> tuple[DataFrame, DataFrame]:
     """``fetch_jobs`` plus its per-company metadata (count, registry_hit, ats)."""
-    requests = _requests(spark, company)
-    resolved = _routing.resolve_requests(requests, registry)
-    results = _routing.fetch_jobs_batch(resolved, raw_boards, **filters)
+    filters.setdefault("strict", isinstance(company, str))
+    resolved = _routing.resolve_requests(_requests(spark, company), registry)
+    results = _routing.fetch_jobs_batch(resolved, latest_boards(raw_boards), **filters)
     return results, _summary.fetch_summary(resolved, results)
 
 
@@ -123,16 +104,15 @@ def sector_sweep(
 ) -> DataFrame:
     """Postings of every registered company of a sector in one query: the
     registry search (query and/or sector) becomes the request table, each
-    company is fetched from its registry platform, filters apply, and the
-    limit applies per company.  ``request_id`` identifies the registry entry."""
+    company is fetched from the platform of its registry entry, filters
+    apply, and the limit applies per entry.  ``request_id`` is the entry's
+    'platform/slug'; an entry listed twice is one."""
     hits = _registry.search_registry_tool(registry, query, sector)
     requests = hits.select(
-        (F.col("ats_ord").cast("bigint") * 1_000_000_000 + F.col("ord")).alias("request_id"),
-        F.col("slug").alias("company"),
-        F.lit(None).cast("string").alias("ats"),
-    )
+        F.concat_ws("/", "ats", "slug").alias("request_id"), F.col("slug").alias("company"), "ats"
+    ).distinct()
     resolved = _routing.resolve_requests(requests, registry)
-    return _routing.fetch_jobs_batch(resolved, raw_boards, **filters)
+    return _routing.fetch_jobs_batch(resolved, latest_boards(raw_boards), **filters)
 
 
 def search(registry: DataFrame, keyword: str, location=None, ats=None) -> DataFrame:
@@ -153,15 +133,15 @@ def search_registry_tool(registry: DataFrame, query: str | None = None, sector:
 
 def detect_ats(spark: SparkSession, raw_boards: DataFrame, company) -> DataFrame:
     """Platforms with a board per company (probes only; no registry)."""
-    return _detect.detect_ats(_requests(spark, company), raw_boards)
+    return _detect.detect_ats(_requests(spark, company), latest_boards(raw_boards))
 
 
 def find_ats_by_slug(spark: SparkSession, registry: DataFrame, slugs) -> DataFrame:
-    """(slug, registry_ats) for each slug; NULL when not registered."""
-    if isinstance(slugs, str):
-        slugs = [slugs]
-    req = spark.createDataFrame([(s,) for s in slugs], "slug string")
-    return _registry.find_ats(req, registry)
+    """(slug, registry_ats) for each slug; NULL when not registered.
+    ``slugs``: one, a list, or a table with a slug column."""
+    if not isinstance(slugs, DataFrame):
+        slugs = spark.createDataFrame([(s,) for s in ([slugs] if isinstance(slugs, str) else slugs)], "slug string")
+    return _registry.find_ats(slugs, registry)
 
 
 def load_registry(spark: SparkSession, registry_dir: str, ats: str | None = None) -> DataFrame:
@@ -181,24 +161,27 @@ def apply_filters(df: DataFrame, **kwargs) -> DataFrame:
     )
 
 
-def _direct(spark, raw_boards, ats, slugs, seen_at=None) -> DataFrame:
-    if isinstance(slugs, str):
-        slugs = [slugs]
-    wanted = spark.createDataFrame([(s,) for s in slugs], "slug string").select(slugify("slug").alias("slug")).distinct()
-    boards = raw_boards.where(F.col("ats") == ats).join(F.broadcast(wanted) if len(slugs) <= 100_000 else wanted, "slug", "left_semi")
-    return normalize(_adapters.adapter(ats)(boards), seen_at)
+def _direct(spark, raw_boards, ats, slugs, seen_at=None, strict=None) -> DataFrame:
+    """Postings of the named boards of one platform, as of their newest
+    snapshot.  Strict (the default for one slug) as in ``fetch_jobs``."""
+    strict = isinstance(slugs, str) if strict is None else strict
+    if not isinstance(slugs, DataFrame):
+        slugs = spark.createDataFrame([(s,) for s in ([slugs] if isinstance(slugs, str) else slugs)], "slug string")
+    wanted = slugs.select(slugify("slug").alias("slug")).distinct()
+    boards = latest_boards(raw_boards.where((F.col("ats") == ats) & (F.col("endpoint") != "probe"))).join(wanted, "slug", "left_semi")
+    return normalize(_adapters.adapter(ats)(boards, strict=F.lit(True) if strict else None), seen_at)
 
 
-def fetch_greenhouse(spark, raw_boards, slugs, seen_at=None) -> DataFrame:
-    return _direct(spark, raw_boards, "greenhouse", slugs, seen_at)
+def fetch_greenhouse(spark, raw_boards, slugs, seen_at=None, strict=None) -> DataFrame:
+    return _direct(spark, raw_boards, "greenhouse", slugs, seen_at, strict)
 
 
-def fetch_lever(spark, raw_boards, slugs, seen_at=None) -> DataFrame:
-    return _direct(spark, raw_boards, "lever", slugs, seen_at)
+def fetch_lever(spark, raw_boards, slugs, seen_at=None, strict=None) -> DataFrame:
+    return _direct(spark, raw_boards, "lever", slugs, seen_at, strict)
 
 
-def fetch_ashby(spark, raw_boards, slugs, seen_at=None) -> DataFrame:
-    return _direct(spark, raw_boards, "ashby", slugs, seen_at)
+def fetch_ashby(spark, raw_boards, slugs, seen_at=None, strict=None) -> DataFrame:
+    return _direct(spark, raw_boards, "ashby", slugs, seen_at, strict)
 
 
 def preview(results: DataFrame) -> DataFrame:

@@ -252,12 +252,13 @@ def gh_expected(where: str = GH_OK, raw_cols: bool = False) -> str:
     inner = f"""
       SELECT *, {salary_text_cols('desc_handed')} FROM (
         SELECT bp.*, coalesce({company_name('company_slug', 'slug_num')}, company_slug) AS company,
-               coalesce(title, '') AS title_n, coalesce(department, '') AS dept_n, coalesce(location, '') AS loc_n,
+               coalesce(title, '') AS title_n, coalesce(department, '') AS dept_n,
+               CASE WHEN doc_id % 41 = 7 THEN '' ELSE coalesce(location, '') END AS loc_n,
                {strip_html(esc)} AS desc_handed,
                'https://boards.example.com/' || company_slug || '/jobs/' || CAST(doc_id AS VARCHAR) AS url,
                posted_at_raw AS posted
         FROM bp WHERE {where}) g"""
-    extra = (", CAST(doc_id AS BIGINT) AS greenhouse_id, CAST(doc_id + 1000000 AS BIGINT) AS internal_job_id, "
+    extra = (", CAST(CASE WHEN doc_id % 37 <> 5 THEN doc_id END AS BIGINT) AS greenhouse_id, CAST(doc_id + 1000000 AS BIGINT) AS internal_job_id, "
              "coalesce(department, '') AS departments, coalesce(location, '') AS offices")
     if raw_cols:
         extra += ", department AS raw_department, location AS raw_location"
@@ -280,7 +281,7 @@ def lv_expected(where: str = LV_OK) -> str:
                  CASE WHEN doc_id % 11 = 10 THEN '' ELSE coalesce(location, '') END AS loc_n,
                  {strip_html("CASE WHEN doc_id % 2 = 0 THEN description ELSE '<p>' || description || '</p>' END")} AS desc_handed,
                  'https://jobs.example.com/' || company_slug || '/lv-' || lpad(CAST(doc_id AS VARCHAR), 12, '0') AS url,
-                 CASE WHEN posted_at_raw = 'recently' THEN NULL ELSE posted_at_raw END AS posted
+                 CASE WHEN posted_at_raw = 'recently' OR doc_id % 47 = 11 THEN NULL ELSE posted_at_raw END AS posted
           FROM bp WHERE {where}) l0,
         LATERAL (SELECT {salary_text_cols('l0.desc_handed')}) ts
       ) l1"""
@@ -309,7 +310,7 @@ def ar_expected(where: str = AR_OK) -> str:
       LATERAL (SELECT {salary_text_cols('a0.desc_handed')}) ts"""
     extra = (", 'ab-' || lpad(CAST(doc_id AS VARCHAR), 12, '0') AS ashby_id, "
              f"coalesce({pick(D.EMPLOYMENT, 'doc_id % 4')}, '') AS employment_type, "
-             "CASE WHEN doc_id % 3 = 2 THEN false ELSE starts_with(coalesce(location, ''), 'Remote') END AS is_remote, "
+             "CASE WHEN doc_id % 3 = 2 OR doc_id % 43 = 9 THEN false ELSE starts_with(coalesce(location, ''), 'Remote') END AS is_remote, "
              "'Team ' || CAST(doc_id % 3 AS VARCHAR) AS team, '' AS compensation_summary")
     return _finish("ashby", 2, extra) + f" FROM ({inner}) x"
 

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import detect as DET
 from ..operators import filters as FL
 from ..operators import registry_ops as RG
 from ..operators import routing as RT
@@ -21,6 +20,7 @@ from ..operators import summary as SM
 from ..operators.normalize import normalize
 from ..sources import adapters as AD
 from ..sources import derived as D
+from . import api
 from . import oracle as O
 
 # Fixed query parameters (the same literals appear in the SQL).
@@ -190,7 +190,7 @@ def _sql_cols(extra: str = "") -> str:
 
 @query("greenhouse_board", _BOARDS + f"SELECT {_sql_cols(', greenhouse_id, internal_job_id, departments, offices')} FROM ({O.gh_expected()}) x")
 def greenhouse_board(spark, sf_dir):
-    rb = D.landed_raw_boards(spark, sf_dir)
+    rb = D.latest_raw_boards(spark, sf_dir)
     return _flat(
         _norm(AD.greenhouse_postings(rb)),
         F.col("metadata.greenhouseId").alias("greenhouse_id"),
@@ -202,7 +202,7 @@ def greenhouse_board(spark, sf_dir):
 
 @query("lever_board", _BOARDS + f"SELECT {_sql_cols(', lever_id, team, commitment, workplace_type')} FROM ({O.lv_expected()}) x")
 def lever_board(spark, sf_dir):
-    rb = D.landed_raw_boards(spark, sf_dir)
+    rb = D.latest_raw_boards(spark, sf_dir)
     return _flat(
         _norm(AD.lever_postings(rb)),
         F.col("metadata.leverId").alias("lever_id"),
@@ -227,13 +227,13 @@ def _ashby_meta():
 
 @query("ashby_rest_board", _BOARDS + f"SELECT {_sql_cols(_ASHBY_META_SQL)} FROM ({O.ar_expected()}) x")
 def ashby_rest_board(spark, sf_dir):
-    rb = D.landed_raw_boards(spark, sf_dir)
+    rb = D.latest_raw_boards(spark, sf_dir)
     return _flat(_norm(AD.ashby_rest_postings(AD.parse_ashby_rest(rb))), *_ashby_meta())
 
 
 @query("ashby_graphql_board", _BOARDS + f"SELECT {_sql_cols(_ASHBY_META_SQL)} FROM ({O.ag_expected()}) x")
 def ashby_graphql_board(spark, sf_dir):
-    rb = D.landed_raw_boards(spark, sf_dir)
+    rb = D.latest_raw_boards(spark, sf_dir)
     return _flat(_norm(AD.ashby_graphql_postings(AD.parse_ashby_graphql(rb))), *_ashby_meta())
 
 
@@ -243,7 +243,7 @@ def ashby_graphql_board(spark, sf_dir):
     f"UNION ALL SELECT {_sql_cols(_ASHBY_META_SQL)} FROM ({O.ag_expected(O.AG_FALLBACK)}) g",
 )
 def ashby_fallback(spark, sf_dir):
-    rb = D.landed_raw_boards(spark, sf_dir)
+    rb = D.latest_raw_boards(spark, sf_dir)
     return _flat(_norm(AD.ashby_postings(rb)), *_ashby_meta())
 
 
@@ -268,20 +268,32 @@ SELECT b.ats, b.slug, b.endpoint, b.part, st.http_status,
             OR (b.endpoint = 'rest' AND (b.k = 14 OR b.slug_num % 9 = 8))) THEN c.n ELSE 0 END AS INTEGER) AS n_jobs
 FROM boards b
 JOIN counted c ON c.ats = b.ats AND c.slug = b.slug AND c.part = b.part,
-LATERAL (SELECT {O.board_status('b.slug_num', 'b.ats', 'b.endpoint')} AS http_status) st"""
+LATERAL (SELECT {O.board_status('b.slug_num', 'b.ats', 'b.endpoint')} AS http_status) st
+UNION ALL
+SELECT {O.ats_name('slug_num % 3')} AS ats, slug, CASE WHEN slug_num % 3 = 2 THEN 'rest' ELSE 'board' END AS endpoint,
+  CAST({D.BROKEN_PART} + i AS INTEGER) AS part, 200 AS http_status, 'error' AS outcome, CAST(0 AS INTEGER) AS n_jobs
+FROM v_sources, range({len(D.TRAILERS)}) AS t(i)"""
 
 
 @query("board_outcomes", _OUTCOME_SQL)
 def board_outcomes(spark, sf_dir):
-    rb = D.landed_raw_boards(spark, sf_dir)
+    rb = D.latest_raw_boards(spark, sf_dir)
     return AD.board_outcomes(rb)
 
 
+@query("board_latest", f"SELECT ats, slug, endpoint, part, fetched_at FROM ({_OUTCOME_SQL}) o, "
+       f"(SELECT TIMESTAMP '{D.AS_OF_DATE} 00:00:00' AS fetched_at) f")
+def board_latest(spark, sf_dir):
+    """The newest snapshot of every landed board, and nothing older."""
+    rows = D.latest_raw_boards(spark, sf_dir).where(F.col("endpoint") != "probe")
+    return rows.select("ats", "slug", "endpoint", "part", F.col("fetched_at").cast("timestamp_ntz").alias("fetched_at"))
+
+
 @query("normalize_all", O.with_(*O.BASE, O.expected_postings_cte()) + "SELECT " + ", ".join(
     ["ats", "company_slug", "board_part", "posting_pos", "id", "company", "title", "department", "location",
      "location_type", "salary_min", "salary_max", "salary_currency", "description", "url", "posted_at_raw"]) + " FROM ep")
 def normalize_all(spark, sf_dir):
-    rb = D.landed_raw_boards(spark, sf_dir)
+    rb = D.latest_raw_boards(spark, sf_dir)
     return _flat(_norm(AD.all_postings(rb)))
 
 
@@ -320,7 +332,7 @@ def posting_json(spark, sf_dir):
     """Full normalised records as JSON text (the JSON sink's rows)."""
     from ..sources.sinks import posting_record
 
-    rb = D.landed_raw_boards(spark, sf_dir)
+    rb = D.latest_raw_boards(spark, sf_dir)
     return posting_record(_norm(AD.all_postings(rb)), keep=("ats", "company_slug", "board_part", "posting_pos"))
 
 
@@ -437,8 +449,6 @@ def registry_search_sector(spark, sf_dir):
 )
 def registry_search_summary(spark, sf_dir):
     """The search tool's metadata row: match count plus the echoed arguments."""
-    from . import api
-
     _, summary = api.search_registry_tool(D.v_registry(spark, sf_dir), TOOL_QUERY, TOOL_SECTOR)
     return summary
 
@@ -464,7 +474,7 @@ _RESOLVED = O.with_(*O.BASE, O.expected_postings_cte(), O.resolved_cte())
 @query("find_ats", _RESOLVED + "SELECT request_id, company, slug, registry_ats FROM resolved")
 def find_ats(spark, sf_dir):
     req = D.v_requests(spark, sf_dir).withColumn("slug", T.slugify("company"))
-    return RG.find_ats(req, D.v_registry(spark, sf_dir)).select("request_id", "company", "slug", "registry_ats")
+    return api.find_ats_by_slug(spark, D.v_registry(spark, sf_dir), req).select("request_id", "company", "slug", "registry_ats")
 
 
 @query("route_modes", _RESOLVED + "SELECT request_id, slug, mode, route_ats, registry_ats FROM routed")
@@ -480,7 +490,7 @@ _ROUTED_ALL = O.with_(*O.BASE, O.expected_postings_cte(), O.resolved_cte(), O.fe
 
 def _route_mode(spark, sf_dir, mode):
     resolved = RT.resolve_requests(D.v_requests(spark, sf_dir), D.v_registry(spark, sf_dir))
-    postings = RT.fetch_postings(resolved.where(F.col("mode") == mode), D.landed_raw_boards(spark, sf_dir), seen_at=D.AS_OF)
+    postings = RT.fetch_postings(resolved.where(F.col("mode") == mode), D.latest_raw_boards(spark, sf_dir), seen_at=D.AS_OF)
     return postings.select("request_id", "mode", "ats", "company_slug", "board_part", "posting_pos", "id", "title")
 
 
@@ -509,7 +519,7 @@ _FETCHED = O.with_(*O.BASE, O.expected_postings_cte(), O.resolved_cte(), O.fetch
 
 def _fetch(spark, sf_dir, rank_col=None):
     resolved = RT.resolve_requests(D.v_requests(spark, sf_dir), D.v_registry(spark, sf_dir))
-    rb = D.landed_raw_boards(spark, sf_dir)
+    rb = D.latest_raw_boards(spark, sf_dir)
     res = RT.fetch_jobs_batch(
         resolved, rb, title_filter=FETCH_TITLE, posted_within_days=FETCH_DAYS, location_excludes=FETCH_EXCLUDE,
         as_of=D.AS_OF, seen_at=D.AS_OF, rank_col=rank_col,
@@ -523,7 +533,10 @@ def _fetch(spark, sf_dir, rank_col=None):
     "salary_min, salary_max, posted_at_raw FROM fetched",
 )
 def fetch_jobs(spark, sf_dir):
-    _, res = _fetch(spark, sf_dir)
+    res = api.fetch_jobs(
+        spark, D.landed_raw_boards(spark, sf_dir), D.v_registry(spark, sf_dir), D.v_requests(spark, sf_dir),
+        title_filter=FETCH_TITLE, posted_within_days=FETCH_DAYS, location_excludes=FETCH_EXCLUDE, as_of=D.AS_OF, seen_at=D.AS_OF,
+    )
     return res.select(
         "request_id", "ats", "company_slug", "board_part", "posting_pos", "id", "title", "location", "location_type",
         F.col("salary.min").alias("salary_min"), F.col("salary.max").alias("salary_max"), "posted_at_raw",
@@ -557,7 +570,7 @@ def preview_more(spark, sf_dir):
     """Unfiltered fetch with the default limit: per-request count and the
     '... and K more' line printed after a 20-row preview."""
     resolved = RT.resolve_requests(D.v_requests(spark, sf_dir), D.v_registry(spark, sf_dir))
-    res = RT.fetch_jobs_batch(resolved, D.landed_raw_boards(spark, sf_dir), seen_at=D.AS_OF)
+    res = RT.fetch_jobs_batch(resolved, D.latest_raw_boards(spark, sf_dir), seen_at=D.AS_OF)
     return SM.fetch_summary(resolved, res).select("request_id", "count", "more")
 
 
@@ -584,7 +597,7 @@ _SWEEP = O.with_(
     *O.BASE,
     O.expected_postings_cte(),
     f"""sweep_req AS (
-  SELECT CAST(ats_ord * 1000000 + ord AS BIGINT) AS request_id, slug AS company, CAST(NULL AS VARCHAR) AS ats
+  SELECT DISTINCT ats || '/' || slug AS request_id, slug AS company, ats
   FROM v_registry WHERE contains(lower(coalesce(sector, '')), {O.q(SWEEP_SECTOR)})
     AND (contains(lower(coalesce(nullif(name, ''), slug, '')), {O.q(SWEEP_SECTOR)}) OR contains(lower(coalesce(sector, '')), {O.q(SWEEP_SECTOR)}))
 )""",
@@ -595,15 +608,8 @@ _SWEEP = O.with_(
 
 @query("sector_sweep", _SWEEP + "SELECT request_id, company_slug, ats, board_part, posting_pos, title FROM fetched")
 def sector_sweep(spark, sf_dir):
-    reg = D.v_registry(spark, sf_dir)
-    hits = RG.search_registry_tool(reg, None, SWEEP_SECTOR)
-    req = hits.select(
-        (F.col("ats_ord") * 1000000 + F.col("ord")).cast("bigint").alias("request_id"),
-        F.col("slug").alias("company"),
-        F.lit(None).cast("string").alias("ats"),
-    )
-    resolved = RT.resolve_requests(req, reg)
-    res = RT.fetch_jobs_batch(resolved, D.landed_raw_boards(spark, sf_dir), filter=SWEEP_TOPIC, limit=SWEEP_LIMIT, seen_at=D.AS_OF)
+    res = api.sector_sweep(spark, D.landed_raw_boards(spark, sf_dir), D.v_registry(spark, sf_dir), SWEEP_SECTOR,
+                           filter=SWEEP_TOPIC, limit=SWEEP_LIMIT, seen_at=D.AS_OF)
     return res.select("request_id", "company_slug", "ats", "board_part", "posting_pos", "title")
 
 
@@ -625,7 +631,8 @@ SELECT request_id, company, slug, CAST(count(f.ats) AS INTEGER) AS n_found,
   arg_min(f.ats, f.ats_ord) AS data,
   CASE WHEN count(f.ats) > 1 THEN 'Company found on multiple platforms: ' || string_agg(f.ats, ', ' ORDER BY f.ats_ord)
        || '. Returning first match.' END AS note,
-  coalesce(string_agg(f.ats, ',' ORDER BY f.ats_ord), '') AS found_csv
+  coalesce(string_agg(f.ats, ',' ORDER BY f.ats_ord), '') AS found_csv, 'greenhouse,lever,ashby' AS attempted,
+  coalesce(string_agg(f.ats, ',' ORDER BY f.ats_ord), '') AS succeeded
 FROM (SELECT request_id, company, {O.slugify('company')} AS slug FROM v_requests) r
 LEFT JOIN found f USING (slug)
 GROUP BY request_id, company, slug"""
@@ -633,9 +640,10 @@ GROUP BY request_id, company, slug"""
 
 @query("detect_ats", _DETECT)
 def detect_ats(spark, sf_dir):
-    out = DET.detect_ats(D.v_requests(spark, sf_dir), D.landed_raw_boards(spark, sf_dir))
+    out = api.detect_ats(spark, D.landed_raw_boards(spark, sf_dir), D.v_requests(spark, sf_dir))
     return out.select("request_id", "company", "slug", "n_found", "status", "data", "note",
-                      F.array_join("found", ",").alias("found_csv"))
+                      F.array_join("found", ",").alias("found_csv"), F.array_join("attempted", ",").alias("attempted"),
+                      F.array_join("succeeded", ",").alias("succeeded"))
 
 
 def spark_queries() -> dict:

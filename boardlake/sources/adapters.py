@@ -3,9 +3,8 @@
 Each adapter works in two steps over ``raw_boards`` rows of its platform:
 
 * ``parse_*``   one row per board part: status/body outcome and the jobs
-                array (a single ``from_json`` pass; malformed bodies are
-                caught through the corrupt-record column, no second parse
-                for well-formed bodies);
+                array (a single ``from_json`` pass over the body, which also
+                finds broken bodies and text behind the JSON value);
 * ``*_postings`` ``posexplode`` of the jobs of 'ok' boards into the raw
                 record the normaliser expects (``PRE_NORMALISED_COLS``).
 
@@ -29,12 +28,16 @@ from ..functions.text import (
 from .boards import status_outcome
 from .schemas import (
     ASHBY_GRAPHQL_DDL,
+    ASHBY_GRAPHQL_JOB_DDL,
     ASHBY_REST_DDL,
+    ASHBY_REST_JOB_DDL,
+    ATS_DISPLAY,
     ATS_ORD,
-    CORRUPT,
     GREENHOUSE_DDL,
-    LEVER_DDL,
+    GREENHOUSE_JOB_DDL,
+    LEVER_JOB_DDL,
     METADATA_TYPE,
+    MSG_BOARD_ERROR,
     MSG_UNKNOWN_ATS,
     PRE_NORMALISED_COLS,
 )
@@ -52,50 +55,53 @@ def _board_rows(raw_boards: DataFrame, ats: str, endpoint: str) -> DataFrame:
     return raw_boards.where((F.col("ats") == ats) & (F.col("endpoint") == endpoint))
 
 
-def _ends_with(body: Column, closer: str) -> Column:
-    """The body's last non-whitespace character matches the regex class
-    ``closer``.  Spark's parsers ignore text after a complete JSON value, a
-    JSON parser does not; checked on a bounded tail so the cost does not
-    grow with the body."""
-    tail = F.substring(body, -64, 64)
-    ws = "[ \\t\\n\\r]*"
-    # an all-whitespace tail cannot be judged from 64 characters: accept it
-    return tail.rlike(closer + ws + "\\z") | tail.rlike("^" + ws + "\\z")
-
-
-_OBJ_END = "\\}"
-_ARR_END = "\\]"
-_ANY_END = '[\\]}"0-9eE]'  # array, object, string, number, true/false
-
-
-def _parse_once(b: DataFrame, parsed: Column) -> DataFrame:
-    """Attach ``_p`` = parsed body, evaluated once per row.
+def _parse_once(b: DataFrame, parsed: Column, name: str) -> DataFrame:
+    """Attach ``name`` = parsed body, evaluated once per row.
 
     Going through a one-element ``explode`` keeps the optimiser from
     rewriting every later field access into a separate (pruned) from_json,
     which would parse each body once per field."""
-    return b.select("*", F.explode(F.array(parsed)).alias("_p"))
+    return b.select("*", F.explode(F.array(parsed)).alias(name))
+
+
+def _sealed(body: Column, seal: str, closing: str) -> Column:
+    """The body as first element of a JSON array whose second one holds the
+    body's own hash.  Spark's parser ignores what follows a complete value;
+    here the body is complete and alone exactly when the array has two
+    elements and the second one is the seal."""
+    return F.concat(F.lit("["), body, F.lit(seal), F.md5(body), F.lit(closing))
 
 
-def _parse_object_body(b: DataFrame, ddl: str) -> DataFrame:
-    """from_json of an object-shaped body -> ``_p``, ``_corrupt``, ``_body_ok``.
+def _parse_body(b: DataFrame, ddl: str, jobs_path: tuple[str, ...], job_ddl: str) -> DataFrame:
+    """Parse object bodies: ``_p`` (the typed body), ``_jobs`` and ``_body_ok``.
 
-    A corrupt record is still acceptable when the body is JSON but not an
-    object (array, number...), which JavaScript reads as an object without
-    the expected keys; 'null' is not, because property access on null
-    throws.  That second parse runs only for corrupt rows.
+    One typed parse decides everything for almost all bodies.  A field of an
+    unexpected type becomes NULL and its posting stays.  Only a body that is
+    no object, or whose jobs are not all objects, is read a second time, as a
+    VARIANT: elements of any type then count as postings without fields.
+    Any complete JSON value but null is an empty board, as for JavaScript's
+    property access; null, a broken body or text behind it are errors.
     """
-    parsed = F.from_json(F.col("body"), f"{ddl}, {CORRUPT} STRING", {"columnNameOfCorruptRecord": CORRUPT})
-    b = _parse_once(b, parsed)
-    corrupt = F.col("_p").isNull() | F.col(f"_p.{CORRUPT}").isNotNull() | ~_ends_with(F.col("body"), _OBJ_END)
-    other = (F.try_parse_json(F.col("body")).isNotNull() & (F.trim(F.col("body")) != "null")
-             & _ends_with(F.col("body"), _ANY_END))
-    return b.select("*", corrupt.alias("_corrupt"), (~corrupt | F.when(corrupt, other)).alias("_body_ok"))
+    body = F.col("body")
+    b = _parse_once(b, F.from_json(_sealed(body, ',{"_seal":"', '"}]'), f"ARRAY<STRUCT<{ddl}, _seal STRING>>"), "_a")
+    whole = F.coalesce((F.size("_a") == 2) & (F.get("_a", 1)["_seal"] == F.md5(body)), F.lit(False))
+    jobs = F.get("_a", 0)
+    for key in jobs_path:
+        jobs = jobs[key]
+    again = ~whole | (jobs.isNull() & F.get("_a", 0).isNotNull())
+    b = _parse_once(b, F.when(again, F.try_parse_json(_sealed(body, ',"', '"]'))), "_v")
+    valid = whole | F.coalesce(F.try_variant_get("_v", "$[1]", "string") == F.md5(body), F.lit(False))
+    loose = F.transform(
+        F.try_variant_get("_v", "$[0]." + ".".join(jobs_path), "array<variant>"),
+        lambda x: F.from_json(F.to_json(x), f"STRUCT<{job_ddl}>"),
+    )
+    ok = F.coalesce(valid & (F.trim(body) != "null"), F.lit(False))
+    return b.select("*", F.get("_a", 0).alias("_p"), F.when(ok, F.coalesce(F.when(whole, jobs), loose, F.array())).alias("_jobs"), ok.alias("_body_ok"))
 
 
 def parse_greenhouse(raw_boards: DataFrame, keep: tuple = ()) -> DataFrame:
     b = _board_rows(raw_boards, "greenhouse", "board")
-    b = _parse_object_body(b, GREENHOUSE_DDL)
+    b = _parse_body(b, GREENHOUSE_DDL, ("jobs",), GREENHOUSE_JOB_DDL)
     body_ok = F.col("_body_ok")
     outcome = F.coalesce(status_outcome(F.col("http_status")), F.when(body_ok, F.lit("ok")).otherwise(F.lit("error")))
     return b.select(
@@ -103,18 +109,21 @@ def parse_greenhouse(raw_boards: DataFrame, keep: tuple = ()) -> DataFrame:
         *keep,
         outcome.alias("outcome"),
         F.col("_p.name").alias("board_name"),
-        F.when(outcome == "ok", F.when(~F.col("_corrupt"), F.coalesce(F.col("_p.jobs"), F.array())).otherwise(F.array())).alias("jobs"),
+        F.when(outcome == "ok", F.col("_jobs")).alias("jobs"),
     )
 
 
 def parse_lever(raw_boards: DataFrame, keep: tuple = ()) -> DataFrame:
     b = _board_rows(raw_boards, "lever", "board")
-    is_array = F.col("body").rlike(r"^\s*\[")
-    arr = F.from_json(F.col("body"), LEVER_DDL)
-    b = b.select("*", F.explode(F.array(F.when(is_array, arr))).alias("_arr"), is_array.alias("_is_array"))
-    # a non-array JSON body is a valid, empty board; a broken body is an error
-    body_ok = F.when(F.col("_is_array"), F.col("_arr").isNotNull() & _ends_with(F.col("body"), _ARR_END)).otherwise(
-        F.try_parse_json(F.col("body")).isNotNull() & _ends_with(F.col("body"), _ANY_END)
+    body = F.col("body")
+    b = _parse_once(b, F.from_json(_sealed(body, ',[{"_seal":"', '"}]]'), f"ARRAY<ARRAY<STRUCT<{LEVER_JOB_DDL}, _seal STRING>>>"), "_a")
+    whole = F.coalesce((F.size("_a") == 2) & (F.get(F.get("_a", 1), 0)["_seal"] == F.md5(body)), F.lit(False))
+    # a JSON body that is no array is a valid, empty board; a broken body is an error
+    b = _parse_once(b, F.when(~whole, F.try_parse_json(_sealed(body, ',"', '"]'))), "_v")
+    body_ok = whole | F.coalesce(F.try_variant_get("_v", "$[1]", "string") == F.md5(body), F.lit(False))
+    loose = F.transform(
+        F.try_variant_get("_v", "$[0]", "array<variant>"),
+        lambda x: F.from_json(F.to_json(x), f"STRUCT<{LEVER_JOB_DDL}, _seal STRING>"),
     )
     outcome = F.coalesce(status_outcome(F.col("http_status")), F.when(body_ok, F.lit("ok")).otherwise(F.lit("error")))
     return b.select(
@@ -122,13 +131,13 @@ def parse_lever(raw_boards: DataFrame, keep: tuple = ()) -> DataFrame:
         *keep,
         outcome.alias("outcome"),
         F.lit(None).cast("string").alias("board_name"),
-        F.when(outcome == "ok", F.coalesce(F.col("_arr"), F.array())).alias("jobs"),
+        F.when(outcome == "ok", F.coalesce(F.when(whole, F.get("_a", 0)), loose, F.array())).alias("jobs"),
     )
 
 
 def parse_ashby_rest(raw_boards: DataFrame, keep: tuple = ()) -> DataFrame:
     b = _board_rows(raw_boards, "ashby", "rest")
-    b = _parse_object_body(b, ASHBY_REST_DDL)
+    b = _parse_body(b, ASHBY_REST_DDL, ("jobs",), ASHBY_REST_JOB_DDL)
     body_ok = F.col("_body_ok")
     outcome = F.coalesce(status_outcome(F.col("http_status")), F.when(body_ok, F.lit("ok")).otherwise(F.lit("error")))
     return b.select(
@@ -136,13 +145,13 @@ def parse_ashby_rest(raw_boards: DataFrame, keep: tuple = ()) -> DataFrame:
         *keep,
         outcome.alias("outcome"),
         F.col("_p.organizationName").alias("board_name"),
-        F.when(outcome == "ok", F.when(~F.col("_corrupt"), F.coalesce(F.col("_p.jobs"), F.array())).otherwise(F.array())).alias("jobs"),
+        F.when(outcome == "ok", F.col("_jobs")).alias("jobs"),
     )
 
 
 def parse_ashby_graphql(raw_boards: DataFrame, keep: tuple = ()) -> DataFrame:
     b = _board_rows(raw_boards, "ashby", "graphql")
-    b = _parse_object_body(b, ASHBY_GRAPHQL_DDL)
+    b = _parse_body(b, ASHBY_GRAPHQL_DDL, ("data", "jobBoard", "jobPostings"), ASHBY_GRAPHQL_JOB_DDL)
     body_ok = F.col("_body_ok")
     # every non-2xx GraphQL answer is an empty board, not an error
     outcome = F.coalesce(
@@ -155,13 +164,24 @@ def parse_ashby_graphql(raw_boards: DataFrame, keep: tuple = ()) -> DataFrame:
         *keep,
         outcome.alias("outcome"),
         board["title"].alias("board_name"),
-        F.when(
-            outcome == "ok",
-            F.when(~F.col("_corrupt"), F.coalesce(board["jobPostings"], F.array())).otherwise(F.array()),
-        ).alias("jobs"),
+        F.when(outcome == "ok", F.col("_jobs")).alias("jobs"),
     )
 
 
+def _checked(parsed: DataFrame, strict: Column | None) -> DataFrame:
+    """Fail the query on the first failed board for which ``strict`` holds."""
+    if strict is None:
+        return parsed
+    name = F.create_map(*(F.lit(x) for kv in ATS_DISPLAY.items() for x in kv))[F.col("ats")]
+    status = F.when(F.col("http_status").between(200, 299), F.lit("malformed body")).otherwise(
+        F.coalesce(F.col("http_status").cast("string"), F.lit("no response")))
+    message = F.lit(MSG_BOARD_ERROR)
+    for key, value in (("{platform}", name), ("{slug}", F.col("slug")), ("{status}", status)):
+        message = F.replace(message, F.lit(key), F.coalesce(value, F.lit("")))
+    failed = (F.col("outcome") == "error") & strict
+    return parsed.withColumn("outcome", F.when(failed, F.raise_error(message).cast("string")).otherwise(F.col("outcome")))
+
+
 def _explode(parsed: DataFrame, keep: tuple = ()) -> DataFrame:
     return parsed.where(F.col("outcome") == "ok").select(
         "ats", "slug", "part", *keep, "board_name", F.posexplode("jobs").alias("pos", "job")
@@ -188,9 +208,9 @@ def _pre(ats: str, keep: tuple = (), **cols) -> list[Column]:
     return [F.col(k) for k in keep] + [base[name].alias(name) for name in PRE_NORMALISED_COLS]
 
 
-def greenhouse_postings(raw_boards: DataFrame, keep: tuple = ()) -> DataFrame:
+def greenhouse_postings(raw_boards: DataFrame, keep: tuple = (), strict: Column | None = None) -> DataFrame:
     j = F.col("job")
-    rows = _explode(parse_greenhouse(raw_boards, keep), keep)
+    rows = _explode(_checked(parse_greenhouse(raw_boards, keep), strict), keep)
     return rows.select(
         *_pre(
             "greenhouse",
@@ -223,10 +243,10 @@ def _iso_from_epoch_ms(ms: Column) -> Column:
     return F.when(good, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"))
 
 
-def lever_postings(raw_boards: DataFrame, keep: tuple = ()) -> DataFrame:
+def lever_postings(raw_boards: DataFrame, keep: tuple = (), strict: Column | None = None) -> DataFrame:
     j = F.col("job")
     cat = j["categories"]
-    rows = _explode(parse_lever(raw_boards, keep), keep)
+    rows = _explode(_checked(parse_lever(raw_boards, keep), strict), keep)
     return rows.select(
         *_pre(
             "lever",
@@ -304,25 +324,34 @@ def ashby_graphql_postings(parsed_graphql: DataFrame, keep: tuple = ()) -> DataF
 def ashby_rest_nonempty_slugs(raw_boards: DataFrame) -> DataFrame:
     """Slugs whose REST board has at least one posting (in any part).
 
-    Same decision as the full parse (2xx, a well-formed body, a non-empty
-    ``jobs`` array; a broken body counts as empty, which triggers the
-    fallback), but parsed with a pruned schema: the body is validated end to
-    end while only the job ids are materialised."""
-    rest = _board_rows(raw_boards, "ashby", "rest")
-    light = F.from_json(F.col("body"), f"jobs ARRAY<STRUCT<id STRING>>, {CORRUPT} STRING",
-                        {"columnNameOfCorruptRecord": CORRUPT})
-    rest = rest.select("slug", "http_status", "body", F.explode(F.array(light)).alias("_l"))
-    ok = (F.col("http_status").between(200, 299) & F.col("_l").isNotNull() & F.col(f"_l.{CORRUPT}").isNull()
-          & _ends_with(F.col("body"), _OBJ_END))
-    return rest.where(ok & (F.size(F.col("_l.jobs")) > 0)).select("slug").distinct()
+    The same decision as the full parse takes: 2xx, one complete JSON object
+    and nothing behind it, and a ``jobs`` array with an element of whatever
+    type; anything else counts as empty, which triggers the fallback.  The
+    elements are not typed here, only skipped over as text."""
+    rest = _board_rows(raw_boards, "ashby", "rest").where(F.col("http_status").between(200, 299))
+    rest = _parse_once(rest.select("slug", "body"), F.from_json(_sealed(F.col("body"), ',{"_seal":"', '"}]'),
+                                                               "ARRAY<STRUCT<jobs ARRAY<STRING>, _seal STRING>>"), "_a")
+    whole = (F.size("_a") == 2) & (F.get("_a", 1)["_seal"] == F.md5("body"))
+    return rest.where(whole & (F.size(F.get("_a", 0)["jobs"]) > 0)).select("slug").distinct()
+
+
+def ashby_graphql_needed(raw_boards: DataFrame) -> DataFrame:
+    """Landed rows without the GraphQL ones that no call reads: those of slugs
+    whose REST board has postings.  A join of raw rows, before they are parsed."""
+    unread = ashby_rest_nonempty_slugs(raw_boards)
+    graphql = _board_rows(raw_boards, "ashby", "graphql").join(unread, "slug", "left_anti")
+    other = raw_boards.where(~((F.col("ats") == "ashby") & (F.col("endpoint") == "graphql")))
+    return other.unionByName(graphql)
 
 
-def ashby_postings(raw_boards: DataFrame, keep: tuple = ()) -> DataFrame:
+def ashby_postings(raw_boards: DataFrame, keep: tuple = (), strict: Column | None = None) -> DataFrame:
     """REST first; GraphQL only for slugs whose REST gave zero postings or
-    failed.  The anti-join runs on board rows, before any explode."""
+    failed.  The anti-join runs on raw board rows, before GraphQL is parsed.
+    A failed REST board is no error, whatever ``strict`` says."""
     rest = parse_ashby_rest(raw_boards, keep)
-    graphql = parse_ashby_graphql(raw_boards, keep).join(ashby_rest_nonempty_slugs(raw_boards), "slug", "left_anti")
-    return ashby_rest_postings(rest, keep).unionByName(ashby_graphql_postings(graphql, keep))
+    unread = ashby_rest_nonempty_slugs(raw_boards)
+    graphql = parse_ashby_graphql(_board_rows(raw_boards, "ashby", "graphql").join(unread, "slug", "left_anti"), keep)
+    return ashby_rest_postings(rest, keep).unionByName(ashby_graphql_postings(_checked(graphql, strict), keep))
 
 
 def board_outcomes(raw_boards: DataFrame, keep: tuple = ()) -> DataFrame:
@@ -350,10 +379,11 @@ def adapter(name: str):
         raise ValueError(MSG_UNKNOWN_ATS.format(ats=name, supported=", ".join(ADAPTERS))) from None
 
 
-def all_postings(raw_boards: DataFrame, keep: tuple = ()) -> DataFrame:
-    """Bag union of every platform's postings (failed boards contribute none)."""
+def all_postings(raw_boards: DataFrame, keep: tuple = (), strict: Column | None = None) -> DataFrame:
+    """Bag union of every platform's postings.  Failed boards contribute none,
+    or fail the query where the condition ``strict`` holds for their row."""
     out = None
     for fn in ADAPTERS.values():
-        df = fn(raw_boards, keep)
+        df = fn(raw_boards, keep, strict)
         out = df if out is None else out.unionByName(df)
     return out

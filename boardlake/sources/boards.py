@@ -20,6 +20,20 @@ def read_raw_boards(spark: SparkSession, path: str, fmt: str = "parquet") -> Dat
     return reader.format(fmt).load(path)
 
 
+def latest_boards(raw_boards: DataFrame) -> DataFrame:
+    """The newest snapshot of every board: for each (ats, slug, endpoint) the
+    rows with the largest ``fetched_at``, which all parts of one fetch share.
+
+    Rows without a time count as the oldest.  The times are aggregated first
+    (one small row per board and map task), so a board of many parts or
+    snapshots never meets in one task as a group.
+    """
+    keys = ["ats", "slug", "endpoint"]
+    when = F.coalesce(F.col("fetched_at"), F.lit("0001-01-01 00:00:00").cast("timestamp"))
+    newest = raw_boards.groupBy(*keys).agg(F.max(when).alias("_newest"))
+    return raw_boards.join(newest, keys).where(when == F.col("_newest")).select(raw_boards.columns)
+
+
 def status_outcome(status: Column, *, non_ok_is_empty: bool = False) -> Column:
     """Outcome from the HTTP status alone (body validity is checked by the adapter).
 

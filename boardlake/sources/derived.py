@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.dates import js_timestamp
+from .boards import latest_boards
 from .schemas import ATS_NAMES
 
 AS_OF = "2024-01-31T00:00:00Z"
@@ -35,23 +37,22 @@ TITLES = (
 )
 DEPARTMENTS = ("Engineering", "Product", "Growth", "", None)
 LOCATIONS = (
-    "San Francisco, US",
-    "Remote - US",
-    "United States",
-    "Sydney, Australia",
-    "Sydney, AUS",
-    "Brussels, Belgium",
-    "Minsk, Belarus",
-    "Lausanne, Switzerland",
-    "London, UK",
-    "Auckland, New Zealand",
-    "Remote - EMEA",
+    "Remote across the US",
+    "Tulsa, US",
+    "Any United States office",
+    "Hobart, Australia",
+    "AUS (Hobart)",
+    "Gomel, Belarus",
+    "Zug",
+    "Leeds, UK",
     None,
-    "",
     "Hybrid - Paris",
-    "On-site Berlin",
-    "Onsite",
-    "Remote (US)",
+    "",
+    "On-site in Kassel",
+    "ONSITE",
+    "Remote, EMEA only",
+    "Bonn, Germany",
+    "Rusutsu",
     "zéus",
 )
 SECTORS = ("fintech", "developer tools", "productivity", "security", None)
@@ -76,21 +77,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def read_text_table(spark: SparkSession, sf_dir: str, name: str, cols) -> DataFrame:
-    """Scan for CPU-heavy per-row text work: when the scan yields fewer
-    splits than the cluster has cores (a small single-row-group file), the
-    rows are dealt round-robin over the cores first.  Large inputs already
-    scan as >= cores splits and are left as they are (no shuffle)."""
+    """Scan for CPU-heavy per-row text work.  The driver's tables are single
+    files of one row group, which one task would read and work through; the
+    fixture deals their rows out first."""
     df = read_table(spark, sf_dir, name).select(*cols)
     return spread(df)
 
 
 def spread(df: DataFrame) -> DataFrame:
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD access (e.g. a remote session): leave as is
-        return df
-    return df.repartition(cores) if splits < cores else df
+    """Deal the rows evenly over the session's shuffle partitions."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def _ats_name(ord_col: Column) -> Column:
@@ -252,7 +248,7 @@ def _land(grouped: DataFrame, body: Column) -> DataFrame:
     )
 
 
-FIXTURE_VERSION = "boards-v1"
+FIXTURE_VERSION = "boards-v2"
 
 
 def _fixture_code():
@@ -277,12 +273,18 @@ def landed_raw_boards(spark: SparkSession, sf_dir: str) -> DataFrame:
                         code_files=_FIXTURE_CODE)
 
 
+def latest_raw_boards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest snapshot of the landed boards."""
+    return latest_boards(landed_raw_boards(spark, sf_dir))
+
+
 def landed_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``v_postings`` landed once as parquet under the shared checkpoint
     folder; queries then scan it in parallel instead of re-deriving it."""
     from .landing import landed_table
 
-    return landed_table(spark, "postings_view", [sf_dir, FIXTURE_VERSION], lambda: v_postings(spark, sf_dir),
+    return landed_table(spark, "postings_view", [sf_dir, FIXTURE_VERSION],
+                        lambda: v_postings(spark, sf_dir).withColumn("posted_at", js_timestamp("posted_at_raw")),
                         inputs=[f"{sf_dir.rstrip('/')}/documents.parquet"], code_files=_FIXTURE_CODE)
 
 
@@ -299,12 +301,15 @@ def v_raw_boards(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = _company_name(F.col("company_slug"), F.col("slug_num"))
 
     gh_job = F.struct(
-        doc.alias("id"),
+        # some ids and locations have a type the platform does not announce
+        F.when(doc % 37 == 5, F.parse_json(F.concat(F.lit('"g'), doc.cast("string"), F.lit('"'))))
+        .otherwise(F.parse_json(doc.cast("string"))).alias("id"),
         (doc + 1000000).alias("internal_job_id"),
         F.col("title").alias("title"),
         F.col("posted_at_raw").alias("updated_at"),
         F.concat(F.lit("https://boards.example.com/"), slug, F.lit("/jobs/"), doc.cast("string")).alias("absolute_url"),
-        F.when(loc.isNotNull(), F.struct(loc.alias("name"))).alias("location"),
+        F.when(doc % 41 == 7, F.parse_json(F.lit('"Anywhere"')))
+        .when(loc.isNotNull(), F.parse_json(F.to_json(F.struct(loc.alias("name"))))).alias("location"),
         F.when(F.col("department").isNotNull(), F.array(F.struct(F.col("department").alias("name"))))
         .otherwise(F.array().cast("array<struct<name:string>>")).alias("departments"),
         F.when(loc.isNotNull(), F.array(F.struct(loc.alias("name"))))
@@ -316,8 +321,9 @@ def v_raw_boards(spark: SparkSession, sf_dir: str) -> DataFrame:
         _id12("lv-", doc).alias("id"),
         F.col("title").alias("text"),
         F.concat(F.lit("https://jobs.example.com/"), slug, F.lit("/"), _id12("lv-", doc)).alias("hostedUrl"),
-        F.when(F.col("posted_at_raw").isNull(), F.lit(None).cast("bigint"))
-        .otherwise(F.coalesce(created, F.lit(0).cast("bigint"))).alias("createdAt"),
+        F.when(doc % 47 == 11, F.parse_json(F.lit('"soon"')))
+        .when(F.col("posted_at_raw").isNotNull(), F.parse_json(F.coalesce(created, F.lit(0).cast("bigint")).cast("string")))
+        .alias("createdAt"),
         F.when(doc % 2 == 0, F.col("description")).alias("descriptionPlain"),
         html.alias("description"),
         F.when(
@@ -340,7 +346,8 @@ def v_raw_boards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("description").alias("descriptionPlain"),
         F.col("posted_at_raw").alias("publishedAt"),
         _pick(EMPLOYMENT, doc % 4).alias("employmentType"),
-        F.when(doc % 3 != 2, F.coalesce(loc, F.lit("")).startswith("Remote")).alias("isRemote"),
+        F.when(doc % 43 == 9, F.parse_json(F.lit('"yes"')))
+        .when(doc % 3 != 2, F.parse_json(F.coalesce(loc, F.lit("")).startswith("Remote").cast("string"))).alias("isRemote"),
         F.concat(F.lit("Team "), (doc % 3).cast("string")).alias("teamName"),
         _compensation(doc, a, b).alias("compensation"),
     )
@@ -377,7 +384,38 @@ def v_raw_boards(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.to_json(F.struct(F.struct(F.struct(
             name.alias("title"), F.col("ag").alias("jobPostings")).alias("jobBoard")).alias("data"))))
     )
-    return _land(rows, body).unionByName(v_probes(spark, sf_dir))
+    current = _land(rows, body)
+    return current.unionByName(_stale(current)).unionByName(v_broken_parts(spark, sf_dir)).unionByName(v_probes(spark, sf_dir))
+
+
+#: Texts behind a whole board that make it a broken one.
+TRAILERS = (" " * 10 + "junk", " " * 64 + "junk", " " * 500 + "junk", " }}}", "]", ",{}")
+BROKEN_PART = 900_001
+
+
+def _stale(current: DataFrame) -> DataFrame:
+    """An older snapshot of the boards: their first parts and one that is gone."""
+    old = F.lit(AS_OF).try_cast("timestamp") - F.expr("INTERVAL 1 DAY")
+    body = F.when(F.col("ats") == "lever", F.lit('[{"id":"old","text":"Stale"}]')).otherwise(
+        F.lit('{"name":"Old","jobs":[{"id":"1","title":"Stale"}],"data":{"jobBoard":{"jobPostings":[{"id":"1","title":"Stale"}]}}}'))
+    rows = current.select("ats", "slug", "endpoint").distinct().select(
+        "*", F.explode(F.array(F.lit(0), F.lit(700_000))).alias("part"))
+    return rows.select(
+        "ats", "slug", "endpoint", "part", F.lit(200).alias("http_status"), old.alias("fetched_at"), body.alias("body"))
+
+
+def v_broken_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts of every company's own board whose body is whole, with more text
+    behind it."""
+    src = read_table(spark, sf_dir, "documents").select(F.col("source").alias("slug")).distinct()
+    n = F.substring("slug", 4, 1 << 20).cast("int")
+    rows = src.select("slug", _ats_name((n % 3).cast("int")).alias("ats"), F.posexplode(F.array(*map(F.lit, TRAILERS))).alias("i", "tail"))
+    whole = F.when(F.col("ats") == "lever", F.lit('[{"id":"1"}]')).otherwise(F.lit('{"jobs":[{"id":"1"}]}'))
+    return rows.select(
+        "ats", "slug", F.when(F.col("ats") == "ashby", "rest").otherwise("board").alias("endpoint"),
+        (F.col("i") + BROKEN_PART).cast("int").alias("part"), F.lit(200).alias("http_status"),
+        F.lit(AS_OF).try_cast("timestamp").alias("fetched_at"), F.concat(whole, F.col("tail")).alias("body"),
+    )
 
 
 def v_probes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,15 +3,14 @@
 Writing a derived table and reading it back cuts its lineage (a lost
 executor recomputes from the written files, not from the sources) and lets
 many queries share one materialisation.  The folder is the cluster's
-``spark.checkpoint.dir``; a private temporary folder is used only when a
-local-mode session has none (local runs and tests); on a cluster an unset
-folder is an error.
+``spark.checkpoint.dir``, or the one given to ``setCheckpointDir``; a private
+temporary folder is used only when a local-mode session, where driver and
+executors are one process, has neither; on a cluster that is an error.
 """
 
 from __future__ import annotations
 
 import hashlib
-import os
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -29,38 +28,45 @@ def shared_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if conf_dir:
         return conf_dir.rstrip("/")
+    set_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if set_dir.isDefined():
+        return set_dir.get().rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         # a machine-local folder is not shared by executors: refuse on a cluster
         raise RuntimeError("set spark.checkpoint.dir to a shared, durable folder (e.g. on HDFS or object storage)")
     key = spark.sparkContext.applicationId
     if key not in _FALLBACK:
         _FALLBACK[key] = tempfile.mkdtemp(prefix="boardlake-ckpt-")
-        spark.sparkContext.setCheckpointDir(_FALLBACK[key])
     return _FALLBACK[key]
 
 
+def _fs(spark: SparkSession, path: str):
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = getattr(spark.sparkContext, "_jvm", None)
-    if jvm is None:
-        return os.path.exists(os.path.join(path, "_SUCCESS"))
-    hpath = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, hpath = _fs(spark, path + "/_SUCCESS")
     return bool(fs.exists(hpath))
 
 
-def _fingerprint(parts, inputs, code_files=()) -> str:
+def _files(spark: SparkSession, path: str) -> list[str]:
+    """Every file under a path of any Hadoop file system, with size and time."""
+    fs, hpath = _fs(spark, path)
+    found, it = [], fs.listFiles(hpath, True)
+    while it.hasNext():
+        f = it.next()
+        found.append(f"{f.getPath()}:{f.getLen()}:{f.getModificationTime()}")
+    return sorted(found)
+
+
+def _fingerprint(spark: SparkSession, parts, inputs, code_files=()) -> str:
     h = hashlib.sha1(RUN_TAG.encode())
     for path in code_files:
         with open(path, "rb") as fh:  # the builder's code: a change re-lands
             h.update(fh.read())
-    for p in parts:
+    for p in [*parts, *(f for path in inputs or () for f in _files(spark, path))]:
         h.update(str(p).encode())
-    for path in inputs or ():
-        if os.path.exists(path):
-            st = os.stat(path)
-            h.update(f"{path}:{st.st_size}:{int(st.st_mtime)}".encode())
-        else:
-            h.update(path.encode())
     return h.hexdigest()[:16]
 
 
@@ -71,15 +77,11 @@ def landed_table(
     build: Callable[[], DataFrame],
     partition_by=None,
     inputs=None,
-    distribute_by=None,
     code_files=(),
 ) -> DataFrame:
-    path = f"{shared_dir(spark)}/boardlake/{name}-{_fingerprint(key_parts, inputs, code_files)}"
+    path = f"{shared_dir(spark)}/boardlake/{name}-{_fingerprint(spark, key_parts, inputs, code_files)}"
     if not _exists(spark, path):
         df = build()
-        if distribute_by:
-            # several files per partition directory, boards hashed over them
-            df = df.repartition(spark.sparkContext.defaultParallelism * 2, *distribute_by)
         # write to a private staging folder, then move it into place: a
         # concurrent writer of the same table never sees a half-written one
         staging = f"{path}.staging-{uuid.uuid4().hex}"
@@ -94,15 +96,7 @@ def landed_table(
 def _publish(spark: SparkSession, staging: str, path: str) -> None:
     """Rename staging -> path; when another writer got there first, keep
     theirs (same fingerprint, same content)."""
-    jvm = getattr(spark.sparkContext, "_jvm", None)
-    if jvm is None:
-        try:
-            os.rename(staging, path)
-        except OSError:
-            pass
-        return
-    src = jvm.org.apache.hadoop.fs.Path(staging)
-    fs = src.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    dst = jvm.org.apache.hadoop.fs.Path(path)
+    fs, src = _fs(spark, staging)
+    dst = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     if fs.exists(dst) or not fs.rename(src, dst):
         fs.delete(src, True)  # another writer published first: drop our copy

@@ -27,29 +27,29 @@ RAW_BOARDS_DDL = (
 REGISTRY_DDL = "slug STRING, name STRING, sector STRING"
 
 # Wire schemas passed to from_json.  Field names are the platforms' own.
-GREENHOUSE_DDL = (
-    "name STRING, jobs ARRAY<STRUCT<id BIGINT, internal_job_id BIGINT, title STRING, "
+GREENHOUSE_JOB_DDL = (
+    "id BIGINT, internal_job_id BIGINT, title STRING, "
     "updated_at STRING, absolute_url STRING, location STRUCT<name STRING>, "
-    "departments ARRAY<STRUCT<name STRING>>, offices ARRAY<STRUCT<name STRING>>, content STRING>>"
+    "departments ARRAY<STRUCT<name STRING>>, offices ARRAY<STRUCT<name STRING>>, content STRING"
 )
-LEVER_DDL = (
-    "ARRAY<STRUCT<id STRING, text STRING, hostedUrl STRING, createdAt BIGINT, "
+GREENHOUSE_DDL = f"name STRING, jobs ARRAY<STRUCT<{GREENHOUSE_JOB_DDL}>>"
+LEVER_JOB_DDL = (
+    "id STRING, text STRING, hostedUrl STRING, createdAt BIGINT, "
     "descriptionPlain STRING, description STRING, "
     "categories STRUCT<department STRING, team STRING, location STRING, commitment STRING>, "
-    "workplaceType STRING>>"
+    "workplaceType STRING"
 )
-ASHBY_REST_DDL = (
-    "organizationName STRING, jobs ARRAY<STRUCT<id STRING, title STRING, departmentName STRING, "
+ASHBY_REST_JOB_DDL = (
+    "id STRING, title STRING, departmentName STRING, "
     "location STRING, descriptionHtml STRING, descriptionPlain STRING, publishedAt STRING, "
-    "employmentType STRING, isRemote BOOLEAN, teamName STRING, compensation VARIANT>>"
+    "employmentType STRING, isRemote BOOLEAN, teamName STRING, compensation VARIANT"
 )
-ASHBY_GRAPHQL_DDL = (
-    "data STRUCT<jobBoard STRUCT<title STRING, jobPostings ARRAY<STRUCT<id STRING, title STRING, "
-    "locationName STRING, employmentType STRING, descriptionHtml STRING, publishedDate STRING, "
-    "compensationTierSummary STRING>>>>"
+ASHBY_REST_DDL = f"organizationName STRING, jobs ARRAY<STRUCT<{ASHBY_REST_JOB_DDL}>>"
+ASHBY_GRAPHQL_JOB_DDL = (
+    "id STRING, title STRING, locationName STRING, employmentType STRING, "
+    "descriptionHtml STRING, publishedDate STRING, compensationTierSummary STRING"
 )
-
-CORRUPT = "_corrupt_record"
+ASHBY_GRAPHQL_DDL = f"data STRUCT<jobBoard STRUCT<title STRING, jobPostings ARRAY<STRUCT<{ASHBY_GRAPHQL_JOB_DDL}>>>>"
 
 # Superset of the per-platform metadata (keys as the platforms' tools emit them).
 METADATA_TYPE = T.StructType(

@@ -33,28 +33,41 @@ def _iso_utc(ts: Column) -> Column:
     return F.date_format(F.convert_timezone(F.current_timezone(), F.lit("UTC"), ts.cast("timestamp_ntz")), ISO_MS)
 
 
-def _metadata_json(meta: Column) -> Column:
-    """Only the keys the posting's platform sets (absent keys are dropped,
-    as a JavaScript serialiser drops undefined values)."""
-    return F.parse_json(F.coalesce(F.to_json(meta), F.lit("{}")))
+# The metadata keys each kind of posting has, in its order.
+METADATA_KEYS = {
+    "greenhouse": ("departments", "greenhouseId", "internal_job_id", "offices"),
+    "lever": ("commitment", "leverId", "team", "workplaceType"),
+    "ashby": ("ashbyId", "employmentType", "isRemote", "team"),
+    "ashby graphql": ("ashbyId", "compensationSummary", "employmentType"),
+}
+
+
+def _metadata_json(ats: Column, meta: Column) -> Column:
+    """The platform's metadata object as text, null values kept.  An Ashby
+    posting with a compensation summary came from the GraphQL board."""
+    kind = F.when((ats == "ashby") & meta["compensationSummary"].isNotNull(), "ashby graphql").otherwise(ats)
+    out = F.lit("{}")
+    for name, keys in METADATA_KEYS.items():
+        out = F.when(kind == name, F.to_json(F.struct(*(meta[k].alias(k) for k in keys)), {"ignoreNullFields": "false"})).otherwise(out)
+    return F.coalesce(out, F.lit("{}"))
 
 
 def posting_record(df: DataFrame, keep=("request_id",)) -> DataFrame:
     """One JSON document per posting with the record's keys.  Null salary
     and postedAt are kept as JSON null; ``keep`` columns ride along."""
     cols = []
-    for key, col in RECORD_KEYS:
+    for key, col in RECORD_KEYS[:-1]:
         c = F.col(col)
         if col in ("first_seen", "last_seen"):
             c = _iso_utc(c)
-        elif col == "metadata":
-            c = _metadata_json(c)
         cols.append(c.alias(key))
-    rec = F.struct(*cols)
-    return df.select(
-        *[c for c in keep if c in df.columns],
-        F.to_json(rec, {"ignoreNullFields": "false"}).alias("json"),
-    )
+    rec = F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
+    # metadata is the last key: its text takes the place of the closing brace
+    key = RECORD_KEYS[-1][0]
+    own = [c for c in keep if c in df.columns]
+    rows = df.select(*own, *(F.col(c).alias(f"_{c}") for c in ("ats", "metadata")), F.explode(F.array(rec)).alias("_rec"))
+    whole = F.concat(F.expr("left(_rec, length(_rec) - 1)"), F.lit(f',"{key}":'), _metadata_json(F.col("_ats"), F.col("_metadata")), F.lit("}"))
+    return rows.select(*own, whole.alias("json"))
 
 
 def write_postings_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -6,12 +6,15 @@ postings table.  ``availableNow`` processes what has landed and stops (the
 streaming form of a scheduled scan); the checkpoint records the files
 already processed, so a restarted job neither skips nor repeats any.
 
-Each micro-batch runs the batch pipeline through ``foreachBatch``: the
-Ashby REST -> GraphQL fallback is an anti-join between two views of the
-same batch, which a stream-stream join cannot express.  Responses of one
-company are assumed to land together (same file or same batch).  Output is
-written per batch id with dynamic partition overwrite, so a retried batch
-replaces its own output instead of duplicating it.
+Each micro-batch runs the batch pipeline through ``foreachBatch``.  A batch
+never decides from its own rows alone: it names the boards that have new
+rows, reads everything landed for them, takes the newest snapshot of each
+endpoint and replaces those boards' postings.  So the parts and endpoints of
+one company may land in any number of batches, and a lost or new checkpoint
+folder only makes boards be written again with the same result.
+
+Output is one folder for each (ats, bucket of the slug); a batch rewrites the
+buckets it touches, and keeps in them the boards it does not.
 """
 
 from __future__ import annotations
@@ -21,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ..operators.normalize import normalize
 from ..sources.adapters import all_postings
+from ..sources.boards import latest_boards
 from ..sources.schemas import RAW_BOARDS_DDL
 
 
@@ -32,7 +36,23 @@ def read_landing(spark: SparkSession, landing_dir: str, max_files_per_trigger: i
 
 
 def normalise_batch(boards: DataFrame, seen_at=None) -> DataFrame:
-    return normalize(all_postings(boards), seen_at)
+    return normalize(all_postings(latest_boards(boards)), seen_at)
+
+
+def refresh_boards(landed: DataFrame, touched: DataFrame, out_dir: str, seen_at=None, buckets: int = 64) -> None:
+    """Write the current postings of all boards that share an output bucket
+    with a ``touched`` (ats, slug)."""
+    bucket = F.pmod(F.xxhash64("slug"), F.lit(buckets)).cast("int")
+    stale = touched.select("ats", bucket.alias("bucket")).distinct()
+    boards = landed.withColumn("bucket", bucket).join(stale, ["ats", "bucket"], "left_semi").drop("bucket")
+    (
+        normalise_batch(boards, seen_at)
+        .withColumn("bucket", F.pmod(F.xxhash64("company_slug"), F.lit(buckets)).cast("int"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("ats", "bucket")
+        .parquet(out_dir)
+    )
 
 
 def run_ingest(
@@ -43,20 +63,17 @@ def run_ingest(
     seen_at=None,
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
+    buckets: int = 64,
 ):
-    """Append normalised postings to ``out_dir`` (parquet, partitioned by
-    batch_id and ats).  ``checkpoint_dir`` must be a shared, durable folder.
-    Returns the started StreamingQuery."""
+    """Keep ``out_dir`` (parquet, partitioned by ats and bucket) at the current
+    postings of all landed boards.  ``checkpoint_dir`` must be a shared, durable
+    folder; ``buckets`` bounds what a batch rewrites.  A board that has lost all
+    its postings, in a bucket with no others, keeps its last ones until the
+    bucket is next written.  Returns the started StreamingQuery."""
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        (
-            normalise_batch(batch, seen_at)
-            .withColumn("batch_id", F.lit(batch_id).cast("long"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id", "ats")
-            .parquet(out_dir)
-        )
+        landed = spark.read.schema(RAW_BOARDS_DDL).parquet(landing_dir)
+        refresh_boards(landed, batch.where("endpoint <> 'probe'"), out_dir, seen_at, buckets)
 
     q = (
         read_landing(spark, landing_dir, max_files_per_trigger)
