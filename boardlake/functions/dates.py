@@ -28,7 +28,7 @@ def js_timestamp(c) -> Column:
 
 
 def _named(x: Column) -> Column:
-    x = F.regexp_replace(x, r"^[A-Za-z]{3,9},?\s+(?=\d|[A-Za-z]{3,9}\.?\s)", "")
+    x = F.regexp_replace(x, r"(?i)^(?:sun|mon|tue|wed|thu|fri|sat)[a-z]*,?\s+", "")
     x = F.regexp_replace(F.initcap(x), r"\b([A-Z][a-z]{2})[a-z]*\b\.?", "$1")
     x = F.regexp_replace(x, r"\s*\b(?:Gmt|Utc|Z)\s*$", " +0000")
     zone = r"\s*([+-]\d{2}):?(\d{2})$"

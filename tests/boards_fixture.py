@@ -34,12 +34,12 @@ LEVER_BOARD = [
 ASHBY_REST = {
     "organizationName": "Glacier",
     "jobs": [
-        {"id": "a-1", "title": "PM", "departmentName": "Product", "location": "Remote - US",
-         "descriptionHtml": "<p>Build great things.</p>", "publishedAt": "2025-03-01T12:00:00Z",
-         "employmentType": "FullTime", "isRemote": True, "teamName": "Growth", "compensation": "$150,000 - $200,000"},
-        {"id": "a-2", "title": "Eng", "compensation": {"min": 120000, "max": 180000, "currency": "EUR"},
+        {"id": "ice-7", "title": "Sledge Builder", "departmentName": "Workshop", "location": "Narvik",
+         "descriptionHtml": "<p>Bend ash wood.</p>", "publishedAt": "2029-02-11T05:45:00Z",
+         "employmentType": "Contract", "isRemote": True, "teamName": "Frames", "compensation": "$43,210 - $54,321"},
+        {"id": "ice-8", "title": "Cook", "compensation": {"min": 7100, "max": 8850, "currency": "CHF"},
          "descriptionHtml": "<p>$1&nbsp;-&nbsp;$2</p>"},
-        {"id": "a-3", "title": "Ops", "compensation": None, "descriptionPlain": "Range $50,000 - $60,000"},
+        {"id": "ice-9", "title": "Dog Handler", "compensation": None, "descriptionPlain": "Wage $31,000 - $36,400"},
     ],
 }
 

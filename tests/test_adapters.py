@@ -85,17 +85,17 @@ def test_lever_non_array_body_is_empty_not_error(spark):  # T4
 
 def test_ashby_rest_mapping(spark):
     out = norm(AD.ashby_postings(boards(spark, [row("ashby", "glacier", "rest", 200, ASHBY_REST)])))
-    a = out["PM"]
-    assert a["company"] == "Glacier" and a["url"] == "https://jobs.ashbyhq.com/glacier/a-1"
-    assert a["description"] == "Build great things." and a["posted_at_raw"] == "2025-03-01T12:00:00Z"
-    assert (a["salary"]["min"], a["salary"]["max"], a["salary"]["currency"]) == (150000.0, 200000.0, "USD")
+    a = out["Sledge Builder"]
+    assert a["company"] == "Glacier" and a["url"] == "https://jobs.ashbyhq.com/glacier/ice-7"
+    assert a["description"] == "Bend ash wood." and a["posted_at_raw"] == "2029-02-11T05:45:00Z"
+    assert (a["salary"]["min"], a["salary"]["max"], a["salary"]["currency"]) == (43210.0, 54321.0, "USD")
     m = a["metadata"]
-    assert (m["ashbyId"], m["employmentType"], m["isRemote"], m["team"]) == ("a-1", "FullTime", True, "Growth")
-    b = out["Eng"]
-    assert (b["salary"]["min"], b["salary"]["max"], b["salary"]["currency"]) == (120000.0, 180000.0, "EUR")
+    assert (m["ashbyId"], m["employmentType"], m["isRemote"], m["team"]) == ("ice-7", "Contract", True, "Frames")
+    b = out["Cook"]
+    assert (b["salary"]["min"], b["salary"]["max"], b["salary"]["currency"]) == (7100.0, 8850.0, "CHF")
     assert b["metadata"]["isRemote"] is False and b["metadata"]["employmentType"] == ""
-    c = out["Ops"]  # no compensation: the plain description is searched
-    assert (c["salary"]["min"], c["salary"]["max"]) == (50000.0, 60000.0)
+    c = out["Dog Handler"]  # no compensation: the plain description is searched
+    assert (c["salary"]["min"], c["salary"]["max"]) == (31000.0, 36400.0)
 
 
 def test_ashby_salary_searched_on_raw_html(spark):  # T12
@@ -116,7 +116,7 @@ def test_ashby_fallback_to_graphql(spark):  # J3
     by_slug = {}
     for r in out.collect():
         by_slug.setdefault(r["company_slug"], []).append(r["title"])
-    assert sorted(by_slug["full"]) == ["Eng", "Ops", "PM"]
+    assert sorted(by_slug["full"]) == ["Cook", "Dog Handler", "Sledge Builder"]
     assert by_slug["empty"] == ["Designer"] and by_slug["gone"] == ["Designer"]
     assert "broken" not in by_slug
     g = [r for r in out.collect() if r["company_slug"] == "gone"][0]
@@ -165,3 +165,46 @@ def test_trailing_text_after_json_is_malformed(spark):  # S7
     got = {r["slug"]: r["outcome"] for r in AD.board_outcomes(boards(spark, rows)).collect()}
     assert got == {"junk": "error", "spaces": "ok", "clean": "ok", "ljunk": "error"}
     assert AD.greenhouse_postings(boards(spark, rows)).count() == 2
+
+
+def test_mistyped_fields_keep_their_postings(spark):
+    gh = '{"name":"n","jobs":[{"id":"12ab","title":"a"},{"id":2,"title":"b","location":"Quay 4"},7,{"title":"c","departments":"x"}]}'
+    lv = '[{"id":"p","text":"a","createdAt":"soon"},{"id":"q","text":"b","categories":"none"},3]'
+    rest = '{"jobs":[{"id":"r","title":"a","isRemote":"yes"},{"id":5,"title":"b"}]}'
+    gql = {"data": {"jobBoard": {"jobPostings": [{"id": "u", "title": "unread"}]}}}
+    rows = [row("greenhouse", "g", "board", 200, gh), row("lever", "l", "board", 200, lv),
+            row("ashby", "s", "rest", 200, rest), row("ashby", "s", "graphql", 200, gql)]
+    b = boards(spark, rows)
+    got = sorted((r["company_slug"], r["title"]) for r in AD.all_postings(b).select("company_slug", "title").collect())
+    assert got == [("g", ""), ("g", "a"), ("g", "b"), ("g", "c"), ("l", ""), ("l", "a"), ("l", "b"), ("s", "a"), ("s", "b")]
+    out = {r["slug"]: (r["outcome"], r["n_jobs"]) for r in AD.board_outcomes(b).where("endpoint <> 'graphql'").collect()}
+    assert out == {"g": ("ok", 4), "l": ("ok", 3), "s": ("ok", 2)}
+
+
+@pytest.mark.parametrize("behind", ["junk", " " * 10 + "junk", " " * 64 + "junk", " " * 500 + "junk", " }}}", "]", ",{}", ',"x"]', '"'])
+def test_anything_behind_the_body_is_an_error(spark, behind):
+    rows = [row("greenhouse", "g", "board", 200, '{"jobs":[{"id":1}]}' + behind), row("lever", "l", "board", 200, "[]" + behind),
+            row("ashby", "s", "rest", 200, '{"jobs":[{"id":"1"}]}' + behind), row("ashby", "s", "graphql", 200, "{}" + behind)]
+    assert {r["outcome"] for r in AD.board_outcomes(boards(spark, rows)).collect()} == {"error"}
+    assert AD.ashby_rest_nonempty_slugs(boards(spark, rows)).count() == 0
+
+
+def test_values_that_are_no_object_are_empty_boards(spark):
+    rows = [row("greenhouse", f"g{i}", "board", 200, v) for i, v in enumerate(["[1,2]", "5", '"x"', "true", " {} ", "null", "", "{"])]
+    got = [r["outcome"] for r in AD.board_outcomes(boards(spark, rows)).orderBy("slug").collect()]
+    assert got == ["ok"] * 5 + ["error"] * 3
+
+
+def test_newest_snapshot(spark):
+    import datetime as dt
+
+    from boardlake.sources.boards import latest_boards
+
+    old, new = dt.datetime(2030, 1, 1), dt.datetime(2030, 1, 2)
+    at = lambda r, t: (*r[:5], t, r[6])
+    rows = [at(row("lever", "a", "board", 200, '[{"id":"1","text":"old"}]'), old), at(row("lever", "a", "board", 200, '[{"id":"1","text":"gone"}]', 1), old),
+            at(row("lever", "a", "board", 200, '[{"id":"1","text":"new"}]'), new), row("lever", "b", "board", 200, '[{"id":"2","text":"untimed"}]'),
+            at(row("ashby", "c", "rest", 200, "{}"), new), at(row("ashby", "c", "graphql", 200, "{}"), old)]
+    left = latest_boards(boards(spark, rows))
+    assert sorted(r["title"] for r in AD.lever_postings(left).collect()) == ["new", "untimed"]
+    assert left.where("slug = 'c'").count() == 2  # endpoints are fetched apart

@@ -79,3 +79,23 @@ def test_js_trim_strips_unicode_whitespace(spark):  # T7
 def test_utf16_length():  # T23
     assert utf16_len("emea") == 4
     assert utf16_len("\U0001f600") == 2
+
+
+@pytest.mark.parametrize(("pattern", "text", "hit"), [
+    (r"\Aa", "Aa", True), (r"\Aa", "a", False), (r"x\Z", "xZ", True), (r"x\z", "xz", True), (r"\Qa.b\E", "Qa.bE", True),
+    (r"\Qa.b\E", "a.b", False), (r"\h\R\X\e\a", "hRXea", True), (r"a\vb", "a\x0bb", True), (r"a\vb", "a\nb", False),
+    (r"^[\S]$", "\u00a0", False), (r"^[\Sx ]$", " ", True), (r"^[^\S]$", "\u00a0", True), (r"^[^\S ]$", " ", False),
+    (r"^[^\S ]$", "\t", True), (r"\cJ", "\n", True), (r"\x4", "x4", True), (r"\u12", "u12", True), (r"(a)\1", "aa", True),
+    (r"\101", "A", True), (r"[\b]", "\x08", True), (r"[\B]", "B", True), (r"a{,2}", "a{,2}", True), (r"a+?", "a", True),
+])
+def test_escapes_mean_what_javascript_means(spark, pattern, text, hit):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([(text,)], "x string")
+    assert df.select(F.col("x").rlike(js_regex(pattern, ignore_case=False)).alias("r")).first()["r"] is hit
+
+
+@pytest.mark.parametrize("pattern", ["a*+", "a++", "a?+", "a{2}+", "a+?+"])
+def test_possessive_quantifiers_are_rejected(pattern):
+    with pytest.raises(JsRegexError):
+        js_regex(pattern)

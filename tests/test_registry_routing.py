@@ -128,10 +128,31 @@ def test_limit_is_per_company(spark, raw_boards, registry):  # W1
     assert got == [("acme", "lever"), ("northwind", "greenhouse"), ("solo", "greenhouse")]
 
 
-def test_strict_mode_raises_on_failed_registry_board(spark, raw_boards, registry):  # T3
-    assert api.fetch_jobs(spark, raw_boards, registry, "kestrel").count() == 0
-    with pytest.raises(api.BoardError, match="Greenhouse API error for kestrel: 500"):
-        api.fetch_jobs(spark, raw_boards, registry, "kestrel", strict=True)
+def test_one_company_fails_on_its_board_a_batch_does_not(spark, raw_boards, registry):  # T3
+    with pytest.raises(Exception, match="Greenhouse API error for kestrel: 500"):
+        api.fetch_jobs(spark, raw_boards, registry, "kestrel").collect()
+    assert api.fetch_jobs(spark, raw_boards, registry, "kestrel", strict=False).count() == 0
+    assert api.fetch_jobs(spark, raw_boards, registry, ["kestrel", "acme"]).count() == 3
+
+
+@pytest.mark.parametrize(("fetch", "ats", "endpoint", "name"), [
+    ("fetch_greenhouse", "greenhouse", "board", "Greenhouse"), ("fetch_lever", "lever", "board", "Lever"), ("fetch_ashby", "ashby", "graphql", "Ashby")])
+def test_direct_calls_fail_on_broken_boards(spark, fetch, ats, endpoint, name):
+    for status, body, said in ((503, "{}", "503"), (None, None, "no response"), (200, "{bad", "malformed")):
+        if endpoint == "graphql" and status == 503:
+            continue  # an answered GraphQL board is empty, not an error
+        df = spark.createDataFrame([row(ats, "x", endpoint, status, body)], RAW_DDL)
+        with pytest.raises(Exception, match=f"{name} API error for x: {said}"):
+            getattr(api, fetch)(spark, df, "x").collect()
+        assert getattr(api, fetch)(spark, df, ["x"]).count() == 0
+    gone = spark.createDataFrame([row(ats, "x", endpoint, 404, "{}")], RAW_DDL)
+    assert getattr(api, fetch)(spark, gone, "x").count() == 0
+
+
+def test_unread_graphql_board_is_no_error(spark, registry):
+    df = spark.createDataFrame([row("ashby", "glacier", "rest", 200, ASHBY_REST), row("ashby", "glacier", "graphql", 200, "{bad")], RAW_DDL)
+    assert api.fetch_jobs(spark, df, registry, "glacier").count() == 3
+    assert api.fetch_ashby(spark, df, "glacier").count() == 3
 
 
 def test_fetch_summary(spark, raw_boards, registry):  # A2, J5
@@ -164,6 +185,16 @@ def test_sector_sweep(spark, raw_boards, registry):  # J4
     assert api.sector_sweep(spark, raw_boards, registry, "fintech").count() == 2
 
 
+def test_sector_sweep_reads_each_listed_platform_with_its_own_limit(spark, raw_boards):
+    from boardlake.sources.registry import registry_from_table
+
+    listed = [("greenhouse", "solo"), ("lever", "solo"), ("lever", "acme"), ("lever", "acme")]
+    table = spark.createDataFrame([(a, c, c, "mills") for a, c in listed], "ats string, slug string, name string, sector string")
+    out = api.sector_sweep(spark, raw_boards, registry_from_table(table), "mills", limit=2).collect()
+    got = sorted((r["request_id"], r["ats"], r["company_slug"]) for r in out)
+    assert got == sorted([("greenhouse/solo", "greenhouse", "solo")] * 2 + [("lever/solo", "lever", "solo")] * 2 + [("lever/acme", "lever", "acme")] * 2)
+
+
 def test_search_requires_keyword(registry):  # E2
     with pytest.raises(ValueError):
         api.search(registry, "")

@@ -40,10 +40,38 @@ def test_streaming_ingest_available_now(spark, tmpdir_path):
     q = run_ingest(spark, landing + "/f1", out, ckpt, seen_at="2025-06-01T00:00:00Z")
     q.awaitTermination(120)
     assert spark.read.parquet(out).count() == 2
-    # a second run finds nothing new: no duplicates
-    q = run_ingest(spark, landing + "/f1", out, ckpt, seen_at="2025-06-01T00:00:00Z")
-    q.awaitTermination(120)
-    assert spark.read.parquet(out).count() == 2
+    # a second run finds nothing new, one with a new checkpoint folder finds it all again
+    for folder in (ckpt, ckpt + "-new"):
+        q = run_ingest(spark, landing + "/f1", out, folder, seen_at="2025-06-01T00:00:00Z")
+        q.awaitTermination(120)
+        assert spark.read.parquet(out).count() == 2
+
+
+def test_streaming_ingest_of_split_landings(spark, tmpdir_path):
+    import datetime as dt
+
+    landing, out, ckpt = (os.path.join(tmpdir_path, x) for x in ("landing", "postings", "ckpt"))
+    rest = {"jobs": [{"id": "r", "title": "rest"}]}
+    gql = {"data": {"jobBoard": {"jobPostings": [{"id": "g", "title": "graphql"}]}}}
+    at = lambda r, day: (*r[:5], dt.datetime(2030, 1, day), r[6])
+    steps = [
+        ([at(row("ashby", "a", "rest", 200, rest), 1)], ["rest"]),
+        ([at(row("ashby", "a", "graphql", 200, gql), 1)], ["rest"]),  # not a fallback
+        ([at(row("lever", "b", "board", 200, [{"id": "1", "text": "one"}]), 1)], ["one", "rest"]),
+        ([at(row("lever", "b", "board", 200, [{"id": "2", "text": "two"}], part=1), 1)], ["one", "rest", "two"]),
+        ([at(row("lever", "b", "board", 200, [{"id": "3", "text": "now"}]), 2)], ["now", "rest"]),
+    ]
+    for rows, titles in steps:
+        spark.createDataFrame(rows, RAW_DDL).write.mode("append").parquet(landing)
+        run_ingest(spark, landing, out, ckpt, seen_at="2030-06-01T00:00:00Z", buckets=4).awaitTermination(120)
+        assert sorted(r["title"] for r in spark.read.parquet(out).collect()) == titles
+
+
+def test_null_metadata_stays_in_the_record(spark):
+    board = {"jobs": [{"id": 9, "internal_job_id": None, "title": "t"}]}
+    df = normalize(AD.greenhouse_postings(spark.createDataFrame([row("greenhouse", "nw", "board", 200, board)], RAW_DDL)))
+    meta = json.loads(posting_record(df).first()["json"])["metadata"]
+    assert meta == {"departments": [], "greenhouseId": 9, "internal_job_id": None, "offices": []}
 
 
 def test_silver_table_round_trip_and_filter_pushdown(spark, tmpdir_path):
