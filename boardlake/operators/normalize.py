@@ -13,6 +13,9 @@ from ..functions.text import id_company, job_id, location_type, salary_from_text
 from ..sources.schemas import METADATA_TYPE, POSTING_COLS
 
 
+HANDED = "_handed"
+
+
 def _seen_col(seen_at) -> Column:
     if seen_at is None:
         return F.current_timestamp()
@@ -45,8 +48,8 @@ def normalise_columns(seen_at=None) -> dict[str, Column]:
         "department": truthy_or("department", F.lit("")),
         "location": truthy_or("location", F.lit("")),
         "location_type": location_type(truthy_or("location", F.lit(""))),
-        "salary": F.coalesce(F.col("salary"), salary_from_text(truthy_or("description", F.lit("")))),
-        "description": strip_html(F.col("description")),
+        "salary": F.coalesce(F.col("salary"), salary_from_text(truthy_or(HANDED, F.lit("")))),
+        "description": strip_html(F.col(HANDED)),
         "url": truthy_or("url", F.lit("")),
         "posted_at_raw": F.nullif(F.col("posted_at_raw"), F.lit("")),
         "posted_at": js_timestamp("posted_at_raw"),
@@ -60,7 +63,17 @@ def normalise_columns(seen_at=None) -> dict[str, Column]:
     }
 
 
+def handed_over() -> Column:
+    """The description as its platform's tool hands it to the normaliser:
+    cleaned once already, but for Ashby, which hands over HTML."""
+    return F.when(F.col("ats").isin("greenhouse", "lever"), strip_html("description")).otherwise(F.col("description"))
+
+
 def normalize(pre: DataFrame, seen_at=None, keep: tuple = ()) -> DataFrame:
-    """One ``select`` producing ``POSTING_COLS`` (plus any passthrough ``keep``)."""
+    """``POSTING_COLS`` (plus any passthrough ``keep``) of pre-normalised rows.
+
+    All text work is here, so rows dropped before cost none.  The text as
+    handed over is a column of its own, since salary and description both
+    read it."""
     exprs = normalise_columns(seen_at)
-    return pre.select(*[col_of(k) for k in keep], *[exprs[c].alias(c) for c in POSTING_COLS])
+    return pre.withColumn(HANDED, handed_over()).select(*[col_of(k) for k in keep], *[exprs[c].alias(c) for c in POSTING_COLS])

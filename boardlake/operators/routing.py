@@ -125,11 +125,15 @@ def fetch_jobs_batch(
 
     ``rank_col`` keeps each posting's rank within its request (1-based, in
     source order) so later per-request caps need no second shuffle."""
-    postings = fetch_postings(resolved, raw_boards, seen_at, strict)
-    return apply_filters(
-        postings, title_filter, filter, posted_within_days, location_includes, location_excludes, limit,
-        as_of=as_of, partition_by=["request_id"], rank_col=rank_col,
-    )
+    rows = raw_postings(resolved, raw_boards, strict)
+    before = (title_filter, None, posted_within_days, location_includes, location_excludes)
+    if not filter:  # nothing reads the description: clean only what is returned
+        rows = apply_filters(rows, *before, limit, as_of=as_of, partition_by=["request_id"], rank_col=rank_col)
+        ranked = (rank_col,) if rank_col and rank_col in rows.columns else ()
+        return normalize(rows, seen_at, keep=REQUEST_KEEP + ranked)
+    rows = apply_filters(rows, *before, None, as_of=as_of)
+    postings = normalize(rows, seen_at, keep=REQUEST_KEEP)
+    return apply_filters(postings, filter=filter, limit=limit, partition_by=["request_id"], rank_col=rank_col)
 
 
 def fetch_outcomes(resolved: DataFrame, raw_boards: DataFrame) -> DataFrame:

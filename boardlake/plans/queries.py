@@ -463,9 +463,45 @@ def registry_counts(spark, sf_dir):
     return RG.registry_counts(D.v_registry(spark, sf_dir))
 
 
-@query("registry_by_ats", _REG + "SELECT ats, ats_ord, ord, slug, name, sector FROM v_registry")
+_REG_COLS = "ats, ats_ord, ord, slug, name, sector"
+
+
+@query("registry_by_ats", _REG + f"SELECT {_REG_COLS} FROM v_registry")
 def registry_by_ats(spark, sf_dir):
-    return RG.registry_by_ats(D.v_registry(spark, sf_dir))
+    """The registry written by the export and read back, all platforms."""
+    return RG.registry_by_ats(api.load_registry(spark, D.exported_registry(spark, sf_dir)))
+
+
+@query("registry_one_ats", _REG + f"SELECT {_REG_COLS} FROM v_registry WHERE ats = 'lever'")
+def registry_one_ats(spark, sf_dir):
+    return api.load_registry(spark, D.exported_registry(spark, sf_dir), "lever").select(*_REG_COLS.split(", "))
+
+
+@query("search_companies", _REG + f"SELECT {_REG_COLS} FROM v_registry WHERE contains(lower(coalesce(nullif(name, ''), slug, '')), "
+       f"lower({O.q(REGISTRY_QUERY)})) OR contains(lower(coalesce(sector, '')), lower({O.q(REGISTRY_QUERY)}))")
+def search_companies(spark, sf_dir):
+    return api.search(D.v_registry(spark, sf_dir), REGISTRY_QUERY, location="anywhere").select(*_REG_COLS.split(", "))
+
+
+_EP = O.with_(*O.BASE, O.expected_postings_cte())
+_DIRECT_COLS = "ats, company_slug, board_part, posting_pos, id, title"
+
+
+@query("fetch_direct", _EP + f"SELECT {_DIRECT_COLS} FROM ep")
+def fetch_direct(spark, sf_dir):
+    """Every company's board asked of each platform directly."""
+    boards = D.landed_raw_boards(spark, sf_dir)
+    slugs = D.read_table(spark, sf_dir, "documents").select(F.col("source").alias("slug")).distinct()
+    parts = [fetch(spark, boards, slugs, D.AS_OF) for fetch in (api.fetch_greenhouse, api.fetch_lever, api.fetch_ashby)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).select(*_DIRECT_COLS.split(", "))
+
+
+@query("postings_by_adapter", _EP + "SELECT ats, count(*) AS n FROM ep GROUP BY ats")
+def postings_by_adapter(spark, sf_dir):
+    """Postings of each entry of the adapter table."""
+    boards = D.latest_raw_boards(spark, sf_dir)
+    counts = [AD.adapter(name)(boards).groupBy("ats").agg(F.count(F.lit(1)).alias("n")) for name in AD.ADAPTERS]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
 
 _RESOLVED = O.with_(*O.BASE, O.expected_postings_cte(), O.resolved_cte())

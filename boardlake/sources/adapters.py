@@ -22,7 +22,6 @@ from ..functions.text import (
     ashby_compensation,
     lever_title_salary,
     null_salary,
-    strip_html,
     title_case_slug,
 )
 from .boards import status_outcome
@@ -219,8 +218,8 @@ def greenhouse_postings(raw_boards: DataFrame, keep: tuple = (), strict: Column
             title=truthy_or(j["title"], F.lit("")),
             department=truthy_or(F.get(j["departments"], 0)["name"], F.lit("")),
             location=truthy_or(j["location"]["name"], F.lit("")),
-            # the adapter cleans once; the normaliser cleans again
-            description=strip_html(j["content"]),
+            # HTML as landed; the normaliser cleans it twice
+            description=j["content"],
             url=truthy_or(j["absolute_url"], F.lit("")),
             posted_at_raw=F.nullif(j["updated_at"], F.lit("")),
             salary=null_salary(),
@@ -255,7 +254,7 @@ def lever_postings(raw_boards: DataFrame, keep: tuple = (), strict: Column | Non
             title=truthy_or(j["text"], F.lit("")),
             department=truthy_or(cat["department"], cat["team"], F.lit("")),
             location=truthy_or(cat["location"], F.lit("")),
-            description=strip_html(truthy_or(j["descriptionPlain"], j["description"], F.lit(""))),
+            description=truthy_or(j["descriptionPlain"], j["description"], F.lit("")),
             url=truthy_or(j["hostedUrl"], F.lit("")),
             posted_at_raw=_iso_from_epoch_ms(j["createdAt"]),
             salary=lever_title_salary(j["text"]),

@@ -273,6 +273,16 @@ def landed_raw_boards(spark: SparkSession, sf_dir: str) -> DataFrame:
                         code_files=_FIXTURE_CODE)
 
 
+def exported_registry(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the derived registry, written by the registry export."""
+    from .landing import landed_folder
+    from .sinks import write_registry_export
+
+    return landed_folder(spark, "registry", [sf_dir, FIXTURE_VERSION],
+                         lambda path: write_registry_export(v_registry(spark, sf_dir), path),
+                         inputs=[f"{sf_dir.rstrip('/')}/documents.parquet"], code_files=_FIXTURE_CODE)
+
+
 def latest_raw_boards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The newest snapshot of the landed boards."""
     return latest_boards(landed_raw_boards(spark, sf_dir))

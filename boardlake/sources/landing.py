@@ -70,27 +70,25 @@ def _fingerprint(spark: SparkSession, parts, inputs, code_files=()) -> str:
     return h.hexdigest()[:16]
 
 
-def landed_table(
-    spark: SparkSession,
-    name: str,
-    key_parts,
-    build: Callable[[], DataFrame],
-    partition_by=None,
-    inputs=None,
-    code_files=(),
-) -> DataFrame:
+def landed_folder(spark: SparkSession, name: str, key_parts, write: Callable[[str], None], inputs=None, code_files=()) -> str:
+    """Path of a folder that ``write(path)`` fills once for a fingerprint."""
     path = f"{shared_dir(spark)}/boardlake/{name}-{_fingerprint(spark, key_parts, inputs, code_files)}"
     if not _exists(spark, path):
-        df = build()
         # write to a private staging folder, then move it into place: a
         # concurrent writer of the same table never sees a half-written one
         staging = f"{path}.staging-{uuid.uuid4().hex}"
-        writer = df.write.mode("errorifexists")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(staging)
+        write(staging)
         _publish(spark, staging, path)
-    return spark.read.parquet(path)
+    return path
+
+
+def landed_table(
+    spark: SparkSession, name: str, key_parts, build: Callable[[], DataFrame], partition_by=(), inputs=None, code_files=()
+) -> DataFrame:
+    def write(path: str) -> None:
+        build().write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
+
+    return spark.read.parquet(landed_folder(spark, name, key_parts, write, inputs, code_files))
 
 
 def _publish(spark: SparkSession, staging: str, path: str) -> None:

@@ -18,14 +18,16 @@ def _empty_registry(spark: SparkSession) -> DataFrame:
 
 
 def load_registry_ats(spark: SparkSession, registry_dir: str, ats: str) -> DataFrame:
-    """Registry of one ATS in file order; an unknown or unreadable ATS gives
-    an empty table with the registry schema."""
+    """Registry of one ATS with its order: a JSON array file, or the folder of
+    JSON lines that the registry export writes.  An unknown or unreadable ATS
+    gives an empty table with the registry schema."""
     if ats not in ATS_ORD:
         return _empty_registry(spark)
+    folder = registry_dir.rstrip("/")
     try:
-        text = spark.read.text(f"{registry_dir.rstrip('/')}/{ats}.json", wholetext=True)
+        text = spark.read.text(f"{folder}/{ats}.json", wholetext=True)
     except AnalysisException:
-        return _empty_registry(spark)
+        return _load_export(spark, folder, ats)
     rows = text.select(F.from_json("value", f"ARRAY<STRUCT<{REGISTRY_DDL}>>").alias("a"))
     return rows.select(F.posexplode("a").alias("ord", "c")).select(
         F.lit(ats).alias("ats"),
@@ -37,6 +39,15 @@ def load_registry_ats(spark: SparkSession, registry_dir: str, ats: str) -> DataF
     )
 
 
+def _load_export(spark: SparkSession, folder: str, ats: str) -> DataFrame:
+    """One platform of a registry export (JSON lines, read by many tasks)."""
+    try:
+        rows = spark.read.schema(f"ord INT, {REGISTRY_DDL}").json(f"{folder}/ats={ats}")
+    except AnalysisException:
+        return _empty_registry(spark)
+    return rows.select(F.lit(ats).alias("ats"), F.lit(ATS_ORD[ats]).alias("ats_ord"), "ord", "slug", "name", "sector")
+
+
 def load_registry(spark: SparkSession, registry_dir: str) -> DataFrame:
     """All platforms, in the fixed order greenhouse, lever, ashby."""
     out = None
