@@ -24,7 +24,7 @@ No task could sort the suffixes of the corpus, so they are brought together by c
 5. Parts cover the bytes and cut them out.
 
 Every part and bucket sends an anchor once, however many documents have it, so nothing grows
-with the number of copies.  All steps are grouped Arrow functions over one shuffle of the
+with the number of copies.  Documents and columns travel compressed.  All steps are grouped Arrow functions over one shuffle of the
 documents, which the steps share; a repeated step gives the same result on another machine.
 """
 
@@ -35,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,7 +46,7 @@ from boardlake.llm.words import _BYTE, STEP, mix, span_hashes
 
 GRAM = 20
 #: Starts that are hashed at once, and bytes of documents in a part.
-PIECE, PART_BYTES = 1 << 18, 16 << 20
+PIECE, PART_BYTES = 1 << 18, 8 << 20
 #: Contexts of one anchor beyond which its starts go by their own hash.
 CROWD = 2000
 #: Stands for a null id: larger than any other.
@@ -58,7 +59,8 @@ class Part:
 
     def __init__(self, table: pa.Table):
         ids = table.column("id").combine_chunks().fill_null(NO_ID).to_numpy()
-        texts = [x.as_py() or b"" for x in table.column("text")]
+        unpack = zstandard.ZstdDecompressor().decompress
+        texts = [unpack(x.as_py()) for x in table.column("text")]
         self.order = sorted(range(len(texts)), key=lambda i: (ids[i], texts[i]))
         self.ids = ids[self.order].astype(np.int64)
         self.texts = [texts[i] for i in self.order]
@@ -67,8 +69,8 @@ class Part:
         self.data = np.frombuffer(b"".join(self.texts), np.uint8)
 
     def runs(self, length: int) -> tuple[np.ndarray, ...]:
-        """(anchor, start, number of starts, document) of every run.  Long documents are cut at
-        fixed distances from their start, so copies are cut alike."""
+        """(anchor, start, number of starts, document, context hash) of every run.  Long
+        documents are cut at fixed distances from their start, so copies are cut alike."""
         first, last, of = [], [], []
         for d in np.flatnonzero(self.lens >= length):
             a, stop = int(self.at[d]), int(self.at[d + 1]) - length + 1
@@ -85,9 +87,18 @@ class Part:
             out.append(_runs(self.data[first[i] : last[j - 1] + length - 1], np.array(first[i:j]) - first[i], np.array(last[i:j]) - first[i], np.array(of[i:j]), first[i], length))
             i = j
         if not out:
-            return tuple(np.zeros(0, t) for t in (np.uint64, np.int64, np.int64, np.int64))
+            return tuple(np.zeros(0, t) for t in (np.uint64, np.int64, np.int64, np.int64, np.uint64))
         return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
+    def strings(self, starts: np.ndarray, length: int) -> np.ndarray:
+        """Hashes of the ``length``-byte strings at these places."""
+        out = [np.zeros(0, np.uint64)]
+        for k in range(0, len(starts), PIECE // 16):
+            data = self.data[starts[k : k + PIECE // 16, None] + np.arange(length)].ravel()
+            at = np.arange(0, len(data), length)
+            out.append(span_hashes(data, at, at + length))
+        return np.concatenate(out)
+
 
 def _grams(data: np.ndarray, n: int) -> np.ndarray:
     """Hash of the n bytes from every position, by doubling."""
@@ -110,15 +121,19 @@ def _grams(data: np.ndarray, n: int) -> np.ndarray:
         size *= 2
 
 
-def _runs(data: np.ndarray, first: np.ndarray, last: np.ndarray, of: np.ndarray, base: int, length: int) -> tuple[np.ndarray, ...]:
+def _window_minima(data: np.ndarray, length: int) -> np.ndarray:
+    """Anchor of the ``length``-byte string at every place."""
     with np.errstate(over="ignore"):
         low = _grams(data, GRAM)
     window, size = length - GRAM + 1, 1
     while size * 2 <= window:
         low = np.minimum(low[:-size], low[size:])
         size *= 2
-    if window > size:
-        low = np.minimum(low[: len(low) - window + size], low[window - size :])
+    return np.minimum(low[: len(low) - window + size], low[window - size :]) if window > size else low
+
+
+def _runs(data: np.ndarray, first: np.ndarray, last: np.ndarray, of: np.ndarray, base: int, length: int) -> tuple[np.ndarray, ...]:
+    low, window = _window_minima(data, length), length - GRAM + 1
     fresh = np.ones(len(low), bool)
     fresh[1:] = low[1:] != low[:-1]
     fresh[first] = True
@@ -134,7 +149,7 @@ def _runs(data: np.ndarray, first: np.ndarray, last: np.ndarray, of: np.ndarray,
         step = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
         start, piece, rest = np.repeat(start, times) + step * window, np.repeat(piece, times), np.repeat(n, times) - step * window
         n = np.minimum(rest, window)
-    return low[start], start + base, n, of[piece]
+    return low[start], start + base, n, of[piece], span_hashes(data, start, start + n + length - 1)
 
 
 def _heads(*keys: np.ndarray) -> np.ndarray:
@@ -155,6 +170,13 @@ def _least(keys: tuple[np.ndarray, ...], values: np.ndarray) -> tuple[np.ndarray
     return order[head], group, values[order[head]]
 
 
+def _count_in(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """How many of x hold between neighbouring places."""
+    upto = np.zeros(len(x) + 1, np.int32)
+    np.cumsum(x, out=upto[1:])
+    return np.diff(upto[at]).astype(np.int64)
+
+
 def _member(x: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Whether x is in a sorted table, and where."""
     if not len(table):
@@ -163,32 +185,58 @@ def _member(x: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return table[at] == x, at
 
 
+def _squeezed(values: np.ndarray) -> bytes:
+    """Packed bytes of a column; of neighbouring keys only the differences, byte by byte."""
+    if values.dtype == np.uint64:
+        values = np.ascontiguousarray(np.diff(values, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T)
+    return zstandard.ZstdCompressor(level=1).compress(values.tobytes())
+
+
+def _unsqueezed(blob: bytes, kind: type) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
+    if kind is np.uint64:
+        return np.cumsum(np.ascontiguousarray(raw.reshape(8, -1).T).view(np.uint64).ravel(), dtype=np.uint64)
+    return raw.view(kind)
+
+
 def _dealt(part: int, bucket: np.ndarray, columns: dict[str, np.ndarray], wide: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None, name: str = "bucket", tag: str = "part") -> pa.Table:
     """One row for each bucket, with the packed bytes of its rows' columns.  ``wide`` is bytes
     of varying length: data, starts and lengths."""
     order = np.argsort(bucket, kind="stable")
     head = _heads(bucket[order]) if len(order) else np.zeros(0, np.int64)
     stop = np.append(head, len(order))[1:]
-    out = {name: pa.array(bucket[order][head].astype(np.int32)), tag: pa.array(np.full(len(head), part, np.int32))}
+    out = {name: pa.array(bucket[order][head].astype(np.int32)), tag: pa.array(np.full(len(head), part, np.int32)), "n": pa.array(stop - head, pa.int64())}
     for c, values in columns.items():
         values = values[order]
-        out[c] = pa.array([values[a:b].tobytes() for a, b in zip(head, stop, strict=True)], pa.binary())
+        out[c] = pa.array([_squeezed(values[a:b]) for a, b in zip(head, stop, strict=True)], pa.binary())
     if wide is not None:
         data, at, lens = wide
         at, lens = at[order], lens[order]
-        out["context"] = pa.array([data[ragged(at[a:b], lens[a:b])].tobytes() for a, b in zip(head, stop, strict=True)], pa.binary())
+        out["context"] = pa.array([_squeezed(data[ragged(at[a:b], lens[a:b])]) for a, b in zip(head, stop, strict=True)], pa.binary())
     return pa.table(out)
 
 
 def _packed(table: pa.Table, kinds: dict[str, type]) -> dict[str, np.ndarray]:
-    return {c: np.frombuffer(b"".join(x.as_py() for x in table.column(c)), kind) for c, kind in kinds.items()}
+    return {c: np.concatenate([np.zeros(0, kind), *(_unsqueezed(x.as_py(), kind) for x in table.column(c))]) for c, kind in kinds.items()}
+
 
+def _tags(table: pa.Table, tag: str) -> np.ndarray:
+    return np.repeat(table.column(tag).to_numpy(), table.column("n").to_numpy())
 
-def _tags(table: pa.Table, tag: str, per_row: str, width: int) -> np.ndarray:
-    return np.repeat(table.column(tag).to_numpy(), [len(x.as_py()) // width for x in table.column(per_row)])
 
+def _anchors(data: np.ndarray, at: np.ndarray, lens: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Anchor and hash of every context; contexts adjoin."""
+    anchors, hashes = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
+    step = max(PIECE // (2 * length), 1)
+    for k in range(0, len(at), step):
+        base, end = int(at[k]), int((at + lens)[min(k + step, len(at)) - 1])
+        own, start = data[base:end], at[k : k + step] - base
+        anchors.append(_window_minima(own, length)[start])
+        hashes.append(span_hashes(own, start, start + lens[k : k + step]))
+    return np.concatenate(anchors), np.concatenate(hashes)
 
-SENT = {"key": np.uint64, "context_hash": np.uint64, "low": np.int64, "starts": np.uint8, "kind": np.uint8}
+
+SENT = {"low": np.int64, "starts": np.uint8, "kind": np.uint8}
 BACK = {"key": np.uint64, "context_hash": np.uint64, "a": np.uint8, "b": np.uint8, "kind": np.uint8}
 
 
@@ -269,12 +317,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.pmod(F.xxhash64(id_col, text_col), F.lit(n)).cast("int").alias("part"),
     )
     bucket_of = lambda keys: (mix(keys) % np.uint64(n)).astype(np.int64)
-    contexts = lambda part, start, count: span_hashes(part.data, start, start + count + length - 1)
 
     def send_anchors(table: pa.Table) -> pa.Table:
         part = Part(table)
-        key, start, count, doc = part.runs(length)
-        context = contexts(part, start, count)
+        key, _, _, doc, context = part.runs(length)
         first, kind, _ = _least((key, context), part.ids[doc])
         head = _heads(key[first]) if len(first) else np.zeros(0, np.int64)
         several = np.diff(np.append(head, len(first)))
@@ -292,7 +338,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def return_anchors(table: pa.Table) -> pa.Table:
         got = _packed(table, {"key": np.uint64, "info": np.uint16})
-        part = _tags(table, "part", "key", 8)
+        part = _tags(table, "part")
         order = np.argsort(got["key"], kind="stable")
         key, info, part = got["key"][order], got["info"][order], part[order]
         head = _heads(key)
@@ -307,31 +353,35 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         got = _packed(back, {"key": np.uint64, "crowded": np.uint8})
         order = np.argsort(got["key"])
         known, crowded = got["key"][order], got["crowded"][order]
-        key, start, count, doc = part.runs(length)
+        key, start, count, doc, context = part.runs(length)
         met, at = _member(key, known)
-        key, start, count, doc, single = key[met], start[met], count[met], doc[met], crowded[at[met]] > 0 if len(known) else np.zeros(0, bool)
-        context = contexts(part, start, count)
+        key, start, count, doc, context = key[met], start[met], count[met], doc[met], context[met]
+        single = crowded[at[met]] > 0 if len(known) else np.zeros(0, bool)
         first, _, low = _least((key[~single], context[~single]), part.ids[doc[~single]])
         pick = np.flatnonzero(~single)[first]
-        columns = {"key": key[pick], "context_hash": context[pick], "low": low, "starts": count[pick].astype(np.uint8), "kind": np.full(len(pick), RUN, np.uint8)}
+        by, columns = key[pick], {"low": low, "starts": count[pick].astype(np.uint8), "kind": np.full(len(pick), RUN, np.uint8)}
         at_, lens = start[pick], count[pick] + length - 1
         if single.any():
             each, anchor, ids = _starts(part, key[single], start[single], count[single], doc[single])
-            own = span_hashes(part.data, each, each + length)
+            own = part.strings(each, length)
             first, kind, low = _least((own, anchor), ids)
             more = np.zeros(len(first), bool)
             more[kind[ids > low[kind]]] = True
-            add = {"key": own[first], "context_hash": anchor[first], "low": low, "starts": np.ones(len(first), np.uint8), "kind": np.where(more, START + 1, START).astype(np.uint8)}
-            columns = {c: np.concatenate((columns[c], add[c])) for c in columns}
+            add = {"low": low, "starts": np.ones(len(first), np.uint8), "kind": np.where(more, START + 1, START).astype(np.uint8)}
+            by, columns = np.concatenate((by, own[first])), {c: np.concatenate((columns[c], add[c])) for c in columns}
             at_, lens = np.concatenate((at_, each[first])), np.concatenate((lens, np.full(len(first), length)))
-        return _dealt(int(table.column("part")[0].as_py()) if table.num_rows else 0, bucket_of(columns["key"]), columns, (part.data, at_, lens))
+        return _dealt(int(table.column("part")[0].as_py()) if table.num_rows else 0, bucket_of(by), columns, (part.data, at_, lens))
 
     def return_matches(table: pa.Table) -> pa.Table:
         got = _packed(table, SENT)
-        data = np.frombuffer(b"".join(x.as_py() for x in table.column("context")), np.uint8)
-        part = _tags(table, "part", "key", 8)
+        data = np.concatenate([_unsqueezed(x.as_py(), np.uint8) for x in table.column("context")])
+        part = _tags(table, "part")
         lens = got["starts"].astype(np.int64) + length - 1
-        hit, row = matched(got["key"], got["context_hash"], got["low"], got["starts"], data, np.cumsum(lens) - lens, length)
+        at = np.cumsum(lens) - lens
+        anchor, own = _anchors(data, at, lens, length)
+        run = got["kind"] == RUN
+        got["key"], got["context_hash"] = np.where(run, anchor, own), np.where(run, own, anchor)
+        hit, row = matched(got["key"], got["context_hash"], got["low"], got["starts"], data, at, length)
         # runs of matching starts in a row
         at = np.flatnonzero(hit)
         new = np.ones(len(at), bool)
@@ -351,8 +401,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def cut(table: pa.Table, back: pa.Table) -> pa.Table:
         part = Part(table)
         got = _packed(back, BACK)
-        key, start, count, doc = part.runs(length)
-        context, ids = contexts(part, start, count), part.ids[doc]
+        key, start, count, doc, context = part.runs(length)
+        ids = part.ids[doc]
         _, kind, low = _least((key, context), ids)
         later = ids > low[kind]
         begin, stop = [start[later]], [start[later] + count[later] - 1 + length]
@@ -371,7 +421,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             anchors = np.unique(got["context_hash"][~runs])
             single, _ = _member(key, anchors)
             each, anchor, ids = _starts(part, key[single], start[single], count[single], doc[single])
-            own = span_hashes(part.data, each, each + length)
+            own = part.strings(each, length)
             _, kind, low = _least((own, anchor), ids)
             flagged = np.unique(got["key"][~runs][got["b"][~runs] > 0])
             hit = (ids > low[kind]) | _member(own, flagged)[0]
@@ -380,13 +430,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         change = np.zeros(len(part.data) + 1, np.int32)
         np.add.at(change, np.concatenate(begin), 1)
         np.add.at(change, np.concatenate(stop), -1)
-        gone = np.cumsum(change[:-1]) > 0
+        gone = np.cumsum(change, out=change)[:-1] > 0
         fresh = gone.copy()
         fresh[1:] &= ~gone[:-1]
         heads = part.at[:-1][part.lens > 0]
         fresh[heads] = gone[heads]
-        count_in = lambda x: np.diff(np.concatenate(([0], np.cumsum(x)))[part.at])
-        removed, spans = count_in(gone), count_in(fresh)
+        removed, spans = _count_in(gone, part.at), _count_in(fresh, part.at)
         left = [t if not r else part.data[a:b][~gone[a:b]].tobytes() for t, r, a, b in zip(part.texts, removed, part.at[:-1], part.at[1:], strict=True)]
         out = {
             "rest": table.column("rest").combine_chunks().take(pa.array(part.order, pa.int64())), "n_bytes": pa.array(part.lens),
@@ -402,12 +451,18 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def _starts(part: Part, key: np.ndarray, start: np.ndarray, count: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, ...]:
         return ragged(start, count), np.repeat(key, count), np.repeat(part.ids[doc], count)
 
+    def shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            small = pa.array([pack(x.as_py() or b"") for x in batch.column("text")], pa.binary())
+            yield batch.set_column(batch.schema.get_field_index("text"), "text", small)
+
     blob = lambda columns: ", ".join(f"{c} binary" for c in columns)
-    by_part = dealt.groupBy("part")
-    anchors = by_part.applyInArrow(send_anchors, "bucket int, part int, key binary, info binary")
-    shared = anchors.groupBy("bucket").applyInArrow(return_anchors, "part int, key binary, crowded binary")
-    sent = by_part.cogroup(shared.groupBy("part")).applyInArrow(send_contexts, f"bucket int, part int, {blob(SENT)}, context binary")
-    back = sent.groupBy("bucket").applyInArrow(return_matches, f"part int, {blob(BACK)}")
+    by_part = dealt.mapInArrow(shrink, dealt.schema).groupBy("part")
+    anchors = by_part.applyInArrow(send_anchors, "bucket int, part int, n long, key binary, info binary")
+    shared = anchors.groupBy("bucket").applyInArrow(return_anchors, "part int, n long, key binary, crowded binary")
+    sent = by_part.cogroup(shared.groupBy("part")).applyInArrow(send_contexts, f"bucket int, part int, n long, {blob(SENT)}, context binary")
+    back = sent.groupBy("bucket").applyInArrow(return_matches, f"part int, n long, {blob(BACK)}")
     schema = T.StructType([
         dealt.schema["rest"], T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()),
         T.StructField("n_spans", T.LongType()), T.StructField("kept_sha256", T.StringType()),

@@ -47,7 +47,7 @@ def test_long_documents_are_cut_alike(spark, docs, docs_rows, monkeypatch):
     whole = part.runs(50)
     monkeypatch.setattr(repeats, "PIECE", 70)
     small = part.runs(50)
-    starts = lambda runs: sorted((int(k), s + i) for k, s, n, _ in zip(*runs) for i in range(n))
+    starts = lambda runs: sorted((int(k), s + i) for k, s, n, *_ in zip(*runs) for i in range(n))
     assert starts(whole) == starts(small)
 
 
