@@ -37,7 +37,7 @@ def summarise(df) -> dict:
 def main() -> None:
     from pyspark.sql import SparkSession
 
-    import __spark_entry__ as E
+    from boardlake.plans import queries as Q
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "16")
@@ -48,7 +48,7 @@ def main() -> None:
           "into broadcasts at run time once sizes are known).\n")
     print("| query | exchanges | broadcast joins | sort-merge joins | partial per-key limits | scans with partition filters | scans with pushed filters | Python UDF |")
     print("|---|---|---|---|---|---|---|---|")
-    for name, fn in sorted(E.queries().items()):
+    for name, fn in sorted(Q.spark_queries().items()):
         s = summarise(fn(spark, sf))
         print(f"| {name} | {s['exchanges']} | {s['bhj']} | {s['smj']} | {s['partial_limit']} | "
               f"{s['partition_filters']} | {s['pushed_filters']} | {'yes' if s['python_udf'] else 'no'} |")
