@@ -64,6 +64,7 @@ def fetch_jobs(
     as_of=None,
     seen_at=None,
     strict: bool | None = None,
+    rank_col: str | None = None,
 ) -> DataFrame:
     """Normalised, filtered postings of one company or of a batch.
 
@@ -77,12 +78,14 @@ def fetch_jobs(
     status or a broken body (a missing board is empty, a failed source in
     discovery is dropped, an unread Ashby GraphQL board does not matter).
     The default is strict for one company and lenient for a batch.
+    ``rank_col`` names a column for each posting's place in its request, which
+    ``preview`` can use.
     """
     requests = _requests(spark, company, ats)
     resolved = _routing.resolve_requests(requests, registry)
     return _routing.fetch_jobs_batch(
         resolved, latest_boards(raw_boards), title_filter, filter, posted_within_days, location_includes, location_excludes,
-        limit, as_of=as_of, seen_at=seen_at, strict=isinstance(company, str) if strict is None else strict,
+        limit, as_of=as_of, seen_at=seen_at, strict=isinstance(company, str) if strict is None else strict, rank_col=rank_col,
     )
 
 
@@ -184,5 +187,5 @@ def fetch_ashby(spark, raw_boards, slugs, seen_at=None, strict=None) -> DataFram
     return _direct(spark, raw_boards, "ashby", slugs, seen_at, strict)
 
 
-def preview(results: DataFrame) -> DataFrame:
-    return _summary.preview(results)
+def preview(results: DataFrame, rank_col: str | None = None) -> DataFrame:
+    return _summary.preview(results, rank_col=rank_col)

@@ -553,14 +553,11 @@ _FETCH_FILTER = f"{O.rx('title', FETCH_TITLE)} AND {O.recency(FETCH_DAYS)} AND N
 _FETCHED = O.with_(*O.BASE, O.expected_postings_cte(), O.resolved_cte(), O.fetched_cte(_FETCH_FILTER, FL.DEFAULT_LIMIT))
 
 
-def _fetch(spark, sf_dir, rank_col=None):
-    resolved = RT.resolve_requests(D.v_requests(spark, sf_dir), D.v_registry(spark, sf_dir))
-    rb = D.latest_raw_boards(spark, sf_dir)
-    res = RT.fetch_jobs_batch(
-        resolved, rb, title_filter=FETCH_TITLE, posted_within_days=FETCH_DAYS, location_excludes=FETCH_EXCLUDE,
-        as_of=D.AS_OF, seen_at=D.AS_OF, rank_col=rank_col,
-    )
-    return resolved, res
+def _fetch_args(spark, sf_dir) -> tuple:
+    return D.landed_raw_boards(spark, sf_dir), D.v_registry(spark, sf_dir), D.v_requests(spark, sf_dir)
+
+
+_FETCH = {"title_filter": FETCH_TITLE, "posted_within_days": FETCH_DAYS, "location_excludes": FETCH_EXCLUDE, "as_of": D.AS_OF, "seen_at": D.AS_OF}
 
 
 @query(
@@ -569,10 +566,7 @@ def _fetch(spark, sf_dir, rank_col=None):
     "salary_min, salary_max, posted_at_raw FROM fetched",
 )
 def fetch_jobs(spark, sf_dir):
-    res = api.fetch_jobs(
-        spark, D.landed_raw_boards(spark, sf_dir), D.v_registry(spark, sf_dir), D.v_requests(spark, sf_dir),
-        title_filter=FETCH_TITLE, posted_within_days=FETCH_DAYS, location_excludes=FETCH_EXCLUDE, as_of=D.AS_OF, seen_at=D.AS_OF,
-    )
+    res = api.fetch_jobs(spark, *_fetch_args(spark, sf_dir), **_FETCH)
     return res.select(
         "request_id", "ats", "company_slug", "board_part", "posting_pos", "id", "title", "location", "location_type",
         F.col("salary.min").alias("salary_min"), F.col("salary.max").alias("salary_max"), "posted_at_raw",
@@ -588,8 +582,7 @@ def fetch_jobs(spark, sf_dir):
     "FROM routed r LEFT JOIN (SELECT request_id, count(*) AS n FROM fetched GROUP BY request_id) c ON c.request_id = r.request_id",
 )
 def fetch_summary(spark, sf_dir):
-    resolved, res = _fetch(spark, sf_dir)
-    return SM.fetch_summary(resolved, res)
+    return api.fetch_jobs_tool(spark, *_fetch_args(spark, sf_dir), **_FETCH)[1]
 
 
 _UNFILTERED = O.with_(*O.BASE, O.expected_postings_cte(), O.resolved_cte(), O.fetched_cte("true", FL.DEFAULT_LIMIT))
@@ -625,8 +618,8 @@ _TEASER = "CASE WHEN description <> '' THEN replace(substr(description, 1, 120),
     "FROM fetched WHERE rn <= 20",
 )
 def preview(spark, sf_dir):
-    _, res = _fetch(spark, sf_dir, rank_col="rank")
-    return SM.preview(res, rank_col="rank").select("request_id", "board_part", "posting_pos", "heading", "url", "teaser")
+    res = api.fetch_jobs(spark, *_fetch_args(spark, sf_dir), **_FETCH, rank_col="rank")
+    return api.preview(res, rank_col="rank").select("request_id", "board_part", "posting_pos", "heading", "url", "teaser")
 
 
 _SWEEP = O.with_(
