@@ -9,7 +9,8 @@ is the one with the largest expected share of its words.
 
 The lexicon is the words met at least ``min_texts`` times in the sample.  Training maximises
 the likelihood of the label sequences of a bounded sample: for each language ``per_lang``
-documents, those with the smallest hash of their id.  A document's words have its language.
+documents, those with the smallest hash of their id and language.  A document's words have
+its language.
 
 Long texts are exact: blocks of words are multiplied to transfer matrices side by side, the
 blocks of a document are chained, and the marginals follow from what enters each block.
@@ -35,6 +36,8 @@ UNDEFINED = "und"
 #: Letters of ASCII and bytes of longer characters make up words.
 LETTER_BYTE = np.array([chr(b).isalpha() if b < 128 else True for b in range(256)])
 SLOTS = 1 << 16
+#: Sample rows, of 8 bytes each, up to which their ranks are broadcast.
+BROADCAST_ROWS = 100_000
 BLOCK = 64
 _LETTER = regex.compile(r"\p{L}")
 
@@ -229,12 +232,17 @@ def _pairs(emit: np.ndarray, seq: np.ndarray, trans: np.ndarray) -> np.ndarray:
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_lang: int = 300, **settings) -> Model | None:
     """Learn from a bounded sample of the rows with text and language; none without any."""
-    known = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(
+    known = docs.where(F.col(lang_col).isNotNull()).select(
         F.xxhash64(id_col, lang_col).alias("rank"), F.col(lang_col).alias("y"), F.col(text_col).alias("text")
     )
-    nth = F.row_number().over(W.partitionBy("y").orderBy("rank"))
-    chosen = known.select("rank", "y").withColumn("n", nth).where(F.col("n") <= per_lang).select("rank").distinct()
-    sample = known.join(chosen, "rank").dropDuplicates(["rank"])
+    chosen = known.select("rank", "y", F.pmod(F.spark_partition_id(), F.lit(64)).alias("salt"))
+    for keys in (["y", "salt"], ["y"]):  # the smallest of the smallest: a language is never gathered whole
+        nth = F.row_number().over(W.partitionBy(*keys).orderBy("rank"))
+        chosen = chosen.withColumn("n", nth).where(F.col("n") <= per_lang).drop("n")
+    chosen = chosen.select("rank").distinct()
+    # a number for each row of the sample; with very many languages the join shuffles instead
+    small = chosen.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    sample = known.join(F.broadcast(chosen) if small else chosen, "rank").where("text is not null").dropDuplicates(["rank"])
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [(t.as_py(), y.as_py()) for b in batches for t, y in zip(b.column("text"), b.column("y"), strict=True)]
