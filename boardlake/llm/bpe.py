@@ -28,13 +28,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from boardlake.llm.common import trim
 from boardlake.llm.words import span_hashes
 
 LETTER, NUMBER, BLANK, OTHER = 0, 1, 2, 3
 #: The endings that the pre-split pattern of this vocabulary cuts off.
 ENDINGS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
 #: Code points of text handled at once, distinct words and transitions kept by a worker.
-UNIT, WORDS_KEPT, STEPS_KEPT = 1 << 21, 300_000, 400_000
+UNIT, WORDS_KEPT, STEPS_KEPT = 1 << 19, 150_000, 200_000
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -354,22 +355,27 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         auto = automaton(content.value)
         for batch in batches:
-            n, ids_hex, text_hex, ids_out, text_out = [], [], [], [], []
+            done, held, rows = 0, 0, []
             for ids in auto.encode(x.as_py() for x in batch.column(1)):
                 decoded = auto.labels(ids)[0].tobytes()
-                n.append(len(ids))
-                ids_hex.append(hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest())
-                text_hex.append(hashlib.sha256(decoded).hexdigest())
+                row = [len(ids), hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(), hashlib.sha256(decoded).hexdigest()]
                 if with_ids:
-                    ids_out.append(ids.astype(np.int32))
-                    text_out.append(decoded.decode(errors="replace"))
-            cols = [batch.column(0), pa.array(n, pa.int64()), pa.array(ids_hex, pa.string()), pa.array(text_hex, pa.string())]
-            names = ["id", "n_tokens", "ids_sha256", "decoded_sha256"]
-            if with_ids:
-                cols += [pa.array(ids_out, pa.list_(pa.int32())), pa.array(text_out, pa.string())]
-                names += ["ids", "decoded"]
-            yield pa.RecordBatch.from_arrays(cols, names)
-
+                    row += [ids.astype(np.int32), decoded.decode(errors="replace")]
+                    held += len(ids)
+                rows.append(row)
+                if held >= UNIT:  # results in small batches
+                    yield table_of(batch, done, rows)
+                    done, held, rows = done + len(rows), 0, []
+            yield table_of(batch, done, rows)
+        trim()
+
+    def table_of(batch: pa.RecordBatch, done: int, rows: list[list]) -> pa.RecordBatch:
+        cols = list(zip(*rows, strict=True)) if rows else [[]] * len(kinds)
+        arrays = [batch.column(0).slice(done, len(rows)), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))]
+        return pa.RecordBatch.from_arrays(arrays, names)
+
+    names = ["id", "n_tokens", "ids_sha256", "decoded_sha256", *(["ids", "decoded"] if with_ids else [])]
+    kinds = [pa.int64(), pa.string(), pa.string(), *([pa.list_(pa.int32()), pa.string()] if with_ids else [])]
     schema = "id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>, decoded string" if with_ids else "")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, schema).withColumnRenamed("id", id_col)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,3 +46,10 @@ def parts_for(spark: SparkSession, rows: float, per_part: float) -> int:
     """Partition count that keeps ``per_part`` rows (or bytes) in a partition, and never
     fewer than the session's shuffle partitions."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(rows // per_part) + 1)
+
+
+def trim() -> None:
+    """Give memory that a task has freed back to the system: Python workers are used again,
+    and the C library would keep it for them."""
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from boardlake.llm.bpe import ragged
-from boardlake.llm.common import parts_for
+from boardlake.llm.common import parts_for, trim
 from boardlake.llm.words import _BYTE, STEP, mix, span_hashes
 
 GRAM = 20
@@ -58,6 +58,7 @@ class Part:
     """The documents of one part, in an order that does not depend on how they arrived."""
 
     def __init__(self, table: pa.Table):
+        trim()  # of the part before
         ids = table.column("id").combine_chunks().fill_null(NO_ID).to_numpy()
         unpack = zstandard.ZstdDecompressor().decompress
         texts = [unpack(x.as_py()) for x in table.column("text")]

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from boardlake.llm.common import crc_mod
+from boardlake.llm.common import crc_mod, trim
 from boardlake.llm.words import WORD_BYTE, chunks, join_units, mix, span_hashes, word_spans
 
 BIAS = -1  # no feature: hashes are not negative
@@ -90,11 +90,21 @@ def calibration(margins: np.ndarray, y: np.ndarray, ridge: float = 0.5, rounds:
     return max(slope, 0.1), shift
 
 
+def _frequent(rows: list[tuple[int, np.ndarray]], least: int) -> list[tuple[int, np.ndarray]]:
+    """The rows without features that fewer than ``least`` of them have; a feature that shares
+    its counter may stay."""
+    counts = np.zeros(1 << 24, np.uint16)
+    for _, x in rows:
+        np.add.at(counts, x & ((1 << 24) - 1), 1)
+    return [(y, x[counts[x & ((1 << 24) - 1)] >= least]) for y, x in rows]
+
+
 def fit(rows: list[tuple[int, np.ndarray]], **settings) -> dict[int, float]:
     """Weights learned from all rows, scaled by a calibration on the third of the rows that a
     first model has not seen."""
     if not rows:
         return {}
+    rows = _frequent(rows, settings["min_texts"])
     part = ftrl([r for k, r in enumerate(rows) if k % 3], **settings)
     keys = np.array(sorted(part)[1:], np.int64)
     w = np.array([part[k] for k in keys.tolist()])
@@ -108,7 +118,7 @@ def fit(rows: list[tuple[int, np.ndarray]], **settings) -> dict[int, float]:
     return {k: slope * v + (shift if k == BIAS else 0.0) for k, v in whole.items()}
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_rows: int = 8000,
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_rows: int = 5000,
           alpha: float = 2.0, beta: float = 1.0, l1: float = 6.0, l2: float = 0.0, epochs: int = 8, min_texts: int = 3) -> Model:
     """Learn from the rows of ``labels`` (each id once; rows with a null id or label are no
     labels) whose document is in ``docs``.  Without any, every text scores one half."""
@@ -137,6 +147,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         rows = [(y.as_py(), x.values.to_numpy()) for b in batches for y, x in zip(b.column("y"), b.column("x"), strict=True)]
         found = fit(rows, alpha=alpha, beta=beta, l1=l1, l2=l2, epochs=epochs, min_texts=min_texts)
         yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.float64())], ["key", "weight"])
+        del rows
+        trim()
 
     ready = chosen.select("rank", id_col, "y", "text").mapInArrow(featurise, "rank long, id long, y int, x array<int>")
     learned = ready.repartition(1).sortWithinPartitions("rank", "id").mapInArrow(learn, "key long, weight double").collect()

@@ -56,7 +56,7 @@ def word_spans(data: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.nd
     return edge[::2], edge[1::2]
 
 
-def chunks(texts: Iterable[str | None], limit: int = 1 << 22) -> Iterator[list[str]]:
+def chunks(texts: Iterable[str | None], limit: int = 1 << 20) -> Iterator[list[str]]:
     """Texts in lists of about ``limit`` characters; null counts as empty."""
     own: list[str] = []
     size = 0
