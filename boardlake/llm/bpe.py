@@ -186,6 +186,12 @@ class Automaton:
         self.words[word] = got
         return got
 
+    def forget(self) -> None:
+        """Free what was kept for speed; the worker may serve other tasks next."""
+        self.words.clear()
+        self.steps.clear()
+        trim()
+
     def labels(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The bytes the ids spell, and where each id's bytes end."""
         lens = self.label_at[ids + 1] - self.label_at[ids]
@@ -367,7 +373,7 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
                     yield table_of(batch, done, rows)
                     done, held, rows = done + len(rows), 0, []
             yield table_of(batch, done, rows)
-        trim()
+        auto.forget()
 
     def table_of(batch: pa.RecordBatch, done: int, rows: list[list]) -> pa.RecordBatch:
         cols = list(zip(*rows, strict=True)) if rows else [[]] * len(kinds)
