@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from boardlake.llm import bpe, chat, decontaminate, language, quality, repeats, simhash, sql, token_counts, toxicity, urls
+from boardlake.llm import bpe, chat, decontaminate, hard_negatives, language, neighbours, quality, repeats, resampling, simhash, sql, token_counts, toxicity, urls
 from boardlake.llm.common import materialise, table
 
 #: The rules that the url query applies.
@@ -69,6 +70,20 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.url_verdicts(table(spark, sf_dir, "pages"), urls.rule_table(spark, URL_RULES))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_repeats": op1_repeats,
@@ -81,6 +96,9 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_chat": op8_chat,
         "op9_token_counts": op9_token_counts,
         "op10_urls": op10_urls,
+        "op11_hard_negatives": op11_hard_negatives,
+        "op12_resampling": op12_resampling,
+        "op13_neighbours": op13_neighbours,
     }
 
 
@@ -90,4 +108,6 @@ def oracle_queries() -> dict[str, str]:
         "op7_decontaminate": sql.OP7,
         "op8_chat": sql.OP8,
         "op10_urls": sql.OP10,
+        "op11_hard_negatives": sql.OP11,
+        "op12_resampling": sql.OP12,
     }

@@ -100,3 +100,84 @@ WITH parts AS (
 SELECT page_id, parts.host AS host, parts.path AS path, best.r AS rule, coalesce(best.v, 'allow') AS verdict
 FROM parts LEFT JOIN fits ON parts.host = fits.host AND parts.path = fits.path
 """
+
+OP11 = r"""
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS same, list_inner_product(a.q, r.q)::BIGINT AS score
+  FROM rows a JOIN rows r ON a.vec_id % 50 = 0 AND a.vec_id <> r.vec_id
+), positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT anchor_id, positive_id, row_number() OVER w AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)
+QUALIFY rank <= 3
+"""
+
+# crc32 is linear: the register after L bytes is that of L zero bytes, exclusive or what each
+# byte adds, which depends on its value and its distance from the end alone.
+OP12 = r"""
+WITH RECURSIVE bits(b, k, c) AS (
+  SELECT i, 0, i FROM range(256) AS r(i)
+  UNION ALL
+  SELECT b, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bits WHERE k < 8
+), one AS (
+  SELECT b, c FROM bits WHERE k = 8
+), docs AS (
+  SELECT row_number() OVER () AS r, false AS target, doc_id, text FROM documents
+  UNION ALL
+  SELECT -row_number() OVER (), true, NULL, text FROM benchmark
+), ws AS (
+  SELECT r, target, doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws
+  FROM docs
+), runs AS (
+  SELECT r, target, array_to_string(ws[i:i + w - 1], ' ') AS f
+  FROM (SELECT r, target, ws, w, unnest(range(1, len(ws) - w + 2)) AS i FROM ws, range(1, 4) AS v(w))
+), found AS (
+  SELECT r, target, f, count(*) AS n FROM runs GROUP BY ALL
+), features AS (
+  SELECT DISTINCT f, hex(encode(f)) AS h FROM found
+), bytes AS (
+  SELECT f, len(h) // 2 - i AS back, ('0x' || substr(h, 2 * i - 1, 2))::BIGINT AS b
+  FROM (SELECT f, h, unnest(range(1, len(h) // 2 + 1)) AS i FROM features)
+), longest AS (
+  SELECT max(len(h) // 2) AS n FROM features
+), adds(back, b, c) AS (
+  SELECT 0, b, c FROM one
+  UNION ALL
+  SELECT back + 1, adds.b, xor(adds.c >> 8, one.c) FROM adds JOIN one ON one.b = adds.c & 255 WHERE back + 1 < (SELECT n FROM longest)
+), zeros(n, c) AS (
+  SELECT 0, 4294967295
+  UNION ALL
+  SELECT n + 1, xor(zeros.c >> 8, one.c) FROM zeros JOIN one ON one.b = zeros.c & 255 WHERE n < (SELECT n FROM longest)
+), parts AS (
+  SELECT f, max(back) + 1 AS n, bit_xor(adds.c) AS c FROM bytes JOIN adds USING (back, b) GROUP BY f
+), bucket AS (
+  SELECT f, xor(xor(parts.c, zeros.c), 4294967295) % 10000 AS bucket FROM parts JOIN zeros USING (n)
+), counts AS (
+  SELECT bucket, coalesce(sum(n) FILTER (WHERE NOT target), 0) AS s, coalesce(sum(n) FILTER (WHERE target), 0) AS t
+  FROM found JOIN bucket USING (f) GROUP BY bucket
+), gains AS (
+  SELECT bucket, floor(1000 * ln(((t + 1)::DOUBLE * (all_s + 10000)::DOUBLE) / ((s + 1)::DOUBLE * (all_t + 10000)::DOUBLE)))::BIGINT AS gain
+  FROM counts, (SELECT sum(s) AS all_s, sum(t) AS all_t FROM counts)
+), sums AS (
+  SELECT r, sum(n * gain)::BIGINT AS weight FROM found JOIN bucket USING (f) JOIN gains USING (bucket) WHERE NOT target GROUP BY r
+), scored AS (
+  SELECT doc_id, len(ws) AS n_words, len(ws) + greatest(len(ws) - 1, 0) + greatest(len(ws) - 2, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM ws LEFT JOIN sums USING (r) WHERE NOT target
+), ranked AS (
+  SELECT *, CASE WHEN n_words >= 20 THEN row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id NULLS LAST) END AS place,
+         count(*) FILTER (WHERE n_words >= 20) OVER () AS n
+  FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 5 * n // 100 THEN place END AS rank FROM ranked
+"""
