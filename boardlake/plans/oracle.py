@@ -152,7 +152,7 @@ v_postings AS (
       CAST(substring(source, 4) AS INTEGER) AS slug_num,
       CAST(substring(source, 4) AS INTEGER) % 3 AS ats_ord,
       CAST(doc_id // {D.PART_WIDTH} AS INTEGER) AS part,
-      CASE WHEN doc_id % 8 = 7 THEN 'Contract Designer $' || {fmt('a')} || ' - $' || {fmt('b')}
+      CASE WHEN doc_id % 8 = 7 THEN 'Charter pilot $' || {fmt('a')} || ' - $' || {fmt('b')}
            ELSE {pick(D.TITLES, 'doc_id % 8')} END AS title,
       {pick(D.DEPARTMENTS, 'doc_id % 5')} AS department,
       {pick(D.LOCATIONS, f'doc_id % {len(D.LOCATIONS)}')} AS location,

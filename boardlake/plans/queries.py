@@ -24,24 +24,24 @@ from . import api
 from . import oracle as O
 
 # Fixed query parameters (the same literals appear in the SQL).
-TITLE_PATTERN = "product manager|équipe|^growth"
+TITLE_PATTERN = "yard keeper|équipage|^tide"
 TOPIC_PATTERN = "payments|growth|pay range"
 RECENCY_DAYS = 7
-LOC_INCLUDE = ["US", "United States", "remote", "AUS"]
-LOC_EXCLUDE = ["UK", "Germany", "emea", "  "]
-ALL_TITLE = "engineer|manager|pm|équipe"
+LOC_INCLUDE = ["Oslo", "northern", "remote"]
+LOC_EXCLUDE = ["Rim", "Grimstad", "southern", "  "]
+ALL_TITLE = "keeper|surveyor|clerk|équip"
 ALL_TOPIC = "pay|growth"
 ALL_DAYS = 30
-ALL_INCLUDE = ["us", "remote", "aus", "paris"]
-ALL_EXCLUDE = ["uk"]
+ALL_INCLUDE = ["oslo", "remote", "rim", "osloville"]
+ALL_EXCLUDE = ["4oslo", "south"]
 ALL_LIMIT = 5
 PER_COMPANY_LIMIT = 7
 FIRST_N = 100
-FETCH_TITLE = "engineer|manager|pm"
+FETCH_TITLE = "keeper|surveyor|clerk"
 FETCH_DAYS = 30
-FETCH_EXCLUDE = ["UK"]
+FETCH_EXCLUDE = ["rim"]
 SWEEP_SECTOR = "fintech"
-SWEEP_TOPIC = "engineer|product|pay"
+SWEEP_TOPIC = "keeper|product|pay"
 SWEEP_LIMIT = 5
 REGISTRY_QUERY = "Company SRC1"
 TOOL_QUERY = "company"

@@ -26,35 +26,22 @@ PART_WIDTH = 500  # doc_ids per landed board part
 
 # Fixture vocabularies (by doc_id modulo their length).
 TITLES = (
-    "Senior Product Manager",
-    "Staff Software Engineer",
-    "Backend Engineer, Payments",
+    "Yard keeper, night shift",
+    "Surveyor of tides",
+    "Dock Keeper II (Payments)",
     "",
     None,
-    "GROWTH PM",
-    "ÉQUIPE Data Analyst",
-    None,  # 7: 'Contract Designer $A - $B' (built from the amounts)
+    "TIDE-TABLE CLERK",
+    "ÉQUIPAGE lead",
+    None,  # 7: 'Charter pilot $A - $B' (built from the amounts)
 )
 DEPARTMENTS = ("Engineering", "Product", "Growth", "", None)
-LOCATIONS = (
-    "Remote across the US",
-    "Tulsa, US",
-    "Any United States office",
-    "Hobart, Australia",
-    "AUS (Hobart)",
-    "Gomel, Belarus",
-    "Zug",
-    "Leeds, UK",
-    None,
-    "Hybrid - Paris",
-    "",
-    "On-site in Kassel",
-    "ONSITE",
-    "Remote, EMEA only",
-    "Bonn, Germany",
-    "Rusutsu",
-    "zéus",
-)
+# A short keyword counts as a whole word, bounded as ASCII letters, digits and the
+# underscore are; a long one anywhere.  Each word below stands whole, inside another word,
+# beside a hyphen, an underscore, a digit and a letter beyond ASCII, in either case.
+_WORDS = ("Oslo", "Osloville", "new-oslo", "oslo_2", "4Oslo", "Øoslo", "RIM", "Grimstad", "Northern Rim", "southernmost")
+_MODES = ("{}", "Remote, {}", "{} (hybrid)", "On-site: {}")
+LOCATIONS = (*(_MODES[(i * 3 + i // 4) % 4].format(w) for i, w in enumerate(_WORDS * 2)), None, "", "ONSITE")
 SECTORS = ("fintech", "developer tools", "productivity", "security", None)
 EMPLOYMENT = ("FullTime", "PartTime", "Contract", None)
 WORKPLACE = ("remote", "hybrid", "onsite")
@@ -109,7 +96,7 @@ def v_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(doc % 6 == 4, F.concat(F.lit(" Pay: $"), _fmt(a), F.lit(".00 - $"), _fmt(b), F.lit(".00")))
         .otherwise(F.lit(""))
     )
-    title = F.when(doc % 8 == 7, F.concat(F.lit("Contract Designer $"), _fmt(a), F.lit(" - $"), _fmt(b))).otherwise(
+    title = F.when(doc % 8 == 7, F.concat(F.lit("Charter pilot $"), _fmt(a), F.lit(" - $"), _fmt(b))).otherwise(
         _pick(TITLES, doc % 8)
     )
     iso = F.concat(

@@ -29,7 +29,3 @@ def spark():
 def tmpdir_path():
     return tempfile.mkdtemp(prefix="boardlake-test-")
 
-
-def one(spark, expr, value, ddl="x string"):
-    """Evaluate a column expression over a one-row frame."""
-    return spark.createDataFrame([(value,)], ddl).select(expr.alias("r")).first()["r"]

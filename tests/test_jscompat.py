@@ -12,7 +12,7 @@ from boardlake.functions.jscompat import (
     utf16_len,
     validate_java_regex,
 )
-from conftest import one
+from evaluate import one
 
 
 def test_js_regex_rewrites_dollar_to_absolute_end():

@@ -14,7 +14,7 @@ from boardlake.functions.text import (
     strip_html,
     title_case_slug,
 )
-from conftest import one
+from evaluate import one
 
 
 def s(spark, v):
