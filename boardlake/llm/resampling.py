@@ -88,7 +88,7 @@ def gains(docs: DataFrame, target: DataFrame, text_col: str = "text", n_buckets:
     zero = F.lit(0).cast("long")
     s, t = (bucket_counts(x, text_col, n_buckets).withColumnRenamed("n", c) for x, c in ((docs, "s"), (target, "t")))
     every = docs.sparkSession.range(n_buckets).select(F.col("id").cast("int").alias("bucket"))
-    both = every.join(s, "bucket", "left").join(t, "bucket", "left").select("bucket", *(F.coalesce(c, zero).alias(c) for c in "st"))
+    both = materialise(every.join(s, "bucket", "left").join(t, "bucket", "left").select("bucket", *(F.coalesce(c, zero).alias(c) for c in "st")))
     both = both.crossJoin(F.broadcast(both.agg(F.sum("s").alias("all_s"), F.sum("t").alias("all_t"))))  # one row
     of = lambda a, b: (F.col(a) + 1).cast("double") * (F.col(b) + n_buckets).cast("double")
     return both.select("bucket", F.floor(F.log(of("t", "all_s") / of("s", "all_t")) * 1000).alias("gain"))
