@@ -36,8 +36,6 @@ UNDEFINED = "und"
 #: Letters of ASCII and bytes of longer characters make up words.
 LETTER_BYTE = np.array([chr(b).isalpha() if b < 128 else True for b in range(256)])
 SLOTS = 1 << 16
-#: Sample rows, of 8 bytes each, up to which their ranks are broadcast.
-BROADCAST_ROWS = 100_000
 BLOCK = 64
 _LETTER = regex.compile(r"\p{L}")
 
@@ -230,19 +228,26 @@ def _pairs(emit: np.ndarray, seq: np.ndarray, trans: np.ndarray) -> np.ndarray:
     return (joint / joint.sum(axis=(1, 2), keepdims=True)).sum(axis=0) if len(left) else np.zeros((k, k))
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_lang: int = 300, **settings) -> Model | None:
-    """Learn from a bounded sample of the rows with text and language; none without any."""
-    known = docs.where(F.col(lang_col).isNotNull()).select(
-        F.xxhash64(id_col, lang_col).alias("rank"), F.col(lang_col).alias("y"), F.col(text_col).alias("text")
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_lang: int = 300, max_langs: int = 64, **settings) -> Model | None:
+    """Learn from a bounded sample of the rows with text and language; none without any.
+
+    The sample is ``per_lang`` rows, those with the smallest hash of id and language, of each
+    of the ``max_langs`` languages with the most such rows.  Rows of one id with different
+    texts are rows of their own; the hash of the text decides between equal ranks.
+    """
+    # rows that share id, language and text are one; ties of the hash go by the text's own
+    known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
+        F.xxhash64(id_col, lang_col).alias("rank"), F.xxhash64(text_col).alias("own"), F.col(lang_col).alias("y"), F.col(text_col).alias("text")
     )
-    chosen = known.select("rank", "y", F.pmod(F.spark_partition_id(), F.lit(64)).alias("salt"))
+    chosen = known.select("rank", "own", "y").distinct().withColumn("salt", F.pmod("own", F.lit(64)))
     for keys in (["y", "salt"], ["y"]):  # the smallest of the smallest: a language is never gathered whole
-        nth = F.row_number().over(W.partitionBy(*keys).orderBy("rank"))
+        nth = F.row_number().over(W.partitionBy(*keys).orderBy("rank", "own"))
         chosen = chosen.withColumn("n", nth).where(F.col("n") <= per_lang).drop("n")
-    chosen = chosen.select("rank").distinct()
-    # a number for each row of the sample; with very many languages the join shuffles instead
-    small = chosen.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    sample = known.join(F.broadcast(chosen) if small else chosen, "rank").where("text is not null").dropDuplicates(["rank"])
+    # of very many languages those with the most chosen rows are learned, ties by name
+    langs = chosen.groupBy("y").count().orderBy(F.desc("count"), "y").limit(max_langs).select("y")
+    chosen = chosen.select("rank", "own", "y").distinct().join(F.broadcast(langs), "y", "left_semi").drop("y")
+    # at most per_lang rows of max_langs languages: a bounded table
+    sample = known.join(F.broadcast(chosen), ["rank", "own"]).dropDuplicates(["rank", "own", "y"])
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [(t.as_py(), y.as_py()) for b in batches for t, y in zip(b.column("text"), b.column("y"), strict=True)]
@@ -252,7 +257,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         yield pa.RecordBatch.from_arrays([pa.array([langs]), *(pa.array([x]) for x in blob)], ["langs", "emit", "trans", "lexicon"])
 
     schema = "langs array<string>, emit binary, trans binary, lexicon binary"
-    got = sample.repartition(1).sortWithinPartitions("rank").mapInArrow(learn, schema).first()
+    got = sample.repartition(1).sortWithinPartitions("rank", "own").mapInArrow(learn, schema).first()
     if got is None or not got.langs:
         return None
     k = len(got.langs)

@@ -54,15 +54,16 @@ def fingerprint(text: str | None, width: int = 3, seed: int = 42) -> bytes:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
-    """(id, fp): the fingerprint of every row as a signed long."""
+    """(id, hash of the text, fp): the fingerprint of every row as a signed long; ids are
+    whole numbers, or text that reads as such."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = b"".join(fingerprint(x.as_py(), width) for x in batch.column(1))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.frombuffer(fps, ">i8").astype(np.int64))], ["id", "fp"])
+            fps = b"".join(fingerprint(x.as_py(), width) for x in batch.column(2))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(np.frombuffer(fps, ">i8").astype(np.int64))], ["id", "hash", "fp"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "id long, fp long")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("hash"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(run, "id long, hash long, fp long")
 
 
 def _segment(fp: Column, i: int) -> Column:
@@ -123,6 +124,12 @@ def _near(fp: Column, bits: int) -> Column:
     return F.array(fp, *(fp.bitwiseXOR(F.lit(v if v < 1 << 63 else v - (1 << 64))) for v in ((1 << k) for k in range(64 * bits))))
 
 
+def _grouped(distinct: DataFrame, max_bits: int, bucket: int) -> DataFrame:
+    """The rows of ``distinct``, one for each fingerprint ``fp``, with the ``root`` of its component."""
+    roots = components(links(distinct.select("fp"), max_bits, bucket))
+    return distinct.join(roots, distinct.fp == roots.node, "left").drop("node").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, max_bits: int = 2, bucket: int = 64) -> DataFrame:
     """(id, fingerprint, component_id) for every input row.
 
@@ -131,10 +138,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     component through their fingerprint; the component is null if all its ids are.  Repeated
     rows each keep a row.  An empty table gives an empty result; other columns are ignored.
     """
-    rows = materialise(fingerprints(docs, id_col, text_col, width))
-    distinct = materialise(rows.groupBy("fp").agg(F.min("id").alias("low")))
-    roots = components(links(distinct.select("fp"), max_bits, bucket))
-    of = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
+    rows = materialise(fingerprints(docs, id_col, text_col, width).drop("hash"))
+    of = _grouped(materialise(rows.groupBy("fp").agg(F.min("id").alias("low"))), max_bits, bucket)
     named = of.join(of.groupBy("root").agg(F.min("low").alias("component_id")), "root").select("fp", "component_id")
     return rows.join(named, "fp").select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
@@ -143,8 +148,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, max_bits: int = 2) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates: the one with the smallest id.
-    Rows with a null id belong to no group here and stay."""
-    found = near_duplicates(docs.where(F.col(id_col).isNotNull()), id_col, text_col, width, max_bits)
-    keep = found.where(F.col(id_col) == F.col("component_id")).select(id_col).distinct()
-    kept = docs.join(keep, id_col, "left_semi").dropDuplicates([id_col])
-    return kept.select(docs.columns).unionByName(docs.where(F.col(id_col).isNull()))
+
+    Rows are decided one by one: rows that share an id but not a text each count in the group
+    of their own text.  Of a group's rows with the smallest id that with the smallest hash of
+    its text stays, of those equal in both the one with the smallest hash of all columns.
+    Rows with a null id belong to no group here and stay; other columns are kept as they are.
+    """
+    known = docs.where(F.col(id_col).isNotNull())
+    found = materialise(fingerprints(known, id_col, text_col, width))
+    distinct = materialise(found.groupBy("fp").agg(F.min(F.struct("id", "hash")).alias("low")))
+    first = _grouped(distinct, max_bits, 64).groupBy("root").agg(F.min("low").alias("low")).select("low.id", "low.hash")
+    # repeated rows are put together in every task before they move
+    every = [F.col(c) for c in docs.columns]
+    alike = known.groupBy(F.col(id_col).cast("long").alias("_id"), F.xxhash64(text_col).alias("_hash"))
+    single = alike.agg(F.min_by(F.struct(*every), F.xxhash64(*every)).alias("_row"))
+    kept = single.join(first, (F.col("_id") == F.col("id")) & (F.col("_hash") == F.col("hash")), "left_semi")
+    return kept.select("_row.*").unionByName(docs.where(F.col(id_col).isNull()))

@@ -117,6 +117,28 @@ def test_code_switched_words(tongues):
     assert [x[1] for x in got] == ["aa", "aa", "bb", "bb", "cc", "cc"]
 
 
+def test_null_texts_and_copies_take_no_place_in_the_sample(spark, tongues):
+    """Nine in ten rows of a language without text, and one row in very many copies."""
+    some = tongues.select("doc_id", "text", "lang").where("text is not null and doc_id is not null")
+    nulls = spark.range(3000).selectExpr("id + 10000 as doc_id", "cast(null as string) as text", "'bb' as lang")
+    copies = spark.range(2000).selectExpr("cast(77777 as long) as doc_id", "'thetion wher' as text", "'aa' as lang")
+    model = language.train(some.unionByName(nulls).unionByName(copies), per_lang=40)
+    assert model.langs == ["aa", "bb", "cc"]
+    got = language.label_words("thetioning whering schungei pfeiung cióncios llosra", model)
+    assert [x[1] for x in got] == ["aa", "aa", "bb", "bb", "cc", "cc"]
+
+
+def test_number_of_languages_is_bounded(tongues):
+    model = language.train(tongues, max_langs=2)
+    assert len(model.langs) == 2
+
+
+def test_the_sample_does_not_depend_on_the_order_of_rows(spark):
+    rows = [(i % 9, f"{w} und {w}", lang) for i, (w, lang) in enumerate([("haus", "de"), ("the", "en"), ("schön", "de"), ("house", "en")] * 9)]
+    models = [language.train(spark.createDataFrame(r, "doc_id long, text string, lang string"), per_lang=3) for r in (rows, rows[::-1])]
+    assert all(np.array_equal(getattr(models[0], k), getattr(models[1], k)) for k in ("emit", "trans", "lexicon"))
+
+
 def test_language_without_training_rows(spark, empty, tongues):
     assert language.train(empty) is None
     assert language.language(empty).count() == 0

@@ -31,12 +31,12 @@ def test_stages_on_odd_rows(spark):
         assert P.STAGES[-1][1](spark, frame, SF).count() == frame.count()
 
 
-@pytest.mark.parametrize("name", ["op4_quality", "op7_decontaminate", "op8_chat", "op10_urls"])
+@pytest.mark.parametrize("name", ["op4_quality", "op7_decontaminate", "op8_chat", "op10_urls", "op11_hard_negatives", "op12_resampling"])
 def test_queries_match_sql(spark, name):
     from boardlake.llm import queries as Q
 
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels", "conversations"):
+    for t in ("documents", "pages", "benchmark", "labels", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = Q.spark_queries()[name](spark, SF)
     cols = sorted(df.columns)

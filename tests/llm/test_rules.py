@@ -1,6 +1,8 @@
 import collections
 import random
 
+from pyspark.sql import functions as F
+
 from boardlake.llm import decontaminate, quality, urls
 
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.net", "/en/private"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"),
@@ -102,15 +104,24 @@ def test_contamination_by_brute_force(spark, docs, docs_rows, monkeypatch, empty
                 own[rng.randrange(len(own))] = "zzz"
             items.append((k, ("; " if k % 2 else " ").join(own).replace("a", "A").replace("é", "É")))
     items += [(50, None), (51, ""), (52, "?!"), (None, "a b c"), items[0]]
-    table = spark.createDataFrame(items, "item_id long, text string").selectExpr("*", "1 as id")
+    table = spark.createDataFrame(items, "item_id long, text string").selectExpr("*", "1 as id", "2 as k1", "3 as i1")
     want = plain_pairs(docs_rows, items)
     assert len(want) > 20
-    for size in (8 << 20, 60):  # one block of items, and many
-        monkeypatch.setattr(decontaminate, "BLOCK_BYTES", size)
+    for spare, common, bits in ((4, 32, 1 << 25), (0, 0, 1 << 16)):
+        monkeypatch.setattr(decontaminate, "SPARE", spare)
+        monkeypatch.setattr(decontaminate, "COMMON", common)
+        monkeypatch.setattr(decontaminate, "MOST_BITS", bits)
         got = collections.Counter((r.doc_id, r.item_id, r.n_shingles, r.n_found) for r in decontaminate.contaminated(docs, table).collect())
         assert got == want
-    kept = decontaminate.decontaminate(docs, table)
-    assert kept.columns == docs.columns
-    assert kept.count() == sum(not plain_pairs([row], items) for row in docs_rows)
+    clean = sum(not plain_pairs([row], items) for row in docs_rows)
+    for rows in (1 << 19, 0):  # keys of bad texts go to all tasks, or meet the texts in a shuffle
+        monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", rows)
+        kept = decontaminate.decontaminate(docs, table)
+        assert kept.columns == docs.columns and kept.count() == clean
+    assert decontaminate.decontaminate(docs, table.where("false")).count() == docs.count()
+    for kind in ("int", "string", "decimal(9,2)"):  # ids of any type
+        typed = decontaminate.contaminated(docs.withColumn("doc_id", F.col("doc_id").cast(kind)), table.withColumn("item_id", F.col("item_id").cast(kind)))
+        assert {t for c, t in typed.dtypes if c in ("doc_id", "item_id")} == {kind}
+        assert typed.count() == want.total()
     assert decontaminate.contaminated(docs, table.where("false")).count() == 0
     assert decontaminate.contaminated(empty, table).count() == 0
