@@ -34,8 +34,10 @@ from pyspark.sql import functions as F
 from boardlake.llm.common import materialise, trim
 from boardlake.llm.words import WORD_BYTE, chunks, join_units, mix, span_hashes, word_spans
 
-#: Bits of a table of shingle hashes: this many for each, and at most so many.
-BITS_EACH, MOST_BITS = 16, 1 << 25
+#: Bits of a table of shingle hashes: this many for each, within bounds, and the shifts that
+#: give a hash its places.
+BITS_EACH, LEAST_BITS, MOST_BITS = 16, 1 << 22, 1 << 25
+SHIFTS = (0, 19, 39)
 #: Sketch shingles beyond the least that a size class needs, and items that own a common one.
 SPARE, COMMON = 4, 32
 #: Parts into which the work on one shingle or item is dealt.
@@ -70,19 +72,24 @@ def _rolled(words: np.ndarray, width: int) -> np.ndarray:
 
 
 class Bits:
-    """A table of bits by hash: false where no shingle has the hash."""
+    """A Bloom filter of shingle hashes, as a table of bits."""
 
     def __init__(self, rows: DataFrame, bits: int):
-        place = F.col("v").bitwiseAND(F.lit(bits - 1))
-        one = F.expr("shiftleft(1L, cast(v & 63 as int))")
-        got = rows.groupBy(F.shiftrightunsigned(place, 6).alias("w")).agg(F.bit_or(one)).collect()  # bits / 64 rows at most
+        places = F.explode(F.array(*(F.shiftrightunsigned("v", k).bitwiseAND(F.lit(bits - 1)) for k in SHIFTS)))
+        one = F.expr("shiftleft(1L, cast(p & 63 as int))")
+        # bits / 64 rows at most
+        got = rows.select(places.alias("p")).groupBy(F.shiftrightunsigned("p", 6).alias("w")).agg(F.bit_or(one)).collect()
         self.table = np.zeros(bits >> 6, np.uint64)
         for w, value in got:
             self.table[w] = value & ((1 << 64) - 1)
 
     def has(self, hashes: np.ndarray) -> np.ndarray:
-        place = hashes & np.uint64(len(self.table) * 64 - 1)
-        return (self.table[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) != 0
+        """Numbers of the hashes that may be in the table."""
+        found = np.arange(len(hashes))
+        for k in SHIFTS:
+            place = (hashes[found] >> np.uint64(k)) & np.uint64(len(self.table) * 64 - 1)
+            found = found[(self.table[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) != 0]
+        return found
 
 
 def _key(text: Column) -> list[Column]:
@@ -127,13 +134,14 @@ def _hits(texts: list[str], widths: list[int], every: Bits, sketches: Bits) -> I
     words, doc = span_hashes(data, starts, ends), np.searchsorted(at, starts, "right") - 1
     for w in widths:
         rolled = _rolled(words, w)
-        hit = np.flatnonzero(every.has(rolled))
+        hit = every.has(rolled)
         hit = hit[doc[hit] == doc[hit + w - 1]]
         able = np.zeros(len(texts), bool)
         able[doc[hit[sketches.has(rolled[hit])]]] = True
         hit = hit[able[doc[hit]]]
-        _, first = np.unique(np.stack([doc[hit].astype(np.uint64), rolled[hit]]), axis=1, return_index=True) if len(hit) else (None, hit)
-        for k in hit[np.sort(first)].tolist() if len(hit) else ():
+        hit = hit[np.lexsort((hit, rolled[hit], doc[hit]))]
+        again = (doc[hit[1:]] == doc[hit[:-1]]) & (rolled[hit[1:]] == rolled[hit[:-1]])
+        for k in hit[np.append(True, ~again)[: len(hit)]].tolist():
             spans = zip(starts[k : k + w].tolist(), ends[k : k + w].tolist(), strict=True)
             yield int(doc[k]), w, int(rolled[k].view(np.int64)), b" ".join(data[a:b].tobytes() for a, b in spans)
 
@@ -144,7 +152,7 @@ def _found(docs: DataFrame, items: DataFrame, id_col: str | None, text_col: str,
     spark = docs.sparkSession
     own = materialise(item_shingles(items, item_text, threshold, width))
     n, sizes = own.count(), [r[0] for r in own.select("width").distinct().collect()]
-    bits = min(max(1 << (BITS_EACH * n).bit_length(), 1 << 16), MOST_BITS)
+    bits = min(max(1 << (BITS_EACH * n).bit_length(), LEAST_BITS), MOST_BITS)
     held = spark.sparkContext.broadcast((sorted(sizes), Bits(own, bits), Bits(own.where("place <= sketch"), bits)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -107,7 +107,7 @@ def test_contamination_by_brute_force(spark, docs, docs_rows, monkeypatch, empty
     table = spark.createDataFrame(items, "item_id long, text string").selectExpr("*", "1 as id", "2 as k1", "3 as i1")
     want = plain_pairs(docs_rows, items)
     assert len(want) > 20
-    for spare, common, bits in ((4, 32, 1 << 25), (0, 0, 1 << 16)):
+    for spare, common, bits in ((4, 32, 1 << 25), (0, 0, 1 << 7)):
         monkeypatch.setattr(decontaminate, "SPARE", spare)
         monkeypatch.setattr(decontaminate, "COMMON", common)
         monkeypatch.setattr(decontaminate, "MOST_BITS", bits)
