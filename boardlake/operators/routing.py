@@ -4,8 +4,8 @@ A request is (request_id, company, ats?).  Its slug is routed to:
   * the explicit platform, when one is given;
   * else the registry's platform for the slug (only that one is read);
   * else every platform (discovery).
-Routing happens on board rows, before any body is parsed, so boards that
-no request asked for are never parsed.
+Routing happens on the index of the landed rows, before any body is read: bodies
+that no request asked for are never read, and no body moves between tasks.
 """
 
 from __future__ import annotations
@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import slugify
-from ..sources.adapters import all_postings, ashby_graphql_needed, board_outcomes
+from ..sources.adapters import all_postings, ashby_rest_nonempty_slugs, board_outcomes
+from ..sources.boards import BoardStore, as_store, bodies, current_parts, wanted
+from ..sources.landing import pinned
 from ..sources.schemas import ATS_NAMES
 from .filters import DEFAULT, apply_filters
 from .normalize import normalize
@@ -56,16 +58,32 @@ def resolve_requests(requests: DataFrame, registry: DataFrame) -> DataFrame:
     return req.withColumn("mode", mode).withColumn("route_ats", route)
 
 
-def wanted_boards(resolved: DataFrame, raw_boards: DataFrame) -> DataFrame:
-    """Board rows that at least one request reads, each once: a semi-join on
-    slug plus the platform predicate (explicit or registry platform, or any
-    in discovery), before any body is parsed.  Only bodies that are wanted
-    move, however many requests want them."""
-    r = resolved.where(F.col("mode") != "invalid").select(F.col("slug").alias("_r_slug"), "route_ats").distinct()
-    boards = raw_boards.where(F.col("endpoint") != "probe")
-    return boards.join(
-        r, (boards["slug"] == r["_r_slug"]) & (r["route_ats"].isNull() | (r["route_ats"] == boards["ats"])), "left_semi"
-    )
+def wanted_parts(resolved: DataFrame, index: DataFrame) -> DataFrame:
+    """Parts of the newest complete fetches that at least one request reads, each once, with
+    ``_strict``: whether a request reads the board by explicit platform or registry, where a
+    failure is an error of the call (discovery drops failed sources).
+
+    Works on the index alone: the requests' slugs and platforms cut it down before fetches
+    are compared."""
+    r = resolved.where(F.col("mode") != "invalid").groupBy(F.col("slug").alias("_r_slug")).agg(
+        F.bool_or(F.col("route_ats").isNull()).alias("_any"), F.collect_set("route_ats").alias("_named"))
+    named = F.array_contains("_named", F.col("ats"))
+    rows = index.where(F.col("endpoint") != "probe").join(r, F.col("slug") == F.col("_r_slug")).where(F.col("_any") | named)
+    parts = current_parts(rows.drop("_r_slug", "_any", "_named"))
+    return parts.join(r, F.col("slug") == F.col("_r_slug")).withColumn("_strict", named).drop("_r_slug", "_any", "_named")
+
+
+def read_parts(store: BoardStore, parts: DataFrame) -> DataFrame:
+    """The bodies of these parts, with ``_strict``, but for the Ashby GraphQL ones that no call
+    reads: those of companies whose REST board has postings.
+
+    REST bodies are looked at for that, lightly; then the wanted parts are written down as a
+    small table, and all further reading starts from it."""
+    rest = bodies(store, wanted(parts.where((F.col("ats") == "ashby") & (F.col("endpoint") == "rest"))))
+    unread = ashby_rest_nonempty_slugs(rest).select(F.col("slug").alias("_unread"))
+    graphql = (F.col("ats") == "ashby") & (F.col("endpoint") == "graphql")
+    parts = parts.join(unread, graphql & (F.col("slug") == F.col("_unread")), "left_anti")
+    return bodies(store, pinned(wanted(parts, "_strict"), "wanted"), "_strict")
 
 
 def attach_requests(resolved: DataFrame, rows: DataFrame, slug_col: str = "company_slug") -> DataFrame:
@@ -78,37 +96,25 @@ def attach_requests(resolved: DataFrame, rows: DataFrame, slug_col: str = "compa
     return rows.join(r, on).drop("_r_slug", "_r_ats")
 
 
-def strict_boards(resolved: DataFrame, raw_boards: DataFrame) -> DataFrame:
-    """Wanted board rows with ``_strict``: whether a request reads the board
-    by explicit platform or registry, where a failure is an error of the
-    call (discovery drops failed sources)."""
-    direct = resolved.where(F.col("mode").isin("explicit", "registry")).select(
-        F.col("slug").alias("_d_slug"), F.col("route_ats").alias("_d_ats")).distinct()
-    boards = wanted_boards(resolved, raw_boards)
-    return boards.join(direct, (boards["slug"] == direct["_d_slug"]) & (boards["ats"] == direct["_d_ats"]), "left").withColumn(
-        "_strict", F.col("_d_slug").isNotNull()).drop("_d_slug", "_d_ats")
-
-
-def raw_postings(resolved: DataFrame, raw_boards: DataFrame, strict: bool = False) -> DataFrame:
+def raw_postings(resolved: DataFrame, raw_boards: DataFrame | BoardStore, strict: bool = False) -> DataFrame:
     """Pre-normalised postings of every wanted board, parsed once per board,
     then tagged with the requests that read it.  Failed sources contribute
     nothing (see ``fetch_outcomes`` for why), or fail the query with
     ``strict`` unless only discovery reads them."""
-    if strict:
-        rows = all_postings(strict_boards(resolved, raw_boards), ("_strict",), F.col("_strict")).drop("_strict")
-    else:
-        rows = all_postings(wanted_boards(resolved, raw_boards))
+    store = as_store(raw_boards)
+    boards = read_parts(store, wanted_parts(resolved, store.index))
+    rows = all_postings(boards, ("_strict",), F.col("_strict") if strict else None, fallback=False).drop("_strict")
     return attach_requests(resolved, rows)
 
 
-def fetch_postings(resolved: DataFrame, raw_boards: DataFrame, seen_at=None, strict: bool = False) -> DataFrame:
+def fetch_postings(resolved: DataFrame, raw_boards: DataFrame | BoardStore, seen_at=None, strict: bool = False) -> DataFrame:
     """Normalised postings of every routed board, tagged with request_id."""
     return normalize(raw_postings(resolved, raw_boards, strict), seen_at, keep=REQUEST_KEEP)
 
 
 def fetch_jobs_batch(
     resolved: DataFrame,
-    raw_boards: DataFrame,
+    raw_boards: DataFrame | BoardStore,
     title_filter=None,
     filter=None,
     posted_within_days=None,
@@ -136,9 +142,9 @@ def fetch_jobs_batch(
     return apply_filters(postings, filter=filter, limit=limit, partition_by=["request_id"], rank_col=rank_col)
 
 
-def fetch_outcomes(resolved: DataFrame, raw_boards: DataFrame) -> DataFrame:
+def fetch_outcomes(resolved: DataFrame, raw_boards: DataFrame | BoardStore) -> DataFrame:
     """Outcome of every board part a request read.  An 'error' in explicit
     or registry mode is what the single-company call raises; in discovery it
     is dropped silently."""
-    outcomes = board_outcomes(ashby_graphql_needed(wanted_boards(resolved, raw_boards)))
-    return attach_requests(resolved, outcomes, "slug")
+    store = as_store(raw_boards)
+    return attach_requests(resolved, board_outcomes(read_parts(store, wanted_parts(resolved, store.index))), "slug")

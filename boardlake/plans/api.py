@@ -1,7 +1,7 @@
 """User-level entry points.
 
-Every call builds a Spark plan over the landed ``raw_boards`` table and a
-registry table; a batch of companies is one query (not one call per
+Every call builds a Spark plan over the landed boards (a store opened with
+``open_store``, or any table of ``RAW_BOARDS_DDL``) and a registry table; a batch of companies is one query (not one call per
 company).  Argument checks happen on the driver before any job runs.
 """
 
@@ -18,7 +18,7 @@ from ..operators import routing as _routing
 from ..operators import summary as _summary
 from ..operators.normalize import normalize
 from ..sources import adapters as _adapters
-from ..sources.boards import latest_boards
+from ..sources.boards import BoardStore, as_store, current_parts
 from ..sources.registry import load_registry as _load_registry
 from ..sources.registry import load_registry_ats as _load_registry_ats
 from ..sources.schemas import (
@@ -50,7 +50,7 @@ def _requests(spark: SparkSession, company, ats=None) -> DataFrame:
 
 def fetch_jobs(
     spark: SparkSession,
-    raw_boards: DataFrame,
+    raw_boards: DataFrame | BoardStore,
     registry: DataFrame,
     company,
     ats: str | None = None,
@@ -84,7 +84,7 @@ def fetch_jobs(
     requests = _requests(spark, company, ats)
     resolved = _routing.resolve_requests(requests, registry)
     return _routing.fetch_jobs_batch(
-        resolved, latest_boards(raw_boards), title_filter, filter, posted_within_days, location_includes, location_excludes,
+        resolved, raw_boards, title_filter, filter, posted_within_days, location_includes, location_excludes,
         limit, as_of=as_of, seen_at=seen_at, strict=isinstance(company, str) if strict is None else strict, rank_col=rank_col,
     )
 
@@ -93,13 +93,13 @@ def fetch_jobs_tool(spark: SparkSession, raw_boards: DataFrame, registry: DataFr
     """``fetch_jobs`` plus its per-company metadata (count, registry_hit, ats)."""
     filters.setdefault("strict", isinstance(company, str))
     resolved = _routing.resolve_requests(_requests(spark, company), registry)
-    results = _routing.fetch_jobs_batch(resolved, latest_boards(raw_boards), **filters)
+    results = _routing.fetch_jobs_batch(resolved, raw_boards, **filters)
     return results, _summary.fetch_summary(resolved, results)
 
 
 def sector_sweep(
     spark: SparkSession,
-    raw_boards: DataFrame,
+    raw_boards: DataFrame | BoardStore,
     registry: DataFrame,
     sector: str,
     query: str | None = None,
@@ -115,7 +115,7 @@ def sector_sweep(
         F.concat_ws("/", "ats", "slug").alias("request_id"), F.col("slug").alias("company"), "ats"
     ).distinct()
     resolved = _routing.resolve_requests(requests, registry)
-    return _routing.fetch_jobs_batch(resolved, latest_boards(raw_boards), **filters)
+    return _routing.fetch_jobs_batch(resolved, raw_boards, **filters)
 
 
 def search(registry: DataFrame, keyword: str, location=None, ats=None) -> DataFrame:
@@ -136,7 +136,7 @@ def search_registry_tool(registry: DataFrame, query: str | None = None, sector:
 
 def detect_ats(spark: SparkSession, raw_boards: DataFrame, company) -> DataFrame:
     """Platforms with a board per company (probes only; no registry)."""
-    return _detect.detect_ats(_requests(spark, company), latest_boards(raw_boards))
+    return _detect.detect_ats(_requests(spark, company), current_parts(as_store(raw_boards).index.where(F.col("endpoint") == "probe")))
 
 
 def find_ats_by_slug(spark: SparkSession, registry: DataFrame, slugs) -> DataFrame:
@@ -170,9 +170,14 @@ def _direct(spark, raw_boards, ats, slugs, seen_at=None, strict=None) -> DataFra
     strict = isinstance(slugs, str) if strict is None else strict
     if not isinstance(slugs, DataFrame):
         slugs = spark.createDataFrame([(s,) for s in ([slugs] if isinstance(slugs, str) else slugs)], "slug string")
-    wanted = slugs.select(slugify("slug").alias("slug")).distinct()
-    boards = latest_boards(raw_boards.where((F.col("ats") == ats) & (F.col("endpoint") != "probe"))).join(wanted, "slug", "left_semi")
-    return normalize(_adapters.adapter(ats)(boards, strict=F.lit(True) if strict else None), seen_at)
+    asked = slugs.select(slugify("slug").alias("slug")).distinct()
+    store = as_store(raw_boards)
+    index = store.index.where((F.col("ats") == ats) & (F.col("endpoint") != "probe")).join(asked, "slug", "left_semi")
+    boards = _routing.read_parts(store, current_parts(index).withColumn("_strict", F.lit(strict)))
+    # the parts that a fallback does not need are not among them
+    fetch = _adapters.adapter(ats)
+    options = {"fallback": False} if ats == "ashby" else {}
+    return normalize(fetch(boards, strict=F.lit(True) if strict else None, **options), seen_at)
 
 
 def fetch_greenhouse(spark, raw_boards, slugs, seen_at=None, strict=None) -> DataFrame:

@@ -20,6 +20,7 @@ from ..operators import summary as SM
 from ..operators.normalize import normalize
 from ..sources import adapters as AD
 from ..sources import derived as D
+from ..sources.boards import latest_boards
 from . import api
 from . import oracle as O
 
@@ -281,10 +282,10 @@ def board_outcomes(spark, sf_dir):
     return AD.board_outcomes(rb)
 
 
-@query("board_latest", f"SELECT ats, slug, endpoint, part, fetched_at FROM ({_OUTCOME_SQL}) o, "
-       f"(SELECT TIMESTAMP '{D.AS_OF_DATE} 00:00:00' AS fetched_at) f")
+@query("board_latest", f"SELECT ats, slug, endpoint, part, TIMESTAMP '{D.AS_OF_DATE} 00:00:00' + to_seconds(part % 3) AS fetched_at FROM ({_OUTCOME_SQL}) o")
 def board_latest(spark, sf_dir):
-    """The newest snapshot of every landed board, and nothing older."""
+    """The newest complete fetch of every landed board, whose parts came at different times:
+    nothing older, and nothing of a newer fetch that has landed in part only."""
     rows = D.latest_raw_boards(spark, sf_dir).where(F.col("endpoint") != "probe")
     return rows.select("ats", "slug", "endpoint", "part", F.col("fetched_at").cast("timestamp_ntz").alias("fetched_at"))
 
@@ -526,7 +527,7 @@ _ROUTED_ALL = O.with_(*O.BASE, O.expected_postings_cte(), O.resolved_cte(), O.fe
 
 def _route_mode(spark, sf_dir, mode):
     resolved = RT.resolve_requests(D.v_requests(spark, sf_dir), D.v_registry(spark, sf_dir))
-    postings = RT.fetch_postings(resolved.where(F.col("mode") == mode), D.latest_raw_boards(spark, sf_dir), seen_at=D.AS_OF)
+    postings = RT.fetch_postings(resolved.where(F.col("mode") == mode), D.landed_raw_boards(spark, sf_dir), seen_at=D.AS_OF)
     return postings.select("request_id", "mode", "ats", "company_slug", "board_part", "posting_pos", "id", "title")
 
 
@@ -599,7 +600,7 @@ def preview_more(spark, sf_dir):
     """Unfiltered fetch with the default limit: per-request count and the
     '... and K more' line printed after a 20-row preview."""
     resolved = RT.resolve_requests(D.v_requests(spark, sf_dir), D.v_registry(spark, sf_dir))
-    res = RT.fetch_jobs_batch(resolved, D.latest_raw_boards(spark, sf_dir), seen_at=D.AS_OF)
+    res = RT.fetch_jobs_batch(resolved, D.landed_raw_boards(spark, sf_dir), seen_at=D.AS_OF)
     return SM.fetch_summary(resolved, res).select("request_id", "count", "more")
 
 
@@ -675,6 +676,53 @@ def detect_ats(spark, sf_dir):
                       F.array_join("succeeded", ",").alias("succeeded"))
 
 
+# ---------------------------------------------------------------- posting history
+_LISTED_SQL = "[" + ", ".join("[" + ", ".join(map(str, x)) + "]" for x in D.LISTED) + "]"
+_HISTORY = f"""
+WITH seen AS (
+  SELECT doc_id, source AS slug, CAST(substring(source, 4) AS INTEGER) % 3 AS k, unnest({_LISTED_SQL}[doc_id % {len(D.LISTED)} + 1]) AS scan FROM documents
+), boards AS (
+  SELECT source AS slug, max(doc_id // {D.PART_WIDTH} % 2) AS late FROM documents GROUP BY source
+), runs AS (
+  SELECT *, scan - row_number() OVER (PARTITION BY doc_id ORDER BY scan) AS island FROM seen
+), spans AS (
+  SELECT slug, k, doc_id, min(scan) AS a, max(scan) AS b, count(*) AS n FROM runs GROUP BY slug, k, doc_id, island
+), named AS (
+  SELECT *, {O.ats_name('k')} AS ats, CASE WHEN k = 1 THEN upper(substr(slug, 1, 1)) || substr(slug, 2) ELSE slug END AS company FROM spans
+)
+SELECT ats, slug AS company_slug, {O.job_id('company', "'Posting ' || doc_id", 'ats')} AS id,
+  CAST(row_number() OVER (PARTITION BY doc_id ORDER BY a) AS INTEGER) AS interval,
+  epoch(TIMESTAMP '{D.AS_OF_DATE}')::BIGINT + (a - 3) * 86400 + late - 1 AS first_seen,
+  epoch(TIMESTAMP '{D.AS_OF_DATE}')::BIGINT + (b - 3) * 86400 + late - 1 AS last_seen,
+  CASE WHEN b < 3 THEN epoch(TIMESTAMP '{D.AS_OF_DATE}')::BIGINT + (b - 2) * 86400 + late - 1 END AS closed_at,
+  CASE WHEN b < 3 THEN 'closed' ELSE 'open' END AS status, n AS n_scans
+FROM named JOIN boards USING (slug)"""
+
+
+@query("posting_history", _HISTORY)
+def posting_history(spark, sf_dir):
+    """Intervals in which every posting was listed, over four scans of every board."""
+    from ..operators.history import posting_history as history
+
+    out = history(D.landed_history(spark, sf_dir))
+    seconds = lambda c: F.unix_seconds(c).alias(c)
+    return out.select("ats", "company_slug", "id", "interval", *map(seconds, ("first_seen", "last_seen", "closed_at")), "status", "n_scans")
+
+
+@query("postings_with_history", _HISTORY.replace("SELECT ats, slug AS company_slug", ", whole AS (SELECT ats, slug AS company_slug") + """)
+SELECT ats, company_slug, id, min(first_seen) AS first_seen, max(last_seen) AS last_seen, 'open' AS status
+FROM whole GROUP BY ats, company_slug, id HAVING bool_or(status = 'open')""")
+def postings_with_history(spark, sf_dir):
+    """The current postings of the scanned boards with the times of their history."""
+    from ..operators.history import posting_history as history
+    from ..operators.history import with_history
+
+    store = D.landed_history(spark, sf_dir)
+    postings = with_history(_norm(AD.all_postings(latest_boards(store))), history(store))
+    seconds = lambda c: F.unix_seconds(c).alias(c)
+    return postings.select("ats", "company_slug", "id", seconds("first_seen"), seconds("last_seen"), "status")
+
+
 def spark_queries() -> dict:
     return {k: v[0] for k, v in REGISTRY.items()}
 

@@ -94,7 +94,8 @@ def _parse_body(b: DataFrame, ddl: str, jobs_path: tuple[str, ...], job_ddl: str
         F.try_variant_get("_v", "$[0]." + ".".join(jobs_path), "array<variant>"),
         lambda x: F.from_json(F.to_json(x), f"STRUCT<{job_ddl}>"),
     )
-    ok = F.coalesce(valid & (F.trim(body) != "null"), F.lit(False))
+    # JSON allows blanks, tabs and line ends around a value
+    ok = F.coalesce(valid & (F.regexp_replace(body, r"^[ \t\r\n]+|[ \t\r\n]+$", "") != "null"), F.lit(False))
     return b.select("*", F.get("_a", 0).alias("_p"), F.when(ok, F.coalesce(F.when(whole, jobs), loose, F.array())).alias("_jobs"), ok.alias("_body_ok"))
 
 
@@ -320,36 +321,31 @@ def ashby_graphql_postings(parsed_graphql: DataFrame, keep: tuple = ()) -> DataF
     )
 
 
-def ashby_rest_nonempty_slugs(raw_boards: DataFrame) -> DataFrame:
-    """Slugs whose REST board has at least one posting (in any part).
+def ashby_rest_nonempty_slugs(raw_boards: DataFrame, by: tuple = ("slug",)) -> DataFrame:
+    """Slugs (or other keys ``by``) whose REST board has at least one posting (in any part).
 
     The same decision as the full parse takes: 2xx, one complete JSON object
     and nothing behind it, and a ``jobs`` array with an element of whatever
     type; anything else counts as empty, which triggers the fallback.  The
     elements are not typed here, only skipped over as text."""
     rest = _board_rows(raw_boards, "ashby", "rest").where(F.col("http_status").between(200, 299))
-    rest = _parse_once(rest.select("slug", "body"), F.from_json(_sealed(F.col("body"), ',{"_seal":"', '"}]'),
+    rest = _parse_once(rest.select(*by, "body"), F.from_json(_sealed(F.col("body"), ',{"_seal":"', '"}]'),
                                                                "ARRAY<STRUCT<jobs ARRAY<STRING>, _seal STRING>>"), "_a")
     whole = (F.size("_a") == 2) & (F.get("_a", 1)["_seal"] == F.md5("body"))
-    return rest.where(whole & (F.size(F.get("_a", 0)["jobs"]) > 0)).select("slug").distinct()
+    return rest.where(whole & (F.size(F.get("_a", 0)["jobs"]) > 0)).select(*by).distinct()
 
 
-def ashby_graphql_needed(raw_boards: DataFrame) -> DataFrame:
-    """Landed rows without the GraphQL ones that no call reads: those of slugs
-    whose REST board has postings.  A join of raw rows, before they are parsed."""
-    unread = ashby_rest_nonempty_slugs(raw_boards)
-    graphql = _board_rows(raw_boards, "ashby", "graphql").join(unread, "slug", "left_anti")
-    other = raw_boards.where(~((F.col("ats") == "ashby") & (F.col("endpoint") == "graphql")))
-    return other.unionByName(graphql)
-
-
-def ashby_postings(raw_boards: DataFrame, keep: tuple = (), strict: Column | None = None) -> DataFrame:
+def ashby_postings(raw_boards: DataFrame, keep: tuple = (), strict: Column | None = None, fallback: bool = True, by: tuple = ("slug",)) -> DataFrame:
     """REST first; GraphQL only for slugs whose REST gave zero postings or
-    failed.  The anti-join runs on raw board rows, before GraphQL is parsed.
-    A failed REST board is no error, whatever ``strict`` says."""
+    failed.  The anti-join runs on raw board rows, before GraphQL is parsed;
+    with ``fallback=False`` the caller has taken the unread rows out.
+    A failed REST board is no error, whatever ``strict`` says.  ``by`` names
+    the columns that tell boards apart, for several fetches of one company."""
     rest = parse_ashby_rest(raw_boards, keep)
-    unread = ashby_rest_nonempty_slugs(raw_boards)
-    graphql = parse_ashby_graphql(_board_rows(raw_boards, "ashby", "graphql").join(unread, "slug", "left_anti"), keep)
+    graphql = _board_rows(raw_boards, "ashby", "graphql")
+    if fallback:
+        graphql = graphql.join(ashby_rest_nonempty_slugs(raw_boards, by), list(by), "left_anti")
+    graphql = parse_ashby_graphql(graphql, keep)
     return ashby_rest_postings(rest, keep).unionByName(ashby_graphql_postings(_checked(graphql, strict), keep))
 
 
@@ -378,11 +374,12 @@ def adapter(name: str):
         raise ValueError(MSG_UNKNOWN_ATS.format(ats=name, supported=", ".join(ADAPTERS))) from None
 
 
-def all_postings(raw_boards: DataFrame, keep: tuple = (), strict: Column | None = None) -> DataFrame:
+def all_postings(raw_boards: DataFrame, keep: tuple = (), strict: Column | None = None, fallback: bool = True, by: tuple = ("slug",)) -> DataFrame:
     """Bag union of every platform's postings.  Failed boards contribute none,
-    or fail the query where the condition ``strict`` holds for their row."""
+    or fail the query where the condition ``strict`` holds for their row.
+    ``fallback`` and ``by`` as in ``ashby_postings``."""
     out = None
-    for fn in ADAPTERS.values():
-        df = fn(raw_boards, keep, strict)
+    for name, fn in ADAPTERS.items():
+        df = fn(raw_boards, keep, strict, fallback, by) if name == "ashby" else fn(raw_boards, keep, strict)
         out = df if out is None else out.unionByName(df)
     return out

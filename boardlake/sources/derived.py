@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import js_timestamp
-from .boards import latest_boards
+from .boards import BoardStore, land_boards, latest_boards, open_store
 from .schemas import ATS_NAMES
 
 AS_OF = "2024-01-31T00:00:00Z"
@@ -230,12 +230,14 @@ def _land(grouped: DataFrame, body: Column) -> DataFrame:
         "endpoint",
         F.col("part").cast("int").alias("part"),
         F.col("http_status").cast("int").alias("http_status"),
-        F.lit(AS_OF).try_cast("timestamp").alias("fetched_at"),
+        _landed_at(F.col("part")).alias("fetched_at"),
         F.coalesce(board_body_override(n, ats, ep, F.col("http_status")), body).alias("body"),
     )
 
 
-FIXTURE_VERSION = "boards-v2"
+FIXTURE_VERSION = "boards-v3"
+#: Buckets of the landed fixture; its files are small.
+FIXTURE_BUCKETS = 8
 
 
 def _fixture_code():
@@ -249,15 +251,14 @@ def _fixture_code():
 _FIXTURE_CODE = _fixture_code()
 
 
-def landed_raw_boards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The derived boards landed once per session as a parquet table
-    partitioned by platform under the shared checkpoint folder (the
-    production shape of ``raw_boards``: a landed, partition-pruned table)."""
-    from .landing import landed_table
+def landed_raw_boards(spark: SparkSession, sf_dir: str) -> BoardStore:
+    """The derived boards landed once per session as a board store under the
+    shared checkpoint folder (the production shape of ``raw_boards``)."""
+    from .landing import landed_folder
 
-    return landed_table(spark, "raw_boards", [sf_dir, FIXTURE_VERSION], lambda: v_raw_boards(spark, sf_dir),
-                        partition_by=["ats"], inputs=[f"{sf_dir.rstrip('/')}/documents.parquet"],
-                        code_files=_FIXTURE_CODE)
+    return open_store(spark, landed_folder(
+        spark, "raw_boards", [sf_dir, FIXTURE_VERSION], lambda path: land_boards(v_raw_boards(spark, sf_dir), path, FIXTURE_BUCKETS),
+        inputs=[f"{sf_dir.rstrip('/')}/documents.parquet"], code_files=_FIXTURE_CODE))
 
 
 def exported_registry(spark: SparkSession, sf_dir: str) -> str:
@@ -271,7 +272,7 @@ def exported_registry(spark: SparkSession, sf_dir: str) -> str:
 
 
 def latest_raw_boards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The newest snapshot of the landed boards."""
+    """The newest complete fetch of every landed board."""
     return latest_boards(landed_raw_boards(spark, sf_dir))
 
 
@@ -381,8 +382,10 @@ def v_raw_boards(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.to_json(F.struct(F.struct(F.struct(
             name.alias("title"), F.col("ag").alias("jobPostings")).alias("jobBoard")).alias("data"))))
     )
-    current = _land(rows, body)
-    return current.unionByName(_stale(current)).unionByName(v_broken_parts(spark, sf_dir)).unionByName(v_probes(spark, sf_dir))
+    current = _land(rows, body).unionByName(v_broken_parts(spark, sf_dir))
+    sizes = current.groupBy("ats", "slug", "endpoint").agg(F.count("*").cast("int").alias("n_parts"))
+    current = current.join(sizes, ["ats", "slug", "endpoint"]).select(*current.columns, F.lit("f2").alias("fetch_id"), "n_parts")
+    return current.unionByName(_stale(sizes)).unionByName(v_probes(spark, sf_dir))
 
 
 #: Texts behind a whole board that make it a broken one.
@@ -390,15 +393,22 @@ TRAILERS = (" " * 10 + "junk", " " * 64 + "junk", " " * 500 + "junk", " }}}", "]
 BROKEN_PART = 900_001
 
 
-def _stale(current: DataFrame) -> DataFrame:
-    """An older snapshot of the boards: their first parts and one that is gone."""
-    old = F.lit(AS_OF).try_cast("timestamp") - F.expr("INTERVAL 1 DAY")
+def _stale(boards: DataFrame) -> DataFrame:
+    """Two further fetches of every board: an older one, of its first part and one that is
+    gone, and a newer one that has landed in part only."""
     body = F.when(F.col("ats") == "lever", F.lit('[{"id":"old","text":"Stale"}]')).otherwise(
         F.lit('{"name":"Old","jobs":[{"id":"1","title":"Stale"}],"data":{"jobBoard":{"jobPostings":[{"id":"1","title":"Stale"}]}}}'))
-    rows = current.select("ats", "slug", "endpoint").distinct().select(
-        "*", F.explode(F.array(F.lit(0), F.lit(700_000))).alias("part"))
+    fetch = lambda name, days, n, *parts: [F.struct(
+        F.lit(name).alias("fetch_id"), F.lit(days).alias("days"), F.lit(n).alias("n_parts"), F.lit(part).alias("part")) for part in parts]
+    rows = boards.select("ats", "slug", "endpoint", F.explode(F.array(*fetch("f1", -1, 2, 0, 700_000), *fetch("f3", 1, 3, 0, 1))).alias("f"))
+    when = F.timestamp_add("DAY", F.col("f.days"), F.lit(AS_OF).try_cast("timestamp"))
     return rows.select(
-        "ats", "slug", "endpoint", "part", F.lit(200).alias("http_status"), old.alias("fetched_at"), body.alias("body"))
+        "ats", "slug", "endpoint", "f.part", F.lit(200).alias("http_status"), when.alias("fetched_at"), body.alias("body"), "f.fetch_id", "f.n_parts")
+
+
+def _landed_at(part: Column) -> Column:
+    """The parts of the current fetch arrive one after the other."""
+    return F.timestamp_add("SECOND", part % 3, F.lit(AS_OF).try_cast("timestamp"))
 
 
 def v_broken_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -411,7 +421,7 @@ def v_broken_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(
         "ats", "slug", F.when(F.col("ats") == "ashby", "rest").otherwise("board").alias("endpoint"),
         (F.col("i") + BROKEN_PART).cast("int").alias("part"), F.lit(200).alias("http_status"),
-        F.lit(AS_OF).try_cast("timestamp").alias("fetched_at"), F.concat(whole, F.col("tail")).alias("body"),
+        _landed_at(F.col("i") + BROKEN_PART).alias("fetched_at"), F.concat(whole, F.col("tail")).alias("body"),
     )
 
 
@@ -433,7 +443,7 @@ def v_probes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(0).alias("part"),
         status.cast("int").alias("http_status"),
         F.lit(AS_OF).try_cast("timestamp").alias("fetched_at"),
-        F.lit(None).cast("string").alias("body"),
+        F.lit(None).cast("string").alias("body"), F.lit("f2").alias("fetch_id"), F.lit(1).alias("n_parts"),
     )
 
 
@@ -455,3 +465,60 @@ def v_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("string").alias("ats"),
     )
     return known.unionByName(sup)
+
+
+# ---------------------------------------------------------------- scans over time
+#: Which of the scans 0 to 3, one a day, list a posting, by doc_id modulo their number:
+#: always, reopened, closed, new, closed twice.
+LISTED = ((0, 1, 2, 3), (0, 2, 3), (0, 1), (2, 3), (0, 2))
+
+
+def v_history_boards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four daily scans of every company's own board, the last at AS_OF, with small bodies (a
+    posting is its title).  Some boards have a failed scan between the first two, all have one
+    that has landed in part only before the last.  Of some Ashby boards the postings are in
+    the GraphQL answer, of the others that holds postings that no call reads."""
+    d = read_table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("slug"))
+    n = F.substring("slug", 4, 1 << 20).cast("int")
+    doc, scan = F.col("doc_id"), F.col("scan")
+    listed = F.array_contains(F.element_at(F.array(*(F.array(*map(F.lit, x)) for x in LISTED)), (doc % len(LISTED) + 1).cast("int")), scan)
+    rows = d.withColumn("slug_num", n).withColumn("scan", F.explode(F.array(*map(F.lit, range(4)))))
+    title = F.concat(F.lit("Posting "), doc.cast("string"))
+    parts = rows.groupBy("slug", "slug_num", "scan", (doc / PART_WIDTH).cast("int").alias("part")).agg(
+        F.collect_list(F.when(listed, title)).alias("titles"))  # at most PART_WIDTH
+    sizes = d.groupBy("slug").agg(F.count_distinct((doc / PART_WIDTH).cast("int")).cast("int").alias("n_parts"))
+    parts = parts.join(sizes, "slug")
+    ats = _ats_name((F.col("slug_num") % 3).cast("int"))
+    ats_rows = parts.withColumn("ats", ats).withColumn(
+        "endpoint", F.explode(F.when(ats == "ashby", F.array(F.lit("rest"), F.lit("graphql"))).otherwise(F.array(F.lit("board")))))
+    ep, fallback = F.col("endpoint"), F.col("slug_num") % 9 == 8
+    own = F.when(((ep == "rest") & fallback), F.array().cast("array<string>")).when((ep == "graphql") & ~fallback, F.transform("titles", lambda t: F.concat(F.lit("Unread "), t))).otherwise(F.col("titles"))
+    job = lambda key: F.transform(own, lambda t: F.struct(t.alias(key)))
+    body = (
+        F.when(F.col("ats") == "lever", F.to_json(job("text")))
+        .when(ep == "graphql", F.to_json(F.struct(F.struct(F.struct(job("title").alias("jobPostings")).alias("jobBoard")).alias("data"))))
+        .otherwise(F.to_json(F.struct(job("title").alias("jobs"))))
+    )
+    at = lambda days: F.timestamp_add("DAY", days, F.lit(AS_OF).try_cast("timestamp"))
+    day = scan - 3
+    good = ats_rows.select(
+        "ats", "slug", "endpoint", "part", F.lit(200).alias("http_status"), F.timestamp_add("SECOND", F.col("part") % 2 - 1, at(day)).alias("fetched_at"),
+        body.alias("body"), F.concat(F.lit("scan "), scan.cast("string")).alias("fetch_id"), "n_parts")
+    boards = ats_rows.select("ats", "slug", "slug_num", "endpoint", "n_parts").distinct()
+    noon = F.expr("INTERVAL 12 HOURS")
+    failed = boards.where(F.col("slug_num") % 4 == 1).select(
+        "ats", "slug", "endpoint", F.lit(0).alias("part"), F.lit(None).cast("int").alias("http_status"), (at(F.lit(-3)) + noon).alias("fetched_at"),
+        F.lit(None).cast("string").alias("body"), F.lit("failed").alias("fetch_id"), F.lit(1).alias("n_parts"))
+    half = boards.select(
+        "ats", "slug", "endpoint", F.lit(0).alias("part"), F.lit(200).alias("http_status"), (at(F.lit(-1)) + noon).alias("fetched_at"),
+        F.lit("{}").alias("body"), F.lit("half").alias("fetch_id"), (F.col("n_parts") + 1).alias("n_parts"))
+    return good.unionByName(failed).unionByName(half)
+
+
+def landed_history(spark: SparkSession, sf_dir: str) -> BoardStore:
+    """``v_history_boards`` landed once as a board store."""
+    from .landing import landed_folder
+
+    return open_store(spark, landed_folder(
+        spark, "history", [sf_dir, FIXTURE_VERSION], lambda path: land_boards(v_history_boards(spark, sf_dir), path, FIXTURE_BUCKETS),
+        inputs=[f"{sf_dir.rstrip('/')}/documents.parquet"], code_files=_FIXTURE_CODE))

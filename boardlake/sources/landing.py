@@ -40,19 +40,20 @@ def shared_dir(spark: SparkSession) -> str:
     return _FALLBACK[key]
 
 
-def _fs(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path as it names it."""
     hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    fs, hpath = _fs(spark, path + "/_SUCCESS")
+    fs, hpath = file_system(spark, path + "/_SUCCESS")
     return bool(fs.exists(hpath))
 
 
 def _files(spark: SparkSession, path: str) -> list[str]:
     """Every file under a path of any Hadoop file system, with size and time."""
-    fs, hpath = _fs(spark, path)
+    fs, hpath = file_system(spark, path)
     found, it = [], fs.listFiles(hpath, True)
     while it.hasNext():
         f = it.next()
@@ -91,10 +92,18 @@ def landed_table(
     return spark.read.parquet(landed_folder(spark, name, key_parts, write, inputs, code_files))
 
 
+def pinned(df: DataFrame, name: str) -> DataFrame:
+    """A small table written to the shared folder and read back.  Later plans start from its
+    files, and the optimiser knows its true size when it chooses a join."""
+    path = f"{shared_dir(df.sparkSession)}/boardlake/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _publish(spark: SparkSession, staging: str, path: str) -> None:
     """Rename staging -> path; when another writer got there first, keep
     theirs (same fingerprint, same content)."""
-    fs, src = _fs(spark, staging)
+    fs, src = file_system(spark, staging)
     dst = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     if fs.exists(dst) or not fs.rename(src, dst):
         fs.delete(src, True)  # another writer published first: drop our copy

@@ -19,6 +19,7 @@ MSG_KEYWORD_REQUIRED = "Keyword required"
 # One row per landed HTTP response (or part of one, see README).
 #   endpoint: 'board' (greenhouse, lever), 'rest' / 'graphql' (ashby), 'probe' (HEAD)
 #   http_status NULL = transport failure
+#   optional: fetch_id STRING, shared by all parts of one fetch, and n_parts INT, their number
 RAW_BOARDS_DDL = (
     "ats STRING, slug STRING, endpoint STRING, part INT, http_status INT, "
     "fetched_at TIMESTAMP, body STRING"

@@ -1,58 +1,172 @@
 """Incremental ingestion of landed boards with Structured Streaming.
 
-New ``raw_boards`` files arriving in a landing folder are parsed and
-normalised by the same operators as the batch path and appended to a
-postings table.  ``availableNow`` processes what has landed and stops (the
-streaming form of a scheduled scan); the checkpoint records the files
-already processed, so a restarted job neither skips nor repeats any.
-
-Each micro-batch runs the batch pipeline through ``foreachBatch``.  A batch
-never decides from its own rows alone: it names the boards that have new
-rows, reads everything landed for them, takes the newest snapshot of each
-endpoint and replaces those boards' postings.  So the parts and endpoints of
-one company may land in any number of batches, and a lost or new checkpoint
-folder only makes boards be written again with the same result.
-
-Output is one folder for each (ats, bucket of the slug); a batch rewrites the
-buckets it touches, and keeps in them the boards it does not.
+New ``raw_boards`` files arriving in a landing folder are parsed and normalised by the same
+operators as the batch path into a table of current postings.  ``availableNow`` processes what
+has landed and stops (the streaming form of a scheduled scan).
+
+Each micro-batch works on its own rows and on the state of the buckets they fall into, never
+on the whole landing folder.  A bucket is a hash of the slug under a platform; its state is
+
+* ``boards``    which fetch of each (company, endpoint) the postings are from,
+* ``postings``  the postings of those fetches,
+* ``pending``   landed rows whose fetch is not complete yet.
+
+A batch joins its rows with the pending ones, replaces the postings of the boards that now have
+a newer complete fetch, and writes new files for the buckets it has touched.  A manifest then
+names, for each bucket, its current files; a bucket that has lost all its postings is named as
+empty.  The manifest is written last and renamed into place, so readers see all of a batch or
+nothing of it, and a batch that is run again (a restart, a lost checkpoint folder) finds nothing
+newer than what it has written and changes nothing.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.normalize import normalize
-from ..sources.adapters import all_postings
-from ..sources.boards import latest_boards
+from ..sources.adapters import ashby_graphql_postings, ashby_rest_postings, greenhouse_postings, lever_postings, parse_ashby_graphql, parse_ashby_rest
+from ..sources.boards import KEYS, SAME_FETCH, BoardStore, bodies, current_parts, wanted, with_fetch
+from ..sources.landing import file_system
 from ..sources.schemas import RAW_BOARDS_DDL
 
+LANDED_DDL = f"{RAW_BOARDS_DDL}, fetch_id STRING, n_parts INT"
+BOARDS_DDL = "ats STRING, slug STRING, endpoint STRING, fetch_id STRING, at TIMESTAMP"
+PENDING_DDL = f"{LANDED_DDL}, landing STRING"
+KINDS = ("boards", "postings", "pending")
+
 
 def read_landing(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(RAW_BOARDS_DDL)
+    reader = spark.readStream.schema(LANDED_DDL)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.parquet(landing_dir)
 
 
-def normalise_batch(boards: DataFrame, seen_at=None) -> DataFrame:
-    return normalize(all_postings(latest_boards(boards)), seen_at)
-
-
-def refresh_boards(landed: DataFrame, touched: DataFrame, out_dir: str, seen_at=None, buckets: int = 64) -> None:
-    """Write the current postings of all boards that share an output bucket
-    with a ``touched`` (ats, slug)."""
-    bucket = F.pmod(F.xxhash64("slug"), F.lit(buckets)).cast("int")
-    stale = touched.select("ats", bucket.alias("bucket")).distinct()
-    boards = landed.withColumn("bucket", bucket).join(stale, ["ats", "bucket"], "left_semi").drop("bucket")
-    (
-        normalise_batch(boards, seen_at)
-        .withColumn("bucket", F.pmod(F.xxhash64("company_slug"), F.lit(buckets)).cast("int"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("ats", "bucket")
-        .parquet(out_dir)
-    )
+def endpoint_postings(boards: DataFrame, seen_at=None) -> DataFrame:
+    """Normalised postings of every endpoint, with ``endpoint``; no fallback is decided."""
+    out = None
+    for endpoint, rows in (
+        ("board", greenhouse_postings(boards)), ("board", lever_postings(boards)),
+        ("rest", ashby_rest_postings(parse_ashby_rest(boards))), ("graphql", ashby_graphql_postings(parse_ashby_graphql(boards))),
+    ):
+        rows = rows.withColumn("endpoint", F.lit(endpoint))
+        out = rows if out is None else out.unionByName(rows)
+    return normalize(out, seen_at, keep=("endpoint",))
+
+
+# ---------------------------------------------------------------- manifest
+def _manifests(spark: SparkSession, out_dir: str) -> dict[int, str]:
+    fs, folder = file_system(spark, f"{out_dir}/manifest")
+    if not fs.exists(folder):
+        return {}
+    names = [f.getPath().getName() for f in fs.listStatus(folder)]
+    return {int(n.removesuffix(".json")): f"{out_dir}/manifest/{n}" for n in names if n.endswith(".json")}
+
+
+def read_manifest(spark: SparkSession, out_dir: str) -> dict:
+    """The newest manifest: its version, the number of buckets, and for each ``ats/bucket`` and
+    kind the folder that holds it, or null for none.  Its size goes with the number of buckets."""
+    known = _manifests(spark, out_dir)
+    if not known:
+        return {"version": 0, "buckets": None, "entries": {}}
+    fs, path = file_system(spark, known[max(known)])
+    stream = fs.open(path)
+    try:
+        return json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def _commit(spark: SparkSession, out_dir: str, manifest: dict) -> None:
+    fs, made = file_system(spark, f"{out_dir}/manifest/{manifest['version']:09d}.{uuid.uuid4().hex}.tmp")
+    _, done = file_system(spark, f"{out_dir}/manifest/{manifest['version']:09d}.json")
+    stream = fs.create(made)
+    stream.write(bytearray(json.dumps(manifest).encode()))
+    stream.close()
+    if not fs.rename(made, done):
+        raise RuntimeError(f"another writer has written version {manifest['version']} of {out_dir}")
+
+
+def _read(spark: SparkSession, manifest: dict, kind: str, schema, names=None) -> DataFrame:
+    found = [e[kind] for name, e in manifest["entries"].items() if e[kind] and (names is None or name in names)]
+    return spark.read.schema(schema).parquet(*found) if found else spark.createDataFrame([], schema)
+
+
+def read_postings(spark: SparkSession, out_dir: str) -> DataFrame:
+    """The current postings of all boards, as of the newest manifest."""
+    manifest = read_manifest(spark, out_dir)
+    rows = _read(spark, manifest, "postings", _postings_schema(spark))
+    return rows.where("read").drop("endpoint", "read")
+
+
+def _postings_schema(spark: SparkSession):
+    none = spark.createDataFrame([], PENDING_DDL)
+    return endpoint_postings(none).withColumn("read", F.lit(True)).schema
+
+
+# ---------------------------------------------------------------- one batch
+def refresh(batch: DataFrame, out_dir: str, seen_at=None, buckets: int = 64) -> dict:
+    """Bring the state in ``out_dir`` up to date with landed rows; returns the new manifest."""
+    spark = batch.sparkSession
+    manifest = read_manifest(spark, out_dir)
+    buckets = manifest["buckets"] or buckets
+    bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(buckets)).cast("int")
+    fresh = with_fetch(batch.where(F.col("endpoint") != "probe"))
+    touched = {f"{r[0]}/{r[1]}" for r in fresh.select("ats", bucket("slug").alias("b")).distinct().collect()}  # platforms x buckets at most
+    if not touched:
+        return manifest
+    state = {k: _read(spark, manifest, k, s, touched) for k, s in zip(KINDS, (BOARDS_DDL, _postings_schema(spark), PENDING_DDL), strict=True)}
+    # a row that is pending and lands again is one row
+    rows = state["pending"].unionByName(fresh.select(*state["pending"].columns))
+    rows = rows.dropDuplicates([*KEYS, "part", "fetch_id", "fetched_at"]).persist()
+    try:
+        parts = current_parts(rows.drop("body"))
+        have = state["boards"].select(*(F.col(c).alias(f"_{c}") for c in KEYS), F.col("fetch_id").alias("_fetch"), F.col("at").alias("_at"))
+        same = (F.col("ats") == F.col("_ats")) & (F.col("slug") == F.col("_slug")) & (F.col("endpoint") == F.col("_endpoint"))
+        news = parts.groupBy(*KEYS).agg(F.max("fetched_at").alias("at"), F.max("fetch_id").alias("fetch_id")).join(have, same, "left")
+        # rows without a fetch id: their parts may still come, so the fetch is taken again
+        later = F.struct(F.coalesce("at", F.lit(0).cast("timestamp")), F.coalesce("fetch_id", F.lit(""))) > F.struct(
+            F.coalesce("_at", F.lit(0).cast("timestamp")), F.coalesce("_fetch", F.lit("")))
+        news = news.where(F.col("_ats").isNull() | later | F.col("fetch_id").isNull()).select(*KEYS, "fetch_id", "at")
+        replaced = news.select(*KEYS)
+        store = BoardStore(rows, rows.drop("body"))
+        boards = bodies(store, wanted(parts.join(replaced, list(KEYS), "left_semi")))
+        kept = state["postings"].drop("read").withColumn("slug", F.col("company_slug")).join(replaced, list(KEYS), "left_anti").drop("slug")
+        postings = kept.unionByName(endpoint_postings(boards, seen_at).select(*kept.columns))
+        rest = postings.where("endpoint = 'rest'").select("ats", "company_slug").distinct().withColumn("_rest", F.lit(True))
+        postings = postings.join(rest, ["ats", "company_slug"], "left").withColumn("read", F.col("_rest").isNull() | (F.col("endpoint") != "graphql")).drop("_rest")
+        now = state["boards"].join(replaced, list(KEYS), "left_anti").unionByName(news)
+        # of rows that no current fetch has used: those at least as new as the board's current fetch
+        at = now.select(*(F.col(c).alias(f"_{c}") for c in KEYS), F.col("fetch_id").alias("_fetch"), F.col("at").alias("_at"))
+        newer = F.col("fetched_at") >= F.col("_at")
+        ours = F.col("fetch_id").isNull() & (F.coalesce("fetched_at", F.lit(0).cast("timestamp")) >= F.coalesce(F.col("_at") - F.expr(SAME_FETCH), F.lit(0).cast("timestamp")))
+        waiting = F.col("_ats").isNull() | ours | (F.col("fetch_id").isNotNull() & ~F.col("fetch_id").eqNullSafe(F.col("_fetch")) & F.coalesce(newer, F.lit(True)))
+        pending = rows.join(at, same, "left").where(waiting).select(*state["pending"].columns)
+        return _write(spark, out_dir, manifest, buckets, touched, {"boards": now, "postings": postings, "pending": pending}, bucket)
+    finally:
+        rows.unpersist()
+
+
+def _write(spark, out_dir: str, manifest: dict, buckets: int, touched: set, frames: dict, bucket) -> dict:
+    version = manifest["version"] + 1
+    entries = {name: dict(e) for name, e in manifest["entries"].items()}
+    for name in touched:
+        entries[name] = dict.fromkeys(KINDS)
+    for kind, df in frames.items():
+        top = f"{out_dir}/data/{version:09d}-{uuid.uuid4().hex[:8]}/{kind}"
+        slug = "company_slug" if kind == "postings" else "slug"
+        df.withColumn("_a", F.col("ats")).withColumn("_b", bucket(slug)).write.partitionBy("_a", "_b").parquet(top)
+        fs, folder = file_system(spark, top)
+        for a in (f.getPath() for f in fs.listStatus(folder) if f.isDirectory()):
+            for b in (f.getPath() for f in fs.listStatus(a) if f.isDirectory()):
+                entries[f"{a.getName().removeprefix('_a=')}/{b.getName().removeprefix('_b=')}"][kind] = b.toString()
+    new = {"version": version, "buckets": buckets, "entries": entries}
+    _commit(spark, out_dir, new)
+    return new
 
 
 def run_ingest(
@@ -65,15 +179,13 @@ def run_ingest(
     max_files_per_trigger: int | None = None,
     buckets: int = 64,
 ):
-    """Keep ``out_dir`` (parquet, partitioned by ats and bucket) at the current
-    postings of all landed boards.  ``checkpoint_dir`` must be a shared, durable
-    folder; ``buckets`` bounds what a batch rewrites.  A board that has lost all
-    its postings, in a bucket with no others, keeps its last ones until the
-    bucket is next written.  Returns the started StreamingQuery."""
+    """Keep the postings in ``out_dir`` (see ``read_postings``) those of the newest complete
+    fetch of every landed board.  ``out_dir`` and ``checkpoint_dir`` must be shared, durable
+    folders; ``buckets``, fixed by the first run, bounds what a batch rewrites.  Returns the
+    started StreamingQuery."""
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        landed = spark.read.schema(RAW_BOARDS_DDL).parquet(landing_dir)
-        refresh_boards(landed, batch.where("endpoint <> 'probe'"), out_dir, seen_at, buckets)
+        refresh(batch, out_dir, seen_at, buckets)
 
     q = (
         read_landing(spark, landing_dir, max_files_per_trigger)

@@ -6,7 +6,7 @@ import os
 from boardlake.operators.normalize import normalize
 from boardlake.sources import adapters as AD
 from boardlake.sources.sinks import posting_record, write_registry_export
-from boardlake.streaming.ingest import run_ingest
+from boardlake.streaming.ingest import read_manifest, read_postings, refresh, run_ingest
 from boards_fixture import GH_BOARD, RAW_DDL, row
 
 
@@ -39,12 +39,12 @@ def test_streaming_ingest_available_now(spark, tmpdir_path):
     spark.createDataFrame([row("greenhouse", "nw", "board", 200, GH_BOARD)], RAW_DDL).write.parquet(landing + "/f1")
     q = run_ingest(spark, landing + "/f1", out, ckpt, seen_at="2025-06-01T00:00:00Z")
     q.awaitTermination(120)
-    assert spark.read.parquet(out).count() == 2
+    assert read_postings(spark, out).count() == 2
     # a second run finds nothing new, one with a new checkpoint folder finds it all again
     for folder in (ckpt, ckpt + "-new"):
         q = run_ingest(spark, landing + "/f1", out, folder, seen_at="2025-06-01T00:00:00Z")
         q.awaitTermination(120)
-        assert spark.read.parquet(out).count() == 2
+        assert read_postings(spark, out).count() == 2
 
 
 def test_streaming_ingest_of_split_landings(spark, tmpdir_path):
@@ -64,7 +64,64 @@ def test_streaming_ingest_of_split_landings(spark, tmpdir_path):
     for rows, titles in steps:
         spark.createDataFrame(rows, RAW_DDL).write.mode("append").parquet(landing)
         run_ingest(spark, landing, out, ckpt, seen_at="2030-06-01T00:00:00Z", buckets=4).awaitTermination(120)
-        assert sorted(r["title"] for r in spark.read.parquet(out).collect()) == titles
+        assert sorted(r["title"] for r in read_postings(spark, out).collect()) == titles
+
+
+FETCH_DDL = RAW_DDL + ", fetch_id string, n_parts int"
+
+
+def landed(slug, fetch, n_parts, day, titles, part=0, status=200):
+    import datetime as dt
+
+    ats, slug, endpoint, part, status, _, body = row("lever", slug, "board", status, [{"id": t, "text": t} for t in titles], part=part)
+    return (ats, slug, endpoint, part, status, dt.datetime(2030, 1, day), body, fetch, n_parts)
+
+
+def test_ingest_state(spark, tmpdir_path, monkeypatch):
+    """Each batch sees its own rows only; what it leaves equals the batch path over all rows."""
+    from boardlake.sources.boards import latest_boards
+
+    out = os.path.join(tmpdir_path, "postings")
+    batches = [
+        [landed("a", "f1", 2, 1, ["a1"]), landed("b", "f1", 1, 1, ["b1"])],  # half of a fetch
+        [landed("a", "f1", 2, 1, ["a2"], part=1)],
+        [landed("a", "f2", 2, 2, ["new"])],  # a newer one, not whole: the older stays
+        [landed("b", "f2", 1, 2, [])],  # a board, and its bucket, that has lost all postings
+        [landed("a", "f2", 2, 3, [], part=1), landed("c", "f1", 1, 3, ["c1"])],
+        [landed("c", "f2", 1, 4, ["x"], status=500)],  # failed: none, as for the batch path
+        [landed("b", "f0", 1, 1, ["late"])],  # older than what is there
+    ]
+    seen = []
+    for rows in batches:
+        seen += rows
+        refresh(spark.createDataFrame(rows, FETCH_DDL), out, seen_at="2030-06-01T00:00:00Z", buckets=64)
+        want = AD.lever_postings(latest_boards(spark.createDataFrame(seen, FETCH_DDL)))
+        assert sorted(r["title"] for r in read_postings(spark, out).collect()) == sorted(r["title"] for r in want.collect())
+    assert [e for e in read_manifest(spark, out)["entries"].values() if e["postings"] is None]  # named as empty
+    before = read_postings(spark, out).collect()
+    for rows in batches:  # all again, as after the loss of a checkpoint folder
+        refresh(spark.createDataFrame(rows, FETCH_DDL), out, seen_at="2030-06-01T00:00:00Z")
+    assert sorted(map(str, read_postings(spark, out).collect())) == sorted(map(str, before))
+
+
+def test_a_failed_batch_leaves_no_trace(spark, tmpdir_path, monkeypatch):
+    import pytest
+
+    from boardlake.streaming import ingest
+
+    out = os.path.join(tmpdir_path, "postings")
+    refresh(spark.createDataFrame([landed("a", "f1", 1, 1, ["a1"])], FETCH_DDL), out)
+
+    def broken(*args):
+        raise OSError("no space")
+
+    monkeypatch.setattr(ingest, "_commit", broken)
+    with pytest.raises(OSError):
+        refresh(spark.createDataFrame([landed("a", "f2", 1, 2, ["a2"])], FETCH_DDL), out)
+    assert [r["title"] for r in read_postings(spark, out).collect()] == ["a1"]
+    monkeypatch.undo()
+    refresh(spark.createDataFrame([landed("a", "f2", 1, 2, ["a2"])], FETCH_DDL), out)
+    assert [r["title"] for r in read_postings(spark, out).collect()] == ["a2"]
 
 
 def test_null_metadata_stays_in_the_record(spark):
