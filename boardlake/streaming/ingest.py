@@ -21,17 +21,19 @@ newer than what it has written and changes nothing.
 
 from __future__ import annotations
 
+import functools
 import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..operators.normalize import normalize
 from ..sources.adapters import ashby_graphql_postings, ashby_rest_postings, greenhouse_postings, lever_postings, parse_ashby_graphql, parse_ashby_rest
 from ..sources.boards import KEYS, SAME_FETCH, BoardStore, bodies, current_parts, wanted, with_fetch
-from ..sources.landing import file_system
-from ..sources.schemas import RAW_BOARDS_DDL
+from ..sources.landing import file_system, pinned
+from ..sources.schemas import ATS_NAMES, RAW_BOARDS_DDL
 
 LANDED_DDL = f"{RAW_BOARDS_DDL}, fetch_id STRING, n_parts INT"
 BOARDS_DDL = "ats STRING, slug STRING, endpoint STRING, fetch_id STRING, at TIMESTAMP"
@@ -46,15 +48,22 @@ def read_landing(spark: SparkSession, landing_dir: str, max_files_per_trigger: i
     return reader.parquet(landing_dir)
 
 
-def endpoint_postings(boards: DataFrame, seen_at=None) -> DataFrame:
-    """Normalised postings of every endpoint, with ``endpoint``; no fallback is decided."""
+ENDPOINTS = (
+    ("greenhouse", "board", greenhouse_postings),
+    ("lever", "board", lever_postings),
+    ("ashby", "rest", lambda rows: ashby_rest_postings(parse_ashby_rest(rows))),
+    ("ashby", "graphql", lambda rows: ashby_graphql_postings(parse_ashby_graphql(rows))),
+)
+
+
+def endpoint_postings(boards: DataFrame, seen_at=None, platforms=ATS_NAMES) -> DataFrame:
+    """Normalised postings of every endpoint of these platforms, with ``endpoint``; no fallback
+    is decided."""
     out = None
-    for endpoint, rows in (
-        ("board", greenhouse_postings(boards)), ("board", lever_postings(boards)),
-        ("rest", ashby_rest_postings(parse_ashby_rest(boards))), ("graphql", ashby_graphql_postings(parse_ashby_graphql(boards))),
-    ):
-        rows = rows.withColumn("endpoint", F.lit(endpoint))
-        out = rows if out is None else out.unionByName(rows)
+    for ats, endpoint, postings in ENDPOINTS:
+        if ats in platforms:
+            rows = postings(boards).withColumn("endpoint", F.lit(endpoint))
+            out = rows if out is None else out.unionByName(rows)
     return normalize(out, seen_at, keep=("endpoint",))
 
 
@@ -99,13 +108,17 @@ def _read(spark: SparkSession, manifest: dict, kind: str, schema, names=None) ->
 def read_postings(spark: SparkSession, out_dir: str) -> DataFrame:
     """The current postings of all boards, as of the newest manifest."""
     manifest = read_manifest(spark, out_dir)
-    rows = _read(spark, manifest, "postings", _postings_schema(spark))
+    rows = _read(spark, manifest, "postings", _postings_ddl())
     return rows.where("read").drop("endpoint", "read")
 
 
-def _postings_schema(spark: SparkSession):
-    none = spark.createDataFrame([], PENDING_DDL)
-    return endpoint_postings(none).withColumn("read", F.lit(True)).schema
+@functools.cache
+def _postings_ddl() -> str:
+    """The schema of stored postings, read off a plan that makes them; once in a process, as
+    such a plan is large."""
+    spark = SparkSession.getActiveSession()
+    rows = endpoint_postings(spark.createDataFrame([], PENDING_DDL), None, ("lever",)).withColumn("read", F.lit(True))
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
 
 
 # ---------------------------------------------------------------- one batch
@@ -119,7 +132,7 @@ def refresh(batch: DataFrame, out_dir: str, seen_at=None, buckets: int = 64) ->
     touched = {f"{r[0]}/{r[1]}" for r in fresh.select("ats", bucket("slug").alias("b")).distinct().collect()}  # platforms x buckets at most
     if not touched:
         return manifest
-    state = {k: _read(spark, manifest, k, s, touched) for k, s in zip(KINDS, (BOARDS_DDL, _postings_schema(spark), PENDING_DDL), strict=True)}
+    state = {k: _read(spark, manifest, k, s, touched) for k, s in zip(KINDS, (BOARDS_DDL, _postings_ddl(), PENDING_DDL), strict=True)}
     # a row that is pending and lands again is one row
     rows = state["pending"].unionByName(fresh.select(*state["pending"].columns))
     rows = rows.dropDuplicates([*KEYS, "part", "fetch_id", "fetched_at"]).persist()
@@ -127,19 +140,27 @@ def refresh(batch: DataFrame, out_dir: str, seen_at=None, buckets: int = 64) ->
         parts = current_parts(rows.drop("body"))
         have = state["boards"].select(*(F.col(c).alias(f"_{c}") for c in KEYS), F.col("fetch_id").alias("_fetch"), F.col("at").alias("_at"))
         same = (F.col("ats") == F.col("_ats")) & (F.col("slug") == F.col("_slug")) & (F.col("endpoint") == F.col("_endpoint"))
-        news = parts.groupBy(*KEYS).agg(F.max("fetched_at").alias("at"), F.max("fetch_id").alias("fetch_id")).join(have, same, "left")
+        news = parts.join(have, same, "left")
         # rows without a fetch id: their parts may still come, so the fetch is taken again
-        later = F.struct(F.coalesce("at", F.lit(0).cast("timestamp")), F.coalesce("fetch_id", F.lit(""))) > F.struct(
+        later = F.struct(F.coalesce("fetched_at", F.lit(0).cast("timestamp")), F.coalesce("fetch_id", F.lit(""))) > F.struct(
             F.coalesce("_at", F.lit(0).cast("timestamp")), F.coalesce("_fetch", F.lit("")))
-        news = news.where(F.col("_ats").isNull() | later | F.col("fetch_id").isNull()).select(*KEYS, "fetch_id", "at")
-        replaced = news.select(*KEYS)
-        store = BoardStore(rows, rows.drop("body"))
-        boards = bodies(store, wanted(parts.join(replaced, list(KEYS), "left_semi")))
-        kept = state["postings"].drop("read").withColumn("slug", F.col("company_slug")).join(replaced, list(KEYS), "left_anti").drop("slug")
-        postings = kept.unionByName(endpoint_postings(boards, seen_at).select(*kept.columns))
-        rest = postings.where("endpoint = 'rest'").select("ats", "company_slug").distinct().withColumn("_rest", F.lit(True))
-        postings = postings.join(rest, ["ats", "company_slug"], "left").withColumn("read", F.col("_rest").isNull() | (F.col("endpoint") != "graphql")).drop("_rest")
-        now = state["boards"].join(replaced, list(KEYS), "left_anti").unionByName(news)
+        whole = W.partitionBy(*KEYS)
+        news = news.withColumn("at", F.max("fetched_at").over(whole))
+        news = news.withColumn("_new", F.max(F.col("_ats").isNull() | later | F.col("fetch_id").isNull()).over(whole)).where("_new")
+        # the parts to read, as a small table: the three writes start from it
+        news = pinned(news.select(*parts.columns, "at"), "news")
+        replaced = news.select(*KEYS, "fetch_id", "at").distinct()
+        keys = replaced.select(*KEYS)
+        platforms = {name.split("/")[0] for name in touched}
+        boards = bodies(BoardStore(rows, rows.drop("body")), wanted(news))
+        kept = state["postings"].drop("read").withColumn("slug", F.col("company_slug")).join(keys, list(KEYS), "left_anti").drop("slug")
+        postings = kept.unionByName(endpoint_postings(boards, seen_at, platforms).select(*kept.columns))
+        if "ashby" in platforms:
+            rest = postings.where("endpoint = 'rest'").select("ats", "company_slug").distinct().withColumn("_rest", F.lit(True))
+            postings = postings.join(rest, ["ats", "company_slug"], "left").withColumn("read", F.col("_rest").isNull() | (F.col("endpoint") != "graphql")).drop("_rest")
+        else:
+            postings = postings.withColumn("read", F.lit(True))
+        now = state["boards"].join(keys, list(KEYS), "left_anti").unionByName(replaced)
         # of rows that no current fetch has used: those at least as new as the board's current fetch
         at = now.select(*(F.col(c).alias(f"_{c}") for c in KEYS), F.col("fetch_id").alias("_fetch"), F.col("at").alias("_at"))
         newer = F.col("fetched_at") >= F.col("_at")

@@ -99,8 +99,8 @@ def test_ingest_state(spark, tmpdir_path, monkeypatch):
         assert sorted(r["title"] for r in read_postings(spark, out).collect()) == sorted(r["title"] for r in want.collect())
     assert [e for e in read_manifest(spark, out)["entries"].values() if e["postings"] is None]  # named as empty
     before = read_postings(spark, out).collect()
-    for rows in batches:  # all again, as after the loss of a checkpoint folder
-        refresh(spark.createDataFrame(rows, FETCH_DDL), out, seen_at="2030-06-01T00:00:00Z")
+    # all again, as after the loss of a checkpoint folder
+    refresh(spark.createDataFrame(seen, FETCH_DDL), out, seen_at="2030-06-01T00:00:00Z")
     assert sorted(map(str, read_postings(spark, out).collect())) == sorted(map(str, before))
 
 
