@@ -19,10 +19,14 @@ No task could sort the suffixes of the corpus, so they are brought together by c
    around them and the smallest document id.  An anchor with very many contexts (the edge of
    a passage that a third of all documents share) is not sent as one key: each of its starts
    goes by the hash of its own string, so it spreads over all buckets.
-4. A bucket sorts the suffixes under its anchors by prefix doubling, computes LPF and
-   returns, to the parts, the starts with a match in an earlier document.
+4. A bucket sorts the suffixes under its anchors by prefix doubling, finds the common
+   prefixes of neighbours byte by byte, and from them and the previous and next smaller
+   documents the LPF array, up to ``length``, beyond which nothing depends on it.  It returns,
+   to the parts, the starts whose LPF value reaches ``length``.
 5. Parts cover the bytes and cut them out.
 
+Rows that a part or bucket puts together by hash are compared byte by byte.
+
 Every part and bucket sends an anchor once, however many documents have it, so nothing grows
 with the number of copies.  Documents and columns travel compressed.  All steps are grouped Arrow functions over one shuffle of the
 documents, which the steps share; a repeated step gives the same result on another machine.
@@ -162,13 +166,51 @@ def _heads(*keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def _least(keys: tuple[np.ndarray, ...], values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Group rows by several keys: first row of each group, group of each row, least value."""
+def _least(keys: tuple[np.ndarray, ...], values: np.ndarray, spans: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Group rows by several hashes of their bytes: first row of each group, group of each row,
+    least value.  Rows of a group are compared byte by byte with its first one; ``spans`` is
+    data, starts and lengths of the rows' bytes.  Rows whose hashes clash get a group of
+    their own bytes."""
     order = np.lexsort((values, *reversed(keys)))
     head = _heads(*(k[order] for k in keys)) if len(order) else np.zeros(0, np.int64)
     group = np.zeros(len(order), np.int64)
     group[order] = np.repeat(np.arange(len(head)), np.diff(np.append(head, len(order))))
-    return order[head], group, values[order[head]]
+    first = order[head]
+    other = np.flatnonzero(first[group] != np.arange(len(group))) if len(group) else group
+    clash = other[~_equal_bytes(spans, other, first[group[other]])]
+    if not len(clash):
+        return first, group, values[first]
+    data, at, lens = spans
+    own: dict[tuple, int] = {}
+    for i in clash.tolist():
+        name = (int(group[i]), data[at[i] : at[i] + lens[i]].tobytes())
+        group[i] = own.setdefault(name, len(head) + len(own))
+    rank = np.lexsort((values, group))
+    first = rank[_heads(group[rank])]
+    sort = np.lexsort((first, *(k[first] for k in reversed(keys))))  # groups in the order of their hashes again
+    place = np.empty(len(sort), np.int64)
+    place[sort] = np.arange(len(sort))
+    return first[sort], place[group], values[first[sort]]
+
+
+def _equal_bytes(spans: tuple[np.ndarray, np.ndarray, np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether rows a and b have the same bytes, in pieces of bounded size."""
+    data, at, lens = spans
+    same = lens[a] == lens[b]
+    for k in range(0, len(a), PIECE):
+        rows = k + np.flatnonzero(same[k : k + PIECE])
+        if len(rows):
+            x, y, n = at[a[rows]], at[b[rows]], lens[a[rows]]
+            word, done = _words_at(data), np.zeros(len(rows), np.int64)
+            ok, open_ = np.ones(len(rows), bool), np.arange(len(rows))
+            while len(open_):
+                # the last eight bytes may overlap those before; every span has eight at least
+                step = np.minimum(done[open_], n[open_] - 8)
+                ok[open_] = word[x[open_] + step] == word[y[open_] + step]
+                done[open_] += 8
+                open_ = open_[ok[open_] & (done[open_] < n[open_])]
+            same[rows] = ok
+    return same
 
 
 def _count_in(x: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -245,30 +287,49 @@ def matched(keys: np.ndarray, contexts: np.ndarray, lows: np.ndarray, starts: np
     """For every start of every row, whether an equal string starts in a document with a
     smaller id than the row's own; rows one after the other, and the row of each start."""
     row_of = np.repeat(np.arange(len(keys)), starts)
-    first, kind, least = _least((keys, contexts), lows)  # the different contexts
+    spans = (data, at, starts.astype(np.int64) + length - 1)
+    first, kind, least = _least((keys, contexts), lows, spans)  # the different contexts
     # a context alone under its anchor matches only itself
     under = _heads(keys[first])
     alone = np.zeros(len(first), bool)
     alone[under] = np.diff(np.append(under, len(first))) == 1
     n = starts[first].astype(np.int64)
     cell = np.cumsum(n) - n
-    earliest = np.repeat(least, n)
+    longest = np.zeros(int(n.sum()), np.int64)
     some = np.flatnonzero(~alone)
     if len(some):
         lens = n[some] + length - 1
         text = np.concatenate((data[ragged(at[first[some]], lens)], np.zeros(64, np.uint8)))
         begin = np.cumsum(lens) - lens
-        suffix = ragged(begin, n[some])
-        rank = _prefix_ranks(text, suffix, length)
         doc = np.repeat(least[some], n[some])
-        earliest[ragged(cell[some], n[some])] = _earliest(rank, doc)
-    got = earliest[ragged(cell[kind], starts.astype(np.int64))]
-    return got < lows[row_of], row_of
-
-
-def _prefix_ranks(text: np.ndarray, suffix: np.ndarray, length: int) -> np.ndarray:
-    """Rank of the ``length``-byte prefixes of the suffixes in lexicographic order, by prefix
-    doubling: ranks of prefixes twice as long come from pairs of ranks."""
+        longest[ragged(cell[some], n[some])] = longest_previous(text, ragged(begin, n[some]), doc, length, length)
+    # another row of the same context has all of its strings, the context's first one none but these
+    hit = (longest >= length)[ragged(cell[kind], starts.astype(np.int64))]
+    return hit | (least[kind] < lows)[row_of], row_of
+
+
+def _words_at(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from every place but the last seven, as one number each."""
+    return np.ndarray(max(len(data) - 7, 0), "<u8", data, strides=(1,))
+
+
+def common_prefixes(text: np.ndarray, a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
+    """How many bytes from places a and b are equal, up to ``most``; text goes on eight bytes
+    beyond what is compared."""
+    word = _words_at(text)
+    out, open_ = np.zeros(len(a), np.int64), np.arange(len(a))
+    while len(open_):
+        gap = word[a[open_] + out[open_]] ^ word[b[open_] + out[open_]]
+        low = gap & (~gap + np.uint64(1))  # the lowest bit that differs
+        equal = np.where(gap == 0, 8, np.log2(np.maximum(low, np.uint64(1)).astype(np.float64)).astype(np.int64) >> 3)
+        out[open_] += equal
+        open_ = open_[(equal == 8) & (out[open_] < most)]
+    return np.minimum(out, most)
+
+
+def suffix_order(text: np.ndarray, suffix: np.ndarray, length: int) -> np.ndarray:
+    """The suffixes in lexicographic order of their first ``length`` bytes, by prefix doubling:
+    ranks of prefixes twice as long come from pairs of ranks."""
     n = len(text) - 8
     word = np.zeros(n, np.uint64)
     for k in range(8):
@@ -279,19 +340,50 @@ def _prefix_ranks(text: np.ndarray, suffix: np.ndarray, length: int) -> np.ndarr
         m = len(rank) - size
         _, rank = np.unique((rank[:m] << np.uint64(32)) | rank[size : size + m], return_inverse=True)
         rank, size = rank.astype(np.uint64), size * 2
-    return (rank[suffix] << np.uint64(32)) | rank[suffix + length - size]
+    return np.argsort((rank[suffix] << np.uint64(32)) | rank[suffix + length - size], kind="stable")
 
 
-def _earliest(rank: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """The smallest document among the suffixes with the same prefix.
+def previous_smaller(doc: np.ndarray, common: np.ndarray, least: int) -> np.ndarray:
+    """For each place of the suffix order, the common prefix with the nearest place before it
+    that has a smaller document; ``common`` is that with the place just before.  Prefixes
+    shorter than ``least`` count as none.
 
-    In suffix order, equal prefixes sorted by document, the previous smaller value of a suffix
-    is the head of its run of equal prefixes, if that is smaller; the next smaller value lies
-    beyond the run, where the common prefix is shorter than the prefix compared."""
-    order = np.lexsort((doc, rank))
-    head = _heads(rank[order])
-    out = np.empty(len(doc), np.int64)
-    out[order] = np.repeat(doc[order][head], np.diff(np.append(head, len(order))))
+    Every place points at one before it, with the shortest common prefix on the way.  While
+    the place pointed at has no smaller document, the pointer moves to where that one points:
+    nothing on the way has a smaller one.  Pointers double, so runs of equal documents cost a
+    logarithmic number of rounds.
+    """
+    at = np.arange(len(doc)) - 1
+    way = common.copy()
+    open_ = np.flatnonzero((at >= 0) & (way >= max(least, 1)))
+    done = np.zeros(len(doc), np.int64)
+    while len(open_):
+        found = doc[at[open_]] < doc[open_]
+        done[open_[found]] = way[open_[found]]
+        open_ = open_[~found]
+        step = at[open_]
+        new_at, new_way = at[step], np.minimum(way[open_], way[step])
+        at[open_], way[open_] = new_at, new_way
+        open_ = open_[(new_at >= 0) & (new_way >= max(least, 1))]
+    return done
+
+
+def longest_previous(text: np.ndarray, suffix: np.ndarray, doc: np.ndarray, length: int, least: int = 0) -> np.ndarray:
+    """The longest-previous-factor array of the suffixes, up to ``length``: for each the longest
+    prefix that also starts a suffix of a smaller document.
+
+    In suffix order the best partner is the nearest place with a smaller document on either
+    side, and its common prefix is the shortest of those between neighbours on the way.
+    Values below ``least`` are given as 0.
+    """
+    order = suffix_order(text, suffix, length)
+    at, number = suffix[order], doc[order]
+    common = np.zeros(len(order), np.int64)
+    common[1:] = common_prefixes(text, at[:-1], at[1:], length)
+    before = previous_smaller(number, common, least)
+    behind = previous_smaller(number[::-1], np.append(0, common[:0:-1]), least)[::-1]
+    out = np.empty(len(order), np.int64)
+    out[order] = np.maximum(before, behind)
     return out
 
 
@@ -302,6 +394,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     string, without the bytes of characters that a cut has left incomplete; ``kept=None``
     leaves the column out.  ``length`` is 33 to 63 bytes.  Null and empty texts, and texts
     shorter than ``length``, lose nothing.  A null id counts as larger than every other id.
+    Ids are whole numbers, or text that reads as such.  ``docs`` is read from files or a
+    checkpoint, where a repeated task finds the same rows in the same order.
     Rows that share an id do not take strings from each other, and a repeated row is treated
     like any row.  An empty table gives an empty result.  Input columns named like the results
     are replaced.
@@ -315,14 +409,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     n = parts_for(spark, total, part_bytes)
     dealt = docs.select(
         F.struct(*rest).alias("rest"), F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"),
-        F.pmod(F.xxhash64(id_col, text_col), F.lit(n)).cast("int").alias("part"),
+        # equal rows are dealt over several parts, by their place in the table that is read
+        F.pmod(F.xxhash64(id_col, text_col, F.pmod(F.monotonically_increasing_id(), F.lit(64))), F.lit(n)).cast("int").alias("part"),
     )
     bucket_of = lambda keys: (mix(keys) % np.uint64(n)).astype(np.int64)
 
     def send_anchors(table: pa.Table) -> pa.Table:
         part = Part(table)
-        key, _, _, doc, context = part.runs(length)
-        first, kind, _ = _least((key, context), part.ids[doc])
+        key, start, count, doc, context = part.runs(length)
+        first, kind, _ = _least((key, context), part.ids[doc], (part.data, start, count + length - 1))
         head = _heads(key[first]) if len(first) else np.zeros(0, np.int64)
         several = np.diff(np.append(head, len(first)))
         of = np.zeros(len(first), np.int64)
@@ -358,14 +453,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         met, at = _member(key, known)
         key, start, count, doc, context = key[met], start[met], count[met], doc[met], context[met]
         single = crowded[at[met]] > 0 if len(known) else np.zeros(0, bool)
-        first, _, low = _least((key[~single], context[~single]), part.ids[doc[~single]])
+        first, _, low = _least((key[~single], context[~single]), part.ids[doc[~single]], (part.data, start[~single], count[~single] + length - 1))
         pick = np.flatnonzero(~single)[first]
         by, columns = key[pick], {"low": low, "starts": count[pick].astype(np.uint8), "kind": np.full(len(pick), RUN, np.uint8)}
         at_, lens = start[pick], count[pick] + length - 1
         if single.any():
             each, anchor, ids = _starts(part, key[single], start[single], count[single], doc[single])
             own = part.strings(each, length)
-            first, kind, low = _least((own, anchor), ids)
+            first, kind, low = _least((own, anchor), ids, (part.data, each, np.full(len(each), length)))
             more = np.zeros(len(first), bool)
             more[kind[ids > low[kind]]] = True
             add = {"low": low, "starts": np.ones(len(first), np.uint8), "kind": np.where(more, START + 1, START).astype(np.uint8)}
@@ -404,7 +499,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         got = _packed(back, BACK)
         key, start, count, doc, context = part.runs(length)
         ids = part.ids[doc]
-        _, kind, low = _least((key, context), ids)
+        _, kind, low = _least((key, context), ids, (part.data, start, count + length - 1))
         later = ids > low[kind]
         begin, stop = [start[later]], [start[later] + count[later] - 1 + length]
         # what came back for the first document of each context
@@ -423,7 +518,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             single, _ = _member(key, anchors)
             each, anchor, ids = _starts(part, key[single], start[single], count[single], doc[single])
             own = part.strings(each, length)
-            _, kind, low = _least((own, anchor), ids)
+            _, kind, low = _least((own, anchor), ids, (part.data, each, np.full(len(each), length)))
             flagged = np.unique(got["key"][~runs][got["b"][~runs] > 0])
             hit = (ids > low[kind]) | _member(own, flagged)[0]
             begin.append(each[hit])
