@@ -31,7 +31,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from boardlake.llm.bpe import automaton, read_vocabulary
-from boardlake.llm.common import materialise
+from boardlake.llm.common import join_uneven, materialise
 
 TURN, END = "<|turn|>", "<|end|>"
 #: What is escaped, and how.
@@ -173,6 +173,9 @@ def format_chat(rows: DataFrame, vocabulary: str, learn_role: str = "assistant")
 
     Turns are ordered by turn, role and text, nulls first.  A null text or role is empty, a
     null conv_id is a conversation of its own, equal rows are equal turns one after the other.
+    A conversation is read in order by one task, as a stream, whatever its length; what grows
+    with it in memory is its path, 16 bytes a turn.  A node's intervals are as many as the
+    places where its conversation leaves one that was written before, at most its turns.
     An empty table gives empty results; other columns are ignored.
     """
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -181,9 +184,9 @@ def format_chat(rows: DataFrame, vocabulary: str, learn_role: str = "assistant")
     tokens = materialise(_tokens(turns.select("node", "role", "text").dropDuplicates(["node"]), vocabulary, learn_role))
     last = turns.where(F.col("path").isNotNull())
     ranked = materialise(_ranked(last.select("path").distinct(), n))
-    node_at = lambda k: F.expr(f"substring(path, {k} * {ID_BYTES} + 1, {ID_BYTES})")
-    steps = ranked.select("part", "nth", "fresh", "path", F.explode(F.sequence(F.lit(0), (F.length("path") / ID_BYTES).cast("int") - 1)).alias("depth"))
-    steps = steps.select("part", "nth", "fresh", "depth", node_at("depth").alias("node"))
+    nodes = F.transform(F.sequence(F.lit(0), (F.length("path") / ID_BYTES).cast("int") - 1), lambda k: F.substring("path", k * ID_BYTES + 1, F.lit(ID_BYTES)))
+    # the path itself does not go along with each of its steps
+    steps = ranked.select("part", "nth", "fresh", F.posexplode(nodes).alias("depth", "node"))
     owner = steps.where("depth >= fresh").groupBy("node").agg(F.min(F.struct("part", "nth", "depth")).alias("o")).select("node", "o.*")
     sized = owner.join(tokens.select("node", F.size("ids").cast("long").alias("n")), "node")
     run = W.partitionBy("part").orderBy("nth", "depth")
@@ -191,7 +194,8 @@ def format_chat(rows: DataFrame, vocabulary: str, learn_role: str = "assistant")
     base = local.groupBy("part").agg(F.sum("n").alias("total"))  # one row for each partition
     base = base.select("part", F.coalesce(F.sum("total").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("base"))
     placed = local.join(F.broadcast(base), "part").select("node", F.col("part").alias("p"), F.col("nth").alias("q"), (F.col("base") + F.col("upto") - F.col("n")).alias("start"), "n")
-    full = steps.join(placed, "node").select("part", "nth", "depth", "node", ((F.col("p") == F.col("part")) & (F.col("q") == F.col("nth"))).alias("owned"), "start", "n")
+    # a first turn that very many conversations share is a step of all of them
+    full = join_uneven(steps.drop("fresh"), placed, "node", ["part", "nth"]).select("part", "nth", "depth", "node", ((F.col("p") == F.col("part")) & (F.col("q") == F.col("nth"))).alias("owned"), "start", "n")
     attention = _attention(full.repartition(n, "part", "nth").sortWithinPartitions("part", "nth", "depth"))
     segments = placed.select("node", "start").join(attention, "node").join(tokens, "node")
     members = last.select("conv_id", F.expr(f"substring(path, length(path) - {ID_BYTES - 1}, {ID_BYTES})").alias("node"))
@@ -203,14 +207,16 @@ def read_back(segments: DataFrame, members: DataFrame, vocabulary: str) -> DataF
     loss_sha256, formatted_chars).
 
     A conversation is its last node and the intervals that node attends to.  Intervals are
-    joined to segments by blocks of the stream, so a join key has few segments."""
+    joined to segments by blocks of the stream, so a join key has few segments; blocks that
+    very many conversations read are dealt over several tasks."""
     n = int(segments.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ends = segments.join(members.select("node").distinct(), "node").select(
         F.col("node").alias("leaf"), F.concat("attend", F.array(F.struct(F.col("start").alias("from"), (F.col("start") + F.size("ids")).alias("to")))).alias("spans"))
     spans = ends.select("leaf", F.explode("spans").alias("s")).select("leaf", "s.*")
     blocks = spans.select("leaf", "from", "to", F.explode(F.sequence(F.expr(f"`from` div {BLOCK}"), F.expr(f"(`to` - 1) div {BLOCK}"))).alias("block"))
     pieces = segments.select(F.expr(f"start div {BLOCK}").alias("block"), "start", "ids", "loss_from", "loss_to")
-    joined = blocks.join(pieces, "block").where("start >= `from` AND start < `to`").select("leaf", "start", "ids", "loss_from", "loss_to")
+    # all leaves under a shared first turn read its block
+    joined = join_uneven(blocks, pieces, "block", ["leaf"]).where("start >= `from` AND start < `to`").select("leaf", "start", "ids", "loss_from", "loss_to")
     content = segments.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

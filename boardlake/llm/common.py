@@ -48,6 +48,21 @@ def parts_for(spark: SparkSession, rows: float, per_part: float) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(rows // per_part) + 1)
 
 
+def join_uneven(many: DataFrame, few: DataFrame, key: str, spread: list[str], least: int = 64, most: int = 10_000, salts: int = 64) -> DataFrame:
+    """Inner join on ``key`` where some keys have very many rows in ``many`` and few in ``few``.
+
+    Keys with more than ``least`` rows and more than one in ``most`` of all rows are dealt
+    over ``salts`` places by the columns ``spread``; at most ``most`` keys can be such, and
+    only these keys go to all tasks.  Rows of ``few`` under them are repeated for each place.
+    """
+    total = many.count()
+    hot = materialise(many.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > max(least, total // most)).select(key, F.lit(True).alias("_hot")))
+    marked = lambda df: df.join(F.broadcast(hot), key, "left")
+    left = marked(many).withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")).otherwise(0))
+    right = marked(few).withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
+    return left.drop("_hot").join(right.drop("_hot"), [key, "_salt"]).drop("_salt")
+
+
 def trim() -> None:
     """Give memory that a task has freed back to the system: Python workers are used again,
     and the C library would keep it for them."""

@@ -56,6 +56,31 @@ def test_shared_turns_are_written_once_and_attended(formatted):
     assert any(len(r.attend) == 1 and r.attend[0]["to"] < r.start for r in rows)  # a later branch
 
 
+def test_a_turn_that_all_share_and_a_very_long_conversation(spark):
+    """One first turn in front of everything, and one conversation of 20,000 turns."""
+    shared = spark.range(3000).selectExpr("id as conv_id", "0 as turn", "'system' as role", "'Be kind.' as text")
+    own = spark.range(3000).selectExpr("id as conv_id", "1 as turn", "'assistant' as role", "concat('answer ', id % 700) as text")
+    long = spark.range(20_000).selectExpr("cast(5000 as long) as conv_id", "cast(id as int) as turn", "if(id % 2 = 0, 'system', 'assistant') as role", "if(id = 0, 'Be kind.', concat('t', id)) as text")
+    segments, members = chat.format_chat(shared.unionByName(own).unionByName(long), PATH)
+    segments = materialise(segments)
+    assert segments.count() == 1 + 700 + 19_999
+    got = {r.conv_id: r for r in chat.read_back(segments, members, PATH).collect()}
+    assert len(got) == 3001 and got[5000].n_turns == 20_000
+    assert {r.n_turns for c, r in got.items() if c != 5000} == {2}
+    want = "".join(f"{'system' if k % 2 == 0 else 'assistant'}\n{'Be kind.' if k == 0 else f't{k}'}\n" for k in range(20_000))
+    assert got[5000].turns_sha256 == hashlib.sha256(want.encode()).hexdigest()
+    assert got[2999].turns_sha256 == hashlib.sha256(f"system\nBe kind.\nassistant\nanswer {2999 % 700}\n".encode()).hexdigest()
+
+
+def test_join_of_uneven_keys(spark):
+    from boardlake.llm.common import join_uneven
+
+    many = spark.createDataFrame([(1, i) for i in range(500)] + [(k, 0) for k in range(2, 90)] + [(None, 7)], "k int, x int")
+    few = spark.createDataFrame([(1, "a"), (1, "b"), (5, "c"), (200, "d"), (None, "e")], "k int, y string")
+    got = sorted(map(tuple, join_uneven(many, few, "k", ["x"], least=10).collect()))
+    assert got == sorted(map(tuple, many.join(few, "k").collect())) and len(got) == 1001
+
+
 def test_escape_is_reversible():
     for s in ("", "\\", "<|end|>", "\\l<[\\b", "[INST]\n", "\\\\n"):
         assert chat.unescape(chat.escape(s)) == s
