@@ -17,6 +17,7 @@ from ..operators import filters as FL
 from ..operators import registry_ops as RG
 from ..operators import routing as RT
 from ..operators import summary as SM
+from ..operators.batch import match_filters, search_many
 from ..operators.normalize import normalize
 from ..sources import adapters as AD
 from ..sources import derived as D
@@ -676,6 +677,62 @@ def detect_ats(spark, sf_dir):
                       F.array_join("succeeded", ",").alias("succeeded"))
 
 
+# ---------------------------------------------------------------- many filters, many searches
+SAVED = {
+    "keepers": {"title_filter": "yard keeper|dock keeper"},
+    "tides": {"title_filter": "^tide|tides?$", "posted_within_days": 20},
+    "pay": {"filter": "pay range|payments", "location_excludes": ["oslo", "south"]},
+    "north": {"location_includes": ["northern", "Rim"], "filter": "growth|product"},
+    "pilots": {"title_filter": "(charter|harbour) pilot \\$[5-9]"},
+    "recent": {"posted_within_days": 3},
+    "digits": {"title_filter": "[0-9]{2},[0-9]{3}"},
+    "never": {"location_includes": [" "]},
+}
+
+
+def _saved_sql(name: str, spec: dict) -> str:
+    conds = ["true"]
+    if "title_filter" in spec:
+        conds.append(O.rx("title", spec["title_filter"]))
+    if "filter" in spec:
+        conds.append("(" + " OR ".join(O.rx(c, spec["filter"]) for c in ("title", "department", "description")) + ")")
+    if "posted_within_days" in spec:
+        conds.append(O.recency(spec["posted_within_days"]))
+    if "location_includes" in spec:
+        conds.append(O.loc_any(spec["location_includes"]))
+    if "location_excludes" in spec:
+        conds.append(f"NOT {O.loc_any(spec['location_excludes'])}")
+    return f"SELECT {O.q(name)} AS filter_id, doc_id, company_slug FROM v_postings WHERE {' AND '.join(conds)}"
+
+
+@query("saved_filters", _VP + " UNION ALL ".join(_saved_sql(*x) for x in SAVED.items()))
+def saved_filters(spark, sf_dir):
+    """All saved filters over all postings in one pass."""
+    out = match_filters(D.landed_postings(spark, sf_dir), SAVED, None, as_of=D.AS_OF)
+    return out.select("filter_id", "doc_id", "company_slug")
+
+
+_SEARCHES_SQL = """searches AS (
+  SELECT CAST(s_suppkey AS BIGINT) AS query_id,
+    CASE s_suppkey % 4 WHEN 0 THEN 'SRC' || s_suppkey % 20 WHEN 1 THEN 'company src' || s_suppkey % 7 WHEN 2 THEN s_name END AS query,
+    CASE WHEN s_suppkey % 3 = 0 THEN 'TOOLS' WHEN s_suppkey % 8 = 3 THEN 'pro' END AS sector
+  FROM supplier
+)"""
+
+
+@query("registry_search_many", O.with_(O.V_SOURCES, O.V_REGISTRY, _SEARCHES_SQL) + """
+SELECT query_id, ats, slug, name, r.sector FROM searches s JOIN v_registry r
+  ON (contains(lower(coalesce(nullif(r.name, ''), r.slug, '')), lower(coalesce(nullif(s.query, ''), s.sector))) OR contains(lower(coalesce(r.sector, '')), lower(coalesce(nullif(s.query, ''), s.sector))))
+  AND contains(lower(coalesce(r.sector, '')), lower(coalesce(s.sector, '')))""")
+def registry_search_many(spark, sf_dir):
+    """A search of the registry for every supplier, in one query."""
+    key = F.col("s_suppkey")
+    term = F.when(key % 4 == 0, F.concat(F.lit("SRC"), key % 20)).when(key % 4 == 1, F.concat(F.lit("company src"), key % 7)).when(key % 4 == 2, F.col("s_name"))
+    sector = F.when(key % 3 == 0, "TOOLS").when(key % 8 == 3, "pro")
+    searches = D.read_table(spark, sf_dir, "supplier").select(key.cast("bigint").alias("query_id"), term.alias("query"), sector.alias("sector"))
+    return search_many(D.v_registry(spark, sf_dir), searches).select("query_id", "ats", "slug", "name", "sector")
+
+
 # ---------------------------------------------------------------- posting history
 _LISTED_SQL = "[" + ", ".join("[" + ", ".join(map(str, x)) + "]" for x in D.LISTED) + "]"
 _HISTORY = f"""
