@@ -7,33 +7,76 @@ from pyspark.sql import functions as F
 
 from .jscompat import col_of, let
 
-# Forms with a month name, after the weekday is taken off, the month cut to
-# three letters and the zone written as an offset.
-_NAMED = [f"{d}{t}" for d in ("d MMM yyyy", "MMM d, yyyy", "MMM d yyyy") for t in ("", " H:mm", " H:mm:ss")]
+# The names that a date text may hold, and the zones' hours.
+MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
+ZONES = {"z": 0, "ut": 0, "utc": 0, "gmt": 0, "est": -5, "edt": -4, "cst": -6, "cdt": -5, "mst": -7, "mdt": -6, "pst": -8, "pdt": -7}
+
+_MONTH = rf"\b({'|'.join(MONTHS)})[a-z]*\.?"
+_TIME = r"(?<![+\-\d:])(\d{1,2}):(\d{1,2})(?::(\d{1,2})(?:\.(\d+))?)?(?:\s*([ap])m\b)?"
+_ZONE = rf"(?:(?<![a-z])({'|'.join(sorted(ZONES, key=len, reverse=True))})\b)"
+_OFFSET = r"([+-])(\d{1,2}):?(\d{2})?\s*$"
+_NO_SECONDS = r"^([^T ]+[T ]\d{2}:\d{2})(Z|[+-]\d{2}:?\d{2})$"
+_YEAR = 2001  # of a text without one
 
 
 def js_timestamp(c) -> Column:
     """Instant of a date text; NULL where it cannot be read.
 
-    ISO forms are read as Spark casts them, but a date without a time is UTC,
-    as in JavaScript, not the session's zone.  ``Mar 1, 2026``, ``1 March
-    2026 10:00`` and RFC-2822 text (``Tue, 03 Mar 2026 10:00:00 GMT``) are
-    read too; without a zone they are in the session's.
+    ISO forms are read as Spark casts them, but a date without a time is UTC, as in
+    JavaScript, not the session's zone.  Other texts are read by their parts, in any order and
+    case: a month's name (its first three letters count), numbers for day, month and year
+    (``3/1/2026`` is month, day, year; ``2026/3/1`` year, month, day; years below 50 are in
+    this century, below 100 in the last, a missing one is 2001), a time with or without
+    seconds, fractions and am or pm, a zone by name or offset.  Words before the first number
+    and text in parentheses are skipped, an unknown word behind a number makes the text
+    unreadable.  Days beyond the month's end run into the next one.  Without a zone a text is
+    in the session's.
     """
     raw = F.nullif(F.btrim(col_of(c)), F.lit(""))
     day_only = F.regexp_extract(raw, r"^(\d{4}(?:-\d{2}){0,2})$", 1)
     iso = F.when(day_only != "", F.concat(raw, F.when(F.length(raw) == 4, "-01-01").when(F.length(raw) == 7, "-01").otherwise(""),
-                                          F.lit("T00:00:00Z")).try_cast("timestamp")).otherwise(raw.try_cast("timestamp"))
-    return let(raw, lambda x: F.when(x.rlike(r"(?i)\b(?:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)"), _named(x)).otherwise(iso))
-
-
-def _named(x: Column) -> Column:
-    x = F.regexp_replace(x, r"(?i)^(?:sun|mon|tue|wed|thu|fri|sat)[a-z]*,?\s+", "")
-    x = F.regexp_replace(F.initcap(x), r"\b([A-Z][a-z]{2})[a-z]*\b\.?", "$1")
-    x = F.regexp_replace(x, r"\s*\b(?:Gmt|Utc|Z)\s*$", " +0000")
-    zone = r"\s*([+-]\d{2}):?(\d{2})$"
-    text = F.regexp_replace(x, zone, "")
-    offset = F.when(x.rlike(zone), F.regexp_replace(F.regexp_extract(x, zone, 0), r"[\s:]", ""))
-    bare = F.coalesce(*(F.try_to_timestamp(text, F.lit(f)) for f in _NAMED))
-    zoned = F.coalesce(*(F.try_to_timestamp(F.concat(text, F.lit(" "), offset), F.lit(f + " xx")) for f in _NAMED))
-    return F.when(offset.isNotNull(), zoned).otherwise(bare)
+                                          F.lit("T00:00:00Z")).try_cast("timestamp")).otherwise(F.regexp_replace(raw, _NO_SECONDS, "$1:00$2").try_cast("timestamp"))
+    return let(raw, lambda x: F.when(x.rlike(r"^[+-]?\d{4,6}(?:-|$)"), F.coalesce(iso, _by_parts(x))).otherwise(_by_parts(x)))
+
+
+def _part(text: Column, pattern: str, group: int) -> Column:
+    return F.nullif(F.regexp_extract(text, pattern, group), F.lit(""))
+
+
+def _by_parts(x: Column) -> Column:
+    x = F.lower(F.regexp_replace(x, r"\([^()]*\)", " "))
+    hour, minute, second = (F.coalesce(_part(x, _TIME, k).try_cast("int"), F.lit(0)) for k in (1, 2, 3))
+    half = _part(x, _TIME, 5)
+    # without the time: zone, then the date
+    rest = F.regexp_replace(x, _TIME, " ")
+    named_zone = F.create_map(*(F.lit(v) for kv in ZONES.items() for v in kv))[_part(rest, _ZONE, 1)]
+    rest = F.regexp_replace(rest, _ZONE, " ")
+    timed = x.rlike(_TIME)
+    offset = F.when(timed & rest.rlike(_OFFSET), F.when(_part(rest, _OFFSET, 1) == "-", -1).otherwise(1) * (
+        _part(rest, _OFFSET, 2).try_cast("int") * 60 + F.coalesce(_part(rest, _OFFSET, 3).try_cast("int"), F.lit(0))))
+    rest = F.when(timed, F.regexp_replace(rest, _OFFSET, " ")).otherwise(rest)
+    month = F.nullif(F.array_position(F.array(*map(F.lit, MONTHS)), _part(rest, _MONTH, 1)), F.lit(0)).cast("int")
+    rest = F.regexp_replace(rest, _MONTH, " ")
+    numbers = F.transform(F.regexp_extract_all(rest, F.lit(r"(\d+)"), F.lit(1)), lambda n: n.try_cast("int"))
+    unknown = rest.rlike(r"\d.*[a-z]")
+
+    def composed(n: Column) -> Column:
+        a, b, c = (F.get(n, k) for k in range(3))
+        day_first = a.between(1, 31)
+        size = F.size(n)
+        y = F.when(month.isNotNull(), F.when(size == 1, _YEAR).when(day_first, b).otherwise(a)).when(size == 2, _YEAR).when(day_first, c).otherwise(a)
+        m = F.when(month.isNotNull(), month).when((size == 2) | day_first, a).otherwise(b)
+        d = F.when(month.isNotNull(), F.when((size == 1) | day_first, a).otherwise(b)).when((size == 2) | day_first, b).otherwise(c)
+        y = F.when(y.between(0, 49), y + 2000).when(y.between(50, 99), y + 1900).otherwise(y)
+        whole = F.when(month.isNotNull(), size.between(1, 2)).otherwise(size.between(2, 3))
+        ok = whole & m.between(1, 12) & d.between(1, 31) & y.between(0, 9999)
+        return F.when(ok, F.date_add(F.make_date(y, m, F.lit(1)), d - 1))
+
+    day = F.when(~unknown, let(numbers, composed))
+    hour = F.when(half.isNull(), hour).when(hour <= 12, hour % 12 + F.when(half == "p", 12).otherwise(0))
+    right = hour.between(0, 23) & minute.between(0, 59) & second.between(0, 59)
+    fraction = F.substring(F.concat(F.coalesce(_part(x, _TIME, 4), F.lit("")), F.lit("000")), 1, 3)
+    text = F.concat(day.cast("string"), F.format_string(" %02d:%02d:%02d.%s", hour, minute, second, fraction))
+    shift = F.coalesce(offset, named_zone * 60)
+    zone = F.when(shift.isNull(), "").otherwise(F.concat(F.when(shift < 0, "-").otherwise("+"), F.format_string("%02d:%02d", F.floor(F.abs(shift) / 60), F.abs(shift) % 60)))
+    return F.when(right, F.concat(text, zone).try_cast("timestamp"))

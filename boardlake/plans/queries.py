@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.dates import js_timestamp
 from ..operators import filters as FL
 from ..operators import registry_ops as RG
 from ..operators import routing as RT
@@ -677,6 +678,37 @@ def detect_ats(spark, sf_dir):
                       F.array_join("succeeded", ",").alias("succeeded"))
 
 
+# ---------------------------------------------------------------- date texts
+@query(
+    "date_forms",
+    """SELECT o_orderkey, epoch_ms(CAST(o_orderdate AS TIMESTAMP)) + CASE o_orderkey % 7
+      WHEN 1 THEN (o_orderkey % 24 * 60 + 5) * 60000 WHEN 3 THEN (o_orderkey % 24 * 60 + 5) * 60000
+      WHEN 4 THEN ((o_orderkey % 24 + 5) * 60 + 5) * 60000 WHEN 5 THEN (o_orderkey % 24 * 60 + 5 - 330) * 60000 ELSE 0 END AS ms
+    FROM orders WHERE o_orderkey % 7 <> 6
+    UNION ALL SELECT o_orderkey, NULL AS ms FROM orders WHERE o_orderkey % 7 = 6""",
+)
+def date_forms(spark, sf_dir):
+    """Every order's date written in a form of date text, and read back."""
+    o = D.read_table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("d"))
+    key = F.col("o_orderkey")
+    written = lambda f: F.date_format("d", f)
+    hour = key % 24
+    clock = F.format_string("%02d:05", hour)
+    half = F.format_string("%d:05 %s", F.when(hour % 12 == 0, 12).otherwise(hour % 12), F.when(hour < 12, "AM").otherwise("pm"))
+    text = (
+        F.when(key % 7 == 0, written("M/d/yyyy"))
+        .when(key % 7 == 1, F.concat(written("yyyy/MM/dd"), F.lit(" "), clock, F.lit(" GMT")))
+        .when(key % 7 == 2, written("yyyy-MM-dd"))
+        .when(key % 7 == 3, F.concat(written("MMMM d, yyyy"), F.lit(" "), half, F.lit(" UTC")))
+        .when(key % 7 == 4, F.concat(written("EEE, dd MMM yyyy"), F.lit(" "), clock, F.lit(":00 EST")))
+        .when(key % 7 == 5, F.concat(written("M-d-yyyy"), F.lit(" "), clock, F.lit(" +0530 (IST)")))
+        .otherwise(F.concat(written("M/d/yyyy"), F.lit(" or so")))
+    )
+    # a date without time or zone is in the session's zone, which the oracle takes as UTC
+    text = F.when(key % 7 == 0, F.concat(text, F.lit(" 00:00 Z"))).otherwise(text)
+    return o.select("o_orderkey", F.unix_millis(js_timestamp(text)).alias("ms"))
+
+
 # ---------------------------------------------------------------- many filters, many searches
 SAVED = {
     "keepers": {"title_filter": "yard keeper|dock keeper"},
