@@ -23,6 +23,7 @@ from ..operators.normalize import normalize
 from ..sources import adapters as AD
 from ..sources import derived as D
 from ..sources.boards import latest_boards
+from ..sources.quarantine import quarantine
 from . import api
 from . import oracle as O
 
@@ -292,6 +293,23 @@ def board_latest(spark, sf_dir):
     return rows.select("ats", "slug", "endpoint", "part", F.col("fetched_at").cast("timestamp_ntz").alias("fetched_at"))
 
 
+_QUARANTINE_SQL = _BOARDS + " UNION ALL ".join(
+    f"SELECT b_ats AS ats, company_slug AS slug, '{ep}' AS endpoint, part, posting_pos AS position, '{path}' AS path, '{kind}' AS expected, "
+    f"CAST({raw} AS VARCHAR) AS raw FROM bp WHERE {ok} AND {rule}"
+    for ep, path, kind, raw, ok, rule in (
+        ("board", "id", "integer", "'\"g' || doc_id || '\"'", O.GH_OK, "doc_id % 37 = 5"),
+        ("board", "location", "object", "'\"Anywhere\"'", O.GH_OK, "doc_id % 41 = 7"),
+        ("board", "createdAt", "integer", "'\"soon\"'", O.LV_OK, "doc_id % 47 = 11"),
+        ("rest", "isRemote", "boolean", "'\"yes\"'", O.AR_OK, "doc_id % 43 = 9"),
+    ))
+
+
+@query("field_quarantine", _QUARANTINE_SQL)
+def field_quarantine(spark, sf_dir):
+    """Every field of a landed posting whose type is not the platform's."""
+    return quarantine(D.latest_raw_boards(spark, sf_dir))
+
+
 @query("normalize_all", O.with_(*O.BASE, O.expected_postings_cte()) + "SELECT " + ", ".join(
     ["ats", "company_slug", "board_part", "posting_pos", "id", "company", "title", "department", "location",
      "location_type", "salary_min", "salary_max", "salary_currency", "description", "url", "posted_at_raw"]) + " FROM ep")

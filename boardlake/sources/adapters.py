@@ -50,7 +50,7 @@ _MAX_EPOCH_MS = 8_640_000_000_000_000
 _BOARD_KEYS = ("ats", "slug", "endpoint", "part", "http_status")
 
 
-def _board_rows(raw_boards: DataFrame, ats: str, endpoint: str) -> DataFrame:
+def board_rows(raw_boards: DataFrame, ats: str, endpoint: str) -> DataFrame:
     return raw_boards.where((F.col("ats") == ats) & (F.col("endpoint") == endpoint))
 
 
@@ -63,7 +63,7 @@ def _parse_once(b: DataFrame, parsed: Column, name: str) -> DataFrame:
     return b.select("*", F.explode(F.array(parsed)).alias(name))
 
 
-def _sealed(body: Column, seal: str, closing: str) -> Column:
+def sealed(body: Column, seal: str, closing: str) -> Column:
     """The body as first element of a JSON array whose second one holds the
     body's own hash.  Spark's parser ignores what follows a complete value;
     here the body is complete and alone exactly when the array has two
@@ -82,13 +82,13 @@ def _parse_body(b: DataFrame, ddl: str, jobs_path: tuple[str, ...], job_ddl: str
     property access; null, a broken body or text behind it are errors.
     """
     body = F.col("body")
-    b = _parse_once(b, F.from_json(_sealed(body, ',{"_seal":"', '"}]'), f"ARRAY<STRUCT<{ddl}, _seal STRING>>"), "_a")
+    b = _parse_once(b, F.from_json(sealed(body, ',{"_seal":"', '"}]'), f"ARRAY<STRUCT<{ddl}, _seal STRING>>"), "_a")
     whole = F.coalesce((F.size("_a") == 2) & (F.get("_a", 1)["_seal"] == F.md5(body)), F.lit(False))
     jobs = F.get("_a", 0)
     for key in jobs_path:
         jobs = jobs[key]
     again = ~whole | (jobs.isNull() & F.get("_a", 0).isNotNull())
-    b = _parse_once(b, F.when(again, F.try_parse_json(_sealed(body, ',"', '"]'))), "_v")
+    b = _parse_once(b, F.when(again, F.try_parse_json(sealed(body, ',"', '"]'))), "_v")
     valid = whole | F.coalesce(F.try_variant_get("_v", "$[1]", "string") == F.md5(body), F.lit(False))
     loose = F.transform(
         F.try_variant_get("_v", "$[0]." + ".".join(jobs_path), "array<variant>"),
@@ -100,7 +100,7 @@ def _parse_body(b: DataFrame, ddl: str, jobs_path: tuple[str, ...], job_ddl: str
 
 
 def parse_greenhouse(raw_boards: DataFrame, keep: tuple = ()) -> DataFrame:
-    b = _board_rows(raw_boards, "greenhouse", "board")
+    b = board_rows(raw_boards, "greenhouse", "board")
     b = _parse_body(b, GREENHOUSE_DDL, ("jobs",), GREENHOUSE_JOB_DDL)
     body_ok = F.col("_body_ok")
     outcome = F.coalesce(status_outcome(F.col("http_status")), F.when(body_ok, F.lit("ok")).otherwise(F.lit("error")))
@@ -114,12 +114,12 @@ def parse_greenhouse(raw_boards: DataFrame, keep: tuple = ()) -> DataFrame:
 
 
 def parse_lever(raw_boards: DataFrame, keep: tuple = ()) -> DataFrame:
-    b = _board_rows(raw_boards, "lever", "board")
+    b = board_rows(raw_boards, "lever", "board")
     body = F.col("body")
-    b = _parse_once(b, F.from_json(_sealed(body, ',[{"_seal":"', '"}]]'), f"ARRAY<ARRAY<STRUCT<{LEVER_JOB_DDL}, _seal STRING>>>"), "_a")
+    b = _parse_once(b, F.from_json(sealed(body, ',[{"_seal":"', '"}]]'), f"ARRAY<ARRAY<STRUCT<{LEVER_JOB_DDL}, _seal STRING>>>"), "_a")
     whole = F.coalesce((F.size("_a") == 2) & (F.get(F.get("_a", 1), 0)["_seal"] == F.md5(body)), F.lit(False))
     # a JSON body that is no array is a valid, empty board; a broken body is an error
-    b = _parse_once(b, F.when(~whole, F.try_parse_json(_sealed(body, ',"', '"]'))), "_v")
+    b = _parse_once(b, F.when(~whole, F.try_parse_json(sealed(body, ',"', '"]'))), "_v")
     body_ok = whole | F.coalesce(F.try_variant_get("_v", "$[1]", "string") == F.md5(body), F.lit(False))
     loose = F.transform(
         F.try_variant_get("_v", "$[0]", "array<variant>"),
@@ -136,7 +136,7 @@ def parse_lever(raw_boards: DataFrame, keep: tuple = ()) -> DataFrame:
 
 
 def parse_ashby_rest(raw_boards: DataFrame, keep: tuple = ()) -> DataFrame:
-    b = _board_rows(raw_boards, "ashby", "rest")
+    b = board_rows(raw_boards, "ashby", "rest")
     b = _parse_body(b, ASHBY_REST_DDL, ("jobs",), ASHBY_REST_JOB_DDL)
     body_ok = F.col("_body_ok")
     outcome = F.coalesce(status_outcome(F.col("http_status")), F.when(body_ok, F.lit("ok")).otherwise(F.lit("error")))
@@ -150,7 +150,7 @@ def parse_ashby_rest(raw_boards: DataFrame, keep: tuple = ()) -> DataFrame:
 
 
 def parse_ashby_graphql(raw_boards: DataFrame, keep: tuple = ()) -> DataFrame:
-    b = _board_rows(raw_boards, "ashby", "graphql")
+    b = board_rows(raw_boards, "ashby", "graphql")
     b = _parse_body(b, ASHBY_GRAPHQL_DDL, ("data", "jobBoard", "jobPostings"), ASHBY_GRAPHQL_JOB_DDL)
     body_ok = F.col("_body_ok")
     # every non-2xx GraphQL answer is an empty board, not an error
@@ -328,8 +328,8 @@ def ashby_rest_nonempty_slugs(raw_boards: DataFrame, by: tuple = ("slug",)) -> D
     and nothing behind it, and a ``jobs`` array with an element of whatever
     type; anything else counts as empty, which triggers the fallback.  The
     elements are not typed here, only skipped over as text."""
-    rest = _board_rows(raw_boards, "ashby", "rest").where(F.col("http_status").between(200, 299))
-    rest = _parse_once(rest.select(*by, "body"), F.from_json(_sealed(F.col("body"), ',{"_seal":"', '"}]'),
+    rest = board_rows(raw_boards, "ashby", "rest").where(F.col("http_status").between(200, 299))
+    rest = _parse_once(rest.select(*by, "body"), F.from_json(sealed(F.col("body"), ',{"_seal":"', '"}]'),
                                                                "ARRAY<STRUCT<jobs ARRAY<STRING>, _seal STRING>>"), "_a")
     whole = (F.size("_a") == 2) & (F.get("_a", 1)["_seal"] == F.md5("body"))
     return rest.where(whole & (F.size(F.get("_a", 0)["jobs"]) > 0)).select(*by).distinct()
@@ -342,7 +342,7 @@ def ashby_postings(raw_boards: DataFrame, keep: tuple = (), strict: Column | Non
     A failed REST board is no error, whatever ``strict`` says.  ``by`` names
     the columns that tell boards apart, for several fetches of one company."""
     rest = parse_ashby_rest(raw_boards, keep)
-    graphql = _board_rows(raw_boards, "ashby", "graphql")
+    graphql = board_rows(raw_boards, "ashby", "graphql")
     if fallback:
         graphql = graphql.join(ashby_rest_nonempty_slugs(raw_boards, by), list(by), "left_anti")
     graphql = parse_ashby_graphql(graphql, keep)
