@@ -46,6 +46,38 @@ def test_unknown_or_missing_ats_is_empty(spark, reg_dir, tmpdir_path):
     assert load_registry_ats(spark, tmpdir_path, "lever").count() == 0
 
 
+ODD = [
+    {"slug": "a", "name": 'x}y{ "q" \\', "sector": "]},{["},
+    {"slug": "b}", "name": "\\\\\"}", "sector": None},
+    {"slug": "c", "extra": {"deep": {"er": [1, {"x": "}"}]}}, "name": "é\n中}"},
+    {},
+    *({"slug": f"s{i}", "name": "n" * (i % 40) + "}" * (i % 3) + '"' * (i % 2)} for i in range(400)),
+]
+
+
+@pytest.mark.parametrize("indent", [None, 1])
+def test_a_large_array_is_read_in_pieces(spark, tmpdir_path, indent):
+    with open(os.path.join(tmpdir_path, "lever.json"), "w") as fh:
+        json.dump(ODD, fh, indent=indent, ensure_ascii=False)
+    want = [tuple(r) for r in load_registry_ats(spark, tmpdir_path, "lever").orderBy("ord").collect()]
+    assert len(want) == len(ODD) and want[1][3] == "b}"
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1500")
+    try:
+        df = load_registry_ats(spark, tmpdir_path, "lever", whole_bytes=0)
+        assert [tuple(r) for r in df.orderBy("ord").collect()] == want
+        raw = spark.read.option("lineSep", "}").text(os.path.join(tmpdir_path, "lever.json"))
+        assert raw.rdd.getNumPartitions() > 3  # several tasks for one file
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+@pytest.mark.parametrize("text", ["[]", "", " \n", "{}", '{"slug":"a"}', "[1]", '[{"slug":"a"} 5]', '[{"slug":"a"}', '["}"]', '[{"slug":"a"},]x'])
+def test_files_that_are_no_array_of_objects(spark, tmpdir_path, text):
+    with open(os.path.join(tmpdir_path, "lever.json"), "w") as fh:
+        fh.write(text)
+    assert load_registry_ats(spark, tmpdir_path, "lever", whole_bytes=0).count() == 0
+
+
 def test_load_all(registry):
     assert {r["ats"] for r in registry.collect()} == {"greenhouse", "lever", "ashby"}
 
