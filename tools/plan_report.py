@@ -30,6 +30,8 @@ def summarise(df) -> dict:
         "partial_limit": len(re.findall(r"row_number\(\), \d+, Partial", text)),
         "partition_filters": len(re.findall(r"PartitionFilters: \[[^\]]", text)),
         "pushed_filters": len(re.findall(r"PushedFilters: \[[^\]]", text)),
+        "bodies_moved": sum("body#" in x for x in re.findall(
+            r"^\(\d+\) (?:Broadcast)?Exchange\n(?:Output|Input) ?(?:\[\d+\])?: \[([^\n]*)\]", text, flags=re.M)),
         "python_udf": ("BatchEvalPython" in text) or ("ArrowEvalPython" in text),
     }
 
@@ -46,12 +48,12 @@ def main() -> None:
     print("# Physical plan summary of the registered queries\n")
     print(f"Generated by `python tools/plan_report.py {sf}` (initial adaptive plans; AQE may turn shuffle joins "
           "into broadcasts at run time once sizes are known).\n")
-    print("| query | exchanges | broadcast joins | sort-merge joins | partial per-key limits | scans with partition filters | scans with pushed filters | Python UDF |")
-    print("|---|---|---|---|---|---|---|---|")
+    print("| query | exchanges | broadcast joins | sort-merge joins | partial per-key limits | scans with partition filters | scans with pushed filters | exchanges of bodies | Python UDF |")
+    print("|---|---|---|---|---|---|---|---|---|")
     for name, fn in sorted(Q.spark_queries().items()):
         s = summarise(fn(spark, sf))
         print(f"| {name} | {s['exchanges']} | {s['bhj']} | {s['smj']} | {s['partial_limit']} | "
-              f"{s['partition_filters']} | {s['pushed_filters']} | {'yes' if s['python_udf'] else 'no'} |")
+              f"{s['partition_filters']} | {s['pushed_filters']} | {s['bodies_moved']} | {'yes' if s['python_udf'] else 'no'} |")
 
 
 if __name__ == "__main__":
