@@ -5,9 +5,10 @@ Every line is judged alone:
 * punctuation: a line without any sentence mark, or with more loud marks (``!`` and
   symbols) than two for three words, fails;
 * navigation: a line whose words are cut by separators (``|``, ``>``, ``»``, ``·``) at
-  least every fourth word, or a bare short list of links, fails;
+  least every fourth word fails;
 * boilerplate: a line with a phrase of consent banners, scripts, rights or placeholder
-  text fails.
+  text fails.  The phrases are English; such lines of other languages fail only by the
+  other rules.
 
 Failing lines are removed.  A document that loses more than ``max_loss`` of its word
 characters is rejected, as is one that fails the base rules.

@@ -65,6 +65,40 @@ def test_ftrl_is_sparse():
     assert w[7] > 1 and len(w) < 400
 
 
+def plain_ftrl(rows, alpha, beta, l1, l2, epochs):
+    """FTRL-proximal one coordinate at a time; the bias has no L1."""
+    z, n = {}, {}
+
+    def weight(k):
+        if k == "bias":
+            return -z.get(k, 0.0) / ((beta + n.get(k, 0.0) ** 0.5) / alpha + l2)
+        if abs(z.get(k, 0.0)) <= l1:
+            return 0.0
+        return -(z[k] - (l1 if z[k] > 0 else -l1)) / ((beta + n[k] ** 0.5) / alpha + l2)
+
+    for _ in range(epochs):
+        for y, x in rows:
+            keys = ["bias", *x.tolist()]
+            w = {k: weight(k) for k in keys}
+            g = 1 / (1 + np.exp(-sum(w.values()))) - y
+            for k in keys:
+                old = n.get(k, 0.0)
+                sigma = ((old + g * g) ** 0.5 - old**0.5) / alpha
+                z[k] = z.get(k, 0.0) + g - sigma * w[k]
+                n[k] = old + g * g
+    return {k: weight(k) for k in z if k == "bias" or weight(k)}
+
+
+@pytest.mark.parametrize(("alpha", "l1", "l2"), [(1.0, 0.0, 0.0), (0.5, 0.3, 0.0), (2.0, 1.0, 0.1)])
+def test_ftrl_equals_plain_loops(alpha, l1, l2):
+    rng = np.random.default_rng(2)
+    rows = [(int(rng.random() < 0.4), np.unique(rng.integers(1, 15, 5))) for _ in range(40)]
+    got = toxicity.ftrl(rows, alpha=alpha, beta=1.0, l1=l1, l2=l2, epochs=3, min_texts=1)
+    want = plain_ftrl(rows, alpha, 1.0, l1, l2, 3)
+    assert set(got) - {toxicity.BIAS} == set(want) - {"bias"}
+    assert all(np.isclose(v, want["bias" if k == toxicity.BIAS else k]) for k, v in got.items())
+
+
 def brute_marginals(emit, trans):
     a, e = np.exp(trans), np.exp(emit)
     f, b = [np.full(emit.shape[1], 1 / emit.shape[1])], [np.ones(emit.shape[1])]
@@ -139,6 +173,26 @@ def test_the_sample_does_not_depend_on_the_order_of_rows(spark):
     assert all(np.array_equal(getattr(models[0], k), getattr(models[1], k)) for k in ("emit", "trans", "lexicon"))
 
 
+def test_words_of_joined_passages(tongues):
+    """Runs of five words of held-out texts in turn: words are labelled, not the whole."""
+    model = language.train(tongues.where("doc_id < 180"))
+    held = {}
+    for r in tongues.where("doc_id >= 180 and doc_id < 240").collect():
+        held.setdefault(r.lang, []).extend(r.text.strip(".").lower().split())
+    right = total = 0
+    for k in range(40):
+        truth, words = [], []
+        for lang in ("aa", "bb", "cc", "aa"):
+            own = held[lang][5 * k : 5 * k + 5]
+            words += own
+            truth += [lang] * len(own)
+        got = [x[1] for x in language.label_words(" ".join(words), model)]
+        assert len(got) == len(truth)
+        right += sum(a == b for a, b in zip(got, truth, strict=True))
+        total += len(truth)
+    assert total > 400 and right / total > 0.95, right / total
+
+
 def test_language_without_training_rows(spark, empty, tongues):
     assert language.train(empty) is None
     assert language.language(empty).count() == 0
