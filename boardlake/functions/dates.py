@@ -32,31 +32,48 @@ def js_timestamp(c) -> Column:
     unreadable.  Days beyond the month's end run into the next one.  Without a zone a text is
     in the session's.
     """
-    raw = F.nullif(F.btrim(col_of(c)), F.lit(""))
-    day_only = F.regexp_extract(raw, r"^(\d{4}(?:-\d{2}){0,2})$", 1)
-    iso = F.when(day_only != "", F.concat(raw, F.when(F.length(raw) == 4, "-01-01").when(F.length(raw) == 7, "-01").otherwise(""),
-                                          F.lit("T00:00:00Z")).try_cast("timestamp")).otherwise(F.regexp_replace(raw, _NO_SECONDS, "$1:00$2").try_cast("timestamp"))
-    return let(raw, lambda x: F.when(x.rlike(r"^[+-]?\d{4,6}(?:-|$)"), F.coalesce(iso, _by_parts(x))).otherwise(_by_parts(x)))
+    # every step is worked out once: a text used twice in an expression is otherwise built twice
+    iso = lambda x: F.when(x.rlike(r"^[+-]?\d{4,6}(?:-|$)"), _iso(x))
+    parts = lambda x: let(F.lower(F.regexp_replace(x, r"\([^()]*\)", " ")), _by_parts)
+    return let(F.nullif(F.btrim(col_of(c)), F.lit("")), lambda x: F.coalesce(iso(x), parts(x)))
+
+
+def _iso(x: Column) -> Column:
+    day_only = x.rlike(r"^\d{4}(?:-\d{2}){0,2}$")
+    day = F.concat(x, F.when(F.length(x) == 4, "-01-01").when(F.length(x) == 7, "-01").otherwise(""), F.lit("T00:00:00Z"))
+    return F.when(day_only, day).otherwise(F.regexp_replace(x, _NO_SECONDS, "$1:00$2")).try_cast("timestamp")
 
 
 def _part(text: Column, pattern: str, group: int) -> Column:
-    return F.nullif(F.regexp_extract(text, pattern, group), F.lit(""))
+    return let(F.regexp_extract(text, pattern, group), lambda m: F.nullif(m, F.lit("")))
+
+
+def _taken(text: Column, pattern: str, body, when: Column | None = None) -> Column:
+    """``body`` over the first match of the pattern (null: none, or not ``when``) and the text
+    with all its matches blanked."""
+    found = _part(text, pattern, 0)
+    found = found if when is None else F.when(when, found)
+    return let(found, lambda m: let(F.when(m.isNull(), text).otherwise(F.regexp_replace(text, pattern, " ")), lambda rest: body(m, rest)))
 
 
 def _by_parts(x: Column) -> Column:
-    x = F.lower(F.regexp_replace(x, r"\([^()]*\)", " "))
-    hour, minute, second = (F.coalesce(_part(x, _TIME, k).try_cast("int"), F.lit(0)) for k in (1, 2, 3))
-    half = _part(x, _TIME, 5)
-    # without the time: zone, then the date
-    rest = F.regexp_replace(x, _TIME, " ")
-    named_zone = F.create_map(*(F.lit(v) for kv in ZONES.items() for v in kv))[_part(rest, _ZONE, 1)]
-    rest = F.regexp_replace(rest, _ZONE, " ")
-    timed = x.rlike(_TIME)
-    offset = F.when(timed & rest.rlike(_OFFSET), F.when(_part(rest, _OFFSET, 1) == "-", -1).otherwise(1) * (
-        _part(rest, _OFFSET, 2).try_cast("int") * 60 + F.coalesce(_part(rest, _OFFSET, 3).try_cast("int"), F.lit(0))))
-    rest = F.when(timed, F.regexp_replace(rest, _OFFSET, " ")).otherwise(rest)
-    month = F.nullif(F.array_position(F.array(*map(F.lit, MONTHS)), _part(rest, _MONTH, 1)), F.lit(0)).cast("int")
-    rest = F.regexp_replace(rest, _MONTH, " ")
+    zones = F.create_map(*(F.lit(v) for kv in ZONES.items() for v in kv))
+    months = F.array(*map(F.lit, MONTHS))
+
+    def shift(offset: Column, zone: Column) -> Column:
+        """Minutes east of UTC."""
+        given = F.when(_part(offset, _OFFSET, 1) == "-", -1).otherwise(1) * (
+            _part(offset, _OFFSET, 2).try_cast("int") * 60 + F.coalesce(_part(offset, _OFFSET, 3).try_cast("int"), F.lit(0)))
+        return F.coalesce(F.when(offset.isNotNull(), given), zones[zone] * 60)
+
+    # the time, the zone, the offset behind a time and the month's name, each taken out of the rest
+    return _taken(x, _TIME, lambda time, rest: _taken(rest, _ZONE, lambda zone, rest: _taken(rest, _OFFSET, lambda offset, rest: _taken(
+        rest, _MONTH, lambda name, rest: _instant(
+            _day(rest, F.array_position(months, F.substring(name, 1, 3)).cast("int")), time, shift(offset, zone))), time.isNotNull())))
+
+
+def _day(rest: Column, month: Column) -> Column:
+    """The date of a text's numbers and its month by name (null: none)."""
     numbers = F.transform(F.regexp_extract_all(rest, F.lit(r"(\d+)"), F.lit(1)), lambda n: n.try_cast("int"))
     unknown = rest.rlike(r"\d.*[a-z]")
 
@@ -67,16 +84,29 @@ def _by_parts(x: Column) -> Column:
         y = F.when(month.isNotNull(), F.when(size == 1, _YEAR).when(day_first, b).otherwise(a)).when(size == 2, _YEAR).when(day_first, c).otherwise(a)
         m = F.when(month.isNotNull(), month).when((size == 2) | day_first, a).otherwise(b)
         d = F.when(month.isNotNull(), F.when((size == 1) | day_first, a).otherwise(b)).when((size == 2) | day_first, b).otherwise(c)
-        y = F.when(y.between(0, 49), y + 2000).when(y.between(50, 99), y + 1900).otherwise(y)
         whole = F.when(month.isNotNull(), size.between(1, 2)).otherwise(size.between(2, 3))
-        ok = whole & m.between(1, 12) & d.between(1, 31) & y.between(0, 9999)
-        return F.when(ok, F.date_add(F.make_date(y, m, F.lit(1)), d - 1))
-
-    day = F.when(~unknown, let(numbers, composed))
-    hour = F.when(half.isNull(), hour).when(hour <= 12, hour % 12 + F.when(half == "p", 12).otherwise(0))
-    right = hour.between(0, 23) & minute.between(0, 59) & second.between(0, 59)
-    fraction = F.substring(F.concat(F.coalesce(_part(x, _TIME, 4), F.lit("")), F.lit("000")), 1, 3)
-    text = F.concat(day.cast("string"), F.format_string(" %02d:%02d:%02d.%s", hour, minute, second, fraction))
-    shift = F.coalesce(offset, named_zone * 60)
-    zone = F.when(shift.isNull(), "").otherwise(F.concat(F.when(shift < 0, "-").otherwise("+"), F.format_string("%02d:%02d", F.floor(F.abs(shift) / 60), F.abs(shift) % 60)))
-    return F.when(right, F.concat(text, zone).try_cast("timestamp"))
+        return F.when(whole, let(F.struct(y.alias("y"), m.alias("m"), d.alias("d")), dated))
+
+    def dated(p: Column) -> Column:
+        y, m, d = p["y"], p["m"], p["d"]
+        year = F.when(y.between(0, 49), y + 2000).when(y.between(50, 99), y + 1900).otherwise(y)
+        ok = m.between(1, 12) & d.between(1, 31) & y.between(0, 9999)
+        return F.when(ok, F.date_add(F.make_date(year, m, F.lit(1)), d - 1))
+
+    return F.when(~unknown, let(numbers, composed))
+
+
+def _instant(day: Column, time: Column, shift: Column) -> Column:
+    hour, minute, second = (F.coalesce(_part(time, _TIME, k).try_cast("int"), F.lit(0)).alias(c) for k, c in ((1, "hour"), (2, "minute"), (3, "second")))
+    parts = F.struct(day.alias("day"), hour, minute, second, _part(time, _TIME, 4).alias("fraction"), _part(time, _TIME, 5).alias("half"), shift.alias("shift"))
+
+    def of(p: Column) -> Column:
+        hour = F.when(p["half"].isNull(), p["hour"]).when(p["hour"] <= 12, p["hour"] % 12 + F.when(p["half"] == "p", 12).otherwise(0))
+        right = hour.between(0, 23) & p["minute"].between(0, 59) & p["second"].between(0, 59)
+        fraction = F.substring(F.concat(F.coalesce(p["fraction"], F.lit("")), F.lit("000")), 1, 3)
+        text = F.concat(p["day"].cast("string"), F.format_string(" %02d:%02d:%02d.%s", hour, p["minute"], p["second"], fraction))
+        east = p["shift"]
+        zone = F.when(east.isNull(), "").otherwise(F.concat(F.when(east < 0, "-").otherwise("+"), F.format_string("%02d:%02d", F.floor(F.abs(east) / 60), F.abs(east) % 60)))
+        return F.when(right & p["day"].isNotNull(), F.concat(text, zone).try_cast("timestamp"))
+
+    return let(parts, of)

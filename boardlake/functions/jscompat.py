@@ -49,8 +49,12 @@ def js_trim(c) -> Column:
 
 def let(value: Column, body) -> Column:
     """``body`` over ``value`` evaluated once, however often body uses it (an
-    expression used twice may otherwise be worked out twice)."""
-    return F.get(F.transform(F.array(value), body), 0)
+    expression used twice may otherwise be worked out twice).
+
+    An aggregate over no elements: its finish sees the start.  An element of a transformed
+    array would have its type derived from the whole body again for every row, and from nested
+    bodies several times."""
+    return F.aggregate(F.array(), value, lambda x, _: x, body)
 
 
 def py_js_trim(s: str) -> str:

@@ -707,7 +707,7 @@ def detect_ats(spark, sf_dir):
 )
 def date_forms(spark, sf_dir):
     """Every order's date written in a form of date text, and read back."""
-    o = D.read_table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("d"))
+    o = D.read_text_table(spark, sf_dir, "orders", ["o_orderkey", F.col("o_orderdate").cast("date").alias("d")])
     key = F.col("o_orderkey")
     written = lambda f: F.date_format("d", f)
     hour = key % 24

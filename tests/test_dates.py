@@ -49,3 +49,22 @@ def test_forms(spark, zone):
 
 def test_null(spark):
     assert spark.createDataFrame([(None,)], "x string").select(js_timestamp("x").alias("t")).first().t is None
+
+
+def test_each_step_once(spark):
+    """The text is built once, and the time is looked for once in the whole text."""
+    df = spark.createDataFrame([("3/1/2026 10:00",)], "x string")
+    plan = df.select(js_timestamp(F.concat("x", F.lit(" EST"))).alias("t"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(" EST") == 1
+    assert plan.count(r"(?<![+\-\d:])(\d{1,2})") <= 7
+
+
+def test_date_forms_dealt_out(spark, tmp_path):
+    from boardlake.plans.queries import date_forms
+
+    rows = [(k, dt.datetime(1998, 2, 1 + k)) for k in range(14)]
+    spark.createDataFrame(rows, "o_orderkey long, o_orderdate timestamp").coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    got = date_forms(spark, str(tmp_path))
+    assert got.rdd.getNumPartitions() > 1
+    assert [r.ms for r in got.orderBy("o_orderkey").collect()][:3] == [round(x.replace(tzinfo=dt.timezone.utc).timestamp() * 1000) for x in (
+        dt.datetime(1998, 2, 1), dt.datetime(1998, 2, 2, 1, 5), dt.datetime(1998, 2, 3))]
