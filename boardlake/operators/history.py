@@ -86,8 +86,11 @@ def posting_history(raw_boards: DataFrame | BoardStore) -> DataFrame:
     salted = good.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     rows = parts.withColumn("_salt", F.pmod("part", F.lit(SALTS))).join(salted, ["ats", "slug", "fetch_id", "_salt"])
     rows = rows.where(F.col("endpoint") == F.col("used"))
-    seen = rows.select("ats", "slug", F.explode("ids").alias("id"), "n", "at", "next_at").distinct()
     key = ["ats", "slug", "id"]
+    # Ids compress far better than the windows' sorted rows: tasks joined by the size of their
+    # compressed input would hold too many.  A number that is given keeps one for each partition.
+    seen = rows.select("ats", "slug", F.explode("ids").alias("id"), "n", "at", "next_at")
+    seen = seen.repartition(int(seen.sparkSession.conf.get("spark.sql.shuffle.partitions")), *key).distinct()
     island = F.col("n") - F.row_number().over(W.partitionBy(*key).orderBy("n"))
     runs = seen.withColumn("island", island).groupBy(*key, "island").agg(
         F.min("at").alias("first_seen"), F.max("at").alias("last_seen"), F.max_by("next_at", "n").alias("closed_at"), F.count("*").alias("n_scans")
