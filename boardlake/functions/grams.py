@@ -16,7 +16,10 @@ _LITERAL = re.compile(r"[A-Za-z0-9 _,;:@#%&=<>'\"!~`/-]")
 
 def folded(text: Column) -> Column:
     """Lower case in which every text that matches an ASCII literal regardless of case holds it."""
-    return F.lower(F.translate(F.coalesce(text, F.lit("")), FOLDED, PLAIN))
+    text = F.coalesce(text, F.lit(""))
+    for c, plain in zip(FOLDED, PLAIN, strict=True):  # four searches, mostly in vain, where translate walks over all letters
+        text = F.replace(text, F.lit(c), F.lit(plain))
+    return F.lower(text)
 
 
 def grams(text: Column, sizes=(1, 2, GRAM)) -> Column:
@@ -24,6 +27,35 @@ def grams(text: Column, sizes=(1, 2, GRAM)) -> Column:
     return F.array_distinct(F.concat(*(F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{k}}}))"), F.lit(1)) for k in sizes)))
 
 
+def held_grams(text: Column, wanted: list[str]) -> Column:
+    """Those of the wanted texts that the text holds, found in one walk over the text for each
+    of their sizes.  Only places where one begins are kept, so the work hardly depends on how
+    many are wanted, and none of the text's other n-grams is built."""
+    of_size = [sorted({w for w in wanted if len(w) == k}) for k in sorted({len(w) for w in wanted})]
+    return F.array_distinct(F.concat(*(F.regexp_extract_all(text, F.lit(_at_any_of(own)), F.lit(1)) for own in of_size)))
+
+
+def _java(chars) -> dict[str, str]:
+    return {c: c if c.isascii() and c.isalnum() else f"\\x{{{ord(c):X}}}" for c in chars}
+
+
+def _at_any_of(texts: list[str]) -> str:
+    """Java pattern of the places where one of these texts, all of one size, begins; group 1 is
+    the text.  Most places fail already at the characters that a text may have there."""
+    classes = "".join(f"[{''.join(_java(sorted(set(chars))).values())}]" for chars in zip(*texts, strict=True))
+    return f"(?={classes})(?=({_any_of(texts)}))"
+
+
+def _any_of(texts: list[str]) -> str:
+    tails: dict[str, list[str]] = {}
+    for t in texts:
+        tails.setdefault(t[0], []).append(t[1:])
+    java = _java(tails)
+    if len(texts[0]) == 1:
+        return f"[{''.join(java.values())}]"
+    return "(?:" + "|".join(java[c] + _any_of(rest) for c, rest in tails.items()) + ")"
+
+
 def py_grams(text: str) -> list[str]:
     """The grams that a text holding ``text`` must have: its own of full size, or itself."""
     k = min(GRAM, len(text))

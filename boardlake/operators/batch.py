@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.grams import GRAM, folded, grams, py_grams, required_literals
+from ..functions.grams import GRAM, folded, grams, held_grams, py_grams, required_literals
 from ..functions.jscompat import WORD_BOUNDARY, js_escape_literal, js_regex, py_js_trim, truthy_or, utf16_len, validate_java_regex
 from .filters import DEFAULT, ORDER_COLS, as_of_ms, first_n_per, normalise_limit, recency_predicate
 
@@ -129,9 +129,7 @@ def match_filters(postings: DataFrame, filters: dict[str, dict], limit=DEFAULT,
     for kind, column in text.items():
         own = [g[1:] for g in needed if g[0] == kind]
         if own:
-            sizes = sorted({len(g) for g in own})
-            hit = F.array_intersect(grams(column, sizes), F.array(*map(F.lit, own)))
-            keys.append(F.transform(hit, _prefixed(kind)))
+            keys.append(F.transform(held_grams(column, own), _prefixed(kind)))
     looked = postings.withColumn("_keys", F.concat(*keys))
     tried = looked.select("*", F.explode("_keys").alias("key")).join(table.withColumnsRenamed({c: f"_f_{c}" for c in _FILTER.names if c not in ("filter_id", "key")}), "key")
     # of several texts of one filter that are there, the first one stands for all

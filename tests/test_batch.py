@@ -104,3 +104,16 @@ def test_searches_equal_one_call_each(spark):
     assert sorted(map(tuple, got.collect()), key=key) == sorted(want, key=key)
     none = registry.where(F.lit(False))
     assert batch.search_many(none, spark.createDataFrame(asked, "query_id string, query string, sector string")).count() == 0
+
+
+def test_only_wanted_grams_are_looked_for(postings):
+    """A long text's other n-grams are not built, and places that overlap count each."""
+    from boardlake.functions.grams import folded, held_grams
+
+    wanted = ["aaa", "aab", "]^-", "a", "é]", "\\d\n", "zzz", "zz", "🚀ab", "😀ab"]
+    texts = ["aaaab", "x]^-y", "É]\\d\n", "", None, "zzz", "\\D\n1", "🚀AB 😀a"]
+    df = postings.sparkSession.createDataFrame([(i, x) for i, x in enumerate(texts)], "i int, x string")
+    got = {r.i: r.g for r in df.select("i", F.sort_array(held_grams(folded(F.col("x")), wanted)).alias("g")).collect()}
+    assert got == {i: sorted(w for w in wanted if w in (x or "").lower()) for i, x in enumerate(texts)}
+    plan = batch.match_filters(postings, FILTERS, None)._jdf.queryExecution().optimizedPlan().toString()
+    assert "(.{" not in plan
