@@ -82,18 +82,21 @@ def posting_history(raw_boards: DataFrame | BoardStore) -> DataFrame:
     """
     store = as_store(raw_boards)
     good, parts = scans(observations(store), store.index)
-    # a board of very many parts does not meet in one task
+    # a board of very many parts does not meet in one task; merged, since files of short bodies
+    # look small enough to broadcast every id, which one task would then join
     salted = good.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    rows = parts.withColumn("_salt", F.pmod("part", F.lit(SALTS))).join(salted, ["ats", "slug", "fetch_id", "_salt"])
+    rows = parts.withColumn("_salt", F.pmod("part", F.lit(SALTS))).join(salted.hint("merge"), ["ats", "slug", "fetch_id", "_salt"])
     rows = rows.where(F.col("endpoint") == F.col("used"))
     key = ["ats", "slug", "id"]
     # Ids compress far better than the windows' sorted rows: tasks joined by the size of their
     # compressed input would hold too many.  A number that is given keeps one for each partition.
     seen = rows.select("ats", "slug", F.explode("ids").alias("id"), "n", "at", "next_at")
-    seen = seen.repartition(int(seen.sparkSession.conf.get("spark.sql.shuffle.partitions")), *key).distinct()
-    island = F.col("n") - F.row_number().over(W.partitionBy(*key).orderBy("n"))
+    seen = seen.repartition(int(seen.sparkSession.conf.get("spark.sql.shuffle.partitions")), *key)
+    # the same id in two parts of a scan has the same rank, so nothing need hold all rows to drop it
+    island = F.col("n") - F.dense_rank().over(W.partitionBy(*key).orderBy("n"))
     runs = seen.withColumn("island", island).groupBy(*key, "island").agg(
-        F.min("at").alias("first_seen"), F.max("at").alias("last_seen"), F.max_by("next_at", "n").alias("closed_at"), F.count("*").alias("n_scans")
+        F.min("at").alias("first_seen"), F.max("at").alias("last_seen"), F.max_by("next_at", "n").alias("closed_at"),
+        (F.max("n") - F.min("n") + 1).cast("bigint").alias("n_scans"),
     )
     interval = F.row_number().over(W.partitionBy(*key).orderBy("first_seen", "island"))
     status = F.when(F.col("closed_at").isNull(), "open").otherwise("closed")
