@@ -29,6 +29,15 @@ KEYS = ("ats", "slug", "endpoint")
 #: Parts into which the index rows of one board are dealt where boards are joined.
 SALTS = 16
 BUCKETS = 64
+#: A body may have a few MB.  Parquet looks at sizes every hundred rows or more, so a page
+#: would hold a hundred bodies, and a reader's batch takes up to 4096 rows of one row group; that
+#: is memory Spark does not count.  Here row groups are small, also of bodies that compress well.
+BODY_FILES = {
+    "parquet.block.size": 8 << 20,
+    "parquet.block.row.count.limit": 128,
+    "parquet.page.size.row.check.min": 1,
+    "parquet.page.size.row.check.max": 8,
+}
 #: How far apart the parts of one fetch may land if nothing names their fetch.
 SAME_FETCH = "INTERVAL 1 HOUR"
 
@@ -73,7 +82,7 @@ def land_boards(rows: DataFrame, path: str, buckets: int = BUCKETS) -> None:
     known = _buckets(spark, path)
     rows = with_fetch(rows).withColumn("landing", F.lit(uuid.uuid4().hex))
     name = _table(spark, path, known) if known else _name(path)
-    writer = rows.repartition(known or buckets, "slug", "part").write.mode("append").format("parquet")
+    writer = rows.repartition(known or buckets, "slug", "part").write.mode("append").format("parquet").options(**BODY_FILES)
     writer.partitionBy("ats").bucketBy(known or buckets, "slug", "part").option("path", f"{path}/bodies-{known or buckets}").saveAsTable(name)
     rows.drop("body").write.mode("append").partitionBy("ats").parquet(f"{path}/index")
     if not known:  # the next reader declares the table from its folder

@@ -235,7 +235,7 @@ def _land(grouped: DataFrame, body: Column) -> DataFrame:
     )
 
 
-FIXTURE_VERSION = "boards-v3"
+FIXTURE_VERSION = "boards-v4"
 #: Buckets of the landed fixture; its files are small.
 FIXTURE_BUCKETS = 8
 
